@@ -62,3 +62,13 @@ def hash_order(seed: int, *cols: str | Column) -> Column:
 def hash_uniform(seed: int, *cols: str | Column) -> Column:
     """Repeatable uniform draw in [0, 1) from row content."""
     return F.pmod(hash_order(seed, *cols), F.lit(1 << 52)).cast("double") / F.lit(float(1 << 52))
+
+
+def round_doubles(df, digits: int = 6):
+    """Round every double column (for order-independent comparison of results)."""
+    from pyspark.sql.types import DoubleType, FloatType
+
+    return df.select(*[
+        F.round(F.col(f"`{f.name}`"), digits).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f"`{f.name}`")
+        for f in df.schema.fields
+    ])
