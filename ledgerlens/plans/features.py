@@ -132,16 +132,25 @@ def velocity_spread(spark, sf):
     )
 
 
-def _matrix_sql() -> str:
-    base = [c for c in S.ENRICHED_COLUMNS]
+def matrix_features() -> list[str]:
+    """Candidate feature names in table order (same rule as `candidate_features`)."""
+    drop = set(S.DROP_FOR_FEATURES) | {S.LABEL}
+    text = {"nameOrig", "nameDest", "type", "home_billing_country", "ip_country", "home_device_id", "device_id", "browser_fingerprint"}
+    numeric_base = [c for c in S.ENRICHED_COLUMNS if c not in drop and c not in text]
+    return numeric_base + [c for c in FE.DERIVED_ORDER if c not in drop]
+
+
+def matrix_cte(name: str = "fm") -> str:
+    """DuckDB CTE of the unrounded feature matrix over the universe."""
     exprs = {**ROW_SQL, **_vel_sql("nameDest", "dest"), **_vel_sql("nameOrig", "orig"), **ONE_HOT_SQL}
     inner = "SELECT *, " + ", ".join(f"{v} AS {k}" for k, v in exprs.items()) + " FROM transactions"
-    drop = set(S.DROP_FOR_FEATURES) | {S.LABEL}
-    numeric_base = [c for c in base if c not in drop and c not in ("nameOrig", "nameDest", "type", "home_billing_country",
-                                                                      "ip_country", "home_device_id", "device_id", "browser_fingerprint")]
-    feats = numeric_base + [c for c in FE.DERIVED_ORDER if c not in drop]
-    cols = ["txn_id"] + [_r(c, c) for c in feats] + ["isFraud", "round(amount, 6) AS amount_raw", "step AS step_raw"]
-    return txn_sql(f"SELECT {', '.join(cols)} FROM ({inner}) WHERE type IN ('TRANSFER','CASH_OUT')")
+    cols = ["txn_id"] + matrix_features() + ["isFraud", "amount AS amount_raw", "step AS step_raw"]
+    return f"{name} AS (SELECT {', '.join(cols)} FROM ({inner}) WHERE type IN ('TRANSFER','CASH_OUT'))"
+
+
+def _matrix_sql() -> str:
+    cols = ["txn_id"] + [_r(c, c) for c in matrix_features()] + ["isFraud", "round(amount_raw, 6) AS amount_raw", "step_raw"]
+    return txn_sql(f"SELECT {', '.join(cols)} FROM fm", ctes=matrix_cte())
 
 
 @query("feature_matrix", _matrix_sql())
