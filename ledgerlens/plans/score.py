@@ -1 +1,163 @@
-"""Queries registered by this area."""
+"""Batch scoring and event-log queries (P1-P13, S7, S13, S14, Q28, Q29, MN2).
+
+The probability is the deterministic evaluation `score` of the transaction
+view (model training is covered by the rows-only ML queries); the threshold is
+the one chosen on validation by `best_threshold`.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import schema as S
+from ..operators import quality as Q
+from ..operators import score as SC
+from ..sources import events as EV
+from ..sources.fixture import transactions
+from .evaluate import BEST_CTE, test_threshold
+from .registry import query, txn_sql
+
+
+def scored(spark, sf):
+    _, t = test_threshold(spark, sf)
+    return SC.score_batch(transactions(spark, sf), "score", t), t
+
+
+_SIG_SQL = "list_filter([" + ", ".join(
+    f"CASE WHEN {flag} = 1 THEN '{text}' END" for flag, text in SC.RISK_SIGNAL_LABELS
+) + ", CASE WHEN dest_prior_count > 0 AND nameDest IS NOT NULL AND nameDest <> 'UNKNOWN_DEST' THEN printf('destination account already received %d prior transaction(s) (velocity)', dest_prior_count) END], lambda x: x IS NOT NULL)"
+
+_W = "(PARTITION BY nameDest ORDER BY step, txn_id)"
+SCORED_CTE = BEST_CTE + f""",
+vel AS (SELECT txn_id, row_number() OVER {_W} - 1 AS dest_prior_count,
+               coalesce(CAST(step - lag(step) OVER {_W} AS DOUBLE), -1.0) AS dest_steps_since_last,
+               CAST(lag(step) OVER {_W} IS NULL AS INTEGER) AS dest_first_seen
+        FROM transactions WHERE type IN ('TRANSFER','CASH_OUT')),
+sc0 AS (SELECT t.*, coalesce(v.dest_prior_count, 0) AS dest_prior_count, coalesce(v.dest_steps_since_last, -1.0) AS dest_steps_since_last,
+               coalesce(v.dest_first_seen, 1) AS dest_first_seen,
+               CAST(coalesce(t.ip_country <> t.home_billing_country, true) AS INTEGER) AS ip_country_mismatch,
+               CAST(t.account_age_days <= 90 AS INTEGER) AS young_account, CAST(t.failed_payment_attempts >= 3 AS INTEGER) AS high_failed_attempts,
+               (SELECT threshold FROM best) AS thr
+        FROM transactions t LEFT JOIN vel v USING (txn_id)),
+sc AS (SELECT *, CASE WHEN type NOT IN ('TRANSFER','CASH_OUT') THEN 'AUTO_APPROVE' WHEN score >= thr THEN 'REVIEW' ELSE 'APPROVE' END AS decision,
+              CASE WHEN type IN ('TRANSFER','CASH_OUT') THEN score END AS fraud_probability,
+              CASE WHEN type IN ('TRANSFER','CASH_OUT') THEN {_SIG_SQL} ELSE []::VARCHAR[] END AS risk_signals,
+              CASE WHEN type NOT IN ('TRANSFER','CASH_OUT') THEN 'type=' || type || ' is outside the fraud universe [''TRANSFER'', ''CASH_OUT'']; auto-approved by rule (0 observed fraud in these types)'
+                   ELSE 'score ' || printf('%.4f', score) || ' vs policy threshold ' || CAST(thr AS VARCHAR) || ' (score, behavioural variant)' END AS reason
+       FROM sc0)"""
+
+
+@query("decisions", txn_sql("""
+SELECT txn_id, decision, fraud_probability, risk_signals, reason, dest_prior_count, dest_steps_since_last, dest_first_seen FROM sc""",
+                            ctes=SCORED_CTE))
+def decisions(spark, sf):
+    """Rule path, decision, risk signals, reason and stateful destination velocity."""
+    s, _ = scored(spark, sf)
+    return s.select("txn_id", "decision", "fraud_probability", "risk_signals", "reason",
+                    "dest_prior_count", "dest_steps_since_last", "dest_first_seen")
+
+
+@query("decision_counts", txn_sql("SELECT decision, count(*) AS n FROM sc GROUP BY decision", ctes=SCORED_CTE))
+def decision_counts(spark, sf):
+    """Decisions per class."""
+    s, _ = scored(spark, sf)
+    return SC.decision_counts(s)
+
+
+@query("review_queue", txn_sql("""
+SELECT txn_id, fraud_probability, decision, row_number() OVER (ORDER BY fraud_probability DESC, txn_id) - 1 AS queue_position
+FROM sc WHERE decision IN ('REVIEW', 'BLOCK')""", ctes=SCORED_CTE))
+def review_queue(spark, sf):
+    """Analyst queue of REVIEW / BLOCK rows by score (distributed rank, no row cap)."""
+    s, _ = scored(spark, sf)
+    return SC.review_queue(s.select("txn_id", "fraud_probability", "decision"))
+
+
+@query("latest_scored", txn_sql("""
+SELECT txn_id, step, decision FROM sc ORDER BY step DESC, txn_id DESC LIMIT 200""", ctes=SCORED_CTE))
+def latest_scored(spark, sf):
+    """The latest 200 scored rows (a top-k report: the limit is the feature)."""
+    s, _ = scored(spark, sf)
+    return s.select("txn_id", "step", "decision").orderBy(F.col("step").desc(), F.col("txn_id").desc()).limit(200)
+
+
+@query("outcome_kpis", txn_sql("""
+SELECT CAST(sum(CASE WHEN decision IN ('REVIEW','BLOCK') AND isFraud = 1 THEN 1 ELSE 0 END) AS BIGINT) AS caught_count,
+       round(coalesce(sum(CASE WHEN decision IN ('REVIEW','BLOCK') AND isFraud = 1 THEN amount END), 0.0), 6) AS caught_value,
+       CAST(sum(CASE WHEN decision NOT IN ('REVIEW','BLOCK') AND isFraud = 1 THEN 1 ELSE 0 END) AS BIGINT) AS missed_count,
+       round(coalesce(sum(CASE WHEN decision NOT IN ('REVIEW','BLOCK') AND isFraud = 1 THEN amount END), 0.0), 6) AS missed_value,
+       CAST(sum(CASE WHEN decision = 'BLOCK' AND isFraud = 0 THEN 1 ELSE 0 END) AS BIGINT) AS wrong_blocks,
+       CAST(sum(CASE WHEN decision IN ('REVIEW','BLOCK') THEN 1 ELSE 0 END) AS BIGINT) AS queue_size,
+       round(coalesce(sum(CASE WHEN decision IN ('REVIEW','BLOCK') AND isFraud = 1 THEN 1 ELSE 0 END)
+             / nullif(sum(CASE WHEN decision IN ('REVIEW','BLOCK') THEN 1 ELSE 0 END), 0), 0.0), 6) AS queue_precision
+FROM sc""", ctes=SCORED_CTE))
+def outcome_kpis(spark, sf):
+    """Analyst outcome KPIs from decisions joined to labels."""
+    s, _ = scored(spark, sf)
+    labels = transactions(spark, sf).select("txn_id", "isFraud")
+    return SC.outcome_kpis(s.drop("isFraud"), labels)
+
+
+@query("contract_split", txn_sql("""
+SELECT 'valid' AS status, count(*) AS n FROM transactions
+WHERE type IN ('TRANSFER','CASH_OUT','PAYMENT','DEBIT','CASH_IN') AND amount > 0 AND account_age_days BETWEEN 0 AND 3650
+  AND failed_payment_attempts BETWEEN 0 AND 12 AND ip_billing_distance_km >= 0 AND step >= 1 AND hour_of_day BETWEEN 0 AND 23
+  AND home_billing_country IN ('US','GB','DE','FR','IN','BR','NG','RU','CN','VN') AND ip_country IN ('US','GB','DE','FR','IN','BR','NG','RU','CN','VN')
+  AND oldbalanceOrg >= 0 AND newbalanceOrig >= 0 AND oldbalanceDest >= 0 AND newbalanceDest >= 0"""))
+def contract_split(spark, sf):
+    """Q29/Q30: request contract; valid rows counted, rejected rows carry reason arrays."""
+    valid, rejected = Q.contract_split(transactions(spark, sf))
+    v = valid.agg(F.count(F.lit(1)).alias("n")).select(F.lit("valid").alias("status"), "n")
+    r = (rejected.select(F.explode("reject_reasons").alias("status")).groupBy("status")
+         .agg(F.count(F.lit(1)).alias("n")))
+    return v.unionByName(r)
+
+
+def event_lines(spark, sf):
+    s, _ = scored(spark, sf)
+    return EV.stand_in_lines(EV.event_records(s))
+
+
+_R = EV.stand_in_sql("")
+
+
+@query("event_log_scan", txn_sql(f"""
+SELECT count(*) AS n_lines, CAST(sum(CASE WHEN {_R['blank']} THEN 1 ELSE 0 END) AS BIGINT) AS blank_lines,
+       CAST(sum(CASE WHEN NOT ({_R['blank']}) AND {_R['junk']} THEN 1 ELSE 0 END) AS BIGINT) AS malformed_lines,
+       CAST(sum(CASE WHEN NOT ({_R['blank']}) AND NOT ({_R['junk']}) THEN 1 ELSE 0 END) AS BIGINT) AS parsed_events
+FROM transactions"""))
+def event_log_scan(spark, sf):
+    """Tolerant JSON-lines scan of the scored-event log (blank skipped, malformed counted)."""
+    return EV.tolerant_summary(EV.parse_lines(event_lines(spark, sf)))
+
+
+@query("event_defaults", txn_sql(f"""
+SELECT 'txn_' || CAST(txn_id AS VARCHAR) AS transaction_id, type,
+       CAST(CASE WHEN {_R['opt_off']} THEN 744 ELSE step END AS BIGINT) AS step,
+       CAST(CASE WHEN {_R['opt_off']} THEN 744 % 24 ELSE hour_of_day END AS INTEGER) AS hour_of_day,
+       CAST(CASE WHEN {_R['opt_off']} THEN 744 % 24 ELSE hour_of_day END BETWEEN 0 AND 5 AS INTEGER) AS is_night,
+       CASE WHEN {_R['opt_off']} THEN 'UNKNOWN_DEST' ELSE nameDest END AS nameDest,
+       CASE WHEN {_R['opt_off']} THEN 0.0 ELSE oldbalanceOrg END AS oldbalanceOrg,
+       CASE WHEN {_R['opt_off']} THEN 0.0 ELSE newbalanceOrig END AS newbalanceOrig,
+       CASE WHEN {_R['opt_off']} THEN 0.0 ELSE oldbalanceDest END AS oldbalanceDest,
+       CASE WHEN {_R['opt_off']} THEN 0.0 ELSE newbalanceDest END AS newbalanceDest,
+       amount, account_age_days, failed_payment_attempts, ip_billing_distance_km, is_new_device, shipping_billing_mismatch,
+       home_billing_country, ip_country,
+       CASE WHEN {_R['no_label']} THEN isFraud END AS isFraud,
+       fraud_probability AS prediction_proba, CAST(decision IN ('REVIEW', 'BLOCK') AS INTEGER) AS prediction
+FROM sc WHERE type IN ('TRANSFER','CASH_OUT') AND NOT ({_R['blank']}) AND NOT ({_R['junk']})""", ctes=SCORED_CTE))
+def event_defaults(spark, sf):
+    """Q12/Q28/MN2: parsed log events coerced and defaulted into the monitoring frame."""
+    return EV.event_frame(EV.good_events(EV.parse_lines(event_lines(spark, sf))))
+
+
+@query("current_source", txn_sql(f"""
+SELECT 'events' AS source, count(*) AS n_rows
+FROM sc WHERE type IN ('TRANSFER','CASH_OUT') AND NOT ({_R['blank']}) AND NOT ({_R['junk']})""", ctes=SCORED_CTE))
+def current_source(spark, sf):
+    """monitoring's current data is the event log when it holds any event, else the historical slice."""
+    ev = EV.event_frame(EV.good_events(EV.parse_lines(event_lines(spark, sf))))
+    if ev.limit(1).count() > 0:
+        return ev.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("events").alias("source"), "n_rows")
+    hist = transactions(spark, sf).where(F.col("type").isin(S.FRAUD_TYPES) & (F.col("step") > S.REFERENCE_MAX_STEP))
+    return hist.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("historical").alias("source"), "n_rows")

@@ -23,7 +23,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        v = round(v, 6)
+        # pandas turns an int column with NULLs into float; compare by value
+        return int(v) if v.is_integer() else v
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
