@@ -104,7 +104,7 @@ def average_precision_from(table: DataFrame, group_cols: list[str]) -> DataFrame
     c = c.join(tot, group_cols) if group_cols else c.withColumn("__k", F.lit(1)).join(tot.withColumn("__k", F.lit(1)), "__k")
     prec = F.col("cum_n_pos") / (F.col("cum_n_pos") + F.col("cum_n_neg"))
     return c.groupBy(*group_cols).agg(
-        F.when(F.first("__P") > 0, F.sum(F.col("n_pos") / F.col("__P") * prec)).alias("average_precision"),
+        F.when(F.first("__P") > 0, F.sum(F.try_divide(F.col("n_pos"), F.col("__P")) * prec)).alias("average_precision"),
         F.first("__P").alias("n_pos"), F.first("__N").alias("n_neg"),
     )
 
