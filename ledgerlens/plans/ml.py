@@ -1 +1,155 @@
-"""Queries registered by this area."""
+"""Spark ML queries (M1-M5, M14-M16, M22-M24, T12, T16, S9, S10): rows-only checks.
+
+Training frames are the robust-scaled behavioural features of the temporal
+train fold; validation is its last 15 % by step. Frames that iterative
+learners re-read are persisted for the duration of a query's fits.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark import StorageLevel
+from pyspark.sql import functions as F
+
+from .. import schema as S
+from ..operators import evaluate as M
+from ..operators import features as FE
+from ..operators import prep as P
+from ..operators import train as TR
+from ..operators.smote import smote
+from ..session import checkpoint_dir
+from ..sources.fixture import transactions
+from .registry import query
+
+BEHAVIOURAL = FE.BEHAVIOURAL_BASE + [f"{p}_{c}" for p in ("home", "ip") for c in FE.SORTED_COUNTRIES]
+
+
+def model_frames(spark, sf):
+    """Scaled train fold, its inner train / validation split, the test fold, the feature list."""
+    m = FE.feature_matrix(transactions(spark, sf))[0]
+    tr, te, _ = P.temporal_split(m, 0.8, "step_raw")
+    cont = [c for c in S.CONTINUOUS_FEATURES if c in m.columns]
+    stats = P.stats_dict(P.robust_stats(tr, cont), "center", "scale")
+    tr_s = P.apply_scaler(tr, stats).persist(StorageLevel.MEMORY_AND_DISK)
+    te_s = P.apply_scaler(te, stats)
+    itr, iva, _ = P.inner_split(tr_s)
+    return tr_s, te_s, itr, iva, BEHAVIOURAL
+
+
+def _scored_validation(spark, sf, model_name, params, method):
+    tr, _, itr, iva, feats = model_frames(spark, sf)
+    bal = TR.balance(itr, method, feats)
+    model = TR.fit(bal, feats, model_name, params, method)
+    return TR.predict_proba(model, iva.select("txn_id", *feats, "isFraud")).select("txn_id", "isFraud", "proba")
+
+
+@query("train_lr")
+def train_lr(spark, sf):
+    """M1/M5: class-weighted logistic regression (C = 1) scored on validation."""
+    return _scored_validation(spark, sf, "LogisticRegression", {"C": 1.0}, "class_weighted")
+
+
+@query("train_rf")
+def train_rf(spark, sf):
+    """M2/M5: random forest (50 trees, depth 8, leaf 100, sqrt features) scored on validation."""
+    return _scored_validation(spark, sf, "RandomForest", TR.RF_CONFIGS[0], "original")
+
+
+@query("train_gbt")
+def train_gbt(spark, sf):
+    """M3/M5: gradient-boosted trees (100 iterations) on the 0.05-undersampled inner train, scored on validation."""
+    return _scored_validation(spark, sf, "GBT", TR.GBT_CONFIGS[0], "undersampling")
+
+
+@query("smote")
+def smote_q(spark, sf):
+    """SMOTE (k = 5, ratio 0.05) of the inner train split: rows per class and origin."""
+    _, _, itr, _, feats = model_frames(spark, sf)
+    out = smote(itr, feats, ratio=TR.SMOTE_TARGET_RATIO)
+    return out.groupBy("isFraud", "synthetic").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("rf_importance")
+def rf_importance(spark, sf):
+    """Random-forest feature-importance ranking on the train fold."""
+    tr, _, _, _, feats = model_frames(spark, sf)
+    return TR.feature_importance(tr, feats).orderBy(F.col("importance").desc())
+
+
+def tuning_results(spark, sf, models=("LogisticRegression",)):
+    _, _, itr, iva, feats = model_frames(spark, sf)
+    return TR.tune(itr, iva, feats, models=list(models))
+
+
+@query("tune_lr")
+def tune_lr(spark, sf):
+    """M4: the logistic-regression part of the grid (5 C values x 4 balancing methods = 20 fits)."""
+    return tuning_results(spark, sf)
+
+
+@query("leaderboard")
+def leaderboard(spark, sf):
+    """Best config per (balancing, model), winner flagged, ranked by net cost."""
+    res = tuning_results(spark, sf)
+    return TR.leaderboard(TR.overall_winner(res), "val_net_cost")
+
+
+def _winner(spark, sf):
+    res = tuning_results(spark, sf)
+    w = TR.overall_winner(res).where("selected").first()
+    import json
+
+    return w["data_balancing"], w["model"], json.loads(w["params_json"]), float(w["val_threshold"])
+
+
+@query("final_test")
+def final_test(spark, sf):
+    """Refit the validation winner on the whole train fold; evaluate once on test at the frozen threshold."""
+    return _final_test(spark, sf, _winner(spark, sf))
+
+
+def _final_test(spark, sf, winner):
+    method, model_name, params, t = winner
+    tr, te, _, _, feats = model_frames(spark, sf)
+    model = TR.fit(TR.balance(tr, method, feats), feats, model_name, params, method)
+    scored = TR.predict_proba(model, te.select("txn_id", *feats, "isFraud", "amount_raw"))
+    ap = M.average_precision(scored, "proba").select(F.col("average_precision").alias("test_auc_pr"), F.lit(1).alias("__k"))
+    conf = M.confusion(scored, t, "proba").withColumn("__k", F.lit(1))
+    return conf.join(ap, "__k").drop("__k").select(
+        F.lit(model_name).alias("model"), F.lit(method).alias("data_balancing"), "*")
+
+
+@query("policy_document")
+def policy_document(spark, sf):
+    """Persist the policy (threshold, features, cost model, test metrics) and read it back."""
+    winner = _winner(spark, sf)
+    method, model_name, _, t = winner
+    metrics = _final_test(spark, sf, winner).first().asDict()
+    doc = TR.policy_document(t, BEHAVIOURAL, metrics, model_name, method)
+    path = os.path.join(checkpoint_dir(spark), f"policy-{uuid.uuid4().hex}")
+    TR.write_policy(spark, doc, path)
+    return TR.read_policy(spark, path)
+
+
+@query("model_roundtrip")
+def model_roundtrip(spark, sf):
+    """Save a fitted pipeline, load it back, and compare its validation probabilities."""
+    tr, _, itr, iva, feats = model_frames(spark, sf)
+    model = TR.fit(itr, feats, "LogisticRegression", {"C": 1.0}, "original")
+    path = os.path.join(checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
+    TR.save_model(model, path)
+    again = TR.load_model(path)
+    v = iva.select("txn_id", *feats, "isFraud")
+    a = TR.predict_proba(model, v, "p1").select("txn_id", "p1")
+    b = TR.predict_proba(again, v, "p2").select("txn_id", "p2")
+    return a.join(b, "txn_id").select("txn_id", "p1", "p2", (F.abs(F.col("p1") - F.col("p2"))).alias("abs_diff"))
+
+
+def feature_usage(spark, sf):
+    """M23/FE23: candidate features, whether the behavioural model uses them, and why."""
+    m, feats = FE.feature_matrix(transactions(spark, sf))
+    used = FE.behavioural(feats)
+    rows = [(f, f in used, "behavioural/contextual" if f in used else "removed mechanical balance/amount signal") for f in feats]
+    return spark.createDataFrame(rows, "feature string, used_for_training boolean, reason string")
