@@ -28,8 +28,16 @@ def md5_order(seed: int, id_col: str = "txn_id") -> Column:
 
 
 def step_cut(df: DataFrame, q: float, step_col: str = "step") -> float:
-    """Exact interpolated quantile of the step column (one bounded aggregate)."""
-    return ranks.quantile_row(df.select(step_col), step_col, [q])[0]
+    """Exact interpolated quantile of the step column in one aggregate.
+
+    `percentile` keeps a value -> count map per group; the step domain is the
+    hours of the horizon, so that map stays small at any row count. Use
+    `ranks.exact_quantiles` for high-cardinality columns.
+    """
+    v = df.agg(F.percentile(F.col(step_col), F.lit(q)).alias("q")).first()["q"]
+    if v is None:
+        raise ValueError("cannot split an empty frame")
+    return float(v)
 
 
 def temporal_split(df: DataFrame, q: float = 0.8, step_col: str = "step") -> tuple[DataFrame, DataFrame, float]:
@@ -81,8 +89,10 @@ def inner_split(train: DataFrame, val_frac: float = 0.15, seed: int = 42, label:
                 step_col: str = "step_raw") -> tuple[DataFrame, DataFrame, str]:
     """Temporal 85/15 on step; fall back to stratified random when a side lacks a class."""
     tr, va, cut = temporal_split(train, 1 - val_frac, step_col)
-    both = tr.agg(F.count_distinct(label).alias("k")).first()["k"] == 2 and va.agg(F.count_distinct(label).alias("k")).first()["k"] == 2
-    if both:
+    early = F.col(step_col) <= F.lit(cut)
+    k = train.agg(F.count_distinct(F.when(early, F.col(label))).alias("a"),
+                  F.count_distinct(F.when(~early, F.col(label))).alias("b")).first()
+    if k["a"] == 2 and k["b"] == 2:
         return tr, va, f"temporal_by_{step_col} <= {cut:.0f}"
     tr, va = stratified_split(train, val_frac, seed, label)
     return tr, va, "stratified_random_fallback"
@@ -103,7 +113,8 @@ def reference_current(df: DataFrame, max_step: int = S.REFERENCE_MAX_STEP, step_
     """T5: reference = step <= max_step, current = later; fail if either side is empty."""
     ref = df.where(F.col(step_col) <= max_step)
     cur = df.where(F.col(step_col) > max_step)
-    if ref.limit(1).count() == 0 or cur.limit(1).count() == 0:
+    sides = df.agg(F.count_if(F.col(step_col) <= max_step).alias("r"), F.count_if(F.col(step_col) > max_step).alias("c")).first()
+    if sides["r"] == 0 or sides["c"] == 0:
         raise ValueError("Reference/current split is empty. Check the input data and the reference max step.")
     return ref, cur
 

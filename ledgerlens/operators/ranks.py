@@ -32,6 +32,29 @@ def n_buckets(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
     return int(max(1, min(MAX_BUCKETS, math.ceil(n_rows / max(1, rows_per_bucket)))))
 
 
+PROBE_BUCKETS = 1024
+
+
+def count_and_bounds(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[int, list[float]]:
+    """Row count and range boundaries for about n / rows_per_bucket buckets.
+
+    One job computes the count together with 1023 approximate quantiles; only
+    inputs needing more than 1024 buckets pay a second, finer quantile job.
+    """
+    probs = [i / PROBE_BUCKETS for i in range(1, PROBE_BUCKETS)]
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.percentile_approx(F.col(column).cast("double"), probs, 4 * PROBE_BUCKETS).alias("q")).first()
+    n = int(row["n"])
+    want = n_buckets(n, rows_per_bucket)
+    if want <= 1 or not row["q"]:
+        return n, []
+    if want > PROBE_BUCKETS:
+        return n, range_bounds(df, column, want)
+    step = PROBE_BUCKETS / want
+    picked = [row["q"][int(round(i * step)) - 1] for i in range(1, want)]
+    return n, sorted({float(x) for x in picked if x is not None and not math.isnan(x)})
+
+
 def range_bounds(df: DataFrame, column: str, buckets: int) -> list[float]:
     """Sorted distinct split points giving about `buckets` equal-count ranges."""
     if buckets <= 1:
@@ -71,8 +94,9 @@ def cumulative(
         return res.drop("__g")
     key = order_cols[0]
     if n_rows is None:
-        n_rows = agg.count()
-    bounds = range_bounds(agg, key, n_buckets(n_rows))
+        n_rows, bounds = count_and_bounds(agg, key)
+    else:
+        bounds = range_bounds(agg, key, n_buckets(n_rows))
     b = "__bkt"
     x = with_bucket(agg, key, bounds, b)
     totals = x.groupBy(*group_cols, b).agg(*[F.sum(m).alias(f"__tot_{m}") for m in measures])
@@ -108,8 +132,7 @@ def row_positions(
     sk = "__sk"
     ib = "__ib"
     base = df.withColumn(sk, -F.col(value_col) if descending else F.col(value_col))
-    n = base.count()
-    id_bounds = range_bounds(base, id_col, n_buckets(n, ROWS_PER_BUCKET // 4))
+    _, id_bounds = count_and_bounds(base, id_col, ROWS_PER_BUCKET // 4)
     base = with_bucket(base, id_col, id_bounds, ib)
     cells = base.groupBy(*group_cols, sk, ib).agg(F.count(F.lit(1)).alias("__c"))
     cells = cumulative(cells, group_cols, [sk, ib], ["__c"], prefix="__cum")

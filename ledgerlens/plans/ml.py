@@ -7,7 +7,6 @@ learners re-read are persisted for the duration of a query's fits.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark import StorageLevel
@@ -128,7 +127,7 @@ def policy_document(spark, sf):
     method, model_name, _, t = winner
     metrics = _final_test(spark, sf, winner).first().asDict()
     doc = TR.policy_document(t, BEHAVIOURAL, metrics, model_name, method)
-    path = os.path.join(checkpoint_dir(spark), f"policy-{uuid.uuid4().hex}")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/policy-{uuid.uuid4().hex}"
     TR.write_policy(spark, doc, path)
     return TR.read_policy(spark, path)
 
@@ -138,7 +137,7 @@ def model_roundtrip(spark, sf):
     """Save a fitted pipeline, load it back, and compare its validation probabilities."""
     tr, _, itr, iva, feats = model_frames(spark, sf)
     model = TR.fit(itr, feats, "LogisticRegression", {"C": 1.0}, "original")
-    path = os.path.join(checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
     TR.save_model(model, path)
     again = TR.load_model(path)
     v = iva.select("txn_id", *feats, "isFraud")

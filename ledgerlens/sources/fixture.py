@@ -129,8 +129,28 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+_MATERIALISED: dict[tuple[int, str], str] = {}
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions_from_events(read_table(spark, sf_dir, "events"))
+    """The stand-in `transactions` table for an sf folder.
+
+    Written once per session as parquet under the session's checkpoint folder
+    (a shared folder on a cluster) and read back as a table, so every query
+    scans real columnar data with pruning and pushdown instead of re-deriving
+    the view.
+    """
+    import uuid
+
+    from ..session import checkpoint_dir
+
+    key = (id(spark), sf_dir.rstrip("/"))
+    path = _MATERIALISED.get(key)
+    if path is None:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/transactions-{uuid.uuid4().hex}"
+        transactions_from_events(read_table(spark, sf_dir, "events")).write.mode("overwrite").parquet(path)
+        _MATERIALISED[key] = path
+    return spark.read.parquet(path)
 
 
 def _du(tag: str, key: str) -> str:

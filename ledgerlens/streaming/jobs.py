@@ -9,7 +9,6 @@ and a lost executor just replays the uncommitted batch.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +20,7 @@ from ..session import checkpoint_dir
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory named by the session."""
-    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def read_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
