@@ -246,14 +246,32 @@ def savings(df: DataFrame, threshold: float, score: str = "score", label: str =
                     r6(tot - F.col("test_net_cost")).alias("savings"))
 
 
+ERFC_COEFFS = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
+               0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
+
+
+def with_erfc(df: DataFrame, x: str, out: str) -> DataFrame:
+    """Add `out` = erfc(x) (Chebyshev fit, fractional error < 1.2e-7).
+
+    Intermediate values are staged as columns so the expression tree stays
+    linear (a Column reused in Python would be copied into the plan each time).
+    """
+    z, t = f"__{out}_z", f"__{out}_t"
+    d = df.withColumn(z, F.abs(F.col(x)))
+    d = d.withColumn(t, F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * F.col(z)))
+    poly = F.lit(ERFC_COEFFS[-1])
+    for c in reversed(ERFC_COEFFS[:-1]):
+        poly = F.lit(c) + F.col(t) * poly
+    ans = F.col(t) * F.exp(-F.col(z) * F.col(z) + poly)
+    return d.withColumn(out, F.when(F.col(x) >= 0, ans).otherwise(F.lit(2.0) - ans)).drop(z, t)
+
+
 def erfc(x: Column) -> Column:
-    """Complementary error function (Chebyshev fit, fractional error < 1.2e-7)."""
+    """erfc as a single expression (for a plain input column; see `with_erfc` for derived inputs)."""
     z = F.abs(x)
     t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * z)
-    coeffs = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-              0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
-    poly = F.lit(coeffs[-1])
-    for c in reversed(coeffs[:-1]):
+    poly = F.lit(ERFC_COEFFS[-1])
+    for c in reversed(ERFC_COEFFS[:-1]):
         poly = F.lit(c) + t * poly
     ans = t * F.exp(-z * z + poly)
     return F.when(x >= 0, ans).otherwise(F.lit(2.0) - ans)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from . import ranks
-from .evaluate import average_precision_from, erfc
+from .evaluate import average_precision_from, erfc, with_erfc  # noqa: F401
 
 
 def _long(ref: DataFrame, cur: DataFrame, features: list[str]) -> DataFrame:
@@ -41,11 +41,49 @@ def feature_stats(ref: DataFrame, cur: DataFrame, features: list[str]) -> DataFr
     )
 
 
-def chi2_yates(o: list[Column]) -> Column:
-    """Chi-square statistic of a 2x2 table [[a, b], [c, d]] with Yates' continuity correction.
+def with_chi2_yates(df: DataFrame, cells: list[str], out: str) -> DataFrame:
+    """Add `out` = chi-square of the 2x2 table [[a, b], [c, d]] with Yates' correction.
+
+    NULL when an expected count is 0 (a zero row or column). Staged columns
+    keep the plan linear.
+    """
+    a, b, c, d = (F.col(x).cast("double") for x in cells)
+    x = df.withColumns({"__r0": a + b, "__r1": c + d, "__c0": a + c, "__c1": b + d})
+    x = x.withColumn("__n", F.col("__r0") + F.col("__r1"))
+    spec = [(cells[0], "__r0", "__c0"), (cells[1], "__r0", "__c1"), (cells[2], "__r1", "__c0"), (cells[3], "__r1", "__c1")]
+    x = x.withColumns({f"__e{i}": F.col(r) * F.col(cc) / F.col("__n") for i, (_, r, cc) in enumerate(spec)})
+    x = x.withColumns({f"__d{i}": F.col(f"__e{i}") - F.col(o).cast("double") for i, (o, _, _) in enumerate(spec)})
+    x = x.withColumns({f"__a{i}": F.col(o).cast("double") + F.signum(f"__d{i}") * F.least(F.lit(0.5), F.abs(f"__d{i}"))
+                       for i, (o, _, _) in enumerate(spec)})
+    terms = [(F.col(f"__a{i}") - F.col(f"__e{i}")) * (F.col(f"__a{i}") - F.col(f"__e{i}")) / F.col(f"__e{i}") for i in range(4)]
+    ok = (F.col("__r0") * F.col("__c0") > 0) & (F.col("__r0") * F.col("__c1") > 0) & (F.col("__r1") * F.col("__c0") > 0) & (F.col("__r1") * F.col("__c1") > 0)
+    x = x.withColumn(out, F.when(ok, terms[0] + terms[1] + terms[2] + terms[3]))
+    return x.drop("__r0", "__r1", "__c0", "__c1", "__n", *[f"__{p}{i}" for p in "eda" for i in range(4)])
+
+
+def with_ks_pvalue(df: DataFrame, d: str, n: str, m: str, out: str) -> DataFrame:
+    """Add `out` = asymptotic two-sample KS p-value with n_e = round(n m / (n + m)).
 
-    NULL when an expected count is 0 (a zero row or column).
+    lambda = (sqrt(n_e) + 0.12 + 0.11 / sqrt(n_e)) * D; Q(lambda) from the
+    series that converges fast on each side of 1.18 (8 terms each).
     """
+    x = df.withColumn("__sq", F.sqrt(F.round(F.col(n).cast("double") * F.col(m) / (F.col(n) + F.col(m)))))
+    x = x.withColumn("__lam", (F.col("__sq") + F.lit(0.12) + F.lit(0.11) / F.col("__sq")) * F.col(d))
+    x = x.withColumn("__l2", F.col("__lam") * F.col("__lam"))
+    small = F.lit(0.0)
+    for k in range(1, 9):
+        small = small + F.exp(-F.lit(float((2 * k - 1) ** 2) * math.pi ** 2 / 8.0) / F.col("__l2"))
+    big = F.lit(0.0)
+    for k in range(1, 9):
+        big = big + F.lit(float((-1) ** (k - 1))) * F.exp(F.lit(-2.0 * k * k) * F.col("__l2"))
+    q = (F.when(F.col("__lam") <= 0, F.lit(1.0))
+         .when(F.col("__lam") < 1.18, F.lit(1.0) - F.lit(math.sqrt(2 * math.pi)) / F.col("__lam") * small)
+         .otherwise(F.lit(2.0) * big))
+    return x.withColumn(out, F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0))).drop("__sq", "__lam", "__l2")
+
+
+def chi2_yates(o: list[Column]) -> Column:
+    """Single-expression form of `with_chi2_yates` for plain input columns (tests, small tables)."""
     a, b, c, d = o
     n = a + b + c + d
     rows = [a + b, a + b, c + d, c + d]
@@ -63,35 +101,31 @@ def chi2_yates(o: list[Column]) -> Column:
 
 
 def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
-    """Asymptotic two-sample KS p-value with n_e = round(n m / (n + m)).
-
-    lambda = (sqrt(n_e) + 0.12 + 0.11 / sqrt(n_e)) * D; Q(lambda) from the
-    series that converges fast on each side of 1.18 (8 terms each).
-    """
+    """Single-expression form of `with_ks_pvalue` for plain input columns."""
     ne = F.round(n * m / (n + m))
     sq = F.sqrt(ne)
     lam = (sq + F.lit(0.12) + F.lit(0.11) / sq) * d
     small = F.lit(0.0)
     for k in range(1, 9):
         small = small + F.exp(-F.lit(float((2 * k - 1) ** 2) * math.pi ** 2 / 8.0) / (lam * lam))
-    small_q = F.lit(1.0) - F.lit(math.sqrt(2 * math.pi)) / lam * small
     big = F.lit(0.0)
     for k in range(1, 9):
         big = big + F.lit(float((-1) ** (k - 1))) * F.exp(F.lit(-2.0 * k * k) * lam * lam)
-    big_q = F.lit(2.0) * big
-    q = F.when(lam <= 0, F.lit(1.0)).when(lam < 1.18, small_q).otherwise(big_q)
+    q = F.when(lam <= 0, F.lit(1.0)).when(lam < 1.18, F.lit(1.0) - F.lit(math.sqrt(2 * math.pi)) / lam * small).otherwise(F.lit(2.0) * big)
     return F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0))
 
 
 def drift_chi2(stats: DataFrame, alpha: float = 0.05) -> DataFrame:
     """MN4a: chi-square (Yates) drift for binary features; score = |mean difference|."""
     b = stats.where(F.col("is_binary") & (F.col("n_ref") > 0) & (F.col("n_cur") > 0))
-    chi = chi2_yates([F.col("ref0"), F.col("ref1"), F.col("cur0"), F.col("cur1")])
-    p = F.when(chi.isNull(), F.lit(1.0)).otherwise(erfc(F.sqrt(chi / 2.0)))
+    b = with_chi2_yates(b, ["ref0", "ref1", "cur0", "cur1"], "statistic")
+    b = b.withColumn("__x", F.sqrt(F.col("statistic") / 2.0))
+    b = with_erfc(b, "__x", "__p")
+    p = F.when(F.col("statistic").isNull(), F.lit(1.0)).otherwise(F.col("__p"))
     return b.select(
         "feature", F.lit("chi2_binary").alias("method"),
         F.abs(F.col("current_mean") - F.col("reference_mean")).alias("score"),
-        chi.alias("statistic"), p.alias("p_value"), "reference_mean", "current_mean",
+        "statistic", p.alias("p_value"), "reference_mean", "current_mean",
     ).withColumn("drifted", F.col("p_value") < alpha)
 
 
@@ -110,10 +144,10 @@ def drift_ks(ref: DataFrame, cur: DataFrame, stats: DataFrame, alpha: float = 0.
     cum = cum.join(st, "feature")
     gap = F.abs(F.col("cum_c_ref") / F.col("n_ref") - F.col("cum_c_cur") / F.col("n_cur"))
     d = cum.groupBy("feature", "n_ref", "n_cur", "reference_mean", "current_mean").agg(F.max(gap).alias("D"))
+    d = with_ks_pvalue(d, "D", "n_ref", "n_cur", "p_value")
     return d.select(
         "feature", F.lit("ks_numeric").alias("method"), F.col("D").alias("score"), F.col("D").alias("statistic"),
-        ks_pvalue(F.col("D"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double")).alias("p_value"),
-        "reference_mean", "current_mean",
+        "p_value", "reference_mean", "current_mean",
     ).withColumn("drifted", F.col("p_value") < alpha)
 
 

@@ -51,12 +51,14 @@ def stand_in_lines(records: DataFrame) -> DataFrame:
     ~1 % are blank (rules keyed on md5 of the id, so SQL can name the same rows).
     """
     e = F.col("txn_id")
-    opt_off = _u("opt", e) < 0.1
-    rec = records.withColumns({c: F.when(~opt_off, F.col(c)) for c in OPTIONAL_FIELDS})
-    rec = rec.withColumn("actual_label", F.when(_u("lab", e) >= 0.05, F.col("actual_label")))
-    js = F.to_json(F.struct(*[F.col(c) for c in EVENT_FIELDS]))
-    line = (F.when(_u("blank", e) < 0.01, F.lit(""))
-            .when(_u("junk", e) < 0.02, F.substring(js, 1, (F.length(js) / 2).cast("int")))
+    rec = records.withColumns({"__opt_off": _u("opt", e) < 0.1, "__lab_on": _u("lab", e) >= 0.05,
+                               "__blank": _u("blank", e) < 0.01, "__junk": _u("junk", e) < 0.02})
+    rec = rec.withColumns({c: F.when(~F.col("__opt_off"), F.col(c)) for c in OPTIONAL_FIELDS})
+    rec = rec.withColumn("actual_label", F.when(F.col("__lab_on"), F.col("actual_label")))
+    rec = rec.withColumn("__js", F.to_json(F.struct(*[F.col(c) for c in EVENT_FIELDS])))
+    js = F.col("__js")
+    line = (F.when(F.col("__blank"), F.lit(""))
+            .when(F.col("__junk"), F.substring(js, 1, (F.length(js) / 2).cast("int")))
             .otherwise(js))
     return rec.select(line.alias("value"))
 
