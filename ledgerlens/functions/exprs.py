@@ -72,3 +72,18 @@ def round_doubles(df, digits: int = 6):
         F.round(F.col(f"`{f.name}`"), digits).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])
+
+
+def one_row(*dfs):
+    """Place several one-row aggregates side by side without a join.
+
+    Each input has one row and distinct columns; they are unioned with the
+    other columns NULL and collapsed by `first(ignorenulls)` in one aggregate.
+    """
+    cols = [c for d in dfs for c in d.columns]
+    types = {f.name: f.dataType for d in dfs for f in d.schema.fields}
+    parts = [d.select(*[F.col(f"`{c}`") if c in d.columns else F.lit(None).cast(types[c]).alias(c) for c in cols]) for d in dfs]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.agg(*[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in cols])

@@ -51,15 +51,16 @@ def threshold_sweep(df: DataFrame, score: str = "score", label: str = S.LABEL, a
     grid = grid or threshold_grid()
     spark = df.sparkSession
     bins = sweep_bins(df, score, label, amount, grid)
-    g = spark.createDataFrame([(i + 1, t) for i, t in enumerate(grid)], "__bin int, threshold double")
-    tot = bins.agg(F.sum("n_pos").alias("P"), F.sum("pos_amount").alias("PA"))
-    # grid (<= 291 rows) left-joined with the per-bin totals, then a reverse running sum
+    # bin 0 (below every threshold) keeps its rows in the totals
+    g = spark.createDataFrame([(0, None)] + [(i + 1, t) for i, t in enumerate(grid)], "__bin int, threshold double")
+    # grid (<= 291 rows) left-joined with the per-bin totals; windows over that bounded table
     w = Window.orderBy(F.col("__bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy()
     x = g.join(bins, "__bin", "left").na.fill(0, ["n_pos", "n_neg"]).na.fill(0.0, ["pos_amount"])
     x = x.withColumns({
         "n_tp": F.sum("n_pos").over(w), "n_fp": F.sum("n_neg").over(w), "caught": F.sum("pos_amount").over(w),
-    }).withColumn("__k", F.lit(1))
-    x = x.join(tot.withColumn("__k", F.lit(1)), "__k")
+        "P": F.sum("n_pos").over(whole), "PA": F.sum("pos_amount").over(whole),
+    }).where(F.col("__bin") > 0)
     missed = F.coalesce(F.col("PA"), F.lit(0.0)) - F.col("caught")
     return x.select(
         "threshold",
@@ -96,12 +97,20 @@ def score_table(df: DataFrame, score: str = "score", label: str = S.LABEL, group
     )
 
 
+def _with_totals(c: DataFrame, table: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Attach positives / negatives per group: a join on real keys, or literals when ungrouped."""
+    if group_cols:
+        tot = table.groupBy(*group_cols).agg(F.sum("n_pos").alias("__P"), F.sum("n_neg").alias("__N"))
+        return c.join(tot, group_cols)
+    r = table.agg(F.coalesce(F.sum("n_pos"), F.lit(0)).alias("P"), F.coalesce(F.sum("n_neg"), F.lit(0)).alias("N")).first()
+    return c.withColumns({"__P": F.lit(int(r["P"])).cast("long"), "__N": F.lit(int(r["N"])).cast("long")})
+
+
 def average_precision_from(table: DataFrame, group_cols: list[str]) -> DataFrame:
     """M9 over a (group, s, n_pos, n_neg) table: step-wise AP, no interpolation; NULL without positives."""
     t = table.withColumn("__ns", -F.col("s"))
     c = ranks.cumulative(t, group_cols, ["__ns"], ["n_pos", "n_neg"], prefix="cum_", inclusive=True)
-    tot = table.groupBy(*group_cols).agg(F.sum("n_pos").alias("__P"), F.sum("n_neg").alias("__N"))
-    c = c.join(tot, group_cols) if group_cols else c.withColumn("__k", F.lit(1)).join(tot.withColumn("__k", F.lit(1)), "__k")
+    c = _with_totals(c, table, group_cols)
     prec = F.col("cum_n_pos") / (F.col("cum_n_pos") + F.col("cum_n_neg"))
     return c.groupBy(*group_cols).agg(
         F.when(F.first("__P") > 0, F.sum(F.try_divide(F.col("n_pos"), F.col("__P")) * prec)).alias("average_precision"),
@@ -120,8 +129,7 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = S.LABEL, group_col
     group_cols = group_cols or []
     t = score_table(df, score, label, group_cols)
     c = ranks.cumulative(t, group_cols, ["s"], ["n_neg"], prefix="below_")
-    tot = t.groupBy(*group_cols).agg(F.sum("n_pos").alias("__P"), F.sum("n_neg").alias("__N"))
-    c = c.join(tot, group_cols) if group_cols else c.withColumn("__k", F.lit(1)).join(tot.withColumn("__k", F.lit(1)), "__k")
+    c = _with_totals(c, t, group_cols)
     u = F.sum(F.col("n_pos") * (F.col("below_n_neg") + F.lit(0.5) * F.col("n_neg")))
     return c.groupBy(*group_cols).agg(
         F.when((F.first("__P") > 0) & (F.first("__N") > 0), u / (F.first("__P") * F.first("__N"))).alias("roc_auc"))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.exprs import one_row
 from . import ranks
 from .evaluate import average_precision_from, erfc, with_erfc  # noqa: F401
 
@@ -220,10 +221,10 @@ def triggers(drift: DataFrame, rolling: DataFrame, baseline_precision: float, ba
     Comparisons are strict; without labelled performance the two performance
     triggers stay inactive; a missing value never breaches.
     """
-    d = drift.agg(F.coalesce(F.avg(F.col("drifted").cast("double")), F.lit(0.0)).alias("drift_fraction")).withColumn("__k", F.lit(1))
+    d = drift.agg(F.coalesce(F.avg(F.col("drifted").cast("double")), F.lit(0.0)).alias("drift_fraction"))
     last = rolling.agg(F.max_by(F.struct("precision", "recall"), F.col("window_end_step")).alias("l"),
-                       (F.count(F.lit(1)) > 0).alias("has_labelled_performance")).withColumn("__k", F.lit(1))
-    x = d.join(last, "__k")
+                       (F.count(F.lit(1)) > 0).alias("has_labelled_performance"))
+    x = one_row(d, last)
     p_thr, r_thr = baseline_precision * precision_multiplier, baseline_recall - recall_drop
     lp, lr = F.col("l.precision"), F.col("l.recall")
     out = x.select(

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.exprs import pct
+from ..functions.exprs import one_row, pct
 from . import ranks
 
 
@@ -58,9 +58,9 @@ def fold_summary(folds: dict[str, DataFrame], label: str = S.LABEL) -> DataFrame
 
 def prevalence_ratio(train: DataFrame, test: DataFrame, label: str = S.LABEL) -> DataFrame:
     """test/train prevalence ratio with the 1.5 / 0.67 alert."""
-    tr = train.agg(F.avg(label).alias("train_rate")).withColumn("__k", F.lit(1))
-    te = test.agg(F.avg(label).alias("test_rate")).withColumn("__k", F.lit(1))
-    r = tr.join(te, "__k").select(
+    tr = train.agg(F.avg(label).alias("train_rate"))
+    te = test.agg(F.avg(label).alias("test_rate"))
+    r = one_row(tr, te).select(
         F.round(F.col("test_rate") / F.greatest(F.col("train_rate"), F.lit(1e-9)), 6).alias("ratio"))
     return r.withColumn("alert", (F.col("ratio") > 1.5) | (F.col("ratio") < 0.67))
 
@@ -154,10 +154,12 @@ def standard_stats(train: DataFrame, cols: list[str]) -> DataFrame:
 
 def class_weights(train: DataFrame, label: str = S.LABEL) -> DataFrame:
     """Balanced weights n / (2 * n_c), rounded to 4 places."""
+    from pyspark.sql import Window
+
     g = train.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    tot = train.agg(F.count(F.lit(1)).alias("n")).withColumn("__k", F.lit(1))
-    return g.withColumn("__k", F.lit(1)).join(tot, "__k").select(
-        label, "n_c", F.round(F.col("n") / (F.lit(2.0) * F.col("n_c")), 4).alias("weight"))
+    # window over the per-class table (two rows)
+    n = F.sum("n_c").over(Window.partitionBy())
+    return g.select(label, "n_c", F.round(n / (F.lit(2.0) * F.col("n_c")), 4).alias("weight"))
 
 
 def scale_pos_weight(train: DataFrame, label: str = S.LABEL) -> DataFrame:

@@ -183,7 +183,6 @@ def clean(df: DataFrame, scope_types: bool = True, drop_leakage: bool = True) ->
     report is one conditional aggregate over the deduplicated input, so the
     counts per step equal the sequential definition without one action each.
     """
-    d = dedup(df)
     core_ok = F.lit(True)
     for c in CORE_FIELDS:
         core_ok = core_ok & F.col(c).isNotNull()
@@ -191,35 +190,29 @@ def clean(df: DataFrame, scope_types: bool = True, drop_leakage: bool = True) ->
     step_ok = F.col("step").between(S.MIN_STEP, S.MAX_STEP)
     in_scope = F.col("type").isin(S.FRAUD_TYPES)
     kept = core_ok & amt_ok & step_ok
-    out = quality_flags(d.where(kept))
+    out = quality_flags(dedup(df).where(kept))
     if scope_types:
         out = out.where(in_scope)
     drop = [c for c in (LEAKAGE_COLS if drop_leakage else []) + SCRATCH_COLS if c in out.columns]
     out = out.drop(*drop)
     # optional quality-flag columns not in the sequential definition are dropped
     out = out.drop("amount_zero_flag", "invalid_amount_flag", "invalid_ip_distance_flag", "invalid_account_age_flag", "dest_is_merchant")
-    rows_in = df.agg(F.count(F.lit(1)).alias("rows_in"))
-    rep = d.agg(
-        F.count(F.lit(1)).alias("rows_dedup"),
+    # one shuffle: distinct rows with their copy counts; every report figure is one aggregate over them
+    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    scoped = kept & (in_scope if scope_types else F.lit(True))
+    report = g.agg(
+        F.sum("__copies").cast("long").alias("rows_in"),
+        (F.sum("__copies") - F.count(F.lit(1))).cast("long").alias("duplicates_removed"),
         count_if(~core_ok).alias("missing_core_removed"),
         count_if(core_ok & (F.col("amount") < 0)).alias("negative_amount_removed"),
         count_if(core_ok & amt_ok & (F.col("amount") == 0)).alias("amount_is_zero_flagged"),
         count_if(core_ok & amt_ok & ~step_ok).alias("invalid_step_removed"),
         count_if(kept & (F.col("oldbalanceDest") == 0) & (F.col("newbalanceDest") == 0) & (F.col("amount") > 0)).alias("dest_balance_unknown"),
         count_if(kept & (F.col("oldbalanceOrg") == 0) & (F.col("newbalanceOrig") == 0) & (F.col("amount") > 0)).alias("orig_balance_unknown"),
-        count_if(kept & ~in_scope).alias("_out_of_scope") if scope_types else F.lit(0).cast("long").alias("_out_of_scope"),
-        count_if(kept & (in_scope if scope_types else F.lit(True))).alias("rows_out"),
-        F.sum(F.when(kept & (in_scope if scope_types else F.lit(True)), F.col("isFraud"))).cast("long").alias("fraud_out"),
-        F.avg(F.when(kept & (in_scope if scope_types else F.lit(True)), F.col("isFraud"))).alias("_rate"),
-    )
-    # two one-row aggregates side by side; joined on a constant key (no cross join)
-    report = rows_in.withColumn("__k", F.lit(1)).join(rep.withColumn("__k", F.lit(1)), "__k").select(
-        "rows_in",
-        (F.col("rows_in") - F.col("rows_dedup")).alias("duplicates_removed"),
-        "missing_core_removed", "negative_amount_removed", "amount_is_zero_flagged", "invalid_step_removed",
-        "dest_balance_unknown", "orig_balance_unknown",
-        F.col("_out_of_scope").alias("rows_dropped_by_type_scope"),
-        "rows_out", "fraud_out", F.round(pct("_rate"), 4).alias("fraud_rate_out_pct"),
+        (count_if(kept & ~in_scope) if scope_types else F.lit(0).cast("long")).alias("rows_dropped_by_type_scope"),
+        count_if(scoped).alias("rows_out"),
+        F.sum(F.when(scoped, F.col("isFraud"))).cast("long").alias("fraud_out"),
+        F.round(pct(F.avg(F.when(scoped, F.col("isFraud")))), 4).alias("fraud_rate_out_pct"),
     )
     return out, report
 

@@ -97,6 +97,11 @@ def cumulative(
         n_rows, bounds = count_and_bounds(agg, key)
     else:
         bounds = range_bounds(agg, key, n_buckets(n_rows))
+    if not bounds:
+        # at most ROWS_PER_BUCKET rows per group: one window per group is bounded
+        frame_end = 0 if inclusive else -1
+        w = Window.partitionBy(*group_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
+        return agg.select(*agg.columns, *[F.coalesce(F.sum(m).over(w), F.lit(0)).alias(f"{prefix}{m}") for m in measures])
     b = "__bkt"
     x = with_bucket(agg, key, bounds, b)
     totals = x.groupBy(*group_cols, b).agg(*[F.sum(m).alias(f"__tot_{m}") for m in measures])
@@ -150,14 +155,16 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs:
     Returns one row per (group, p) with column `value`. Works from the
     distinct-value histogram, so memory never holds a whole group.
     """
-    if not group_cols:
-        one = exact_quantiles(df.withColumn("__g", F.lit(0)), ["__g"], value_col, probs)
-        return one.drop("__g")
     v = value_col
     hist = df.where(F.col(v).isNotNull()).groupBy(*group_cols, v).agg(F.count(F.lit(1)).alias("__c"))
     hist = cumulative(hist, group_cols, [v], ["__c"], prefix="__before")
-    sizes = hist.groupBy(*group_cols).agg(F.sum("__c").alias("__n"))
-    hist = hist.join(sizes, on=group_cols, how="inner")
+    if group_cols:
+        sizes = hist.groupBy(*group_cols).agg(F.sum("__c").alias("__n"))
+        hist = hist.join(sizes, on=group_cols, how="inner")
+    else:
+        # one scalar: bring it back as a literal instead of joining a one-row table
+        n = df.where(F.col(v).isNotNull()).count()
+        hist = hist.withColumn("__n", F.lit(n).cast("long"))
     parr = F.array(*[F.lit(float(p)) for p in probs])
     # each distinct value emits the (p, side) targets whose rank it covers
     tgt = F.transform(parr, lambda p: F.struct(p.alias("p"), F.floor((F.col("__n") - 1) * p).alias("lo"),

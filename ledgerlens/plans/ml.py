@@ -13,6 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.exprs import one_row
 from ..operators import evaluate as M
 from ..operators import features as FE
 from ..operators import prep as P
@@ -114,9 +115,9 @@ def _final_test(spark, sf, winner):
     tr, te, _, _, feats = model_frames(spark, sf)
     model = TR.fit(TR.balance(tr, method, feats), feats, model_name, params, method)
     scored = TR.predict_proba(model, te.select("txn_id", *feats, "isFraud", "amount_raw"))
-    ap = M.average_precision(scored, "proba").select(F.col("average_precision").alias("test_auc_pr"), F.lit(1).alias("__k"))
-    conf = M.confusion(scored, t, "proba").withColumn("__k", F.lit(1))
-    return conf.join(ap, "__k").drop("__k").select(
+    ap = M.average_precision(scored, "proba").select(F.col("average_precision").alias("test_auc_pr"))
+    conf = M.confusion(scored, t, "proba")
+    return one_row(conf, ap).select(
         F.lit(model_name).alias("model"), F.lit(method).alias("data_balancing"), "*")
 
 

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.exprs import round_doubles
+from ..functions.exprs import one_row, round_doubles
 from ..operators import evaluate as M
 from ..operators import features as FE
 from ..operators import monitor as MN
@@ -235,12 +235,11 @@ def monitor_summary(spark, sf):
     ref, cur, _, _ = split(spark, sf)
     drift = MN.drift_summary(ref, cur, MONITOR_FEATURES)
     roll = MN.rolling_metrics(cur)
-    k = F.lit(1)
-    a = ref.agg(F.count(F.lit(1)).alias("reference_rows")).withColumn("__k", k)
-    b = cur.agg(F.count(F.lit(1)).alias("current_rows")).withColumn("__k", k)
-    c = drift.agg(F.count(F.lit(1)).alias("features_checked"), F.sum(F.col("drifted").cast("int")).cast("long").alias("drifted_features")).withColumn("__k", k)
+    a = ref.agg(F.count(F.lit(1)).alias("reference_rows"))
+    b = cur.agg(F.count(F.lit(1)).alias("current_rows"))
+    c = drift.agg(F.count(F.lit(1)).alias("features_checked"), F.sum(F.col("drifted").cast("int")).cast("long").alias("drifted_features"))
     d = roll.agg(F.max("window_end_step").alias("latest_window_end_step"),
-                 F.max_by(F.struct("precision", "recall"), F.col("window_end_step")).alias("l")).withColumn("__k", k)
-    return a.join(b, "__k").join(c, "__k").join(d, "__k").select(
+                 F.max_by(F.struct("precision", "recall"), F.col("window_end_step")).alias("l"))
+    return one_row(a, b, c, d).select(
         "reference_rows", "current_rows", "features_checked", "drifted_features", "latest_window_end_step",
         F.round("l.precision", 6).alias("latest_precision"), F.round("l.recall", 6).alias("latest_recall"))

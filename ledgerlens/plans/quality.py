@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.exprs import one_row
 from ..operators import enrich as E
 from ..operators import quality as Q
 from ..sources.fixture import transactions
@@ -237,12 +238,12 @@ def merge_integrity(spark, sf):
     base = t.select("txn_id", *S.BASE_COLUMNS)
     enr = E.join_profiles(base, E.account_profiles(t))
     added = [c for c in enr.columns if c not in base.columns]
-    base_rows = base.agg(F.count(F.lit(1)).alias("base_rows"), F.lit(1).alias("__k"))
+    base_rows = base.agg(F.count(F.lit(1)).alias("base_rows"))
     stats = enr.agg(
         F.count(F.lit(1)).alias("enriched_rows"),
         sum((F.sum(F.col(c).isNull().cast("int")) for c in added), F.lit(0)).cast("long").alias("new_null_cells"),
-    ).withColumn("__k", F.lit(1))
-    return base_rows.join(stats, "__k").select(
+    )
+    return one_row(base_rows, stats).select(
         F.lit(len(added)).alias("added_columns"), "base_rows", "enriched_rows",
         (F.col("enriched_rows") == F.col("base_rows")).alias("row_count_preserved"), "new_null_cells",
     )
