@@ -228,3 +228,18 @@ def mutual_information(train: DataFrame, cols: list[str], bins: int = 10, label:
     wy = Window.partitionBy("feature", label)
     cell = cell.withColumns({"pb": F.sum("c").over(wb) / F.col("n"), "py": F.sum("c").over(wy) / F.col("n"), "pj": F.col("c") / F.col("n")})
     return cell.groupBy("feature").agg(F.round(F.sum(F.col("pj") * F.log(F.col("pj") / (F.col("pb") * F.col("py")))), 6).alias("mutual_info"))
+
+
+def sample_rows(df: DataFrame, n: int, seed: int = 42, id_col: str = "txn_id", group_cols: list[str] | None = None) -> DataFrame:
+    """S11/MN10: exactly min(n, rows) rows per group, repeatable (first n of a hash order).
+
+    A sampling operator: the row cap is the feature. Positions come from the
+    distributed rank, so no task sorts a whole group.
+    """
+    p = hash_positions(df, seed, group_cols or [], id_col)
+    return p.where(F.col("pos") < n).drop("pos")
+
+
+def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """S11 (approximate size): Bernoulli sample with a fixed seed."""
+    return df.sample(withReplacement=False, fraction=fraction, seed=seed)

@@ -181,7 +181,7 @@ SELECT window_end_step, round(CASE WHEN P > 0 AND N > 0 THEN ap END, 6) AS avera
           GROUP BY ALL))
   GROUP BY window_end_step)""", ctes=MON_BASE))
 def rolling_ap(spark, sf):
-    """MN6: rolling average precision per window end (NULL for a one-class window)."""
+    """MN6/J3: rolling average precision per window end (range membership of steps in windows; NULL for a one-class window)."""
     _, cur, _, _ = split(spark, sf)
     r = MN.rolling_average_precision(cur)
     return r.select("window_end_step", F.round("average_precision", 6).alias("average_precision"))

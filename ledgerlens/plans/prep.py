@@ -276,3 +276,25 @@ def mutual_info(spark, sf):
     """T17 (re-aimed): mutual information of rank-decile bins with the label, train fold."""
     tr, _, _ = train_test(spark, sf)
     return P.mutual_information(tr, FEATS)
+
+
+@query("sample_rows", txn_sql(f"""
+SELECT txn_id, type, amount, isFraud FROM (
+  SELECT *, row_number() OVER (ORDER BY {_md5_key(42)}, txn_id) - 1 AS pos FROM transactions) WHERE pos < 1000"""))
+def sample_rows(spark, sf):
+    """A repeatable random sample of exactly 1000 transactions (hash order, seed 42)."""
+    t = transactions(spark, sf).select("txn_id", "type", "amount", "isFraud")
+    return P.sample_rows(t, 1000, 42)
+
+
+@query("dashboard_sample", txn_sql(f"""
+SELECT side, txn_id, step_raw, isFraud FROM (
+  SELECT CASE WHEN step_raw <= 354 THEN 'reference' ELSE 'current' END AS side, txn_id, step_raw, isFraud,
+         row_number() OVER (PARTITION BY CASE WHEN step_raw <= 354 THEN 'reference' ELSE 'current' END
+                            ORDER BY {_md5_key(42)}, txn_id) - 1 AS pos FROM fm)
+WHERE pos < 100000""", ctes=matrix_cte()))
+def dashboard_sample(spark, sf):
+    """MN10: reference and current sides each capped at 100 000 rows for a dashboard (seeded sample)."""
+    m = matrix(spark, sf).select("txn_id", "step_raw", "isFraud")
+    side = F.when(F.col("step_raw") <= S.REFERENCE_MAX_STEP, F.lit("reference")).otherwise(F.lit("current"))
+    return P.sample_rows(m.withColumn("side", side), 100_000, 42, group_cols=["side"])
