@@ -204,7 +204,7 @@ def _baseline(te, t):
 
 
 @query("triggers", txn_sql("""
-SELECT round(df, 6) AS drift_fraction, 0.3 AS drift_threshold, df > 0.3 AS drift_breached,
+SELECT round(df, 6) AS drift_fraction, 0.3::DOUBLE AS drift_threshold, df > 0.3 AS drift_breached,
        round(lp, 6) AS latest_precision, round(bp * 0.7, 6) AS precision_threshold, coalesce(hp AND lp < bp * 0.7, false) AS precision_breached,
        round(lr, 6) AS latest_recall, round(br - 0.15, 6) AS recall_threshold, coalesce(hp AND lr < br - 0.15, false) AS recall_breached,
        hp AS has_labelled_performance,
