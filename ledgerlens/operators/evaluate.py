@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.exprs import div0, r6
+from ..functions.exprs import broadcast_checked, div0, r6
 from . import ranks
 
 
@@ -101,7 +101,7 @@ def _with_totals(c: DataFrame, table: DataFrame, group_cols: list[str]) -> DataF
     """Attach positives / negatives per group: a join on real keys, or literals when ungrouped."""
     if group_cols:
         tot = table.groupBy(*group_cols).agg(F.sum("n_pos").alias("__P"), F.sum("n_neg").alias("__N"))
-        return c.join(tot, group_cols)
+        return c.join(broadcast_checked(tot), group_cols)
     r = table.agg(F.coalesce(F.sum("n_pos"), F.lit(0)).alias("P"), F.coalesce(F.sum("n_neg"), F.lit(0)).alias("N")).first()
     return c.withColumns({"__P": F.lit(int(r["P"])).cast("long"), "__N": F.lit(int(r["N"])).cast("long")})
 

@@ -93,8 +93,8 @@ def amount_hist(df: DataFrame, bins: int = 60) -> DataFrame:
         F.when(F.col("hi") > F.col("lo"), F.col("hi")).otherwise(F.col("hi") + 0.5).alias("hi"),
     ).withColumn("w", (F.col("hi") - F.col("lo")) / F.lit(float(bins)))
     b = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("w")), F.lit(bins - 1)).cast("int")
-    # the per-class range table has two rows: joined on the class key
-    h = x.join(rng, "isFraud").select("isFraud", b.alias("bin"), "lo", "w", "N")
+    # one row per class (binary label): broadcast, so no shuffle on a 2-value key
+    h = x.join(F.broadcast(rng), "isFraud").select("isFraud", b.alias("bin"), "lo", "w", "N")
     return h.groupBy("isFraud", "bin").agg(
         F.count(F.lit(1)).alias("n"),
         r6(F.first("lo") + F.col("bin") * F.first("w")).alias("bin_lo"),
@@ -192,7 +192,8 @@ def rank_deciles(df: DataFrame, cols: list[str] = SYNTH_NUM, id_col: str = "txn_
     ])).alias("s")).select(id_col, "isFraud", "s.feature", "s.v").where(F.col("v").isNotNull())
     pos = ranks.row_positions(long, ["feature"], "v", id_col)
     sizes = long.groupBy("feature").agg(F.count(F.lit(1)).alias("__n"))
-    d = pos.join(sizes, "feature").withColumn("decile", decile_of_rank(F.col("pos"), F.col("__n")))
+    # one row per listed column: a bounded side, broadcast
+    d = pos.join(F.broadcast(sizes), "feature").withColumn("decile", decile_of_rank(F.col("pos"), F.col("__n")))
     return d.groupBy("feature", "decile").agg(
         F.count(F.lit(1)).alias("n"), r6(pct(F.avg("isFraud"))).alias("fraud_rate_pct")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.exprs import one_row
+from ..functions.exprs import broadcast_checked, one_row
 from . import ranks
 from .evaluate import average_precision_from, erfc, with_erfc  # noqa: F401
 
@@ -142,7 +142,7 @@ def drift_ks(ref: DataFrame, cur: DataFrame, stats: DataFrame, alpha: float = 0.
     )
     cum = ranks.cumulative(counts, ["feature"], ["value"], ["c_ref", "c_cur"], prefix="cum_", inclusive=True)
     st = stats.select("feature", "n_ref", "n_cur", "reference_mean", "current_mean")
-    cum = cum.join(st, "feature")
+    cum = cum.join(F.broadcast(st), "feature")  # one row per listed feature
     gap = F.abs(F.col("cum_c_ref") / F.col("n_ref") - F.col("cum_c_cur") / F.col("n_cur"))
     d = cum.groupBy("feature", "n_ref", "n_cur", "reference_mean", "current_mean").agg(F.max(gap).alias("D"))
     d = with_ks_pvalue(d, "D", "n_ref", "n_cur", "p_value")
@@ -198,7 +198,7 @@ def rolling_average_precision(current: DataFrame, window: int = S.ROLLING_WINDOW
     ends = lab.select(F.col(step).alias("window_end_step")).distinct()
     # each (step, score) cell belongs to the windows ending in [step, step + window - 1]
     ex = st.withColumn("window_end_step", F.explode(F.sequence(F.col(step), F.col(step) + window - 1)))
-    ex = ex.join(ends, "window_end_step", "inner")
+    ex = ex.join(broadcast_checked(ends), "window_end_step", "inner")
     cells = ex.groupBy("window_end_step", "s").agg(F.sum("n_pos").alias("n_pos"), F.sum("n_neg").alias("n_neg"))
     ap = average_precision_from(cells, ["window_end_step"])
     return ap.select("window_end_step", F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.col("average_precision")).alias("average_precision"))

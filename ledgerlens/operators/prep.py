@@ -79,7 +79,7 @@ def stratified_split(df: DataFrame, test_frac: float = 0.25, seed: int = 42, lab
                      id_col: str = "txn_id") -> tuple[DataFrame, DataFrame]:
     """Per class, the first round(test_frac * n_c) rows of a hash order go to test."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    p = hash_positions(df, seed, [label], id_col).join(sizes, label)
+    p = hash_positions(df, seed, [label], id_col).join(F.broadcast(sizes), label)  # one row per class
     is_test = F.col("pos") < F.round(F.col("__n") * F.lit(test_frac))
     p = p.withColumn("__test", is_test).drop("pos", "__n")
     return p.where(~F.col("__test")).drop("__test"), p.where(F.col("__test")).drop("__test")
@@ -105,7 +105,7 @@ def stratified_cap(df: DataFrame, max_rows: int, seed: int = 42, label: str = S.
         return df
     frac = max_rows / n
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    p = hash_positions(df, seed, [label], id_col).join(sizes, label)
+    p = hash_positions(df, seed, [label], id_col).join(F.broadcast(sizes), label)  # one row per class
     return p.where(F.col("pos") < F.round(F.col("__n") * F.lit(frac))).drop("pos", "__n")
 
 
@@ -215,13 +215,14 @@ def mutual_information(train: DataFrame, cols: list[str], bins: int = 10, label:
     """
     from .explore import decile_of_rank
 
-    long = _long(train.select(id_col, label, *cols), cols, id_col).join(train.select(id_col, label), id_col)
-    long = long.where(F.col("value").isNotNull())
+    long = train.select(id_col, label, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols
+    ])).alias("s")).select(id_col, label, "s.feature", "s.value").where(F.col("value").isNotNull())
     pos = ranks.row_positions(long, ["feature"], "value", id_col)
     n = long.groupBy("feature").agg(F.count(F.lit(1)).alias("__n"))
     if bins != 10:
         raise ValueError("rank bins are deciles")
-    b = pos.join(n, "feature").withColumn("bin", decile_of_rank(F.col("pos"), F.col("__n")))
+    b = pos.join(F.broadcast(n), "feature").withColumn("bin", decile_of_rank(F.col("pos"), F.col("__n")))
     cell = b.groupBy("feature", "bin", label).agg(F.count(F.lit(1)).alias("c"), F.first("__n").alias("n"))
     from pyspark.sql import Window
     wb = Window.partitionBy("feature", "bin")

@@ -23,6 +23,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.exprs import broadcast_checked
+
 # Rows per bucket targeted by the within-bucket windows; bounds task size.
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 20_000
@@ -160,7 +162,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs:
     hist = cumulative(hist, group_cols, [v], ["__c"], prefix="__before")
     if group_cols:
         sizes = hist.groupBy(*group_cols).agg(F.sum("__c").alias("__n"))
-        hist = hist.join(sizes, on=group_cols, how="inner")
+        hist = hist.join(broadcast_checked(sizes), on=group_cols, how="inner")
     else:
         # one scalar: bring it back as a literal instead of joining a one-row table
         n = df.where(F.col(v).isNotNull()).count()
