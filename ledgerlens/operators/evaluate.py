@@ -48,6 +48,10 @@ def sweep_bins(df: DataFrame, score: str = "score", label: str = S.LABEL, amount
 def threshold_sweep(df: DataFrame, score: str = "score", label: str = S.LABEL, amount: str = "amount_raw",
                     c_fp: float = S.C_FP, grid: list[float] | None = None) -> DataFrame:
     """M6: net_cost and its parts for every grid threshold (predict positive iff score >= t)."""
+    return _sweep(df, score, label, amount, c_fp, grid).drop("n_rows")
+
+
+def _sweep(df: DataFrame, score: str, label: str, amount: str, c_fp: float, grid: list[float] | None) -> DataFrame:
     grid = grid or threshold_grid()
     spark = df.sparkSession
     bins = sweep_bins(df, score, label, amount, grid)
@@ -60,6 +64,7 @@ def threshold_sweep(df: DataFrame, score: str = "score", label: str = S.LABEL, a
     x = x.withColumns({
         "n_tp": F.sum("n_pos").over(w), "n_fp": F.sum("n_neg").over(w), "caught": F.sum("pos_amount").over(w),
         "P": F.sum("n_pos").over(whole), "PA": F.sum("pos_amount").over(whole),
+        "n_rows": F.sum(F.col("n_pos") + F.col("n_neg")).over(whole),
     }).where(F.col("__bin") > 0)
     missed = F.coalesce(F.col("PA"), F.lit(0.0)) - F.col("caught")
     return x.select(
@@ -69,6 +74,7 @@ def threshold_sweep(df: DataFrame, score: str = "score", label: str = S.LABEL, a
         r6(F.col("caught")).alias("fraud_amount_caught"),
         F.col("n_fp").cast("long").alias("n_fp"), F.col("n_tp").cast("long").alias("n_tp"),
         (F.coalesce(F.col("P"), F.lit(0)) - F.col("n_tp")).cast("long").alias("n_fn"),
+        F.col("n_rows").cast("long").alias("n_rows"),
     )
 
 
@@ -81,8 +87,9 @@ def best_threshold(sweep: DataFrame, n_rows: int, min_threshold: float = S.MIN_O
 def choose_threshold(df: DataFrame, score: str = "score", label: str = S.LABEL, amount: str = "amount_raw",
                      c_fp: float = S.C_FP) -> float:
     """Sweep + admissible choice; raise if no admissible threshold exists."""
-    n = df.count()
-    row = best_threshold(threshold_sweep(df, score, label, amount, c_fp), n).first()
+    sw = _sweep(df, score, label, amount, c_fp, None)
+    adm = sw.where((F.col("threshold") >= S.MIN_OPERATING_THRESHOLD) & ((F.col("n_fp") + F.col("n_tp")) < F.col("n_rows")))
+    row = adm.orderBy("net_cost", "n_fp", "threshold").limit(1).first()
     if row is None:
         raise ValueError("No admissible positive threshold; review-all is not allowed")
     return float(row["threshold"])

@@ -120,6 +120,18 @@ def _flag(c: str) -> Column:
     return F.coalesce(F.when(v == "true", 1).when(v == "false", 0).otherwise(v.try_cast("int")), F.lit(0)).cast("int")
 
 
+def fill_missing_scores(frame: DataFrame, model_scores: DataFrame, id_col: str = "transaction_id",
+                        proba: str = "proba") -> DataFrame:
+    """MN2: keep the logged probability; use a model's probability only where none was logged.
+
+    `model_scores` holds (transaction_id, proba) for the events the model scored.
+    """
+    m = model_scores.select(id_col, F.col(proba).alias("__model_p"))
+    return (frame.join(m, id_col, "left")
+            .withColumn("prediction_proba", F.coalesce(F.col("prediction_proba"), F.col("__model_p")))
+            .drop("__model_p"))
+
+
 def event_frame(events: DataFrame) -> DataFrame:
     """Q28 + MN2: typed, defaulted universe events ready for features and monitoring.
 
