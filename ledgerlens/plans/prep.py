@@ -298,3 +298,15 @@ def dashboard_sample(spark, sf):
     m = matrix(spark, sf).select("txn_id", "step_raw", "isFraud")
     side = F.when(F.col("step_raw") <= S.REFERENCE_MAX_STEP, F.lit("reference")).otherwise(F.lit("current"))
     return P.sample_rows(m.withColumn("side", side), 100_000, 42, group_cols=["side"])
+
+
+@query("stratified_cap", txn_sql(f"""
+SELECT txn_id, isFraud FROM (
+  SELECT *, row_number() OVER (PARTITION BY isFraud ORDER BY {_md5_key(42)}, txn_id) - 1 AS pos,
+         count(*) OVER (PARTITION BY isFraud) AS n_c, count(*) OVER () AS n FROM itr)
+WHERE n <= 250000 OR pos < round(n_c * (250000.0 / n))""", ctes=_INNER))
+def stratified_cap(spark, sf):
+    """T4: inner training split capped at 250 000 rows, every class keeping the same fraction (hash order)."""
+    tr, _, _ = train_test(spark, sf)
+    itr, _, _ = P.inner_split(tr)
+    return P.stratified_cap(itr.select("txn_id", "isFraud"), 250_000, 42)

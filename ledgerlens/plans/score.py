@@ -161,3 +161,10 @@ def current_source(spark, sf):
         return ev.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("events").alias("source"), "n_rows")
     hist = transactions(spark, sf).where(F.col("type").isin(S.FRAUD_TYPES) & (F.col("step") > S.REFERENCE_MAX_STEP))
     return hist.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("historical").alias("source"), "n_rows")
+
+
+@query("risk_signals", txn_sql("SELECT txn_id, risk_signals FROM sc WHERE type IN ('TRANSFER','CASH_OUT')", ctes=SCORED_CTE))
+def risk_signals(spark, sf):
+    """Analyst-facing risk signals (seven flags in fixed order + velocity sentence) of scored universe rows."""
+    s, _ = scored(spark, sf)
+    return s.where(F.col("type").isin(S.FRAUD_TYPES)).select("txn_id", "risk_signals")

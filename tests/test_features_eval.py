@@ -160,3 +160,18 @@ def test_erfc_accuracy(spark):
     got = spark.createDataFrame([(x,) for x in xs], "x double").select(M.erfc(F.col("x")).alias("e")).collect()
     for x, r in zip(xs, got):
         assert r.e == pytest.approx(math.erfc(x), rel=2e-7)
+
+
+def test_stratified_cap_brute_force(spark):
+    import hashlib
+
+    rows = [{"isFraud": int(i % 9 == 0)} for i in range(200)]
+    df = txns(spark, rows).select("txn_id", "isFraud")
+    got = {r.txn_id for r in P.stratified_cap(df, 50, 42).collect()}
+    frac = 50 / 200
+    exp = set()
+    for cls in (0, 1):
+        ids = [i + 1 for i, r in enumerate(rows) if r["isFraud"] == cls]
+        key = sorted(ids, key=lambda t: (int(hashlib.md5(f"42:{t}".encode()).hexdigest()[:15], 16), t))
+        exp |= set(key[: int(round(len(ids) * frac))])
+    assert got == exp
