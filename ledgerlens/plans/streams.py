@@ -14,14 +14,22 @@ from ..sources import events as EV
 from ..sources.fixture import transactions
 from ..streaming import jobs as J
 from ..streaming.velocity import stream_velocity as velocity_stream
-from .registry import query
-from .score import scored
+from .registry import query, txn_sql
+from .score import SCORED_CTE, _R, scored
 
 # stand-in arrival order: four slices of the step horizon, written one after another
 ARRIVAL_SLICES = [(1, 180), (181, 360), (361, 540), (541, 10_000)]
 
 
-@query("stream_velocity")
+_VW = "(PARTITION BY coalesce(nameDest, 'UNKNOWN_DEST') ORDER BY step, txn_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
+@query("stream_velocity", txn_sql(f"""
+SELECT txn_id, coalesce(nameDest, 'UNKNOWN_DEST') AS nameDest, step,
+       CAST(count(CASE WHEN type IN ('TRANSFER','CASH_OUT') THEN 1 END) OVER {_VW} AS BIGINT) AS dest_prior_count,
+       coalesce(CAST(step - max(CASE WHEN type IN ('TRANSFER','CASH_OUT') THEN step END) OVER {_VW} AS DOUBLE), -1.0) AS dest_steps_since_last,
+       CAST(max(CASE WHEN type IN ('TRANSFER','CASH_OUT') THEN step END) OVER {_VW} IS NULL AS INTEGER) AS dest_first_seen
+FROM transactions"""))
 def stream_velocity(spark, sf):
     """Keyed-state destination velocity over a request stream arriving in step order."""
     t = transactions(spark, sf)
@@ -47,17 +55,24 @@ def _event_source(spark, sf, replay: bool):
     return src
 
 
-@query("stream_dedup")
+_EVENTS_SQL = txn_sql(f"""
+SELECT 'txn_' || CAST(txn_id AS VARCHAR) AS transaction_id, type, decision,
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(step - 1), '%Y-%m-%dT%H:%M:%SZ') AS event_time_utc
+FROM sc WHERE NOT ({_R['blank']}) AND NOT ({_R['junk']})""", ctes=SCORED_CTE)
+EVENT_KEYS = ["transaction_id", "type", "decision", "event_time_utc"]
+
+
+@query("stream_dedup", _EVENTS_SQL)
 def stream_dedup(spark, sf):
     """Q5 on a stream: re-delivered scored events dropped by transaction_id within the watermark."""
     src = _event_source(spark, sf, replay=True)
     out, ckpt = J.scratch(spark, "dedup-out"), J.scratch(spark, "dedup-ckpt")
     s = J.read_event_stream(spark, src).where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     J.run_available_now(J.dedup_events(s, watermark=f"{S.DEFAULT_STEP} hours"), out, ckpt)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select(*EVENT_KEYS)
 
 
-@query("stream_ingest")
+@query("stream_ingest", _EVENTS_SQL)
 def stream_ingest(spark, sf):
     """Two availableNow runs over a growing log; the second appends only the new file."""
     s, _ = scored(spark, sf)
@@ -70,10 +85,16 @@ def stream_ingest(spark, sf):
     for lo, hi in rest:
         EV.stand_in_lines(rec.where(F.col("step").between(lo, hi))).coalesce(1).write.mode("append").text(src)
     J.ingest_events(spark, src, table, ckpt)
-    return spark.read.parquet(table)
+    return spark.read.parquet(table).select(*EVENT_KEYS)
 
 
-@query("stream_rolling")
+@query("stream_rolling", txn_sql(f"""
+SELECT step + k AS window_end_step, count(*) AS n, CAST(sum(isFraud) AS BIGINT) AS fraud,
+       CAST(sum(CASE WHEN decision IN ('REVIEW','BLOCK') THEN 1 ELSE 0 END) AS BIGINT) AS flagged,
+       CAST(sum(CASE WHEN isFraud = 1 AND decision IN ('REVIEW','BLOCK') THEN 1 ELSE 0 END) AS BIGINT) AS tp
+FROM sc, range(0, 168) r(k)
+WHERE type IN ('TRANSFER','CASH_OUT') AND NOT ({_R['blank']}) AND NOT ({_R['junk']}) AND {_R['no_label']}
+GROUP BY 1""", ctes=SCORED_CTE))
 def stream_rolling(spark, sf):
     """MN5 on a stream: 168-hour sliding windows (1-hour slide) of labelled scored events."""
     src = _event_source(spark, sf, replay=False)
@@ -81,5 +102,6 @@ def stream_rolling(spark, sf):
     s = J.read_event_stream(spark, src, max_files_per_trigger=10).where(F.col("_corrupt_record").isNull())
     s = s.where(F.col("type").isin(S.FRAUD_TYPES))
     J.write_complete(J.rolling_window_counts(s), out, ckpt)
-    return spark.read.parquet(out).select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                                           "n", "fraud", "flagged", "tp")
+    return spark.read.parquet(out).select(J.window_end_step().alias("window_end_step"), "n",
+                                           F.col("fraud").cast("long").alias("fraud"), F.col("flagged").cast("long").alias("flagged"),
+                                           F.col("tp").cast("long").alias("tp"))

@@ -31,7 +31,17 @@ def read_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 
 
 def event_time(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_time", F.to_timestamp("event_time_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    """Parse the ISO-8601 UTC stamp as an instant (the trailing Z is read as the UTC offset)."""
+    return df.withColumn("event_time", F.to_timestamp("event_time_utc", "yyyy-MM-dd'T'HH:mm:ssXXX"))
+
+
+# Origin of the step clock (step 1 = the hour starting here), as epoch seconds (UTC).
+STEP_ORIGIN_EPOCH = 1704067200
+
+
+def window_end_step(window_end: str = "window.end"):
+    """Step number of the last hour inside a window with exclusive end `window_end`."""
+    return ((F.unix_seconds(F.col(window_end)) - F.lit(STEP_ORIGIN_EPOCH)) / 3600).cast("long")
 
 
 def run_available_now(stream: DataFrame, sink_path: str, ckpt: str, fmt: str = "parquet", mode: str = "append") -> None:
