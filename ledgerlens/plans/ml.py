@@ -21,7 +21,7 @@ from ..operators import train as TR
 from ..operators.smote import smote
 from ..session import checkpoint_dir
 from ..sources.fixture import transactions
-from .registry import query
+from .registry import query, txn_sql
 
 BEHAVIOURAL = FE.BEHAVIOURAL_BASE + [f"{p}_{c}" for p in ("home", "ip") for c in FE.SORTED_COUNTRIES]
 
@@ -63,7 +63,17 @@ def train_gbt(spark, sf):
     return _scored_validation(spark, sf, "GBT", TR.GBT_CONFIGS[0], "undersampling")
 
 
-@query("smote")
+def _smote_sql() -> str:
+    from .prep import _INNER
+
+    return txn_sql("""
+SELECT isFraud, 0 AS synthetic, count(*) AS rows FROM itr GROUP BY isFraud
+UNION ALL
+SELECT 1, 1, CAST(floor(0.05 * sum(1 - isFraud)) AS BIGINT) - CAST(sum(isFraud) AS BIGINT) FROM itr
+HAVING floor(0.05 * sum(1 - isFraud)) > sum(isFraud)""", ctes=_INNER)
+
+
+@query("smote", _smote_sql())
 def smote_q(spark, sf):
     """SMOTE (k = 5, ratio 0.05) of the inner train split: rows per class and origin."""
     _, _, itr, _, feats = model_frames(spark, sf)
@@ -147,6 +157,21 @@ def model_roundtrip(spark, sf):
     return a.join(b, "txn_id").select("txn_id", "p1", "p2", (F.abs(F.col("p1") - F.col("p2"))).alias("abs_diff"))
 
 
+@query("feature_list_document")
+def feature_list_document(spark, sf):
+    """FE25/S9: feature-list document (features, label, train-fold class weights, scaled and audit columns) written and read back."""
+    import json
+
+    m, feats = FE.feature_matrix(transactions(spark, sf))
+    tr, _, _ = P.temporal_split(m, 0.8, "step_raw")
+    weights = {int(r["isFraud"]): float(r["weight"]) for r in P.class_weights(tr).collect()}
+    doc = {"features": feats, "label": S.LABEL, "class_weight": {str(k): v for k, v in sorted(weights.items())},
+           "scaled_columns": [c for c in S.CONTINUOUS_FEATURES if c in feats], "audit_columns": ["amount_raw", "step_raw"]}
+    path = f"{checkpoint_dir(spark).rstrip('/')}/feature-list-{uuid.uuid4().hex}"
+    spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return TR.read_policy(spark, path)
+
+
 def feature_usage(spark, sf):
     """M23/FE23: candidate features, whether the behavioural model uses them, and why."""
     m, feats = FE.feature_matrix(transactions(spark, sf))
