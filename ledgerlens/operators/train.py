@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..session import ensure_checkpoint_dir
 from . import evaluate as M
 from . import prep as P
 
@@ -179,11 +180,14 @@ def tune(train: DataFrame, val: DataFrame, features: list[str], methods: list[st
     are independent Spark jobs submitted from a small thread pool.
     """
     spark = train.sparkSession
-    val = val.persist(StorageLevel.MEMORY_AND_DISK)
+    # frames every fit re-reads: reliable checkpoints in the shared folder cut the
+    # lineage, so a lost executor re-reads files instead of recomputing (SMOTE is costly)
+    ensure_checkpoint_dir(spark)
+    val = val.checkpoint(eager=True)
     n_val = val.count()
     rows = []
     for method in methods:
-        bal = balance(train, method, features, seed, label).persist(StorageLevel.MEMORY_AND_DISK)
+        bal = balance(train, method, features, seed, label).checkpoint(eager=True)
         counts = P.class_counts(bal, label)
         jobs = [(m, i, p) for m in models for i, p in enumerate(candidates(m), start=1)]
 
@@ -201,8 +205,6 @@ def tune(train: DataFrame, val: DataFrame, features: list[str], methods: list[st
 
         with ThreadPoolExecutor(max_workers=parallelism) as ex:
             rows.extend(ex.map(run, jobs))
-        bal.unpersist()
-    val.unpersist()
     return spark.createDataFrame([tuple(r[k] for k in _tuning_cols()) for r in rows], TUNING_SCHEMA)
 
 

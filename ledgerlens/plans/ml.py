@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -19,7 +18,7 @@ from ..operators import features as FE
 from ..operators import prep as P
 from ..operators import train as TR
 from ..operators.smote import smote
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, ensure_checkpoint_dir
 from ..sources.fixture import transactions
 from .registry import query, txn_sql
 
@@ -32,7 +31,9 @@ def model_frames(spark, sf):
     tr, te, _ = P.temporal_split(m, 0.8, "step_raw")
     cont = [c for c in S.CONTINUOUS_FEATURES if c in m.columns]
     stats = P.stats_dict(P.robust_stats(tr, cont), "center", "scale")
-    tr_s = P.apply_scaler(tr, stats).persist(StorageLevel.MEMORY_AND_DISK)
+    # the scaled train fold feeds every fit: checkpoint it to the shared folder (cuts lineage)
+    ensure_checkpoint_dir(spark)
+    tr_s = P.apply_scaler(tr, stats).checkpoint(eager=True)
     te_s = P.apply_scaler(te, stats)
     itr, iva, _ = P.inner_split(tr_s)
     return tr_s, te_s, itr, iva, BEHAVIOURAL
@@ -99,6 +100,12 @@ def tune_lr(spark, sf):
     return tuning_results(spark, sf)
 
 
+@query("tune_rf")
+def tune_rf(spark, sf):
+    """M4: the random-forest part of the grid (8 configurations x 4 balancing methods = 32 fits)."""
+    return tuning_results(spark, sf, models=("RandomForest",))
+
+
 @query("leaderboard")
 def leaderboard(spark, sf):
     """Best config per (balancing, model), winner flagged, ranked by net cost."""
