@@ -15,6 +15,8 @@ from ..sources.fixture import transactions
 from ..streaming import jobs as J
 from ..streaming.velocity import stream_velocity as velocity_stream
 from .registry import query, txn_sql
+from ..streaming.scorer import score_stream
+from .evaluate import test_threshold
 from .score import SCORED_CTE, _R, scored
 
 # stand-in arrival order: four slices of the step horizon, written one after another
@@ -105,3 +107,19 @@ def stream_rolling(spark, sf):
     return spark.read.parquet(out).select(J.window_end_step().alias("window_end_step"), "n",
                                            F.col("fraud").cast("long").alias("fraud"), F.col("flagged").cast("long").alias("flagged"),
                                            F.col("tp").cast("long").alias("tp"))
+
+
+@query("stream_scoring", txn_sql("""
+SELECT txn_id, decision, fraud_probability, risk_signals, reason, dest_prior_count, dest_steps_since_last, dest_first_seen FROM sc""",
+                                 ctes=SCORED_CTE))
+def stream_scoring(spark, sf):
+    """P1-P10 on a stream: requests in step order -> keyed velocity state -> features -> decisions (file sink)."""
+    _, t = test_threshold(spark, sf)
+    req = transactions(spark, sf)
+    src, out, ckpt = J.scratch(spark, "score-src"), J.scratch(spark, "score-out"), J.scratch(spark, "score-ckpt")
+    for lo, hi in ARRIVAL_SLICES:
+        req.where(F.col("step").between(lo, hi)).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(req.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    J.run_available_now(score_stream(stream, "score", t), out, ckpt)
+    return spark.read.parquet(out).select("txn_id", "decision", "fraud_probability", "risk_signals", "reason",
+                                          "dest_prior_count", "dest_steps_since_last", "dest_first_seen")

@@ -24,50 +24,60 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import schema as S
 
-OUTPUT_SCHEMA = "txn_id long, nameDest string, step long, dest_prior_count long, dest_steps_since_last double, dest_first_seen int"
+VELOCITY_FIELDS = "dest_prior_count long, dest_steps_since_last double, dest_first_seen int"
 STATE_SCHEMA = "count long, last_step long"
 
 
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    pdf = pd.concat(list(batches), ignore_index=True)
-    if pdf.empty:
-        return
-    pdf = pdf.sort_values(["step", "txn_id"], kind="stable").reset_index(drop=True)
-    count0, last0 = (state.get if state.exists else (0, None))
-    upd = pdf["__updates"].to_numpy().astype(bool)
-    steps = pdf["step"].to_numpy().astype("int64")
-    u = upd.astype("int64")
-    prior = count0 + np.cumsum(u) - u
-    # step of the latest updating row strictly before each row (state value first)
-    upd_steps = pd.Series(np.where(upd, steps.astype("float64"), np.nan))
-    prev = upd_steps.shift(1)
-    if last0 is not None:
-        prev.iloc[0] = float(last0) if np.isnan(prev.iloc[0]) else prev.iloc[0]
-    prev = prev.ffill().to_numpy()
-    since = np.where(np.isnan(prev), -1.0, steps - prev)
-    first = np.isnan(prev).astype("int32")
-    new_count = int(count0 + u.sum())
-    new_last = int(steps[upd][-1]) if upd.any() else last0
-    if new_count > 0:
-        state.update((new_count, new_last))
-    yield pd.DataFrame({
-        "txn_id": pdf["txn_id"].astype("int64"), "nameDest": key[0], "step": steps,
-        "dest_prior_count": prior.astype("int64"), "dest_steps_since_last": since.astype("float64"),
-        "dest_first_seen": first,
-    })
+def _advance_fn(passthrough: list[str]):
+    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(batches), ignore_index=True)
+        if pdf.empty:
+            return
+        pdf = pdf.sort_values(["step", "txn_id"], kind="stable").reset_index(drop=True)
+        count0, last0 = (state.get if state.exists else (0, None))
+        upd = pdf["__updates"].to_numpy().astype(bool)
+        steps = pdf["step"].to_numpy().astype("int64")
+        u = upd.astype("int64")
+        prior = count0 + np.cumsum(u) - u
+        # step of the latest updating row strictly before each row (state value first)
+        upd_steps = pd.Series(np.where(upd, steps.astype("float64"), np.nan))
+        prev = upd_steps.shift(1)
+        if last0 is not None and np.isnan(prev.iloc[0]):
+            prev.iloc[0] = float(last0)
+        prev = prev.ffill().to_numpy()
+        since = np.where(np.isnan(prev), -1.0, steps - prev)
+        first = np.isnan(prev).astype("int32")
+        new_count = int(count0 + u.sum())
+        new_last = int(steps[upd][-1]) if upd.any() else last0
+        if new_count > 0:
+            state.update((new_count, new_last))
+        out = pdf[passthrough].copy()
+        out["dest_prior_count"] = prior.astype("int64")
+        out["dest_steps_since_last"] = since.astype("float64")
+        out["dest_first_seen"] = first
+        yield out
+    return advance
 
 
-def stream_velocity(requests: DataFrame) -> DataFrame:
-    """Streaming (or batch) DataFrame of requests -> per-row causal velocity via keyed state."""
+def stream_velocity(requests: DataFrame, passthrough: list[str] | None = None) -> DataFrame:
+    """Streaming (or batch) DataFrame of requests -> per-row causal velocity via keyed state.
+
+    Output: `txn_id, nameDest, step`, any `passthrough` columns, and the three
+    velocity columns as read from the state before this row.
+    """
     has_override = "dest_prior_count" in requests.columns
     updates = F.col("type").isin(S.FRAUD_TYPES)
     if has_override:
         updates = updates & F.col("dest_prior_count").isNull()
+    extra = [c for c in (passthrough or []) if c not in ("txn_id", "nameDest", "step")]
     x = requests.select(
         F.col("txn_id").cast("long").alias("txn_id"),
         F.coalesce(F.col("nameDest"), F.lit(S.UNKNOWN_DEST)).alias("nameDest"),
         F.coalesce(F.col("step").cast("long"), F.lit(S.DEFAULT_STEP).cast("long")).alias("step"),
+        *[F.col(c) for c in extra],
         updates.alias("__updates"),
     )
+    keep = ["txn_id", "nameDest", "step", *extra]
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in x.schema.fields if f.name in keep)
     return x.groupBy("nameDest").applyInPandasWithState(
-        _advance, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        _advance_fn(keep), f"{fields}, {VELOCITY_FIELDS}", STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)

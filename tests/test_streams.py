@@ -46,3 +46,12 @@ def test_event_log_roundtrip_through_files(spark, tmp_path):
     spark.createDataFrame([], "value string").write.mode("overwrite").text(empty)
     g2, _ = EV.read_event_log(spark, empty)
     assert g2.count() == 0
+
+
+def test_stream_scoring_equals_batch_decisions(spark):
+    cols = ["txn_id", "decision", "fraud_probability", "risk_signals", "reason",
+            "dest_prior_count", "dest_steps_since_last", "dest_first_seen"]
+    s = E.queries()["stream_scoring"](spark, SF_SMALL).select(*cols)
+    b = E.queries()["decisions"](spark, SF_SMALL).select(*cols)
+    assert s.count() == b.count()
+    assert s.exceptAll(b).count() == 0 and b.exceptAll(s).count() == 0
