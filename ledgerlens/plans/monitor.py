@@ -80,11 +80,11 @@ mref AS (SELECT * FROM mf WHERE step <= 354),
 mcur AS (SELECT * FROM mf WHERE step > 354)"""
 
 
-def _drift_ctes() -> str:
+def _drift_ctes(base: str = MON_BASE, cur: str = "mcur") -> str:
     lng = " UNION ALL ".join(
         f"SELECT '{side}' AS side, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM {src}"
-        for side, src in (("ref", "mref"), ("cur", "mcur")) for f in MONITOR_FEATURES)
-    return MON_BASE + f""",
+        for side, src in (("ref", "mref"), ("cur", cur)) for f in MONITOR_FEATURES)
+    return base + f""",
 lng AS (SELECT * FROM ({lng}) WHERE value IS NOT NULL AND NOT isnan(value)),
 fst AS (SELECT feature, sum(CASE WHEN side = 'ref' THEN 1 ELSE 0 END) AS n_ref, sum(CASE WHEN side = 'cur' THEN 1 ELSE 0 END) AS n_cur,
                avg(CASE WHEN side = 'ref' THEN value END) AS reference_mean, avg(CASE WHEN side = 'cur' THEN value END) AS current_mean,
@@ -148,15 +148,17 @@ def drift_top10(spark, sf):
     return d.orderBy(F.col("drifted").desc(), F.col("score").desc(), "feature").limit(10)
 
 
-ROLL_CTE = """,
+ROLL_CTE_T = """,
 per AS (SELECT step, count(*) AS n, sum(target) AS fraud, sum(prediction) AS flagged,
-               sum(CASE WHEN target = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS tp FROM mcur WHERE target IS NOT NULL GROUP BY step),
+               sum(CASE WHEN target = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS tp FROM {cur} WHERE target IS NOT NULL GROUP BY step),
 win AS (SELECT step, sum(n) OVER w AS n, sum(fraud) OVER w AS fraud, sum(flagged) OVER w AS flagged, sum(tp) OVER w AS tp
         FROM per WINDOW w AS (ORDER BY step RANGE BETWEEN 167 PRECEDING AND CURRENT ROW)),
 roll AS (SELECT step - 167 AS window_start_step, step AS window_end_step, CAST(n AS BIGINT) AS n_transactions, CAST(fraud AS BIGINT) AS n_fraud,
                 CAST(flagged AS BIGINT) AS n_flagged, prec AS precision, rec AS recall,
                 CASE WHEN prec + rec > 0 THEN 2.0 * prec * rec / (prec + rec) ELSE 0.0 END AS f1, fraud / n AS fraud_rate
          FROM (SELECT *, CASE WHEN flagged > 0 THEN tp / flagged ELSE 0.0 END AS prec, CASE WHEN fraud > 0 THEN tp / fraud ELSE 0.0 END AS rec FROM win))"""
+ROLL_CTE = ROLL_CTE_T.format(cur="mcur")
+
 
 
 @query("rolling_metrics", txn_sql("""
@@ -243,3 +245,64 @@ def monitor_summary(spark, sf):
     return one_row(a, b, c, d).select(
         "reference_rows", "current_rows", "features_checked", "drifted_features", "latest_window_end_step",
         F.round("l.precision", 6).alias("latest_precision"), F.round("l.recall", 6).alias("latest_recall"))
+
+
+# ---- current set from the scored-event log (MN2) ----------------------------------
+
+def event_features(spark, sf):
+    """MN2: parsed, defaulted log events rebuilt into the deployed features (velocity over events)."""
+    from ..sources import events as EV
+    from .score import event_lines
+
+    ev = EV.event_frame(EV.good_events(EV.parse_lines(event_lines(spark, sf))))
+    f = FE.causal_velocity(ev, "nameDest", "dest", id_col="transaction_id")
+    f = FE.one_hot(FE.row_features(f))
+    return f.select("transaction_id", *MONITOR_FEATURES, F.col("isFraud").alias("target"), "prediction",
+                    "prediction_proba", F.col("amount").alias("amount_raw"))
+
+
+def _event_base() -> str:
+    """DuckDB: historical monitoring CTEs + scored rows + the event current set `ecur`."""
+    from ..sources.events import stand_in_sql
+    from .features import ONE_HOT_SQL, ROW_SQL
+    from .score import SCORED_CTE
+
+    assert SCORED_CTE.startswith(BEST_CTE)
+    r = stand_in_sql("")
+    w = "(PARTITION BY nameDest ORDER BY step, transaction_id)"
+    row = ", ".join(f"{v} AS {k}" for k, v in ROW_SQL.items() if k in MONITOR_FEATURES)
+    hot = ", ".join(f"{v} AS {k}" for k, v in ONE_HOT_SQL.items())
+    return MON_BASE + SCORED_CTE[len(BEST_CTE):] + f""",
+evd AS (
+  SELECT 'txn_' || CAST(txn_id AS VARCHAR) AS transaction_id, type,
+         CAST(CASE WHEN {r['opt_off']} THEN 744 ELSE step END AS BIGINT) AS step,
+         CAST(CASE WHEN {r['opt_off']} THEN 744 % 24 ELSE hour_of_day END AS INTEGER) AS hour_of_day,
+         CAST(CASE WHEN {r['opt_off']} THEN 744 % 24 ELSE hour_of_day END BETWEEN 0 AND 5 AS INTEGER) AS is_night,
+         CASE WHEN {r['opt_off']} THEN 'UNKNOWN_DEST' ELSE nameDest END AS nameDest,
+         amount, account_age_days, failed_payment_attempts, ip_billing_distance_km, is_new_device, shipping_billing_mismatch,
+         home_billing_country, ip_country, CASE WHEN {r['no_label']} THEN isFraud END AS target,
+         fraud_probability AS prediction_proba, CAST(decision IN ('REVIEW', 'BLOCK') AS INTEGER) AS prediction
+  FROM sc WHERE type IN ('TRANSFER','CASH_OUT') AND NOT ({r['blank']}) AND NOT ({r['junk']})),
+ecur AS (
+  SELECT *, {row}, {hot},
+         row_number() OVER {w} - 1 AS dest_prior_count,
+         coalesce(CAST(step - lag(step) OVER {w} AS DOUBLE), -1.0) AS dest_steps_since_last,
+         CAST(lag(step) OVER {w} IS NULL AS INTEGER) AS dest_first_seen
+  FROM evd)"""
+
+
+
+@query("event_drift", txn_sql(f"SELECT {DRIFT_COLS} FROM drift", ctes=_drift_ctes(_event_base(), "ecur")))
+def event_drift(spark, sf):
+    """MN2 + MN4: drift of the 37 deployed features, historical reference (step <= 354) vs events rebuilt from the log."""
+    ref, _, _, _ = split(spark, sf)
+    return round_doubles(MN.drift_summary(ref, event_features(spark, sf), MONITOR_FEATURES))
+
+
+@query("event_rolling", txn_sql("""
+SELECT window_start_step, window_end_step, n_transactions, n_fraud, n_flagged, round(precision, 6) AS precision,
+       round(recall, 6) AS recall, round(f1, 6) AS f1, round(fraud_rate, 6) AS fraud_rate FROM roll""",
+    ctes=_event_base() + ROLL_CTE_T.format(cur="ecur")))
+def event_rolling(spark, sf):
+    """MN2 + MN5: rolling metrics over the labelled events of the log (logged decisions as predictions)."""
+    return round_doubles(MN.rolling_metrics(event_features(spark, sf)))
