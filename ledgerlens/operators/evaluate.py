@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.exprs import broadcast_checked, div0, r6
+from ..functions.exprs import div0, r6
 from . import ranks
 
 
@@ -104,20 +104,11 @@ def score_table(df: DataFrame, score: str = "score", label: str = S.LABEL, group
     )
 
 
-def _with_totals(c: DataFrame, table: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Attach positives / negatives per group: a join on real keys, or literals when ungrouped."""
-    if group_cols:
-        tot = table.groupBy(*group_cols).agg(F.sum("n_pos").alias("__P"), F.sum("n_neg").alias("__N"))
-        return c.join(broadcast_checked(tot), group_cols)
-    r = table.agg(F.coalesce(F.sum("n_pos"), F.lit(0)).alias("P"), F.coalesce(F.sum("n_neg"), F.lit(0)).alias("N")).first()
-    return c.withColumns({"__P": F.lit(int(r["P"])).cast("long"), "__N": F.lit(int(r["N"])).cast("long")})
-
-
 def average_precision_from(table: DataFrame, group_cols: list[str]) -> DataFrame:
     """M9 over a (group, s, n_pos, n_neg) table: step-wise AP, no interpolation; NULL without positives."""
     t = table.withColumn("__ns", -F.col("s"))
-    c = ranks.cumulative(t, group_cols, ["__ns"], ["n_pos", "n_neg"], prefix="cum_", inclusive=True)
-    c = _with_totals(c, table, group_cols)
+    c = ranks.cumulative(t, group_cols, ["__ns"], ["n_pos", "n_neg"], prefix="cum_", inclusive=True, totals=True)
+    c = c.withColumnsRenamed({"cum_total_n_pos": "__P", "cum_total_n_neg": "__N"})
     prec = F.col("cum_n_pos") / (F.col("cum_n_pos") + F.col("cum_n_neg"))
     return c.groupBy(*group_cols).agg(
         F.when(F.first("__P") > 0, F.sum(F.try_divide(F.col("n_pos"), F.col("__P")) * prec)).alias("average_precision"),
@@ -135,8 +126,8 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = S.LABEL, group_col
     """ROC-AUC as the Mann-Whitney statistic with mid-ranks for ties."""
     group_cols = group_cols or []
     t = score_table(df, score, label, group_cols)
-    c = ranks.cumulative(t, group_cols, ["s"], ["n_neg"], prefix="below_")
-    c = _with_totals(c, t, group_cols)
+    c = ranks.cumulative(t, group_cols, ["s"], ["n_pos", "n_neg"], prefix="below_", totals=True)
+    c = c.withColumnsRenamed({"below_total_n_pos": "__P", "below_total_n_neg": "__N"})
     u = F.sum(F.col("n_pos") * (F.col("below_n_neg") + F.lit(0.5) * F.col("n_neg")))
     return c.groupBy(*group_cols).agg(
         F.when((F.first("__P") > 0) & (F.first("__N") > 0), u / (F.first("__P") * F.first("__N"))).alias("roc_auc"))

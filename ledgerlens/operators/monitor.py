@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.exprs import broadcast_checked, one_row
+from ..functions.exprs import one_row
 from . import ranks
 from .evaluate import average_precision_from, erfc, with_erfc  # noqa: F401
 
@@ -198,7 +198,8 @@ def rolling_average_precision(current: DataFrame, window: int = S.ROLLING_WINDOW
     ends = lab.select(F.col(step).alias("window_end_step")).distinct()
     # each (step, score) cell belongs to the windows ending in [step, step + window - 1]
     ex = st.withColumn("window_end_step", F.explode(F.sequence(F.col(step), F.col(step) + window - 1)))
-    ex = ex.join(broadcast_checked(ends), "window_end_step", "inner")
+    # one row per distinct labelled hour step: bounded by the horizon in hours, broadcast
+    ex = ex.join(F.broadcast(ends), "window_end_step", "inner")
     cells = ex.groupBy("window_end_step", "s").agg(F.sum("n_pos").alias("n_pos"), F.sum("n_neg").alias("n_neg"))
     ap = average_precision_from(cells, ["window_end_step"])
     return ap.select("window_end_step", F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.col("average_precision")).alias("average_precision"))

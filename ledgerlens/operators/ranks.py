@@ -23,7 +23,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import broadcast_checked
 
 # Rows per bucket targeted by the within-bucket windows; bounds task size.
 ROWS_PER_BUCKET = 2_000_000
@@ -84,15 +83,18 @@ def cumulative(
     prefix: str = "cum_",
     inclusive: bool = False,
     n_rows: int | None = None,
+    totals: bool = False,
 ) -> DataFrame:
     """Running sums of `measures` per group in `order_cols` order (ascending).
 
     `agg` must have one row per (group_cols, order_cols) key. Adds
     `{prefix}{m}` = sum of m over earlier keys (or up to and including this
-    key when `inclusive`). Bucketing is on `order_cols[0]`.
+    key when `inclusive`), and with `totals` also `{prefix}total_{m}` = the
+    group's total (taken from the small bucket table, no extra pass).
+    Bucketing is on `order_cols[0]`.
     """
     if not group_cols:
-        res = cumulative(agg.withColumn("__g", F.lit(0)), ["__g"], order_cols, measures, prefix, inclusive, n_rows)
+        res = cumulative(agg.withColumn("__g", F.lit(0)), ["__g"], order_cols, measures, prefix, inclusive, n_rows, totals)
         return res.drop("__g")
     key = order_cols[0]
     if n_rows is None:
@@ -103,13 +105,17 @@ def cumulative(
         # at most ROWS_PER_BUCKET rows per group: one window per group is bounded
         frame_end = 0 if inclusive else -1
         w = Window.partitionBy(*group_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
-        return agg.select(*agg.columns, *[F.coalesce(F.sum(m).over(w), F.lit(0)).alias(f"{prefix}{m}") for m in measures])
+        whole = Window.partitionBy(*group_cols)
+        tot = [F.sum(m).over(whole).alias(f"{prefix}total_{m}") for m in measures] if totals else []
+        return agg.select(*agg.columns, *[F.coalesce(F.sum(m).over(w), F.lit(0)).alias(f"{prefix}{m}") for m in measures], *tot)
     b = "__bkt"
     x = with_bucket(agg, key, bounds, b)
-    totals = x.groupBy(*group_cols, b).agg(*[F.sum(m).alias(f"__tot_{m}") for m in measures])
+    totals_t = x.groupBy(*group_cols, b).agg(*[F.sum(m).alias(f"__tot_{m}") for m in measures])
     wb = Window.partitionBy(*group_cols).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *group_cols, b, *[F.coalesce(F.sum(f"__tot_{m}").over(wb), F.lit(0)).alias(f"__off_{m}") for m in measures]
+    wg = Window.partitionBy(*group_cols)
+    offsets = totals_t.select(
+        *group_cols, b, *[F.coalesce(F.sum(f"__tot_{m}").over(wb), F.lit(0)).alias(f"__off_{m}") for m in measures],
+        *[F.sum(f"__tot_{m}").over(wg).alias(f"{prefix}total_{m}") for m in measures],
     )
     frame_end = 0 if inclusive else -1
     w = Window.partitionBy(*group_cols, b).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
@@ -117,6 +123,7 @@ def cumulative(
     return x.select(
         *[c for c in agg.columns],
         *[(F.col(f"__off_{m}") + F.coalesce(F.sum(m).over(w), F.lit(0))).alias(f"{prefix}{m}") for m in measures],
+        *([F.col(f"{prefix}total_{m}") for m in measures] if totals else []),
     )
 
 
@@ -159,14 +166,8 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs:
     """
     v = value_col
     hist = df.where(F.col(v).isNotNull()).groupBy(*group_cols, v).agg(F.count(F.lit(1)).alias("__c"))
-    hist = cumulative(hist, group_cols, [v], ["__c"], prefix="__before")
-    if group_cols:
-        sizes = hist.groupBy(*group_cols).agg(F.sum("__c").alias("__n"))
-        hist = hist.join(broadcast_checked(sizes), on=group_cols, how="inner")
-    else:
-        # one scalar: bring it back as a literal instead of joining a one-row table
-        n = df.where(F.col(v).isNotNull()).count()
-        hist = hist.withColumn("__n", F.lit(n).cast("long"))
+    hist = cumulative(hist, group_cols, [v], ["__c"], prefix="__before", totals=True)
+    hist = hist.withColumnRenamed("__beforetotal___c", "__n")
     parr = F.array(*[F.lit(float(p)) for p in probs])
     # each distinct value emits the (p, side) targets whose rank it covers
     tgt = F.transform(parr, lambda p: F.struct(p.alias("p"), F.floor((F.col("__n") - 1) * p).alias("lo"),
