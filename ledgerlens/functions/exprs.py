@@ -87,17 +87,3 @@ def one_row(*dfs):
     for p in parts[1:]:
         u = u.unionByName(p)
     return u.agg(*[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in cols])
-
-
-# Largest row count of a small side that `broadcast_checked` will broadcast.
-BROADCAST_ROW_LIMIT = 200_000
-
-
-def broadcast_checked(df, limit: int = BROADCAST_ROW_LIMIT):
-    """Broadcast a small side only after counting it (a proven size bound).
-
-    Used for per-group totals joined back on low-cardinality keys (classes,
-    features, window ends): a shuffle join there would send every row of a
-    group to one task. Above the limit the plain join (AQE decides) is kept.
-    """
-    return F.broadcast(df) if df.count() <= limit else df

@@ -28,8 +28,12 @@ VELOCITY_FIELDS = "dest_prior_count long, dest_steps_since_last double, dest_fir
 STATE_SCHEMA = "count long, last_step long"
 
 
-def _advance_fn(passthrough: list[str]):
+def _advance_fn(passthrough: list[str], ttl_ms: int | None = None):
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            # destination idle for longer than the TTL: forget it
+            state.remove()
+            return
         pdf = pd.concat(list(batches), ignore_index=True)
         if pdf.empty:
             return
@@ -51,6 +55,8 @@ def _advance_fn(passthrough: list[str]):
         new_last = int(steps[upd][-1]) if upd.any() else last0
         if new_count > 0:
             state.update((new_count, new_last))
+            if ttl_ms:
+                state.setTimeoutDuration(ttl_ms)
         out = pdf[passthrough].copy()
         out["dest_prior_count"] = prior.astype("int64")
         out["dest_steps_since_last"] = since.astype("float64")
@@ -59,11 +65,15 @@ def _advance_fn(passthrough: list[str]):
     return advance
 
 
-def stream_velocity(requests: DataFrame, passthrough: list[str] | None = None) -> DataFrame:
-    """Streaming (or batch) DataFrame of requests -> per-row causal velocity via keyed state.
+def stream_velocity(requests: DataFrame, passthrough: list[str] | None = None, state_ttl_ms: int | None = None) -> DataFrame:
+    """Streaming DataFrame of requests -> per-row causal velocity via keyed state (streaming only).
 
     Output: `txn_id, nameDest, step`, any `passthrough` columns, and the three
-    velocity columns as read from the state before this row.
+    velocity columns as read from the state before this row. `state_ttl_ms`
+    (processing time) drops the state of destinations idle for that long, which
+    bounds state size on an unbounded stream (it needs a continuously running
+    query with a processing-time trigger; `availableNow` runs use no TTL); by
+    default state is kept forever, matching the batch definition.
     """
     has_override = "dest_prior_count" in requests.columns
     updates = F.col("type").isin(S.FRAUD_TYPES)
@@ -79,5 +89,6 @@ def stream_velocity(requests: DataFrame, passthrough: list[str] | None = None) -
     )
     keep = ["txn_id", "nameDest", "step", *extra]
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in x.schema.fields if f.name in keep)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if state_ttl_ms else GroupStateTimeout.NoTimeout
     return x.groupBy("nameDest").applyInPandasWithState(
-        _advance_fn(keep), f"{fields}, {VELOCITY_FIELDS}", STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        _advance_fn(keep, state_ttl_ms), f"{fields}, {VELOCITY_FIELDS}", STATE_SCHEMA, "append", timeout)
