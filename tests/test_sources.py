@@ -44,3 +44,28 @@ def test_logged_probability_wins(spark):
     model = spark.createDataFrame([("t1", 0.9), ("t2", 0.7)], "transaction_id string, proba double")
     got = {r.transaction_id: r.prediction_proba for r in EV.fill_missing_scores(frame, model).collect()}
     assert got == {"t1": 0.2, "t2": 0.7}
+
+
+def test_event_sink_roundtrip(spark, tmp_path):
+    from ledgerlens.plans.score import scored
+
+    s, _ = scored(spark, SF_SMALL)
+    rec = EV.event_records(s)
+    path = str(tmp_path / "events")
+    EV.write_event_log(rec, path)
+    EV.write_event_log(rec.limit(10), path)  # append
+    good, summary = EV.read_event_log(spark, path)
+    r = summary.first()
+    assert r.malformed_lines == 0 and r.parsed_events == rec.count() + 10
+    assert good.select("transaction_id").distinct().count() == rec.count()
+    assert EV.count_logged_events(spark, path) == rec.count() + 10
+
+
+def test_approximate_profile_close_to_exact(spark):
+    from ledgerlens.operators import quality as Q
+
+    t = transactions(spark, SF_SMALL).select(*S.ENRICHED_COLUMNS)
+    exact = {r.column_name: r.n_unique for r in Q.column_profile(t).collect()}
+    approx = {r.column_name: r.n_unique for r in Q.column_profile(t, approx=True).collect()}
+    for c, v in exact.items():
+        assert abs(approx[c] - v) <= max(2, 0.1 * v), c
