@@ -4,9 +4,10 @@ A window without `partitionBy` moves every row into one task, so ordered
 statistics over a whole fact table (ranks, running sums, exact quantiles,
 area under curves) are built here from three scalable steps:
 
-1. range-bucket the ordering key with boundaries from `approxQuantile` (a
-   bounded list on the driver); equal keys always share a bucket, so the
-   result is exact whatever the quality of the boundaries;
+1. range-bucket the ordering key with boundaries from approximate quantiles
+   (`percentile_approx`, computed in the same job as the row count; a bounded
+   list on the driver); equal keys always share a bucket, so the result is
+   exact whatever the quality of the boundaries;
 2. per-bucket totals -> exclusive running offsets over the small bucket table;
 3. a window partitioned by (group, bucket) adds the within-bucket running sum.
 
