@@ -76,6 +76,14 @@ def dest_velocity_hot_split(spark, sf):
     return v.select("txn_id", "dest_prior_count", "dest_steps_since_last", "dest_first_seen")
 
 
+@query("dest_velocity_scoped", txn_sql("SELECT txn_id, " + ", ".join(_r(k, v) for k, v in _vel_sql("nameDest", "dest").items())
+                                       + " FROM transactions WHERE type IN ('TRANSFER','CASH_OUT')"))
+def dest_velocity_scoped(spark, sf):
+    """FE12-FE15, monitoring variant: scope to the fraud universe first, then destination velocity."""
+    t = transactions(spark, sf).where(F.col("type").isin(S.FRAUD_TYPES))
+    return FE.dest_velocity(t).select("txn_id", "dest_prior_count", "dest_steps_since_last", "dest_first_seen")
+
+
 _ORIG_NAMES = {"steps_since_last": "orig_time_since_last", "first_seen": "is_first_orig_txn"}
 
 
