@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.exprs import isclose
+from ..session import conf_int
 from . import ranks
 
 # Keys with more rows than this are ranked by the split (hot-key) path.
@@ -82,7 +83,8 @@ def causal_velocity(
     ssl = names.get("steps_since_last", f"{prefix}_steps_since_last")
     fs = names.get("first_seen", f"{prefix}_first_seen")
     pas = names.get("prior_amount_sum", f"{prefix}_prior_amount_sum")
-    threshold = HOT_KEY_ROWS if hot_threshold is None else hot_threshold
+    threshold = (conf_int(df.sparkSession, "spark.ledgerlens.velocity.hotKeyRows", HOT_KEY_ROWS)
+                 if hot_threshold is None else hot_threshold)
     hot = _hot_keys(df, key, threshold)
 
     def cold_path(x: DataFrame) -> DataFrame:

@@ -37,12 +37,20 @@ def n_buckets(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
 PROBE_BUCKETS = 1024
 
 
-def count_and_bounds(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[int, list[float]]:
+def rows_per_bucket_for(df: DataFrame) -> int:
+    """Target rows per bucket: `spark.ledgerlens.ranks.rowsPerBucket` if set, else ROWS_PER_BUCKET."""
+    from ..session import conf_int
+
+    return conf_int(df.sparkSession, "spark.ledgerlens.ranks.rowsPerBucket", ROWS_PER_BUCKET)
+
+
+def count_and_bounds(df: DataFrame, column: str, rows_per_bucket: int | None = None) -> tuple[int, list[float]]:
     """Row count and range boundaries for about n / rows_per_bucket buckets.
 
     One job computes the count together with 1023 approximate quantiles; only
     inputs needing more than 1024 buckets pay a second, finer quantile job.
     """
+    rows_per_bucket = rows_per_bucket or rows_per_bucket_for(df)
     probs = [i / PROBE_BUCKETS for i in range(1, PROBE_BUCKETS)]
     row = df.agg(F.count(F.lit(1)).alias("n"),
                  F.percentile_approx(F.col(column).cast("double"), probs, 4 * PROBE_BUCKETS).alias("q")).first()
@@ -101,7 +109,7 @@ def cumulative(
     if n_rows is None:
         n_rows, bounds = count_and_bounds(agg, key)
     else:
-        bounds = range_bounds(agg, key, n_buckets(n_rows))
+        bounds = range_bounds(agg, key, n_buckets(n_rows, rows_per_bucket_for(agg)))
     if not bounds:
         # at most ROWS_PER_BUCKET rows per group: one window per group is bounded
         frame_end = 0 if inclusive else -1
@@ -147,7 +155,7 @@ def row_positions(
     sk = "__sk"
     ib = "__ib"
     base = df.withColumn(sk, -F.col(value_col) if descending else F.col(value_col))
-    _, id_bounds = count_and_bounds(base, id_col, ROWS_PER_BUCKET // 4)
+    _, id_bounds = count_and_bounds(base, id_col, max(1, rows_per_bucket_for(base) // 4))
     base = with_bucket(base, id_col, id_bounds, ib)
     cells = base.groupBy(*group_cols, sk, ib).agg(F.count(F.lit(1)).alias("__c"))
     cells = cumulative(cells, group_cols, [sk, ib], ["__c"], prefix="__cum")

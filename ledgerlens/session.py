@@ -61,3 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
+
+
+def conf_int(spark: SparkSession, key: str, default: int) -> int:
+    """Integer setting from the session conf (e.g. `spark.ledgerlens.velocity.hotKeyRows`), else the default."""
+    v = spark.conf.get(key, None)
+    return int(v) if v not in (None, "") else int(default)

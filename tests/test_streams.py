@@ -98,3 +98,27 @@ def test_one_row_places_aggregates_side_by_side(spark):
     b = spark.createDataFrame([("k", 2.5)], "y string, z double")
     r = one_row(a, b).collect()
     assert len(r) == 1 and (r[0].x, r[0].y, r[0].z) == (1, "k", 2.5)
+
+
+def test_stream_scoring_with_caller_overrides_equals_batch(spark, tmp_path):
+    from ledgerlens.plans.streams import ARRIVAL_SLICES
+    from ledgerlens.streaming import jobs as J
+    from ledgerlens.streaming.scorer import score_stream
+
+    t = transactions(spark, SF_SMALL)
+    req = t.withColumns({
+        "dest_prior_count": F.when(F.col("txn_id") % 7 == 0, F.lit(3)).cast("long"),
+        "dest_steps_since_last": F.when(F.col("txn_id") % 7 == 0, F.lit(2.0)),
+    })
+    src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    for lo, hi in ARRIVAL_SLICES:
+        req.where(F.col("step").between(lo, hi)).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(req.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    J.run_available_now(score_stream(stream, "score", 0.05), out, ckpt)
+    cols = ["txn_id", "decision", "risk_signals", "dest_prior_count", "dest_steps_since_last", "dest_first_seen"]
+    s = spark.read.parquet(out).select(*cols)
+    b = SC.score_batch(req, "score", 0.05).select(*cols)
+    assert s.count() == b.count() == t.count()
+    assert s.exceptAll(b).count() == 0
+    over = {r.txn_id: r.dest_prior_count for r in s.where(F.col("txn_id") % 7 == 0).collect()}
+    assert set(over.values()) == {3}
