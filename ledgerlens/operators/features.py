@@ -51,14 +51,19 @@ def row_features(df: DataFrame, log_amount: str = "log10") -> DataFrame:
 
 
 def _hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame | None:
+    """Keys with more than `threshold` rows, as a small broadcast table (one aggregation pass).
+
+    The list is collected once (at most MAX_HOT_KEYS + 1 rows, a checked bound)
+    and re-created as a local table, so the join does not recompute it.
+    """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.where(F.col("__n") > threshold).select(key)
-    n_hot = hot.count()
-    if n_hot == 0:
+    hot = [r[0] for r in counts.where(F.col("__n") > threshold).select(key).limit(MAX_HOT_KEYS + 1).collect()]
+    if not hot:
         return None
-    if n_hot > MAX_HOT_KEYS:
-        raise ValueError(f"{n_hot} hot keys exceed MAX_HOT_KEYS; raise HOT_KEY_ROWS")
-    return F.broadcast(hot)  # size checked above: at most MAX_HOT_KEYS keys
+    if len(hot) > MAX_HOT_KEYS:
+        raise ValueError(f"more than {MAX_HOT_KEYS} hot keys; raise the hot-key threshold")
+    spark = df.sparkSession
+    return F.broadcast(spark.createDataFrame([(k,) for k in hot], df.select(key).schema))
 
 
 def causal_velocity(
