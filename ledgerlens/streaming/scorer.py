@@ -20,28 +20,32 @@ from .velocity import stream_velocity
 def score_stream(requests: DataFrame, prob: Column | str, threshold: float, block_threshold: float | None = None) -> DataFrame:
     """Streaming DataFrame of requests -> scored decisions (append mode)."""
     r = SC.request_defaults(requests)
-    has_override = "dest_prior_count" in r.columns
-    if has_override:
+    universe = F.col("type").isin(S.FRAUD_TYPES)
+    if "dest_prior_count" not in r.columns:
+        # no caller-supplied velocity: every universe row reads and advances the state
+        v = stream_velocity(r, list(r.columns))
+        v = v.withColumns({
+            "dest_prior_count": F.when(universe, F.col("dest_prior_count")).otherwise(F.lit(0).cast("long")),
+            "dest_steps_since_last": F.when(universe, F.col("dest_steps_since_last")).otherwise(F.lit(-1.0)),
+            "dest_first_seen": F.when(universe, F.col("dest_first_seen")).otherwise(F.lit(1)),
+        })
+    else:
         r = r.withColumnRenamed("dest_prior_count", "__ov_prior")
         if "dest_steps_since_last" in r.columns:
             r = r.withColumnRenamed("dest_steps_since_last", "__ov_since")
-    if "__ov_prior" not in r.columns:
-        r = r.withColumn("__ov_prior", F.lit(None).cast("long"))
-    if "__ov_since" not in r.columns:
-        r = r.withColumn("__ov_since", F.lit(None).cast("double"))
-    # the state only advances for universe rows without caller values
-    req = r.withColumn("dest_prior_count", F.when(F.col("__ov_prior").isNotNull(), F.lit(0)).cast("long"))
-    passthrough = [c for c in req.columns if c != "dest_prior_count"]
-    v = stream_velocity(req, passthrough)
-    universe = F.col("type").isin(S.FRAUD_TYPES)
-    ov = F.col("__ov_prior").isNotNull()
-    ov_since = F.coalesce(F.col("__ov_since"), F.lit(-1.0))
-    v = v.withColumns({
-        "dest_prior_count": F.when(ov, F.col("__ov_prior").cast("long")).when(universe, F.col("dest_prior_count")).otherwise(F.lit(0).cast("long")),
-        "dest_steps_since_last": F.when(ov, ov_since).when(universe, F.col("dest_steps_since_last")).otherwise(F.lit(-1.0)),
-        "dest_first_seen": F.when(ov, ((ov_since < 0) & (F.col("__ov_prior") == 0)).cast("int"))
-                            .when(universe, F.col("dest_first_seen")).otherwise(F.lit(1)),
-    }).drop("__ov_prior", "__ov_since")
+        else:
+            r = r.withColumn("__ov_since", F.lit(None).cast("double"))
+        # rows with caller values read no state and do not advance it
+        req = r.withColumn("dest_prior_count", F.when(F.col("__ov_prior").isNotNull(), F.lit(0)).cast("long"))
+        v = stream_velocity(req, [c for c in req.columns if c != "dest_prior_count"])
+        ov = F.col("__ov_prior").isNotNull()
+        ov_since = F.coalesce(F.col("__ov_since").cast("double"), F.lit(-1.0))
+        v = v.withColumns({
+            "dest_prior_count": F.when(ov, F.col("__ov_prior").cast("long")).when(universe, F.col("dest_prior_count")).otherwise(F.lit(0).cast("long")),
+            "dest_steps_since_last": F.when(ov, ov_since).when(universe, F.col("dest_steps_since_last")).otherwise(F.lit(-1.0)),
+            "dest_first_seen": F.when(ov, ((ov_since < 0) & (F.col("__ov_prior") == 0)).cast("int"))
+                                .when(universe, F.col("dest_first_seen")).otherwise(F.lit(1)),
+        }).drop("__ov_prior", "__ov_since")
     v = FE.row_features(v)
     pcol = F.col(prob) if isinstance(prob, str) else prob
     return SC.decide(v.withColumn("__p", pcol), threshold, "__p", block_threshold).drop("__p")
