@@ -280,7 +280,7 @@ evd AS (
          CAST(CASE WHEN {r['opt_off']} THEN 744 % 24 ELSE hour_of_day END BETWEEN 0 AND 5 AS INTEGER) AS is_night,
          CASE WHEN {r['opt_off']} THEN 'UNKNOWN_DEST' ELSE nameDest END AS nameDest,
          amount, account_age_days, failed_payment_attempts, ip_billing_distance_km, is_new_device, shipping_billing_mismatch,
-         home_billing_country, ip_country, CASE WHEN {r['no_label']} THEN isFraud END AS target,
+         home_billing_country, ip_country, CASE WHEN {r['no_label']} THEN CAST(isFraud AS DOUBLE) END AS target,
          fraud_probability AS prediction_proba, CAST(decision IN ('REVIEW', 'BLOCK') AS INTEGER) AS prediction
   FROM sc WHERE type IN ('TRANSFER','CASH_OUT') AND NOT ({r['blank']}) AND NOT ({r['junk']})),
 ecur AS (

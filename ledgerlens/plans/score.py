@@ -143,7 +143,7 @@ SELECT 'txn_' || CAST(txn_id AS VARCHAR) AS transaction_id, type,
        CASE WHEN {_R['opt_off']} THEN 0.0 ELSE newbalanceDest END AS newbalanceDest,
        amount, account_age_days, failed_payment_attempts, ip_billing_distance_km, is_new_device, shipping_billing_mismatch,
        home_billing_country, ip_country,
-       CASE WHEN {_R['no_label']} THEN isFraud END AS isFraud,
+       CASE WHEN {_R['no_label']} THEN CAST(isFraud AS DOUBLE) END AS isFraud,
        fraud_probability AS prediction_proba, CAST(decision IN ('REVIEW', 'BLOCK') AS INTEGER) AS prediction
 FROM sc WHERE type IN ('TRANSFER','CASH_OUT') AND NOT ({_R['blank']}) AND NOT ({_R['junk']})""", ctes=SCORED_CTE))
 def event_defaults(spark, sf):

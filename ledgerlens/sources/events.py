@@ -153,7 +153,8 @@ def event_frame(events: DataFrame) -> DataFrame:
         _num("ip_billing_distance_km").alias("ip_billing_distance_km"),
         _flag("is_new_device").alias("is_new_device"), _flag("shipping_billing_mismatch").alias("shipping_billing_mismatch"),
         "home_billing_country", "ip_country",
-        _num("actual_label", "int").alias("isFraud"),
+        # numeric coercion of the logged label (double, NULL when unlabelled or unparseable)
+        _num("actual_label", "double").alias("isFraud"),
         _num("fraud_probability").alias("prediction_proba"),
         F.col("decision").isin("REVIEW", "BLOCK").cast("int").alias("prediction"),
     )
