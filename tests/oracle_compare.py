@@ -43,7 +43,26 @@ def _rows(pdf: pd.DataFrame) -> list:
     return sorted(out)
 
 
+def _spark_type(dt) -> str:
+    from pyspark.sql import types as T
+
+    names = {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE", T.StringType: "VARCHAR",
+             T.BooleanType: "BOOLEAN", T.TimestampNTZType: "TIMESTAMP", T.FloatType: "FLOAT"}
+    for k, v in names.items():
+        if isinstance(dt, k):
+            return v
+    if isinstance(dt, T.ArrayType):
+        return _spark_type(dt.elementType) + "[]"
+    return str(dt)
+
+
 def compare(spark_df, sql: str, con) -> tuple[bool, str]:
+    rel = con.sql(sql)
+    oracle_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    spark_types = {f.name: _spark_type(f.dataType) for f in spark_df.schema.fields}
+    if spark_types.keys() == oracle_types.keys() and spark_types != oracle_types:
+        diff = {k: (spark_types[k], oracle_types[k]) for k in spark_types if spark_types[k] != oracle_types[k]}
+        return False, f"column types differ (spark, oracle): {diff}"
     s = spark_df.toPandas()
     o = con.execute(sql).df()
     if sorted(s.columns) != sorted(o.columns):
