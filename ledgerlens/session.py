@@ -23,7 +23,7 @@ LOCAL_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # local mode: the driver JVM is the executor
     "spark.driver.memory": "16g",
-    # 32 MB splits keep many tasks per file at sf0.1 and bound task memory at scale
+    # 64 MB input splits bound per-task memory at scale
     "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
 }
 
