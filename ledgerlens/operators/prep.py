@@ -41,9 +41,16 @@ def step_cut(df: DataFrame, q: float, step_col: str = "step") -> float:
 
 
 def temporal_split(df: DataFrame, q: float = 0.8, step_col: str = "step") -> tuple[DataFrame, DataFrame, float]:
-    """train = step <= cut, test = step > cut, cut = q-quantile of step."""
+    """train = step <= cut, test = step > cut, cut = q-quantile of step.
+
+    For an integral step column the bound is the integer floor(cut) (same
+    rows), so the range filter keeps the column's type and is pushed to the scan.
+    """
+    from pyspark.sql.types import IntegralType
+
     cut = step_cut(df, q, step_col)
-    return df.where(F.col(step_col) <= F.lit(cut)), df.where(F.col(step_col) > F.lit(cut)), cut
+    bound = F.lit(int(math.floor(cut))) if isinstance(df.schema[step_col].dataType, IntegralType) else F.lit(cut)
+    return df.where(F.col(step_col) <= bound), df.where(F.col(step_col) > bound), cut
 
 
 def fold_summary(folds: dict[str, DataFrame], label: str = S.LABEL) -> DataFrame:
@@ -89,7 +96,10 @@ def inner_split(train: DataFrame, val_frac: float = 0.15, seed: int = 42, label:
                 step_col: str = "step_raw") -> tuple[DataFrame, DataFrame, str]:
     """Temporal 85/15 on step; fall back to stratified random when a side lacks a class."""
     tr, va, cut = temporal_split(train, 1 - val_frac, step_col)
-    early = F.col(step_col) <= F.lit(cut)
+    from pyspark.sql.types import IntegralType
+
+    integral = isinstance(train.schema[step_col].dataType, IntegralType)
+    early = F.col(step_col) <= (F.lit(int(math.floor(cut))) if integral else F.lit(cut))
     k = train.agg(F.count_distinct(F.when(early, F.col(label))).alias("a"),
                   F.count_distinct(F.when(~early, F.col(label))).alias("b")).first()
     if k["a"] == 2 and k["b"] == 2:
