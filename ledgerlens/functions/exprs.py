@@ -45,25 +45,10 @@ def flag(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False)).cast("int")
 
 
-def nan_to_null(c: str | Column) -> Column:
-    """Ingest rule: NaN -> NULL so that only one kind of missing exists."""
-    return F.nanvl(col(c), F.lit(None).cast("double"))
-
-
 def count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
 
 
-def hash_order(seed: int, *cols: str | Column) -> Column:
-    """Repeatable pseudo-random order key from row content (not from position)."""
-    return F.xxhash64(F.lit(seed), *[col(c) for c in cols])
-
-
-def hash_uniform(seed: int, *cols: str | Column) -> Column:
-    """Repeatable uniform draw in [0, 1) from row content."""
-    return F.pmod(hash_order(seed, *cols), F.lit(1 << 52)).cast("double") / F.lit(float(1 << 52))
-
-
 def round_doubles(df, digits: int = 6):
     """Round every double column (for order-independent comparison of results)."""
     from pyspark.sql.types import DoubleType, FloatType

@@ -6,12 +6,12 @@ aggregation on the map side), never from one action per check.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from ..functions.exprs import count_if, isclose, pct, r6, strip_upper
+from ..functions.exprs import count_if, isclose, pct, strip_upper
 
 
 class SchemaError(ValueError):
@@ -316,13 +316,9 @@ def fill_transaction_id(df: DataFrame, id_col: str = "transaction_id") -> DataFr
     return df.withColumn(id_col, F.coalesce(F.col(id_col), gen))
 
 
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 __all__ = [
     "SchemaError", "require_columns", "same_columns", "column_profile", "null_counts", "duplicate_count", "dedup",
     "normalise_categoricals", "vocab_violations", "range_report", "binary_report", "amount_filter",
     "coerce_numeric", "quality_flags", "clean", "table_summary", "before_after", "reconciliation",
-    "masked_by_dest", "contract_split", "fill_transaction_id", "r6",
+    "masked_by_dest", "contract_split", "fill_transaction_id",
 ]
