@@ -54,6 +54,7 @@ _BYTE = (_RNG.randint(1, 2**32, 256).astype(np.uint64) << np.uint64(32)) | _RNG.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 2**64))
 _GRAM = np.uint64(0xD6E8FEB86659FD93)
+_GRAM_INV = np.uint64(pow(int(_GRAM), -1, 2**64))
 _CHUNK = 1 << 20
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -69,7 +70,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(33))
 
 
+_KEPT: dict[int, np.ndarray] = {}
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1) modulo 2^64; up to two runs' worth is kept for the next call."""
+    if n <= 2 * _CHUNK:
+        if int(base) not in _KEPT:
+            _KEPT[int(base)] = _power_run(base, 2 * _CHUNK)
+        return _KEPT[int(base)][:n]
+    return _power_run(base, n)
+
+
+def _power_run(base: np.uint64, n: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         out = np.full(n, base, dtype=np.uint64)
         out[0] = 1
@@ -133,6 +146,16 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
     return mix64(h), first, s, e
 
 
+def run_hashes(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """One order-aware hash for each run [first, last) of word hashes."""
+    n = len(hashes)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        if n:
+            np.cumsum(hashes * _powers(_GRAM, n), out=total[1:], dtype=np.uint64)
+        return mix64((total[last] - total[first]) * _powers(_GRAM_INV, n + 1)[first] + (last - first).astype(np.uint64))
+
+
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of each run of `k` consecutive words (empty if there are fewer)."""
     m = len(words) - k + 1

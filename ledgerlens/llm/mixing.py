@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import stored, word_count
 
 # Documents of a source that are sorted together.
-BUCKET_ROWS = 200_000
+BUCKET_ROWS = 20_000
 SYMBOLS = "#*$%&|<>"
 KEY_BITS = 52
 

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import table
+from .html_text import extract_text
+from .jaccard_join import jaccard_groups
+from .line_rules import line_rules
 from .mixing import mix_sources
 from .oracles import OP1
 from .registry import register
+from .url_filter import judge_urls
+from .warc import archive_pages
 
 
 @register("op1_source_mix", OP1)
@@ -16,3 +20,33 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 1: words that the mix of all documents takes from each document."""
     mix = mix_sources(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@register("op4_line_rules")
+def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4: base rules and line-frequency verdict of every document (host: its source)."""
+    return line_rules(table(spark, sf_dir, "documents"))[0]
+
+
+@register("op6_url_filter")
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6: verdict of rules or character models for every page's URL."""
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
+@register("op5_warc_revisits")
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5: archives of all pages with revisit records, read back."""
+    return archive_pages(table(spark, sf_dir, "pages"))[0]
+
+
+@register("op8_main_text")
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8: main text of every page."""
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+@register("op7_jaccard_groups")
+def op7_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7: component of every document under links of Jaccard similarity 0.8 on five-word shingles."""
+    return jaccard_groups(table(spark, sf_dir, "documents"))
