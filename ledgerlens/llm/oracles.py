@@ -26,3 +26,22 @@ p AS (SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs, e.target - (e.
 c AS (SELECT *, epochs + CASE WHEN (2 * before + size)::DOUBLE <= 2 * rest THEN 1 ELSE 0 END AS n FROM p)
 SELECT doc_id, size, source_size, target, (n * size)::BIGINT AS taken, n::BIGINT AS copies FROM c
 """
+
+OP10 = r"""
+WITH l AS (
+  SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS i
+  FROM documents),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h, length(line) >= 120 AS long FROM l),
+b AS (SELECT *, CASE WHEN i = 0 OR long OR lag(long) OVER w OR (h * 31 + coalesce(lead(h) OVER w, 0)) % 4 = 0 THEN 1 ELSE 0 END AS cut
+  FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+n AS (SELECT *, sum(cut) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM b),
+chunk AS (SELECT doc_id, c, min(i) AS pos, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM n GROUP BY doc_id, c),
+able AS (SELECT *, n > 1 OR length(body) >= 120 AS able FROM chunk),
+f AS (SELECT *, able AND row_number() OVER (PARTITION BY able, body ORDER BY doc_id, pos) > 1 AS gone FROM able),
+r AS (SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (WHERE gone), 0)::BIGINT AS removed_lines,
+    coalesce(string_agg(body, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS left_text FROM f GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE r.n_lines END AS n_lines, r.removed_lines,
+  CASE WHEN r.removed_lines = 0 THEN d.text ELSE r.left_text END AS text
+FROM documents d JOIN r USING (doc_id)
+"""

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import contaminated
 from .html_text import extract_text
 from .jaccard_join import jaccard_groups
+from .line_chunks import line_dedup
 from .line_rules import line_rules
 from .mixing import mix_sources
-from .oracles import OP1
+from .oracles import OP1, OP10
 from .registry import register
+from .toxicity import score_toxicity
 from .url_filter import judge_urls
 from .warc import archive_pages
 
@@ -50,3 +53,21 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 7: component of every document under links of Jaccard similarity 0.8 on five-word shingles."""
     return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+@register("op9_decontaminate")
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9: every document and benchmark item it holds an exact or edited copy of."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op10_line_dedup", OP10)
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10: text of every document without chunks of lines that occur earlier in the corpus."""
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
+@register("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3: calibrated toxicity score of every document."""
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
