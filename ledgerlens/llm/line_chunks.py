@@ -52,7 +52,8 @@ def with_chunks(docs: DataFrame, text_col: str = "text", long_chars: int = LONG,
 def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_chars: int = LONG, cut: int = CUT) -> DataFrame:
     """(doc_id, text_hash, positions): first lines of the chunks to remove from each document that has any."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    c = with_chunks(slim, "text", long_chars, cut).select("doc_id", F.xxhash64("text").alias("th"), F.explode("__chunks").alias("c"))
+    # explode_outer: plain explode would add a filter that computes the chunks a second time, below them
+    c = with_chunks(slim, "text", long_chars, cut).select("doc_id", F.xxhash64("text").alias("th"), F.explode_outer("__chunks").alias("c"))
     c = c.where((F.col("c.n") > 1) | (F.length("c.body") >= long_chars))
     c = c.select("doc_id", "th", F.col("c.pos").alias("pos"), F.col("c.body").alias("body"), F.xxhash64("c.body").alias("ch"))
     # null ids come last, as the first occurrence should have an id

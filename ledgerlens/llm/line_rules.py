@@ -41,9 +41,10 @@ _DIGIT = np.arange(256, dtype=np.uint8)
 _DIGIT[ord("0") : ord("9") + 1] = ord("0")
 
 LINE_SCHEMA = (
-    "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+    "key struct<doc_id: long, th: long>, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "lines array<struct<h: long, n: long>>, least array<long>"
 )
+LINE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "least")
 
 
 def _repeat_words(words: np.ndarray) -> int:
@@ -62,7 +63,7 @@ def _repeat_words(words: np.ndarray) -> int:
 
 
 def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Base metrics and normalised line hashes of every whole text of (doc_id, host_hash, text)."""
+    """Base metrics and normalised line hashes of every whole text of (key, host_hash, text)."""
     for batch in batches:
         ids, hosts = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
         cols: dict[str, list] = {k: [] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
@@ -100,20 +101,20 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
         lines = pa.StructArray.from_arrays([pa.array(flat(line_h)), pa.array(flat(line_n))], names=["h", "n"])
         yield pa.RecordBatch.from_arrays(
-            [ids.cast(pa.int64()), *[pa.array(np.array(v, dtype=np.int64)) for v in cols.values()],
+            [ids, *[pa.array(np.array(v, dtype=np.int64)) for v in cols.values()],
              pa.ListArray.from_arrays(pa.array(line_off, pa.int32()), lines),
              pa.ListArray.from_arrays(pa.array(least_off, pa.int32()), pa.array(flat(least)))],
-            names=["doc_id", *cols, "lines", "least"],
+            names=["key", *cols, "lines", "least"],
         )
 
 
 def line_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
     max_documents: int = MAX_DOCUMENTS, max_lost_share: float = MAX_LOST_SHARE, min_words: int = MIN_WORDS,
-) -> tuple[DataFrame, DataFrame]:
-    """(verdicts, boilerplate): one row per document, and the hashes of the removed (host, line) pairs.
+) -> DataFrame:
+    """One row per document:
 
-    Verdict columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
+    doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, lost_words, kept. A document is kept if it
     passes the base rules (at least `min_words` words, at most half of them in
     repeated 3-word windows), loses at most `max_lost_share` of its words with
@@ -123,18 +124,73 @@ def line_rules(
     its own; rows that share an id are judged each, as rows; repeated rows
     count as copies; an empty table gives empty tables; other columns are not read.
     """
+    return _judged(docs, id_col, text_col, host_col, max_documents, max_lost_share, min_words)[0].drop("row", "th")
+
+
+def _judged(
+    docs: DataFrame, id_col: str, text_col: str, host_col: str,
+    max_documents: int = MAX_DOCUMENTS, max_lost_share: float = MAX_LOST_SHARE, min_words: int = MIN_WORDS,
+) -> tuple[DataFrame, DataFrame]:
+    """Verdicts by `row`, with `th` (hash of text and host), and (row, __gone): the removed hashes of rows that have any."""
     host = F.xxhash64(F.coalesce(F.col(host_col).cast("string"), F.lit("\u0000")))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), host.alias("host_hash"), F.col(text_col).alias("text"))
-    m = stored(rows.mapInArrow(measure, LINE_SCHEMA).withColumn("row", F.monotonically_increasing_id()), "line-rules")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(
+        F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text, F.col(host_col).cast("string")).alias("th")).alias("key"),
+        host.alias("host_hash"), text.alias("text"))
+    m = rows.mapInArrow(measure, LINE_SCHEMA).select("key.*", *LINE_COLUMNS).withColumn("row", F.monotonically_increasing_id())
+    m = stored(m, "line-rules")
     lines = m.select("row", F.get("least", F.lit(0)).alias("l0"), F.get("least", F.lit(1)).alias("l1"), F.explode("lines").alias("line"))
     lines = lines.select("row", F.col("line.h").alias("h"), F.col("line.n").alias("n"), "l0", "l1")
     beside = F.when(F.col("l0") == F.col("h"), F.col("l1")).otherwise(F.col("l0"))
     # a document of one line has no other content: all such copies count once (0)
     content = lines.select("h", F.coalesce(beside, F.lit(0)).alias("beside")).distinct()
     frequent = content.groupBy("h").agg(F.count(F.lit(1)).alias("n_documents")).where(F.col("n_documents") > max_documents)
-    frequent = stored(frequent, "line-frequent")
-    lost = lines.join(frequent.select("h"), "h").groupBy("row").agg(F.sum("n").alias("lost_words"))
-    v = m.drop("lines", "least").join(lost, "row", "left").withColumn("lost_words", F.coalesce("lost_words", F.lit(0)).cast("long"))
+    hits = lines.join(frequent.select("h"), "h")
+    lost = stored(hits.groupBy("row").agg(F.sum("n").alias("lost_words"), F.collect_list("h").alias("__gone")), "line-lost")
+    v = m.drop("lines", "least").join(lost.drop("__gone"), "row", "left").withColumn("lost_words", F.coalesce("lost_words", F.lit(0)).cast("long"))
     v = v.withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     v = v.withColumn("kept", ~F.col("base_failed") & (F.col("lost_words") <= max_lost_share * F.col("n_words")))
-    return v.drop("row"), frequent
+    return v, lost.select("row", "__gone")
+
+
+def clean_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **options
+) -> DataFrame:
+    """Kept documents of `docs` without the boilerplate lines of their host; columns as they are.
+
+    The hash of every line is computed again as in `line_rules`, so only the
+    short list of a document's removed hashes travels to its text.
+    Rows that share an id and a text are one document here: they are kept or rejected alike.
+    """
+    verdicts, gone = _judged(docs, id_col, text_col, host_col, **options)
+    mark = F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string"), F.col(host_col).cast("string")).alias("th"))
+    keep = verdicts.where("kept").groupBy("doc_id", "th").agg(F.first("row").alias("row")).join(gone, "row", "left").select(F.struct("doc_id", "th").alias("__mark"), "__gone")
+    out = docs.join(keep, mark.eqNullSafe(F.col("__mark"))).drop("__mark")
+    columns = docs.columns
+    at, kind = columns.index(text_col), docs.schema
+    host = F.xxhash64(F.coalesce(F.col(host_col).cast("string"), F.lit("\u0000")))
+
+    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hosts = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).view(np.uint64)
+            lists = b.column(b.num_columns - 2).to_pylist()
+            texts = b.column(at).to_pylist()
+            for i, lost in enumerate(lists):
+                if lost:
+                    texts[i] = _without(texts[i], hosts[i], set(lost))
+            cols = list(b.columns[: len(columns)])
+            cols[at] = pa.array(texts, cols[at].type)
+            yield pa.RecordBatch.from_arrays(cols, names=columns)
+
+    return out.select(*columns, "__gone", host.alias("__host")).mapInArrow(strip, kind)
+
+
+def _without(text: str, host: np.uint64, lost: set[int]) -> str:
+    """The text without the lines whose (host, line) hash is in `lost`; lines without words stay."""
+    lines = text.split("\n")
+    data = np.frombuffer(text.encode("utf-8"), dtype=np.uint8)
+    off = np.concatenate([[0], np.cumsum([len(x.encode("utf-8")) + 1 for x in lines])])
+    off[-1] -= 1
+    words, first, _, _ = word_hashes(_DIGIT[data], off, lower=True)
+    h = mix64(run_hashes(words, first[:-1], first[1:]) ^ host).view(np.int64)
+    return "\n".join(x for x, own, n in zip(lines, h, np.diff(first)) if not n or int(own) not in lost)

@@ -13,6 +13,7 @@ from .line_rules import line_rules
 from .mixing import mix_sources
 from .oracles import OP1, OP10
 from .registry import register
+from .secrets import scan_secrets
 from .toxicity import score_toxicity
 from .url_filter import judge_urls
 from .warc import archive_pages
@@ -28,7 +29,7 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_line_rules")
 def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4: base rules and line-frequency verdict of every document (host: its source)."""
-    return line_rules(table(spark, sf_dir, "documents"))[0]
+    return line_rules(table(spark, sf_dir, "documents"))
 
 
 @register("op6_url_filter")
@@ -71,3 +72,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 3: calibrated toxicity score of every document."""
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op2_secret_scan")
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2: every secret candidate of all documents, scored by the forest."""
+    return scan_secrets(table(spark, sf_dir, "documents"))
