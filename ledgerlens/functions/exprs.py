@@ -45,6 +45,11 @@ def flag(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False)).cast("int")
 
 
+def number(c: str | Column) -> Column:
+    """A numeric column as double with NaN read as NULL (Spark orders NaN above every number)."""
+    return F.nanvl(col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
 

@@ -15,14 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.exprs import isclose
+from ..functions.exprs import flag, isclose, safe_div
 from ..session import conf_int
 from . import ranks
 
 # Keys with more rows than this are ranked by the split (hot-key) path.
 HOT_KEY_ROWS = 5_000_000
-# Most hot keys we accept to broadcast as a key list (n_rows / HOT_KEY_ROWS bounds it).
-MAX_HOT_KEYS = 200_000
 
 
 def row_features(df: DataFrame, log_amount: str = "log10") -> DataFrame:
@@ -35,35 +33,33 @@ def row_features(df: DataFrame, log_amount: str = "log10") -> DataFrame:
         "log_amount": la,
         "orig_balance_err": old_o - amt - new_o,
         "dest_balance_err": old_d + amt - new_d,
-        "drained_origin": ((new_o == 0) & (old_o > 0)).cast("int"),
-        "origin_emptied": ((new_o == 0) & isclose(old_o, amt)).cast("int"),
-        "amount_to_oldbalanceOrg": amt / (old_o + F.lit(1.0)),
-        "dest_balances_masked": ((old_d == 0) & (new_d == 0)).cast("int"),
+        "drained_origin": flag((new_o == 0) & (old_o > 0)),
+        "origin_emptied": flag((new_o == 0) & isclose(old_o, amt)),
+        # a balance of -1 has no ratio (NULL), it must not end the job
+        "amount_to_oldbalanceOrg": safe_div(amt, old_o + F.lit(1.0)),
+        "dest_balances_masked": flag((old_d == 0) & (new_d == 0)),
         # pandas `!=` is True when either side is missing
         "ip_country_mismatch": F.coalesce(F.col("ip_country") != F.col("home_billing_country"), F.lit(True)).cast("int"),
         "log_ip_distance": F.log10(F.col("ip_billing_distance_km") + F.lit(1.0)),
-        "young_account": (F.col("account_age_days") <= 90).cast("int"),
-        "high_failed_attempts": (F.col("failed_payment_attempts") >= 3).cast("int"),
+        "young_account": flag(F.col("account_age_days") <= 90),
+        "high_failed_attempts": flag(F.col("failed_payment_attempts") >= 3),
         "hour_sin": F.sin(F.lit(2 * math.pi) * hour / F.lit(24.0)),
         "hour_cos": F.cos(F.lit(2 * math.pi) * hour / F.lit(24.0)),
-        "is_transfer": (F.col("type") == "TRANSFER").cast("int"),
+        "is_transfer": flag(F.col("type") == "TRANSFER"),
     })
 
 
 def _hot_keys(df: DataFrame, key: str, threshold: int) -> DataFrame | None:
-    """Keys with more than `threshold` rows, as a small broadcast table (one aggregation pass).
+    """Keys (NULL too) with more than `threshold` rows, as a written table; None if there is none.
 
-    The list is collected once (at most MAX_HOT_KEYS + 1 rows, a checked bound)
-    and re-created as a local table, so the join does not recompute it.
+    The keys never reach the driver: they are written once to the session's
+    shared folder, and Spark decides by their size how to join them.
     """
+    from ..session import stored
+
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    hot = [r[0] for r in counts.where(F.col("__n") > threshold).select(key).limit(MAX_HOT_KEYS + 1).collect()]
-    if not hot:
-        return None
-    if len(hot) > MAX_HOT_KEYS:
-        raise ValueError(f"more than {MAX_HOT_KEYS} hot keys; raise the hot-key threshold")
-    spark = df.sparkSession
-    return F.broadcast(spark.createDataFrame([(k,) for k in hot], df.select(key).schema))
+    hot = stored(counts.where(F.col("__n") > threshold).select(F.col(key).alias("__hot")), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def causal_velocity(
@@ -93,7 +89,7 @@ def causal_velocity(
     hot = _hot_keys(df, key, threshold)
 
     def cold_path(x: DataFrame) -> DataFrame:
-        w = Window.partitionBy(key).orderBy(order_col, id_col)
+        w = Window.partitionBy(key).orderBy(order_col, id_col)  # NULL steps first, as in the hot path
         cols = {
             pc: (F.row_number().over(w) - 1).cast("long"),
             "__prev": F.lag(order_col).over(w),
@@ -103,26 +99,23 @@ def causal_velocity(
         return x.withColumns(cols)
 
     def hot_path(x: DataFrame) -> DataFrame:
-        pos = ranks.row_positions(x, [key], order_col, id_col, out=pc)
+        pos = ranks.row_positions(x, [key], order_col, id_col, out=pc, sums={amount_col: pas} if amount_col else None)
         # distinct (key, step) cells: rows before each step and the previous step
         cells = x.groupBy(key, order_col).agg(F.count(F.lit(1)).alias("__c"))
         cells = ranks.cumulative(cells, [key], [order_col], ["__c"], prefix="__before")
         wc = Window.partitionBy(key).orderBy(order_col)
         cells = cells.withColumn("__prev_step", F.lag(order_col).over(wc)).drop("__c")
-        y = pos.join(cells, [key, order_col], "inner")
+        y = ranks.null_safe_join(pos, cells, [key, order_col])
         first_in_step = F.col(pc) == F.col("__before__c")
         y = y.withColumn("__prev", F.when(first_in_step, F.col("__prev_step")).otherwise(F.col(order_col)))
-        if amount_col:
-            amt = x.select(key, order_col, id_col, amount_col)
-            cum = ranks.cumulative(amt, [key], [order_col, id_col], [amount_col], prefix="__cum_")
-            y = y.join(cum.select(key, id_col, F.col(f"__cum_{amount_col}").alias(pas)), [key, id_col], "inner")
         return y.drop("__before__c", "__prev_step")
 
     if hot is None:
         out = cold_path(df)
     else:
-        cold = cold_path(df.join(hot, key, "left_anti"))
-        hotr = hot_path(df.join(hot, key, "left_semi"))
+        is_hot = F.col(key).eqNullSafe(F.col("__hot"))
+        cold = cold_path(df.join(hot, is_hot, "left_anti"))
+        hotr = hot_path(df.join(hot, is_hot, "left_semi"))
         out = cold.unionByName(hotr.select(*cold.columns))
     out = out.withColumns({
         ssl: F.coalesce((F.col(order_col) - F.col("__prev")).cast("double"), F.lit(-1.0)),

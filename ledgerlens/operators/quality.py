@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from ..functions.exprs import count_if, isclose, pct, strip_upper
+from ..functions.exprs import count_if, flag, isclose, number, pct, strip_upper
 
 
 class SchemaError(ValueError):
@@ -122,7 +122,7 @@ def range_report(df: DataFrame, checks=RANGE_CHECKS) -> DataFrame:
     """Q8/Q10: n_below, n_above, observed min/max per numeric column, one pass."""
     aggs = []
     for c, lo, hi in checks:
-        x = F.col(c).cast("double")
+        x = number(c)
         aggs.append(F.struct(
             F.lit(c).alias("column_name"), F.lit(lo).cast("double").alias("min_allowed"),
             F.lit(hi).cast("double").alias("max_allowed"),
@@ -146,7 +146,8 @@ def binary_report(df: DataFrame, cols: list[str] = BINARY_COLUMNS) -> DataFrame:
 
 def amount_filter(df: DataFrame) -> DataFrame:
     """Q11: drop negative (and missing) amounts; zero amounts are kept."""
-    return df.where(F.col("amount") >= 0)
+    # NaN passes `>= 0` in Spark; the plain comparison still reaches the scan
+    return df.where((F.col("amount") >= 0) & ~F.isnan(F.col("amount").cast("double")))
 
 
 def coerce_numeric(c: str | Column, to: str = "double") -> Column:
@@ -156,16 +157,16 @@ def coerce_numeric(c: str | Column, to: str = "double") -> Column:
 
 def quality_flags(df: DataFrame) -> DataFrame:
     """Q13-Q16: row-level quality flags and Q14 merchant flag."""
-    amt = F.col("amount")
+    amt = number("amount")
     return df.withColumns({
-        "amount_zero_flag": (amt == 0).cast("int"),
-        "invalid_amount_flag": (amt < 0).cast("int"),
-        "invalid_ip_distance_flag": (F.col("ip_billing_distance_km") < 0).cast("int"),
-        "invalid_account_age_flag": (F.col("account_age_days") < 1).cast("int"),
-        "dest_is_merchant": F.col("nameDest").startswith("M").cast("int"),
-        "dest_balance_unknown": ((F.col("oldbalanceDest") == 0) & (F.col("newbalanceDest") == 0) & (amt > 0)).cast("int"),
-        "orig_balance_unknown": ((F.col("oldbalanceOrg") == 0) & (F.col("newbalanceOrig") == 0) & (amt > 0)).cast("int"),
-        "amount_is_zero": (amt == 0).cast("int"),
+        "amount_zero_flag": flag(amt == 0),
+        "invalid_amount_flag": flag(amt < 0),
+        "invalid_ip_distance_flag": flag(F.col("ip_billing_distance_km") < 0),
+        "invalid_account_age_flag": flag(F.col("account_age_days") < 1),
+        "dest_is_merchant": flag(F.col("nameDest").startswith("M")),
+        "dest_balance_unknown": flag((F.col("oldbalanceDest") == 0) & (F.col("newbalanceDest") == 0) & (amt > 0)),
+        "orig_balance_unknown": flag((F.col("oldbalanceOrg") == 0) & (F.col("newbalanceOrig") == 0) & (amt > 0)),
+        "amount_is_zero": flag(amt == 0),
     })
 
 
@@ -185,12 +186,14 @@ def clean(df: DataFrame, scope_types: bool = True, drop_leakage: bool = True) ->
     """
     core_ok = F.lit(True)
     for c in CORE_FIELDS:
-        core_ok = core_ok & F.col(c).isNotNull()
-    amt_ok = F.col("amount") >= 0
+        core_ok = core_ok & ~_is_missing(df, c)
+    amt = number("amount")
+    amt_ok = amt >= 0
     step_ok = F.col("step").between(S.MIN_STEP, S.MAX_STEP)
     in_scope = F.col("type").isin(S.FRAUD_TYPES)
+    # core_ok rules out missing values, so these conditions are never NULL where they count
     kept = core_ok & amt_ok & step_ok
-    out = quality_flags(dedup(df).where(kept))
+    out = quality_flags(amount_filter(dedup(df)).where(kept))
     if scope_types:
         out = out.where(in_scope)
     drop = [c for c in (LEAKAGE_COLS if drop_leakage else []) + SCRATCH_COLS if c in out.columns]
@@ -204,11 +207,11 @@ def clean(df: DataFrame, scope_types: bool = True, drop_leakage: bool = True) ->
         F.sum("__copies").cast("long").alias("rows_in"),
         (F.sum("__copies") - F.count(F.lit(1))).cast("long").alias("duplicates_removed"),
         count_if(~core_ok).alias("missing_core_removed"),
-        count_if(core_ok & (F.col("amount") < 0)).alias("negative_amount_removed"),
-        count_if(core_ok & amt_ok & (F.col("amount") == 0)).alias("amount_is_zero_flagged"),
+        count_if(core_ok & (amt < 0)).alias("negative_amount_removed"),
+        count_if(core_ok & amt_ok & (amt == 0)).alias("amount_is_zero_flagged"),
         count_if(core_ok & amt_ok & ~step_ok).alias("invalid_step_removed"),
-        count_if(kept & (F.col("oldbalanceDest") == 0) & (F.col("newbalanceDest") == 0) & (F.col("amount") > 0)).alias("dest_balance_unknown"),
-        count_if(kept & (F.col("oldbalanceOrg") == 0) & (F.col("newbalanceOrig") == 0) & (F.col("amount") > 0)).alias("orig_balance_unknown"),
+        count_if(kept & (F.col("oldbalanceDest") == 0) & (F.col("newbalanceDest") == 0) & (amt > 0)).alias("dest_balance_unknown"),
+        count_if(kept & (F.col("oldbalanceOrg") == 0) & (F.col("newbalanceOrig") == 0) & (amt > 0)).alias("orig_balance_unknown"),
         (count_if(kept & ~in_scope) if scope_types else F.lit(0).cast("long")).alias("rows_dropped_by_type_scope"),
         count_if(scoped).alias("rows_out"),
         F.sum(F.when(scoped, F.col("isFraud"))).cast("long").alias("fraud_out"),
@@ -266,7 +269,7 @@ def reconciliation(df: DataFrame) -> DataFrame:
 
 def masked_by_dest(df: DataFrame) -> DataFrame:
     """Q24: masked destination-balance rate by destination kind."""
-    masked = ((F.col("oldbalanceDest") == 0) & (F.col("newbalanceDest") == 0)).cast("int")
+    masked = flag((F.col("oldbalanceDest") == 0) & (F.col("newbalanceDest") == 0))
     kind = F.when(F.col("nameDest").startswith("M"), F.lit("merchant (M)")).otherwise(F.lit("customer (C)"))
     return df.groupBy(kind.alias("dest_kind")).agg(F.round(pct(F.avg(masked)), 1).alias("masked_pct"))
 

@@ -21,17 +21,17 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 # Rows per bucket targeted by the within-bucket windows; bounds task size.
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 20_000
 
 
 def n_buckets(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    return int(max(1, min(MAX_BUCKETS, math.ceil(n_rows / max(1, rows_per_bucket)))))
+    return int(max(1, math.ceil(n_rows / max(1, rows_per_bucket))))
 
 
 PROBE_BUCKETS = 1024
@@ -81,7 +81,32 @@ def with_bucket(df: DataFrame, column: str, bounds: list[float], out: str) -> Da
     splits = [-math.inf] + bounds + [math.inf]
     tmp = f"__{out}_in"
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
-    return b.transform(df.withColumn(tmp, F.col(column).cast("double"))).drop(tmp)
+    # NULL sorts first in a window, so it belongs to the first bucket
+    return b.transform(df.withColumn(tmp, F.coalesce(F.col(column).cast("double"), F.lit(-1.7e308)))).drop(tmp)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join on `on` in which NULL equals NULL; columns of `left`, then the others of `right`."""
+    r = right.select(*[F.col(c).alias(f"__r_{c}") for c in on], *[c for c in right.columns if c not in on])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+    return left.join(r, cond).drop(*[f"__r_{c}" for c in on])
+
+
+def order_number(df: DataFrame, column: str) -> Column:
+    """A number that never falls as the column rises, for range buckets: the column itself, or 6 bytes of a text.
+
+    Texts are taken from behind the prefix that all of them share (one pass for
+    the smallest and largest value), so ids like `txn_000123` spread over the buckets.
+    """
+    if not isinstance(df.schema[column].dataType, StringType):
+        return F.col(column).cast("double")
+    row = df.agg(F.min(column).alias("a"), F.max(column).alias("b")).first()
+    a, b = ((row[k] or "").encode() for k in "ab")
+    shared = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    part = F.hex(F.substring(F.col(column).cast("binary"), shared + 1, 6))
+    return F.conv(F.rpad(part, 12, "0"), 16, 10).cast("double")
 
 
 def cumulative(
@@ -128,7 +153,7 @@ def cumulative(
     )
     frame_end = 0 if inclusive else -1
     w = Window.partitionBy(*group_cols, b).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
-    x = x.join(offsets, on=[*group_cols, b], how="inner")
+    x = null_safe_join(x, offsets, [*group_cols, b])
     return x.select(
         *[c for c in agg.columns],
         *[(F.col(f"__off_{m}") + F.coalesce(F.sum(m).over(w), F.lit(0))).alias(f"{prefix}{m}") for m in measures],
@@ -143,28 +168,35 @@ def row_positions(
     id_col: str,
     descending: bool = False,
     out: str = "pos",
+    sums: dict[str, str] | None = None,
 ) -> DataFrame:
     """0-based position of every row in (value, id) order within its group.
 
     Ties on value are broken by `id_col` ascending; `descending` orders values
     from high to low. Equivalent to `row_number() over (partition by group
-    order by value, id) - 1` but never puts a whole group into one task.
+    order by value, id) - 1` but never puts a whole group, or a whole value of
+    one, into one task. `sums` {column: name} adds the sums over the rows before.
+    NULL groups, values and ids are kept, in the window's order.
     """
+    sums = sums or {}
     if not group_cols:
-        return row_positions(df.withColumn("__g", F.lit(0)), ["__g"], value_col, id_col, descending, out).drop("__g")
+        return row_positions(df.withColumn("__g", F.lit(0)), ["__g"], value_col, id_col, descending, out, sums).drop("__g")
     sk = "__sk"
     ib = "__ib"
     base = df.withColumn(sk, -F.col(value_col) if descending else F.col(value_col))
-    _, id_bounds = count_and_bounds(base, id_col, max(1, rows_per_bucket_for(base) // 4))
-    base = with_bucket(base, id_col, id_bounds, ib)
-    cells = base.groupBy(*group_cols, sk, ib).agg(F.count(F.lit(1)).alias("__c"))
-    cells = cumulative(cells, group_cols, [sk, ib], ["__c"], prefix="__cum")
+    base = base.withColumn("__idn", order_number(base, id_col))
+    _, id_bounds = count_and_bounds(base, "__idn", max(1, rows_per_bucket_for(base) // 4))
+    base = with_bucket(base, "__idn", id_bounds, ib).drop("__idn")
+    totals = {f"__s_{i}": c for i, c in enumerate(sums)}
+    cells = base.groupBy(*group_cols, sk, ib).agg(F.count(F.lit(1)).alias("__c"), *[F.sum(c).alias(s) for s, c in totals.items()])
+    cells = cumulative(cells, group_cols, [sk, ib], ["__c", *totals], prefix="__cum").drop("__c", *totals)
     w = Window.partitionBy(*group_cols, sk, ib).orderBy(id_col)
-    return (
-        base.join(cells.drop("__c"), on=[*group_cols, sk, ib], how="inner")
-        .withColumn(out, (F.col("__cum__c") + F.row_number().over(w) - 1).cast("long"))
-        .drop(sk, ib, "__cum__c")
-    )
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    res = null_safe_join(base, cells, [*group_cols, sk, ib])
+    res = res.withColumn(out, (F.col("__cum__c") + F.row_number().over(w) - 1).cast("long"))
+    for s, c in totals.items():
+        res = res.withColumn(sums[c], F.col(f"__cum{s}") + F.coalesce(F.sum(c).over(before), F.lit(0)))
+    return res.drop(sk, ib, "__cum__c", *[f"__cum{s}" for s in totals])
 
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs: list[float]) -> DataFrame:

@@ -175,7 +175,7 @@ def _before_after_sql() -> str:
     norm = ", ".join(
         f"{_norm_sql(c)} AS {c}" if c in Q.CATEGORICAL else c for c in S.ENRICHED_COLUMNS
     )
-    after_src = f"SELECT DISTINCT {norm} FROM transactions WHERE amount >= 0"
+    after_src = f"SELECT {norm} FROM (SELECT DISTINCT {_ENR} FROM transactions WHERE amount >= 0)"
     metrics = ["rows", "columns", "missing_cells", "duplicate_rows", "fraud_count", "fraud_rate_pct"]
 
     def long(alias: str, src: str) -> str:
@@ -188,9 +188,9 @@ FROM ({long('before', 'SELECT * FROM transactions')}) b JOIN ({long('after', aft
 
 @query("before_after", _before_after_sql())
 def before_after(spark, sf):
-    """Q22: before/after summary of cleaning (dedup, normalise, amount filter)."""
+    """Q22: before/after summary of cleaning (dedup, then normalise, then amount filter)."""
     before = enriched(spark, sf)
-    after = Q.amount_filter(Q.dedup(Q.normalise_categoricals(before)))
+    after = Q.amount_filter(Q.normalise_categoricals(Q.dedup(before)))
     return Q.before_after(before, after)
 
 

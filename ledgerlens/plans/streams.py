@@ -19,8 +19,21 @@ from ..streaming.scorer import score_stream
 from .evaluate import test_threshold
 from .score import SCORED_CTE, _R, scored
 
-# stand-in arrival order: four slices of the step horizon, written one after another
-ARRIVAL_SLICES = [(1, 180), (181, 360), (361, 540), (541, 10_000)]
+# stand-in arrival order: slices of the step horizon, one after another; the first and the last are open
+ARRIVAL_ENDS = (180, 360, 540)
+
+
+def _arrivals(df):
+    """`df` cut by step into the slices in which it arrives; rows without a step come first."""
+    cuts = [None, *ARRIVAL_ENDS, None]
+    for lo, hi in zip(cuts, cuts[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col("step") > lo)
+        if hi is not None:
+            low = F.col("step") <= hi
+            cond = cond & (F.coalesce(low, F.lit(True)) if lo is None else low)
+        yield df.where(cond)
 
 
 _VW = "(PARTITION BY coalesce(nameDest, 'UNKNOWN_DEST') ORDER BY step, txn_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -37,24 +50,17 @@ def stream_velocity(spark, sf):
     t = transactions(spark, sf)
     req = t.select("txn_id", "type", "step", "nameDest")
     src, out, ckpt = J.scratch(spark, "req-src"), J.scratch(spark, "vel-out"), J.scratch(spark, "vel-ckpt")
-    for lo, hi in ARRIVAL_SLICES:
-        req.where(F.col("step").between(lo, hi)).coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(req.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    J.run_available_now(velocity_stream(stream), out, ckpt)
+    for part in _arrivals(req):
+        # what has arrived is one micro-batch, in as many files as Spark writes
+        part.write.mode("append").parquet(src)
+        J.run_available_now(velocity_stream(spark.readStream.schema(req.schema).parquet(src)), out, ckpt)
     return spark.read.parquet(out)
 
 
-def _event_source(spark, sf, replay: bool):
+def _log_slices(spark, sf):
+    """Stand-in log text of scored events, in arrival slices."""
     s, _ = scored(spark, sf)
-    rec = EV.event_records(s)
-    src = J.scratch(spark, "events-src")
-    for lo, hi in ARRIVAL_SLICES:
-        EV.stand_in_lines(rec.where(F.col("step").between(lo, hi))).coalesce(1).write.mode("append").text(src)
-    if replay:
-        # at-least-once delivery: the first slice arrives a second time
-        lo, hi = ARRIVAL_SLICES[0]
-        EV.stand_in_lines(rec.where(F.col("step").between(lo, hi))).coalesce(1).write.mode("append").text(src)
-    return src
+    return [EV.stand_in_lines(part) for part in _arrivals(EV.event_records(s))]
 
 
 _EVENTS_SQL = txn_sql(f"""
@@ -67,8 +73,11 @@ EVENT_KEYS = ["transaction_id", "type", "decision", "event_time_utc"]
 @query("stream_dedup", _EVENTS_SQL)
 def stream_dedup(spark, sf):
     """Q5 on a stream: re-delivered scored events dropped by transaction_id within the watermark."""
-    src = _event_source(spark, sf, replay=True)
-    out, ckpt = J.scratch(spark, "dedup-out"), J.scratch(spark, "dedup-ckpt")
+    src, out, ckpt = J.scratch(spark, "events-src"), J.scratch(spark, "dedup-out"), J.scratch(spark, "dedup-ckpt")
+    slices = _log_slices(spark, sf)
+    # at-least-once delivery: the first slice arrives twice
+    for part in [slices[0], *slices]:
+        part.write.mode("append").text(src)
     s = J.read_event_stream(spark, src).where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     J.run_available_now(J.dedup_events(s, watermark=f"{S.DEFAULT_STEP} hours"), out, ckpt)
     return spark.read.parquet(out).select(*EVENT_KEYS)
@@ -76,17 +85,13 @@ def stream_dedup(spark, sf):
 
 @query("stream_ingest", _EVENTS_SQL)
 def stream_ingest(spark, sf):
-    """Two availableNow runs over a growing log; the second appends only the new file."""
-    s, _ = scored(spark, sf)
-    rec = EV.event_records(s)
+    """Two availableNow runs over a growing log; the second appends only the new files."""
     src, table, ckpt = J.scratch(spark, "ingest-src"), J.scratch(spark, "ingest-table"), J.scratch(spark, "ingest-ckpt")
-    first, rest = ARRIVAL_SLICES[:2], ARRIVAL_SLICES[2:]
-    for lo, hi in first:
-        EV.stand_in_lines(rec.where(F.col("step").between(lo, hi))).coalesce(1).write.mode("append").text(src)
-    J.ingest_events(spark, src, table, ckpt)
-    for lo, hi in rest:
-        EV.stand_in_lines(rec.where(F.col("step").between(lo, hi))).coalesce(1).write.mode("append").text(src)
-    J.ingest_events(spark, src, table, ckpt)
+    slices = _log_slices(spark, sf)
+    for run in (slices[:2], slices[2:]):
+        for part in run:
+            part.write.mode("append").text(src)
+        J.ingest_events(spark, src, table, ckpt)
     return spark.read.parquet(table).select(*EVENT_KEYS)
 
 
@@ -99,14 +104,12 @@ WHERE type IN ('TRANSFER','CASH_OUT') AND NOT ({_R['blank']}) AND NOT ({_R['junk
 GROUP BY 1""", ctes=SCORED_CTE))
 def stream_rolling(spark, sf):
     """MN5 on a stream: 168-hour sliding windows (1-hour slide) of labelled scored events."""
-    src = _event_source(spark, sf, replay=False)
-    out, ckpt = J.scratch(spark, "roll-out"), J.scratch(spark, "roll-ckpt")
-    s = J.read_event_stream(spark, src, max_files_per_trigger=10).where(F.col("_corrupt_record").isNull())
-    s = s.where(F.col("type").isin(S.FRAUD_TYPES))
-    J.write_complete(J.rolling_window_counts(s), out, ckpt)
-    return spark.read.parquet(out).select(J.window_end_step().alias("window_end_step"), "n",
-                                           F.col("fraud").cast("long").alias("fraud"), F.col("flagged").cast("long").alias("flagged"),
-                                           F.col("tp").cast("long").alias("tp"))
+    src, out, ckpt = J.scratch(spark, "events-src"), J.scratch(spark, "roll-out"), J.scratch(spark, "roll-ckpt")
+    for part in _log_slices(spark, sf):
+        part.write.mode("append").text(src)
+        s = J.read_event_stream(spark, src).where(F.col("_corrupt_record").isNull())
+        J.write_updates(J.hourly_counts(s.where(F.col("type").isin(S.FRAUD_TYPES))), out, ckpt)
+    return J.rolling_from_hours(J.latest_hours(spark, out))
 
 
 @query("stream_scoring", txn_sql("""
@@ -117,9 +120,8 @@ def stream_scoring(spark, sf):
     _, t = test_threshold(spark, sf)
     req = transactions(spark, sf)
     src, out, ckpt = J.scratch(spark, "score-src"), J.scratch(spark, "score-out"), J.scratch(spark, "score-ckpt")
-    for lo, hi in ARRIVAL_SLICES:
-        req.where(F.col("step").between(lo, hi)).coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(req.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    J.run_available_now(score_stream(stream, "score", t), out, ckpt)
+    for part in _arrivals(req):
+        part.write.mode("append").parquet(src)
+        J.run_available_now(score_stream(spark.readStream.schema(req.schema).parquet(src), "score", t), out, ckpt)
     return spark.read.parquet(out).select("txn_id", "decision", "fraud_probability", "risk_signals", "reason",
                                           "dest_prior_count", "dest_steps_since_last", "dest_first_seen")

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for local runs. On a cluster the launcher's values win because
 # `getOrCreate` returns the existing session untouched.
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("LEDGERLENS_SCRATCH", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
@@ -63,6 +66,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` once to the shared folder and read it back: cuts lineage, survives lost executors."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     """Integer setting from the session conf (e.g. `spark.ledgerlens.velocity.hotKeyRows`), else the default."""
     v = spark.conf.get(key, None)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.exprs import flag
 from .fixture import _du, _u
 
 EVENT_FIELDS = [f.name for f in S.EVENT_SCHEMA.fields if f.name != "_corrupt_record"]
@@ -76,7 +77,7 @@ def stand_in_sql(prefix: str = "") -> dict[str, str]:
 def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """S7 over a column of text lines: blank flag, parsed struct, corrupt flag."""
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    blank = F.trim(F.col(col)) == ""
+    blank = ~F.col(col).rlike(r"\S")
     j = F.from_json(F.col(col), S.EVENT_SCHEMA, opts)
     return lines.select(blank.alias("__blank"), j.alias("e")).select("__blank", "e.*")
 
@@ -108,7 +109,7 @@ def read_event_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
 
 def count_logged_events(spark: SparkSession, path: str) -> int:
     """Number of non-blank lines in the log."""
-    return spark.read.text(path).where(F.trim("value") != "").count()
+    return spark.read.text(path).where(F.col("value").rlike(r"\S")).count()
 
 
 def _num(c: str, t: str = "double") -> Column:
@@ -156,5 +157,5 @@ def event_frame(events: DataFrame) -> DataFrame:
         # numeric coercion of the logged label (double, NULL when unlabelled or unparseable)
         _num("actual_label", "double").alias("isFraud"),
         _num("fraud_probability").alias("prediction_proba"),
-        F.col("decision").isin("REVIEW", "BLOCK").cast("int").alias("prediction"),
+        flag(F.col("decision").isin("REVIEW", "BLOCK")).alias("prediction"),
     )

@@ -129,7 +129,7 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-_MATERIALISED: dict[tuple[int, str], str] = {}
+_MATERIALISED: dict[tuple[str, str], str] = {}
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +144,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from ..session import checkpoint_dir
 
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     path = _MATERIALISED.get(key)
     if path is None:
         path = f"{checkpoint_dir(spark).rstrip('/')}/transactions-{uuid.uuid4().hex}"

@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.exprs import flag
 from ..session import checkpoint_dir
 
 
@@ -23,16 +24,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def read_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
+def read_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Tolerant JSON-lines stream of scored events (malformed lines kept aside in _corrupt_record)."""
-    return (spark.readStream.schema(S.EVENT_SCHEMA).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .option("maxFilesPerTrigger", max_files_per_trigger).json(path))
+    r = spark.readStream.schema(S.EVENT_SCHEMA).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.json(path)
 
 
 def event_time(df: DataFrame) -> DataFrame:
-    """Parse the ISO-8601 UTC stamp as an instant (the trailing Z is read as the UTC offset)."""
-    return df.withColumn("event_time", F.to_timestamp("event_time_utc", "yyyy-MM-dd'T'HH:mm:ssXXX"))
+    """Parse the ISO-8601 UTC stamp as an instant (the trailing Z is read as the UTC offset).
+
+    An unreadable stamp gives NULL: one bad record never ends a stream.
+    """
+    return df.withColumn("event_time", F.try_to_timestamp("event_time_utc", F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
 
 
 # Origin of the step clock (step 1 = the hour starting here), as epoch seconds (UTC).
@@ -63,25 +68,43 @@ def dedup_events(stream: DataFrame, watermark: str = "24 hours") -> DataFrame:
     return event_time(stream).withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["transaction_id"])
 
 
-def rolling_window_counts(stream: DataFrame, window_hours: int = S.ROLLING_WINDOW_STEPS, watermark: str = "1 hour") -> DataFrame:
-    """MN5 on a stream: sliding 168-hour windows every hour over labelled events.
+def hourly_counts(stream: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """MN5 on a stream, first half: n, fraud, flagged and true positives of labelled events per hour.
 
-    Keeps n, fraud, flagged and true positives per window; precision, recall
-    and F1 follow from them exactly as in the batch rolling metrics.
+    One row per hour and key of state; the 168-hour windows follow from the
+    hourly table (`rolling_from_hours`), so no event is multiplied by its windows.
     """
-    e = event_time(stream).where(F.col("actual_label").isNotNull())
+    e = event_time(stream).where(F.col("actual_label").isNotNull() & F.col("event_time").isNotNull())
     label = F.col("actual_label").try_cast("int")
-    flagged = F.col("decision").isin("REVIEW", "BLOCK").cast("int")
+    flagged = flag(F.col("decision").isin("REVIEW", "BLOCK"))
     return (e.withWatermark("event_time", watermark)
-            .groupBy(F.window("event_time", f"{window_hours} hours", "1 hour"))
+            .groupBy(F.window("event_time", "1 hour"))
             .agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("fraud"), F.sum(flagged).alias("flagged"),
-                 F.sum(((label == 1) & (flagged == 1)).cast("int")).alias("tp")))
+                 F.sum(flag((label == 1) & (flagged == 1))).alias("tp"))
+            .select(window_end_step().alias("step"), "n", "fraud", "flagged", "tp"))
 
 
-def write_complete(stream: DataFrame, out: str, ckpt: str) -> None:
-    """Complete-mode aggregate written as a whole table at every micro-batch (bounded: one row per window)."""
-    def sink(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+def write_updates(stream: DataFrame, out: str, ckpt: str) -> None:
+    """Write the rows that each micro-batch changed under its own epoch folder (a replayed batch overwrites its own)."""
+    def sink(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
-    q = stream.writeStream.outputMode("complete").foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q = stream.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
+
+
+def latest_hours(spark: SparkSession, out: str) -> DataFrame:
+    """The hourly table: of each hour the row of its last epoch."""
+    rows = spark.read.option("basePath", out).parquet(out)
+    last = F.max_by(F.struct("n", "fraud", "flagged", "tp"), "epoch")
+    return rows.groupBy("step").agg(last.alias("v")).select("step", "v.*")
+
+
+def rolling_from_hours(hours: DataFrame, window_hours: int = S.ROLLING_WINDOW_STEPS) -> DataFrame:
+    """Sliding windows of `window_hours`, one per hour at its end, from the hourly table (one row per hour)."""
+    span = hours.agg(F.min("step").alias("a"), F.max("step").alias("b")).where("a is not null")
+    ends = span.select(F.explode(F.sequence(F.col("a"), F.col("b") + (window_hours - 1))).alias("step"))
+    w = Window.orderBy("step").rangeBetween(-(window_hours - 1), 0)
+    full = ends.join(hours, "step", "left")
+    cols = {c: F.coalesce(F.sum(c).over(w), F.lit(0)).cast("long") for c in ("n", "fraud", "flagged", "tp")}
+    return full.select(F.col("step").alias("window_end_step"), *[v.alias(c) for c, v in cols.items()]).where("n > 0")

@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from ledgerlens.plans.registry import ORACLES, QUERIES, load_all
 from oracle_compare import compare
 
-ORACLES = E.oracle_sql()
+load_all()
 
 
 def test_every_query_is_registered_with_a_docstring():
@@ -14,7 +15,8 @@ def test_every_query_is_registered_with_a_docstring():
     assert len(qs) >= 100
     for name, fn in qs.items():
         assert fn.__doc__, name
-    assert set(ORACLES) <= set(qs)
+    assert set(ORACLES) <= set(QUERIES) <= set(qs)
+    assert set(E.oracle_sql()) <= set(qs)
 
 
 def test_entry_runs(spark):

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from ledgerlens.plans.registry import QUERIES, load_all
 
 ML_AND_STREAMS = {"train_lr", "train_rf", "train_gbt", "smote", "rf_importance", "tune_lr", "leaderboard", "final_test",
                   "policy_document", "model_roundtrip", "feature_list_document", "stream_velocity", "stream_dedup",
@@ -14,7 +15,10 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - ML_AND_STREAMS))
+load_all()
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - ML_AND_STREAMS))
 def test_no_cross_or_nested_loop_join(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

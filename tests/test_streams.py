@@ -58,13 +58,13 @@ def test_stream_scoring_equals_batch_decisions(spark):
 
 
 def test_velocity_state_ttl_option_keeps_results_when_not_idle(spark, tmp_path):
-    from ledgerlens.plans.streams import ARRIVAL_SLICES
+    from ledgerlens.plans.streams import _arrivals
     from ledgerlens.streaming.velocity import stream_velocity
 
     req = transactions(spark, SF_SMALL).select("txn_id", "type", "step", "nameDest")
     src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ckpt")
-    for lo, hi in ARRIVAL_SLICES:
-        req.where(F.col("step").between(lo, hi)).coalesce(1).write.mode("append").parquet(src)
+    for part in _arrivals(req):
+        part.coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(req.schema).option("maxFilesPerTrigger", 1).parquet(src)
     # an hour of processing time: no destination goes idle during this short run. State timeouts
     # need a continuously running query (processing-time trigger), not availableNow.
@@ -101,7 +101,7 @@ def test_one_row_places_aggregates_side_by_side(spark):
 
 
 def test_stream_scoring_with_caller_overrides_equals_batch(spark, tmp_path):
-    from ledgerlens.plans.streams import ARRIVAL_SLICES
+    from ledgerlens.plans.streams import _arrivals
     from ledgerlens.streaming import jobs as J
     from ledgerlens.streaming.scorer import score_stream
 
@@ -111,8 +111,8 @@ def test_stream_scoring_with_caller_overrides_equals_batch(spark, tmp_path):
         "dest_steps_since_last": F.when(F.col("txn_id") % 7 == 0, F.lit(2.0)),
     })
     src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ckpt")
-    for lo, hi in ARRIVAL_SLICES:
-        req.where(F.col("step").between(lo, hi)).coalesce(1).write.mode("append").parquet(src)
+    for part in _arrivals(req):
+        part.coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(req.schema).option("maxFilesPerTrigger", 1).parquet(src)
     J.run_available_now(score_stream(stream, "score", 0.05), out, ckpt)
     cols = ["txn_id", "decision", "risk_signals", "dest_prior_count", "dest_steps_since_last", "dest_first_seen"]
