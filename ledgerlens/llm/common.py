@@ -55,7 +55,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 2**64))
 _GRAM = np.uint64(0xD6E8FEB86659FD93)
 _GRAM_INV = np.uint64(pow(int(_GRAM), -1, 2**64))
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -90,7 +90,7 @@ def _power_run(base: np.uint64, n: int) -> np.ndarray:
 
 
 def text_chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Split an Arrow string array into runs of documents of about 1 MB.
+    """Split an Arrow string array into runs of documents of about 256 KB.
 
     Yields (first document, last + 1, bytes, document offsets into the bytes);
     nulls count as empty. Bounds the numpy temporaries of a batch; a longer

@@ -4,17 +4,17 @@ Jaccard distance is a metric, so |d(x, p) - d(y, p)| <= d(x, y) for any pivot
 p. Two sets link when their distance is at most eps = 0.2.
 
 1. Equal sets become one class, so copies cost nothing below.
-2. Regions. Linked sets share one of their rarest floor(eps * n) + 1 shingles
-   (any fixed order of shingles makes this exact; one with common shingles last
-   makes it selective). The smallest class that holds such a shingle is the
-   pivot of its holders; a set on the border of several regions is
-   replicated into each. Far sets, at distance 1 from every pivot, belong to none.
-3. Every member is compared with its pivots only, a number linear in the
-   members: those within eps link to the pivot.
-4. Members linked to the pivot through any region are settled with one
-   another, as they have one component already. The others recurse: each
-   undecided member of a region is joined with the members inside its triangle-inequality
-   and size windows, in cells of bounded size, and exactly.
+2. Regions. In any fixed order of shingles, linked sets of sizes n and m share
+   at least l = 1 + floor(SPARE * min(n, m)) of their first floor(eps * n) + l
+   shingles (the prefix; common shingles come last in the order, which makes it
+   selective). A set with fewer shared prefix shingles than its own size asks
+   for links with nothing. Of the sets that hold a prefix shingle, the smallest class is the
+   pivot; a set on the border of several regions is replicated into each. Far
+   sets, at distance 1 from every pivot, belong to none.
+3. Every member is compared with its pivots; those within eps link.
+4. Members of one component are settled with one another, however far apart.
+   The others recurse: each open member of a region is joined with the members
+   inside its triangle-inequality and size windows, in cells of bounded size, exactly.
 
 A region of copies, however large, is settled in step 3 but for the members on
 its border. No step emits the pairs of a region.
@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, run_hashes, stored, text_chunks, word_hashes
+from .common import gram_hashes, mix64, run_hashes, stored, text_chunks, word_hashes
 from .components import components
 
 WORDS = 5
@@ -43,9 +43,16 @@ COMMON_SHARE = 0.001
 COMMON_LEAST = 16
 # Shingles of the undecided and of the other members in one cell of a split region.
 CELL_OUTER, CELL_INNER = 250_000, 1_000_000
+# Prefix shingles beyond the first shared one, as a share of the set.
+SPARE = 0.05
+# Bits of the map that spares the texts of far documents a shuffle; past some ten million regions' members it lets all through.
+BITS = 1 << 25
+# Shingles that a task counts at once to find the common ones.
+RUN = 1_000_000
 
 INDEX_SCHEMA = "doc_id long, n_shingles long, cls long, prefix array<long>"
 CELL_SCHEMA = "a long, b long"
+LIKELY_SCHEMA = "cls long, pivot long, label long, n long, d double, o long, i long, outer boolean, inner boolean"
 
 
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -64,15 +71,26 @@ def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
 
 def _common(words: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Shingles that three or more documents of a batch hold, with their number."""
+        """Shingles that two or more documents of a run hold, with their number; a run has RUN shingles."""
+        held, size = [], 0
         for batch in batches:
-            sets = list(shingle_sets(batch.column(0), words))
-            u, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(u[n >= 3].view(np.int64)), pa.array(n[n >= 3].astype(np.int64))], names=["s", "n"])
+            for s in shingle_sets(batch.column(0), words):
+                held.append(s.copy())
+                size += len(s)
+                if size >= RUN:
+                    yield _twice(held)
+                    held, size = [], 0
+        if held:
+            yield _twice(held)
 
     return count
 
 
+def _twice(sets: list[np.ndarray]) -> pa.RecordBatch:
+    u, n = np.unique(np.concatenate(sets), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(u[n > 1].view(np.int64)), pa.array(n[n > 1].astype(np.int64))], names=["s", "n"])
+
+
 def set_class(s: np.ndarray) -> int:
     return int(run_hashes(s, np.zeros(1, np.int64), np.array([len(s)]))[:1].view(np.int64)[0])
 
@@ -83,7 +101,7 @@ def _index(words: int, percent: int, common: np.ndarray):
         for batch in batches:
             n, cls, parts, off = [], [], [], [0]
             for s in shingle_sets(batch.column(1), words):
-                take = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
+                take = len(s) - -(-percent * len(s) // 100) + 1 + int(SPARE * len(s)) if len(s) else 0
                 if len(common) and take:
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
                     late = common[at] == s
@@ -104,59 +122,125 @@ def _index(words: int, percent: int, common: np.ndarray):
     return index
 
 
-def _sets(words: int):
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cls, n, raw = [], [], []
-            for s in shingle_sets(batch.column(0), words):
-                cls.append(set_class(s))
-                n.append(len(s))
-                raw.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(raw, pa.binary())], names=["cls", "n", "s"])
+def _bit(ids: pa.Array) -> np.ndarray:
+    return (mix64(pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) % np.uint64(BITS)).astype(np.int64)
 
-    return sets
 
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size of the intersection of the two sets of every pair (cls, pivot, n, pn, s, ps)."""
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of the bit map (place, mask) that the ids of a batch set."""
     for b in batches:
-        common = [
-            len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-            for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist())
-        ]
-        yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(common, pa.int64())], names=["cls", "pivot", "n", "pn", "shared"])
+        bit = np.unique(_bit(b.column(0)))
+        place, start = np.unique(bit >> 5, return_index=True)
+        mask = np.bitwise_or.reduceat(np.int64(1) << (bit & 31), start) if len(bit) else bit
+        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(mask)], names=["place", "mask"])
 
 
-def _cell(percent: int):
-    eps = 1 - percent / 100
+def _maybe(bitmap: np.ndarray):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (doc_id, text) whose id may be in the bit map, and those without an id."""
+        for b in batches:
+            bit = _bit(b.column(0))
+            hit = (bitmap[bit >> 5] >> (bit & 31)) & 1
+            yield b.filter(pa.array((hit == 1) | pc.is_null(b.column(0)).to_numpy(zero_copy_only=False)))
+
+    return keep
+
+
+def _classes(words: int):
+    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cls = [set_class(s) for s in shingle_sets(b.column(0), words)]
+            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), b.column(0)], names=["cls", "text"])
+
+    return classes
+
+
+def _shared(words: int):
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Size of the intersection of the two sets of every pair (cls, pivot, n, pn, text, ptext)."""
+        for b in batches:
+            pivots: dict[int, np.ndarray] = {}
+            first = {p: i for i, p in enumerate(b.column(1).to_pylist())}
+            for p, s in zip(first, shingle_sets(b.column(5).take(pa.array(list(first.values()), pa.int64())), words)):
+                pivots[p] = s
+            common = [
+                len(np.intersect1d(s, pivots[p], assume_unique=True))
+                for p, s in zip(b.column(1).to_pylist(), shingle_sets(b.column(4), words))
+            ]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(common, pa.int64())], names=["cls", "pivot", "n", "pn", "shared"])
+
+    return shared
+
 
+def _near(d: np.ndarray, dist: float, n: np.ndarray, size: int, percent: int) -> np.ndarray:
+    """Members inside the triangle-inequality and size windows of one; NaN distances bound nothing."""
+    return ~(np.abs(d - dist) > 1 - percent / 100 + 1e-9) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+
+
+class _Holders:
+    """Inverted index over sorted arrays: how many elements each shares with another one."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.argsort(flat, kind="stable")
+        self.flat, self.rows, self.n = flat[order], rows[order], len(sets)
+
+    def shared(self, s: np.ndarray) -> np.ndarray:
+        lo, hi = np.searchsorted(self.flat, s, "left"), np.searchsorted(self.flat, s, "right")
+        k = hi - lo
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(k)[:-1]]), k) + np.arange(k.sum())
+        return np.bincount(self.rows[at], minlength=self.n)
+
+
+def _likely(percent: int):
+    def likely(cell: pa.Table) -> pa.Table:
+        """Rows of a cell that share enough prefix shingles with another to link, without their hits.
+
+        Rows: pivot, o, i, outer, inner, cls, label, n, d, hits (sorted shared prefix shingles).
+        """
+        hits = [np.array(h, dtype=np.int64).view(np.uint64) for h in cell.column("hits").to_pylist()]
+        left, right = (np.flatnonzero(cell.column(c).to_numpy()) for c in ("outer", "inner"))
+        cls, label, n, d = (cell.column(c).to_numpy() for c in ("cls", "label", "n", "d"))
+        index = _Holders([hits[j] for j in right])
+        spare = (SPARE * n).astype(np.int64)
+        outer, inner = np.zeros(len(hits), bool), np.zeros(len(hits), bool)
+        for x in left:
+            near = (label[right] != label[x]) & (cls[right] != cls[x]) & _near(d[right], d[x], n[right], n[x], percent)
+            if near.any():
+                found = near & (index.shared(hits[x]) >= 1 + np.minimum(spare[right], spare[x]))
+                outer[x] |= found.any()
+                inner[right[found]] = True
+        keep = outer | inner
+        cell = cell.drop_columns(["hits", "outer", "inner"]).filter(pa.array(keep))
+        cell = cell.append_column("outer", pa.array(outer[keep])).append_column("inner", pa.array(inner[keep]))
+        return cell.select([c.split()[0] for c in LIKELY_SCHEMA.split(", ")])
+
+    return likely
+
+
+def _cell(percent: int, words: int):
     def join(cell: pa.Table) -> pa.Table:
         """Links between the undecided and the other members of one cell that connect two components.
 
-        Rows: outer (bool), cls, label, n, d (distance to the region's pivot), s.
+        Rows: outer, inner (bool: on which sides of the join), cls, label, n, d
+        (distance to the region's pivot, or NaN where sizes alone keep them apart), text.
         """
-        outer = cell.filter(cell.column("outer"))
-        inner = cell.filter(pc.invert(cell.column("outer")))
-        col = lambda t, c: t.column(c).to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in inner.column("s").to_pylist()]
-        cls, label, n, d = (col(inner, c) for c in ("cls", "label", "n", "d"))
+        every = list(shingle_sets(cell.column("text"), words))
+        left, right = (np.flatnonzero(cell.column(c).to_numpy()) for c in ("outer", "inner"))
+        outer, inner = cell.take(pa.array(left)), cell.take(pa.array(right))
+        sets = [every[i] for i in right]
+        cls, label, n, d = (inner.column(c).to_numpy() for c in ("cls", "label", "n", "d"))
         label = label.copy()
-        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-        rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        order = np.argsort(flat, kind="stable")
-        flat, rows = flat[order], rows[order]
+        index = _Holders(sets)
         found = []
         now = {}
-        for x, own, size, dist, raw in zip(*(outer.column(c).to_pylist() for c in ("cls", "label", "n", "d", "s"))):
+        for i, x, own, size, dist in zip(left, *(outer.column(c).to_pylist() for c in ("cls", "label", "n", "d"))):
             own = now.get(own, own)
-            near = (label != own) & (cls != x) & (np.abs(d - dist) <= eps + 1e-9) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+            near = (label != own) & (cls != x) & _near(d, dist, n, size, percent)
             if not near.any():
                 continue
-            s = np.frombuffer(raw, np.uint64)
-            lo, hi = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
-            k = hi - lo
-            at = np.repeat(lo - np.concatenate([[0], np.cumsum(k)[:-1]]), k) + np.arange(k.sum())
-            shared = np.bincount(rows[at], minlength=len(sets))
+            shared = index.shared(every[i])
             for j in np.flatnonzero(near & (100 * shared >= percent * (n + size - shared))):
                 if label[j] == own:
                     continue
@@ -200,49 +284,79 @@ def jaccard_groups(
 
     index = stored(rows.mapInArrow(_index(words, percent, common), INDEX_SCHEMA), "jaccard-index")
     posts = index.select("cls", F.col("n_shingles").alias("n"), F.explode("prefix").alias("shingle"))
-    shared = posts.groupBy("shingle").agg(F.min("cls").alias("pivot"), F.max("cls").alias("top")).where("pivot < top").select("shingle", "pivot")
-    members = posts.join(shared, "shingle").where("cls <> pivot").select("pivot", "cls").distinct()
-    members = stored(members, "jaccard-regions")
 
-    # whole sets of the classes that share anything, from one document each
+    def pivots_of(p: DataFrame) -> DataFrame:
+        """(shingle, pivot) of the shingles that two or more classes hold; pre-aggregated, so no shingle is too common."""
+        return p.groupBy("shingle").agg(F.min("cls").alias("pivot"), F.max("cls").alias("top")).where("pivot < top").select("shingle", "pivot")
+
+    hits = stored(posts.join(pivots_of(posts).select("shingle"), "shingle").distinct(), "jaccard-hits")
+    asked = 1 + F.floor(SPARE * F.ceil(F.col("n") * percent / 100))
+    near = hits.groupBy("cls", "n").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= asked).select("cls", "n")
+    near = stored(near, "jaccard-near")
+    hits = hits.join(near.select("cls"), "cls", "left_semi")
+    members = hits.join(pivots_of(hits), "shingle").where("cls <> pivot").select("pivot", "cls", "n").distinct()
+    members = members.join(near.select(F.col("cls").alias("pivot"), F.col("n").alias("pn")), "pivot")
+    members = stored(members, "jaccard-members")
+
+    # the whole texts of these classes, from one document each
     wanted = members.select("cls").union(members.select(F.col("pivot").alias("cls"))).distinct()
     one = index.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("one"))
-    one = one.select(F.col("one").alias("__one")).distinct()
-    texts = rows.join(one, F.col("doc_id").eqNullSafe(F.col("__one")), "left_semi").select("text")
-    sets = texts.mapInArrow(_sets(words), "cls long, n long, s binary").where("n > 0").dropDuplicates(["cls"])
-    sets = stored(sets, "jaccard-sets")
-
-    pivots = sets.select(F.col("cls").alias("pivot"), F.col("n").alias("pn"), F.col("s").alias("ps"))
-    pairs = members.join(sets, "cls").join(pivots, "pivot").select("cls", "pivot", "n", "pn", "s", "ps")
-    near = stored(pairs.mapInArrow(_shared, "cls long, pivot long, n long, pn long, shared long"), "jaccard-distances")
+    one = stored(one.select(F.col("one").alias("__one")).distinct(), "jaccard-ids")
+    words_set = one.mapInArrow(_bits, "place long, mask long").groupBy("place").agg(F.bit_or("mask").alias("mask")).toArrow()
+    bitmap = np.zeros(BITS >> 5, dtype=np.int64)
+    bitmap[words_set.column("place").to_numpy()] = words_set.column("mask").to_numpy()
+    able = rows.mapInArrow(_maybe(bitmap), "doc_id long, text string")
+    texts = able.join(one, F.col("doc_id").eqNullSafe(F.col("__one")), "left_semi").select("text")
+    texts = stored(texts.mapInArrow(_classes(words), "cls long, text string"), "jaccard-texts")
+    if texts.count() > texts.select("cls").distinct().count():  # rows that repeat id and text
+        texts = stored(texts.dropDuplicates(["cls"]), "jaccard-texts")
+
+    # sizes alone keep many members from their pivots
+    able = members.where(100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))
+    other = texts.select(F.col("cls").alias("pivot"), F.col("text").alias("ptext"))
+    pairs = able.join(texts, "cls").join(other, "pivot").select("cls", "pivot", "n", "pn", "text", "ptext")
+    got = pairs.mapInArrow(_shared(words), "cls long, pivot long, n long, pn long, shared long")
     union = F.col("n") + F.col("pn") - F.col("shared")
-    near = near.withColumn("d", 1 - F.col("shared") / union).withColumn("linked", 100 * F.col("shared") >= percent * union)
-    first = near.where("linked").select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
-    labels = components(first)
+    got = stored(got.select("cls", "pivot", (1 - F.col("shared") / union).alias("d"), (100 * F.col("shared") >= percent * union).alias("linked")), "jaccard-distances")
+    labels = components(got.where("linked").select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
 
-    # what the pivots left open
+    # regions that the pivots left open, within the windows of their open members
     by = lambda c, out: labels.select(F.col("node").alias(c), F.col("label").alias(out))
-    open_ = near.join(by("cls", "label"), "cls", "left").join(by("pivot", "plabel"), "pivot", "left")
-    open_ = open_.withColumns({"label": F.coalesce("label", "cls"), "plabel": F.coalesce("plabel", "pivot")})
-    open_ = open_.withColumn("open", F.col("label") != F.col("plabel"))
-    open_ = stored(open_.select("pivot", "cls", "n", "d", "label", "open"), "jaccard-open")
+    state = members.join(by("cls", "label"), "cls", "left").join(by("pivot", "plabel"), "pivot", "left")
+    state = state.withColumns({"label": F.coalesce("label", "cls"), "open": F.coalesce("label", "cls") != F.coalesce("plabel", "pivot")})
+    state = state.join(got.select("cls", "pivot", "d"), ["cls", "pivot"], "left").withColumn("d", F.coalesce("d", F.lit(float("nan"))))
+    open_ = stored(state.select("pivot", "cls", "n", "d", "label", "open"), "jaccard-open")
     eps = 1 - percent / 100
     of = open_.where("open").groupBy("pivot").agg(
         F.sum("n").alias("outer_n"), F.min("d").alias("d0"), F.max("d").alias("d1"), F.min("n").alias("n0"), F.max("n").alias("n1"))
+    # NaN is the largest number: a region with an open member of unknown distance has no upper bound
     inside = open_.join(of, "pivot").where(
-        (F.col("d") >= F.col("d0") - eps - 1e-9) & (F.col("d") <= F.col("d1") + eps + 1e-9)
+        (F.col("open") | F.isnan("d") | F.isnan("d1") | ((F.col("d") >= F.col("d0") - eps - 1e-9) & (F.col("d") <= F.col("d1") + eps + 1e-9)))
         & (100 * F.col("n") >= percent * F.col("n0")) & (percent * F.col("n") <= 100 * F.col("n1")))
+    # only members with another open member of a size near their own can find a link here
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent) + 1e-12))
+    inside = inside.withColumn("band", band)
+    beside = inside.where("open").select("pivot", "cls", F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])).alias("band"))
+    beside = beside.groupBy("pivot", "band").agg(F.min("cls").alias("c0"), F.max("cls").alias("c1"))
+    inside = stored(inside.join(beside, ["pivot", "band"]).where((F.col("c0") != F.col("cls")) | (F.col("c1") != F.col("cls"))).drop("band", "c0", "c1"), "jaccard-inside")
     total = inside.groupBy("pivot").agg(F.sum("n").alias("inner_n"), F.count(F.lit(1)).alias("m")).where("m > 1")
     inside = inside.join(total.select("pivot", "inner_n"), "pivot")
     blocks = lambda c, size: F.ceil(F.col(c) / F.lit(float(size)))
     inside = inside.withColumns({"ob": blocks("outer_n", cell_outer), "ib": blocks("inner_n", cell_inner)})
     place = lambda b: F.pmod(F.xxhash64("cls"), F.col(b))
     every = lambda b: F.explode(F.sequence(F.lit(0).cast("long"), F.col(b) - 1))
+    small = (F.col("ob") == 1) & (F.col("ib") == 1)
     keep = ("pivot", "cls", "label", "n", "d")
-    outer = inside.where("open").select(*keep, F.lit(True).alias("outer"), place("ob").alias("o"), every("ib").alias("i"))
-    inner = inside.select(*keep, F.lit(False).alias("outer"), every("ob").alias("o"), place("ib").alias("i"))
-    cells = outer.unionByName(inner).join(sets.select("cls", "s"), "cls")
-    second = cells.groupBy("pivot", "o", "i").applyInArrow(_cell(percent), CELL_SCHEMA)
+    zero = F.lit(0).cast("long")
+    whole = inside.where(small).select(*keep, F.col("open").alias("outer"), F.lit(True).alias("inner"), zero.alias("o"), zero.alias("i"))
+    outer = inside.where(~small & F.col("open")).select(*keep, F.lit(True).alias("outer"), F.lit(False).alias("inner"), place("ob").alias("o"), every("ib").alias("i"))
+    inner = inside.where(~small).select(*keep, F.lit(False).alias("outer"), F.lit(True).alias("inner"), every("ob").alias("o"), place("ib").alias("i"))
+    cells = whole.unionByName(outer).unionByName(inner)
+    # first by the few shared prefix shingles of each, then by the texts of those left
+    shared_hits = hits.groupBy("cls").agg(F.array_sort(F.collect_list("shingle")).alias("hits"))
+    likely = cells.join(shared_hits, "cls").groupBy("pivot", "o", "i").applyInArrow(_likely(percent), LIKELY_SCHEMA)
+    likely = stored(likely, "jaccard-likely")
+    second = likely.join(texts, "cls").groupBy("pivot", "o", "i").applyInArrow(_cell(percent, words), CELL_SCHEMA)
     second = stored(second, "jaccard-links")
 
     # labels stand for their members: only links between components are left
