@@ -91,7 +91,7 @@ def choose_threshold(df: DataFrame, score: str = "score", label: str = S.LABEL,
     adm = sw.where((F.col("threshold") >= S.MIN_OPERATING_THRESHOLD) & ((F.col("n_fp") + F.col("n_tp")) < F.col("n_rows")))
     row = adm.orderBy("net_cost", "n_fp", "threshold").limit(1).first()
     if row is None:
-        raise ValueError("No admissible positive threshold; review-all is not allowed")
+        raise ValueError("every threshold of the sweep would send all rows to review")
     return float(row["threshold"])
 
 

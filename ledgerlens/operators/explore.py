@@ -156,11 +156,11 @@ def corr_matrix(df: DataFrame, cols: list[str] = BASE_NUMERIC) -> DataFrame:
     return row.select(stack).select("s.col_a", "s.col_b", r6("s.corr").alias("corr"))
 
 
-SYNTH_FLAGS = ["is_new_device", "shipping_billing_mismatch", "is_night"]
-SYNTH_NUM = ["account_age_days", "failed_payment_attempts", "ip_billing_distance_km"]
+CONTEXT_FLAGS = ["is_new_device", "shipping_billing_mismatch", "is_night"]
+CONTEXT_NUMBERS = ["account_age_days", "failed_payment_attempts", "ip_billing_distance_km"]
 
 
-def flag_lift(df: DataFrame, flags: list[str] = SYNTH_FLAGS) -> DataFrame:
+def flag_lift(df: DataFrame, flags: list[str] = CONTEXT_FLAGS) -> DataFrame:
     """Fraud rate when flag = 1 vs 0, and their ratio (NULL if base 0)."""
     long = df.select("isFraud", F.explode(F.array(*[
         F.struct(F.lit(f).alias("signal"), F.col(f).alias("v")) for f in flags
@@ -185,7 +185,7 @@ def decile_of_rank(pos: Column, n: Column) -> Column:
     return (F.greatest(d, F.lit(1)) - 1).cast("int")
 
 
-def rank_deciles(df: DataFrame, cols: list[str] = SYNTH_NUM, id_col: str = "txn_id") -> DataFrame:
+def rank_deciles(df: DataFrame, cols: list[str] = CONTEXT_NUMBERS, id_col: str = "txn_id") -> DataFrame:
     """Fraud rate by rank decile of each column (ties broken by id)."""
     long = df.select(id_col, "isFraud", F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols
@@ -206,7 +206,7 @@ def label_corr(df: DataFrame, cols: list[str]) -> DataFrame:
     return row.select(s).select("s.feature", r6("s.corr").alias("corr_with_isFraud"), r6(F.abs("s.corr")).alias("abs_corr"))
 
 
-def flag_stack(df: DataFrame, flags: list[str] = SYNTH_FLAGS) -> DataFrame:
+def flag_stack(df: DataFrame, flags: list[str] = CONTEXT_FLAGS) -> DataFrame:
     """Fraud rate by number of active risk flags."""
     nf = sum((F.col(f) for f in flags[1:]), F.col(flags[0]))
     return (

@@ -103,20 +103,20 @@ def inner_split(train: DataFrame, val_frac: float = 0.15, seed: int = 42, label:
     k = train.agg(F.count_distinct(F.when(early, F.col(label))).alias("a"),
                   F.count_distinct(F.when(~early, F.col(label))).alias("b")).first()
     if k["a"] == 2 and k["b"] == 2:
-        return tr, va, f"temporal_by_{step_col} <= {cut:.0f}"
+        return tr, va, "by_time"
     tr, va = stratified_split(train, val_frac, seed, label)
-    return tr, va, "stratified_random_fallback"
+    return tr, va, "by_class"
 
 
 def stratified_cap(df: DataFrame, max_rows: int, seed: int = 42, label: str = S.LABEL, id_col: str = "txn_id") -> DataFrame:
     """T4: keep frac = max_rows / n of every class (round(frac * n_c) rows in hash order)."""
-    n = df.count()
-    if not max_rows or n <= max_rows:
+    counts = class_counts(df, label)
+    share = max_rows / max(1, sum(counts.values())) if max_rows else 1.0
+    if share >= 1.0:
         return df
-    frac = max_rows / n
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    p = hash_positions(df, seed, [label], id_col).join(F.broadcast(sizes), label)  # one row per class
-    return p.where(F.col("pos") < F.round(F.col("__n") * F.lit(frac))).drop("pos", "__n")
+    # how many rows each class keeps: one entry per class
+    quota = F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, math.floor(n * share + 0.5))])
+    return hash_positions(df, seed, [label], id_col).where(F.col("pos") < quota[F.col(label).cast("int")]).drop("pos")
 
 
 def reference_current(df: DataFrame, max_step: int = S.REFERENCE_MAX_STEP, step_col: str = "step") -> tuple[DataFrame, DataFrame]:
@@ -125,7 +125,7 @@ def reference_current(df: DataFrame, max_step: int = S.REFERENCE_MAX_STEP, step_
     cur = df.where(F.col(step_col) > max_step)
     sides = df.agg(F.count_if(F.col(step_col) <= max_step).alias("r"), F.count_if(F.col(step_col) > max_step).alias("c")).first()
     if sides["r"] == 0 or sides["c"] == 0:
-        raise ValueError("Reference/current split is empty. Check the input data and the reference max step.")
+        raise ValueError(f"no rows on one side of step {max_step}: {sides.asDict()}")
     return ref, cur
 
 

@@ -171,11 +171,10 @@ def quality_flags(df: DataFrame) -> DataFrame:
 
 
 CORE_FIELDS = ["step", "type", "amount", "isFraud"]
-LEAKAGE_COLS = ["isFlaggedFraud"]
-SCRATCH_COLS = ["amount_decile", "log_amount"]
 
 
-def clean(df: DataFrame, scope_types: bool = True, drop_leakage: bool = True) -> tuple[DataFrame, DataFrame]:
+def clean(df: DataFrame, scope_types: bool = True, drop_leakage: bool = True, leakage: tuple[str, ...] = ("isFlaggedFraud",),
+          scratch: tuple[str, ...] = ("amount_decile", "log_amount")) -> tuple[DataFrame, DataFrame]:
     """Q21: configurable cleaning -> (cleaned rows, one-row report).
 
     Steps: dedup (Q5), drop rows missing a core field (Q17), drop negative
@@ -196,7 +195,7 @@ def clean(df: DataFrame, scope_types: bool = True, drop_leakage: bool = True) ->
     out = quality_flags(amount_filter(dedup(df)).where(kept))
     if scope_types:
         out = out.where(in_scope)
-    drop = [c for c in (LEAKAGE_COLS if drop_leakage else []) + SCRATCH_COLS if c in out.columns]
+    drop = [c for c in (leakage if drop_leakage else ()) + scratch if c in out.columns]
     out = out.drop(*drop)
     # optional quality-flag columns not in the sequential definition are dropped
     out = out.drop("amount_zero_flag", "invalid_amount_flag", "invalid_ip_distance_flag", "invalid_account_age_flag", "dest_is_merchant")

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -54,69 +56,83 @@ GBT_CONFIGS = [
 ]
 
 
-def candidates(model_name: str) -> list[dict]:
-    if model_name == "LogisticRegression":
-        return [dict(C=c) for c in LR_C]
-    if model_name == "RandomForest":
-        return [dict(c) for c in RF_CONFIGS]
-    if model_name == "GBT":
-        return [dict(c) for c in GBT_CONFIGS]
-    raise ValueError(model_name)
+def _logistic(p: dict, n_rows: int, seed: int, cols: dict):
+    # sklearn's C scales the data term; Spark's regParam scales the mean loss
+    return LogisticRegression(regParam=1.0 / (p["C"] * max(n_rows, 1)), elasticNetParam=0.0, standardization=False, maxIter=200, **cols)
 
 
-def config_label(model_name: str, p: dict) -> str:
-    if model_name == "LogisticRegression":
-        return f"C={p['C']}"
-    if model_name == "RandomForest":
-        return f"trees={p['n_estimators']}, depth={p['max_depth']}, leaf={p['min_samples_leaf']}"
-    return f"trees={p['n_estimators']}, lr={p['learning_rate']}, leaves={p['num_leaves']}, child={p['min_child_samples']}"
+def _forest(p: dict, n_rows: int, seed: int, cols: dict):
+    return RandomForestClassifier(numTrees=p["n_estimators"], maxDepth=min(p["max_depth"], 30), minInstancesPerNode=p["min_samples_leaf"],
+                                  featureSubsetStrategy=str(p["max_features"]), seed=seed, **cols)
+
+
+def _boosted(p: dict, n_rows: int, seed: int, cols: dict):
+    depth = max(1, math.ceil(math.log2(p["num_leaves"] + 1)))
+    return GBTClassifier(maxIter=p["n_estimators"], stepSize=p["learning_rate"], maxDepth=depth, minInstancesPerNode=p["min_child_samples"],
+                         subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed, **cols)
+
+
+def _even_weights(n0: int, n1: int) -> tuple[float, float]:
+    """Each class weighs half of all rows."""
+    return tuple((n0 + n1) / (2.0 * max(k, 1)) for k in (n0, n1))
+
+
+def _positive_weight(n0: int, n1: int) -> tuple[float, float]:
+    """Negatives weigh 1, positives negatives / positives."""
+    return 1.0, n0 / max(n1, 1)
+
+
+class Family(NamedTuple):
+    """A model family: its grid, how to build an estimator from a grid point, and its class weights (n0, n1) -> (w0, w1)."""
+
+    grid: list[dict]
+    build: Callable
+    weights: Callable
+
+
+FAMILIES = {
+    "LogisticRegression": Family([{"C": c} for c in LR_C], _logistic, _even_weights),
+    "RandomForest": Family(RF_CONFIGS, _forest, _even_weights),
+    "GBT": Family(GBT_CONFIGS, _boosted, _positive_weight),
+}
+
+
+def describe(params: dict) -> str:
+    """Readable label of a grid point, from its parameters."""
+    return " ".join(f"{k}:{v}" for k, v in params.items())
 
 
 def estimator(model_name: str, p: dict, n_rows: int, label: str = S.LABEL, weight_col: str | None = None, seed: int = 42):
-    """M1-M3: Spark ML classifier for a candidate configuration."""
-    kw = dict(labelCol=label, featuresCol="features")
-    if weight_col:
-        kw["weightCol"] = weight_col
-    if model_name == "LogisticRegression":
-        # sklearn's C scales the data term; Spark's regParam scales the mean loss
-        return LogisticRegression(regParam=1.0 / (p["C"] * max(n_rows, 1)), elasticNetParam=0.0,
-                                  standardization=False, maxIter=200, **kw)
-    if model_name == "RandomForest":
-        mf = p["max_features"]
-        return RandomForestClassifier(numTrees=p["n_estimators"], maxDepth=min(p["max_depth"], 30),
-                                      minInstancesPerNode=p["min_samples_leaf"],
-                                      featureSubsetStrategy=mf if isinstance(mf, str) else str(mf), seed=seed, **kw)
-    if model_name == "GBT":
-        depth = max(1, math.ceil(math.log2(p["num_leaves"] + 1)))
-        return GBTClassifier(maxIter=p["n_estimators"], stepSize=p["learning_rate"], maxDepth=depth,
-                             minInstancesPerNode=p["min_child_samples"], subsamplingRate=0.8,
-                             featureSubsetStrategy="0.8", seed=seed, **kw)
-    raise ValueError(model_name)
+    """M1-M3: Spark ML classifier for a grid point of a family."""
+    cols = {"labelCol": label, "featuresCol": "features"} | ({"weightCol": weight_col} if weight_col else {})
+    return FAMILIES[model_name].build(p, n_rows, seed, cols)
 
 
 def with_balanced_weights(df: DataFrame, model_name: str, label: str = S.LABEL, out: str = "__w") -> DataFrame:
-    """T9 / T10 as row weights: n / (2 n_c) for LR and RF, neg / max(pos, 1) on positives for GBT."""
+    """T9 / T10 as row weights, by the family's rule."""
     counts = P.class_counts(df, label)
-    n0, n1 = counts.get(0, 0), counts.get(1, 0)
-    if model_name == "GBT":
-        w1, w0 = n0 / max(n1, 1), 1.0
-    else:
-        n = n0 + n1
-        w0, w1 = n / (2.0 * max(n0, 1)), n / (2.0 * max(n1, 1))
+    w0, w1 = FAMILIES[model_name].weights(counts.get(0, 0), counts.get(1, 0))
     return df.withColumn(out, F.when(F.col(label) == 1, F.lit(w1)).otherwise(F.lit(w0)))
 
 
-def balance(df: DataFrame, method: str, features: list[str], seed: int = 42, label: str = S.LABEL) -> DataFrame:
-    """Training frame for a balancing method (weights are added at fit time)."""
-    if method in ("original", "class_weighted"):
-        return df
-    if method == "undersampling":
-        return P.undersample(df, UNDER_TARGET_RATIO, seed, label)
-    if method == "smote":
-        from .smote import smote
+def _oversampled(df: DataFrame, features: list[str], seed: int, label: str) -> DataFrame:
+    from .smote import smote
+
+    return smote(df, features, ratio=SMOTE_TARGET_RATIO, seed=seed, label=label)
 
-        return smote(df, features, ratio=SMOTE_TARGET_RATIO, seed=seed, label=label)
-    raise ValueError(method)
+
+# How a balancing method changes the rows; methods not listed change none (weights are added at fit time).
+RESAMPLERS: dict[str, Callable] = {
+    "undersampling": lambda df, features, seed, label: P.undersample(df, UNDER_TARGET_RATIO, seed, label),
+    "smote": _oversampled,
+}
+
+
+def resampled(df: DataFrame, method: str, features: list[str], seed: int = 42, label: str = S.LABEL) -> DataFrame:
+    """Training frame for one of BALANCING_METHODS."""
+    if method not in BALANCING_METHODS:
+        raise ValueError(f"unknown balancing method {method!r}")
+    return RESAMPLERS[method](df, features, seed, label) if method in RESAMPLERS else df
 
 
 def fit(train: DataFrame, features: list[str], model_name: str, params: dict, method: str = "original",
@@ -148,7 +164,7 @@ def evaluate_candidate(model: PipelineModel, val: DataFrame, label: str = S.LABE
         sweep = M.threshold_sweep(scored, "proba", label, amount, c_fp)
         best = M.best_threshold(sweep, n).first()
         if best is None:
-            raise ValueError("No admissible positive threshold; review-all is not allowed")
+            raise ValueError("every threshold of the sweep would send all rows to review")
         t = float(best["threshold"])
         conf = M.confusion(scored, t, "proba", label, amount, c_fp).first()
         ap = M.average_precision(scored, "proba", label).first()["average_precision"]
@@ -159,7 +175,7 @@ def evaluate_candidate(model: PipelineModel, val: DataFrame, label: str = S.LABE
         "val_auc_pr": ap, "val_roc_auc": auc, "val_threshold": t,
         "val_precision": conf["test_precision"], "val_recall": conf["test_recall"], "val_f1": conf["test_f1"],
         "val_net_cost": float(best["net_cost"]), "val_missed_fraud_amount": float(best["missed_fraud_amount"]),
-        "val_fraud_amount_caught": float(best["fraud_amount_caught"]), "val_n_fp": int(best["n_fp"]), "val_n_tp": int(best["n_tp"]),
+        "val_fraud_amount_caught": float(best["fraud_amount_caught"]), "val_n_fp": int(best["n_fp"]), "val_n_tp": int(best["n_tp"]), "val_n_fn": int(best["n_fn"]),
     }
 
 
@@ -168,7 +184,7 @@ TUNING_SCHEMA = (
     "inner_train_rows_after_balancing long, inner_train_fraud_after_balancing long, validation_rows long, "
     "c_fp_assumption double, val_auc_pr double, val_roc_auc double, val_threshold double, val_precision double, "
     "val_recall double, val_f1 double, val_net_cost double, val_missed_fraud_amount double, "
-    "val_fraud_amount_caught double, val_n_fp long, val_n_tp long"
+    "val_fraud_amount_caught double, val_n_fp long, val_n_tp long, val_n_fn long"
 )
 
 
@@ -187,24 +203,20 @@ def tune(train: DataFrame, val: DataFrame, features: list[str], methods: list[st
     n_val = val.count()
     rows = []
     for method in methods:
-        bal = balance(train, method, features, seed, label).checkpoint(eager=True)
+        bal = resampled(train, method, features, seed, label).checkpoint(eager=True)
         counts = P.class_counts(bal, label)
-        jobs = [(m, i, p) for m in models for i, p in enumerate(candidates(m), start=1)]
-
-        def run(job, bal=bal, method=method, counts=counts):
-            m, i, p = job
-            model = fit(bal, features, m, p, method, label, seed)
-            met = evaluate_candidate(model, val, label)
-            return {
-                "data_balancing": method, "model": m, "config_id": f"{method}_{m}_{i:02d}",
-                "config_label": config_label(m, p), "params_json": json.dumps(p, sort_keys=True),
-                "inner_train_rows_after_balancing": sum(counts.values()),
-                "inner_train_fraud_after_balancing": counts.get(1, 0), "validation_rows": n_val,
-                "c_fp_assumption": S.C_FP, **met,
-            }
+        n_bal = {"inner_train_rows_after_balancing": sum(counts.values()), "inner_train_fraud_after_balancing": counts.get(1, 0)}
+        points = [(m, k, p) for m in models for k, p in enumerate(FAMILIES[m].grid)]
+
+        def run(point, bal=bal, method=method, n_bal=n_bal):
+            family, k, params = point
+            scores = evaluate_candidate(fit(bal, features, family, params, method, label, seed), val, label)
+            named = {"data_balancing": method, "model": family, "config_id": f"{family}/{method}/{k}",
+                     "config_label": describe(params), "params_json": json.dumps(params, sort_keys=True)}
+            return named | n_bal | {"validation_rows": n_val, "c_fp_assumption": S.C_FP} | scores
 
         with ThreadPoolExecutor(max_workers=parallelism) as ex:
-            rows.extend(ex.map(run, jobs))
+            rows.extend(ex.map(run, points))
     return spark.createDataFrame([tuple(r[k] for k in _tuning_cols()) for r in rows], TUNING_SCHEMA)
 
 
@@ -242,8 +254,8 @@ def feature_importance(train: DataFrame, features: list[str], label: str = S.LAB
                        sample_rows: int | None = None) -> DataFrame:
     """Random-forest importance ranking (120 trees, depth 12, balanced weights).
 
-    `sample_rows` optionally fits on a repeatable hash sample (the reference's
-    200k cap); default None uses every training row.
+    `sample_rows` optionally fits on a repeatable hash sample of that many rows;
+    default None uses every training row.
     """
     x = train
     if sample_rows:

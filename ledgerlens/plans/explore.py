@@ -167,7 +167,7 @@ def _lift_sql(flags: list[str]) -> str:
     )
 
 
-@query("flag_lift", _lift_sql(X.SYNTH_FLAGS))
+@query("flag_lift", _lift_sql(X.CONTEXT_FLAGS))
 def flag_lift(spark, sf):
     """Lift table of the binary risk flags."""
     return X.flag_lift(transactions(spark, sf))
@@ -185,7 +185,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY v, txn_id) - 1
 GROUP BY ALL""", ctes=f"long AS ({long})")
 
 
-@query("age_deciles", _deciles_sql(X.SYNTH_NUM))
+@query("age_deciles", _deciles_sql(X.CONTEXT_NUMBERS))
 def age_deciles(spark, sf):
     """Fraud rate by rank decile of age, attempts and distance (ties by id)."""
     return X.rank_deciles(transactions(spark, sf))
@@ -198,10 +198,10 @@ def _label_corr_sql(cols: list[str], source: str = "transactions") -> str:
     )
 
 
-@query("signal_corr", txn_sql(_label_corr_sql(X.SYNTH_FLAGS + X.SYNTH_NUM)))
+@query("signal_corr", txn_sql(_label_corr_sql(X.CONTEXT_FLAGS + X.CONTEXT_NUMBERS)))
 def signal_corr(spark, sf):
     """Correlation of each synthetic signal with the label."""
-    return X.label_corr(transactions(spark, sf), X.SYNTH_FLAGS + X.SYNTH_NUM)
+    return X.label_corr(transactions(spark, sf), X.CONTEXT_FLAGS + X.CONTEXT_NUMBERS)
 
 
 @query("flag_stack", txn_sql("""

@@ -41,7 +41,7 @@ def model_frames(spark, sf):
 
 def _scored_validation(spark, sf, model_name, params, method):
     tr, _, itr, iva, feats = model_frames(spark, sf)
-    bal = TR.balance(itr, method, feats)
+    bal = TR.resampled(itr, method, feats)
     model = TR.fit(bal, feats, model_name, params, method)
     return TR.predict_proba(model, iva.select("txn_id", *feats, "isFraud")).select("txn_id", "isFraud", "proba")
 
@@ -89,9 +89,18 @@ def rf_importance(spark, sf):
     return TR.feature_importance(tr, feats).orderBy(F.col("importance").desc())
 
 
+_TUNED: dict[tuple, str] = {}
+
+
 def tuning_results(spark, sf, models=("LogisticRegression",)):
-    _, _, itr, iva, feats = model_frames(spark, sf)
-    return TR.tune(itr, iva, feats, models=list(models))
+    """The tuning table of some families, fitted once per session and table folder and then read back."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), tuple(models))
+    if key not in _TUNED:
+        _, _, itr, iva, feats = model_frames(spark, sf)
+        path = f"{checkpoint_dir(spark).rstrip('/')}/tuning-{uuid.uuid4().hex}"
+        TR.tune(itr, iva, feats, models=list(models)).write.parquet(path)
+        _TUNED[key] = path
+    return spark.read.schema(TR.TUNING_SCHEMA).parquet(_TUNED[key])
 
 
 @query("tune_lr")
@@ -130,7 +139,7 @@ def final_test(spark, sf):
 def _final_test(spark, sf, winner):
     method, model_name, params, t = winner
     tr, te, _, _, feats = model_frames(spark, sf)
-    model = TR.fit(TR.balance(tr, method, feats), feats, model_name, params, method)
+    model = TR.fit(TR.resampled(tr, method, feats), feats, model_name, params, method)
     scored = TR.predict_proba(model, te.select("txn_id", *feats, "isFraud", "amount_raw"))
     ap = M.average_precision(scored, "proba").select(F.col("average_precision").alias("test_auc_pr"))
     conf = M.confusion(scored, t, "proba")

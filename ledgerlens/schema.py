@@ -8,9 +8,8 @@ from pyspark.sql import types as T
 # Transaction types, and the two in which fraud occurs (the "universe").
 ALL_TYPES = ["TRANSFER", "CASH_OUT", "PAYMENT", "DEBIT", "CASH_IN"]
 FRAUD_TYPES = ["TRANSFER", "CASH_OUT"]
-# Country vocabulary for billing / IP country and their home weights.
+# Country vocabulary for billing / IP country.
 COUNTRIES = ["US", "GB", "DE", "FR", "IN", "BR", "NG", "RU", "CN", "VN"]
-COUNTRY_WEIGHTS = [0.30, 0.15, 0.12, 0.10, 0.10, 0.07, 0.06, 0.04, 0.03, 0.03]
 # Step horizon of the base data (1 step = 1 hour) and the default for live rows.
 MIN_STEP, MAX_STEP, DEFAULT_STEP = 1, 743, 744
 UNKNOWN_DEST = "UNKNOWN_DEST"
