@@ -52,6 +52,8 @@ SECOND_PERSON = frozenset(
 LOOKALIKE = str.maketrans("013457@$!|+", "oieastasiit")
 EDGE = ".,;:!?\"'()[]{}<>*#%&$-_/\\|~^`=+…«»¿¡“”„’‘"
 RUN = re.compile(r"([^\W\d_])\1\1", re.I)
+UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
+SHOUT = re.compile(r"(?<!\w)[A-ZÀ-ÖØ-Þ]{2,}(?!\w)")
 NEAR = 3
 
 FEATURES = (
@@ -89,14 +91,17 @@ def tokens_of(words: list[str]) -> set[str]:
     return found
 
 
-def features(text: str | None, lexicon: frozenset[str]) -> list[float]:
+def split_lexicon(lexicon: frozenset[str]) -> tuple[frozenset[str], ...]:
+    """Whole words, then beginnings of each length of PREFIXES."""
+    return frozenset(x for x in lexicon if x[-1] != "-"), *(frozenset(x[:-1] for x in lexicon if x[-1] == "-" and len(x) == k + 1) for k in PREFIXES)
+
+
+def features(text: str | None, lexicon: tuple[frozenset[str], ...]) -> list[float]:
     """Values of FEATURES for a whole text (all zero for a null or empty one)."""
     t = text or ""
     words, disguised = words_of(t)
     n = max(1, len(words))
-    starts = {k: frozenset(x[:-1] for x in lexicon if x[-1] == "-" and len(x) == k + 1) for k in PREFIXES}
-    whole = frozenset(x for x in lexicon if x[-1] != "-")
-    four, five, six = (starts[k] for k in PREFIXES)
+    whole, four, five, six = lexicon
     at = [i for i, w in enumerate(words) if w in whole or w[:4] in four or w[:5] in five or w[:6] in six]
     second = [i for i, w in enumerate(words) if w in SECOND_PERSON]
     near = 0
@@ -116,8 +121,7 @@ def features(text: str | None, lexicon: frozenset[str]) -> list[float]:
     return [
         np.log1p(len(at)), 100 * len(at) / n, np.log1p(len({words[i] for i in at})), np.log1p(near), np.log1p(window),
         np.log1p(base), 100 * base / n, 100 * len(second) / n,
-        sum(map(str.isupper, t)) / letters if len(t) < 20_000 else len(re.findall(r"[A-ZÀ-ÖØ-Þ]", t)) / letters,
-        len(re.findall(r"(?<!\w)[A-ZÀ-ÖØ-Þ]{2,}(?!\w)", t)) / n,
+        len(UPPER.findall(t)) / letters, len(SHOUT.findall(t)) / n,
         100 * t.count("!") / chars, 100 * t.count("?") / chars, 100 * marks / chars,
         100 * sum(map(t.count, "#*$%&|<>")) / chars, disguised / n, len(RUN.findall(t)) / n, np.log1p(len(words)), letters / n,
     ]
@@ -148,9 +152,11 @@ def learn_lexicon(train: DataFrame, size: int = LEXICON_SIZE) -> frozenset[str]:
 def with_features(rows: DataFrame, lexicon: frozenset[str], keep: str) -> DataFrame:
     """(keep, one double column per feature) from rows (keep, text); `keep` is one column of any type."""
 
+    parts = split_lexicon(lexicon)
+
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.array([features(t.as_py(), lexicon) for t in b.column(1)], dtype=float).reshape(-1, len(FEATURES))
+            x = np.array([features(t.as_py(), parts) for t in b.column(1)], dtype=float).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(x[:, i]) for i in range(len(FEATURES))]], names=[keep, *FEATURES])
 
     kind = rows.schema[keep].dataType.simpleString()
