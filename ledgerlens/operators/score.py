@@ -46,14 +46,21 @@ def request_defaults(df: DataFrame) -> DataFrame:
     })
 
 
+def velocity_state(df: DataFrame) -> DataFrame:
+    """The stored state of each destination after the universe rows of `df`: (nameDest, state_count, state_step)."""
+    u = df.where(F.col("type").isin(S.FRAUD_TYPES)).withColumn("nameDest", F.coalesce("nameDest", F.lit(S.UNKNOWN_DEST)))
+    return u.groupBy("nameDest").agg(F.count(F.lit(1)).alias("state_count"), F.max("step").alias("state_step"))
+
+
 def scoring_velocity(df: DataFrame, id_col: str = "txn_id", hot_threshold: int | None = None,
-                     update_state: bool = True) -> DataFrame:
+                     update_state: bool = True, history: DataFrame | None = None) -> DataFrame:
     """P6/P7 in batch: the velocity a stateful scorer sees when requests arrive in (step, id) order.
 
     Only universe rows without a caller-supplied `dest_prior_count` update the
     state; caller values win for their own row, with first_seen = (since < 0
-    and prior = 0). With `update_state=False` (P8, dry run) no row updates
-    state, so every row sees an empty history unless it brings its own.
+    and prior = 0). `history` (see `velocity_state`) is the state that earlier
+    batches left. With `update_state=False` (P8, dry run) no row updates the
+    state, so every row sees the stored one unless it brings its own.
     """
     has_override = "dest_prior_count" in df.columns
     override = F.col("dest_prior_count").isNotNull() if has_override else F.lit(False)
@@ -74,7 +81,18 @@ def scoring_velocity(df: DataFrame, id_col: str = "txn_id", hot_threshold: int |
         "dest_first_seen": F.when(F.col("__ov_prior").isNotNull(), ((ov_since < 0) & (F.col("__ov_prior") == 0)).cast("int"))
                             .otherwise(F.lit(1)),
     })
-    return v.unionByName(o.select(*v.columns)).drop("__state_row", "__ov_prior", "__ov_since")
+    out = v.unionByName(o.select(*v.columns))
+    if history is not None:
+        # one row per destination: joins by Spark's choice, no broadcast hint
+        out = out.join(history, "nameDest", "left")
+        sees = F.col("state_count").isNotNull() & F.col("__ov_prior").isNull() & F.col("type").isin(S.FRAUD_TYPES)
+        first = F.col("dest_first_seen") == 1
+        out = out.withColumns({
+            "dest_steps_since_last": F.when(sees & first, (F.col("step") - F.col("state_step")).cast("double")).otherwise(F.col("dest_steps_since_last")),
+            "dest_prior_count": F.when(sees, F.col("dest_prior_count") + F.col("state_count")).otherwise(F.col("dest_prior_count")),
+            "dest_first_seen": F.when(sees, F.lit(0)).otherwise(F.col("dest_first_seen")),
+        }).drop("state_count", "state_step").select(*v.columns)
+    return out.drop("__state_row", "__ov_prior", "__ov_since")
 
 
 def decide(df: DataFrame, threshold: float, prob_col: str = "fraud_probability", block_threshold: float | None = None,
@@ -109,10 +127,11 @@ def decide(df: DataFrame, threshold: float, prob_col: str = "fraud_probability",
 
 
 def score_batch(requests: DataFrame, prob: Column | str, threshold: float, block_threshold: float | None = None,
-                id_col: str = "txn_id", update_state: bool = True, hot_threshold: int | None = None) -> DataFrame:
-    """P1-P9 for a batch of requests: defaults, velocity from history, flags, decision."""
+                id_col: str = "txn_id", update_state: bool = True, hot_threshold: int | None = None,
+                history: DataFrame | None = None) -> DataFrame:
+    """P1-P9 for a batch of requests: defaults, velocity from history and batch, flags, decision."""
     r = request_defaults(requests)
-    r = scoring_velocity(r, id_col=id_col, update_state=update_state, hot_threshold=hot_threshold)
+    r = scoring_velocity(r, id_col=id_col, update_state=update_state, hot_threshold=hot_threshold, history=history)
     r = FE.row_features(r)
     pcol = F.col(prob) if isinstance(prob, str) else prob
     r = r.withColumn("__p", pcol)

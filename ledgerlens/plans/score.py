@@ -168,3 +168,119 @@ def risk_signals(spark, sf):
     """Analyst-facing risk signals (seven flags in fixed order + velocity sentence) of scored universe rows."""
     s, _ = scored(spark, sf)
     return s.where(F.col("type").isin(S.FRAUD_TYPES)).select("txn_id", "risk_signals")
+
+
+_VCOLS = ["txn_id", "decision", "dest_prior_count", "dest_steps_since_last", "dest_first_seen"]
+
+
+def _halves(spark, sf):
+    """Requests up to the split step, whose state is stored, and those after it."""
+    t = transactions(spark, sf)
+    return t.where(F.col("step") <= S.REFERENCE_MAX_STEP), t.where(F.col("step") > S.REFERENCE_MAX_STEP)
+
+
+@query("decisions_with_history", txn_sql(f"SELECT {', '.join(_VCOLS)} FROM sc WHERE step > {S.REFERENCE_MAX_STEP}", ctes=SCORED_CTE))
+def decisions_with_history(spark, sf):
+    """A later batch scored on the state that the earlier one stored equals scoring both at once."""
+    _, t = test_threshold(spark, sf)
+    early, late = _halves(spark, sf)
+    return SC.score_batch(late, "score", t, history=SC.velocity_state(early)).select(*_VCOLS)
+
+
+@query("dry_run", txn_sql(f"""
+SELECT sc.txn_id, sc.decision, CASE WHEN sc.fraud_probability IS NULL THEN 0 ELSE coalesce(h.n, 0) END AS dest_prior_count,
+       CASE WHEN sc.fraud_probability IS NULL OR h.n IS NULL THEN -1.0 ELSE CAST(sc.step - h.s AS DOUBLE) END AS dest_steps_since_last,
+       CASE WHEN sc.fraud_probability IS NULL OR h.n IS NULL THEN 1 ELSE 0 END AS dest_first_seen
+FROM sc LEFT JOIN (SELECT nameDest, count(*) AS n, max(step) AS s FROM transactions
+                   WHERE type IN ('TRANSFER','CASH_OUT') AND step <= {S.REFERENCE_MAX_STEP} GROUP BY nameDest) h USING (nameDest)
+WHERE sc.step > {S.REFERENCE_MAX_STEP}""", ctes=SCORED_CTE))
+def dry_run(spark, sf):
+    """A dry run reads the stored state and leaves it as it is, so every row sees the same history."""
+    _, t = test_threshold(spark, sf)
+    early, late = _halves(spark, sf)
+    return SC.score_batch(late, "score", t, update_state=False, history=SC.velocity_state(early)).select(*_VCOLS)
+
+
+BLOCK_AT = 0.5
+
+
+@query("decisions_with_block", txn_sql(f"""
+SELECT CASE WHEN fraud_probability >= {BLOCK_AT}::DOUBLE THEN 'BLOCK' ELSE decision END AS decision, count(*) AS n,
+       CAST(sum(isFraud) AS BIGINT) AS fraud FROM sc GROUP BY 1""", ctes=SCORED_CTE))
+def decisions_with_block(spark, sf):
+    """Decisions with a BLOCK tier above REVIEW, counted with their fraud."""
+    _, t = test_threshold(spark, sf)
+    s = SC.score_batch(transactions(spark, sf), "score", t, block_threshold=BLOCK_AT)
+    return s.groupBy("decision").agg(F.count(F.lit(1)).alias("n"), F.sum("isFraud").cast("long").alias("fraud"))
+
+
+_OW = "(PARTITION BY nameDest ORDER BY step, txn_id)"
+
+
+@query("velocity_override", txn_sql(f"""
+SELECT t.txn_id, CASE WHEN t.txn_id % 7 = 0 THEN 3 ELSE coalesce(v.n, 0) END AS dest_prior_count,
+       CASE WHEN t.txn_id % 7 = 0 THEN 2.0 ELSE coalesce(v.since, -1.0) END AS dest_steps_since_last,
+       CASE WHEN t.txn_id % 7 = 0 THEN 0 ELSE coalesce(v.first, 1) END AS dest_first_seen
+FROM transactions t LEFT JOIN (
+  SELECT txn_id, row_number() OVER {_OW} - 1 AS n, CAST(step - lag(step) OVER {_OW} AS DOUBLE) AS since,
+         CAST(lag(step) OVER {_OW} IS NULL AS INTEGER) AS first
+  FROM transactions WHERE type IN ('TRANSFER','CASH_OUT') AND txn_id % 7 <> 0) v USING (txn_id)"""))
+def velocity_override(spark, sf):
+    """Velocity that the caller supplies wins for its own row and leaves the state alone."""
+    own = F.col("txn_id") % 7 == 0
+    req = transactions(spark, sf).withColumns({
+        "dest_prior_count": F.when(own, F.lit(3)).cast("long"), "dest_steps_since_last": F.when(own, F.lit(2.0))})
+    v = SC.scoring_velocity(SC.request_defaults(req))
+    return v.select("txn_id", "dest_prior_count", "dest_steps_since_last", "dest_first_seen")
+
+
+@query("event_log_roundtrip", txn_sql("""
+SELECT count(*) AS n_lines, CAST(0 AS BIGINT) AS blank_lines, CAST(0 AS BIGINT) AS malformed_lines, count(*) AS parsed_events,
+       count(*) AS counted, round(sum(fraud_probability), 4) AS probability, round(sum(amount), 2) AS amount FROM sc""", ctes=SCORED_CTE))
+def event_log_roundtrip(spark, sf):
+    """Scored events written as a JSON-lines log, counted and read back by the tolerant reader."""
+    from ..functions.exprs import one_row
+    from ..streaming.jobs import scratch
+
+    s, _ = scored(spark, sf)
+    path = scratch(spark, "event-log")
+    EV.write_event_log(EV.event_records(s), path)
+    events, summary = EV.read_event_log(spark, path)
+    sums = events.agg(F.round(F.sum(F.col("fraud_probability").try_cast("double")), 4).alias("probability"),
+                      F.round(F.sum(F.col("amount").try_cast("double")), 2).alias("amount"))
+    return one_row(summary, sums).withColumn("counted", F.lit(EV.count_logged_events(spark, path)).cast("long"))
+
+
+@query("table_roundtrip", txn_sql("""
+SELECT type, count(*) AS n, round(sum(amount), 2) AS amount, count(*) AS csv_n, round(sum(amount), 2) AS csv_amount,
+       count(*) AS result_n FROM transactions GROUP BY type"""))
+def table_roundtrip(spark, sf):
+    """Base table written as CSV and parquet, read back whole and projected, and a result written as CSV."""
+    from ..sources import tables as TB
+    from ..streaming.jobs import scratch
+
+    t = Q.require_columns(transactions(spark, sf), S.BASE_COLUMNS).select(*S.BASE_COLUMNS)
+    csv, pq, res = (scratch(spark, f"table-{k}") for k in ("csv", "parquet", "result"))
+    t.write.option("header", True).csv(csv)
+    TB.write_parquet(t, pq)
+    whole, part = TB.read_base_csv(spark, csv), TB.read_base_csv(spark, csv, ["type", "amount"])
+    if not Q.same_columns(t, whole):
+        raise ValueError("columns changed on the way through CSV")
+    a = TB.read_enriched(spark, pq, ["type", "amount"]).groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("amount"), 2).alias("amount"))
+    b = part.groupBy("type").agg(F.count(F.lit(1)).alias("csv_n"), F.round(F.sum("amount"), 2).alias("csv_amount"))
+    TB.write_result_csv(whole.groupBy("type").agg(F.count(F.lit(1)).alias("result_n")), res)
+    c = spark.read.schema("type string, result_n long").option("header", True).csv(res)
+    return a.join(b, "type").join(c, "type")
+
+
+@query("filled_ids", txn_sql("""
+SELECT count(*) AS n, count(DISTINCT txn_id) AS distinct_ids, CAST(sum(CASE WHEN txn_id % 5 <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS kept,
+       CAST(sum(CASE WHEN txn_id % 5 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS generated FROM transactions"""))
+def filled_ids(spark, sf):
+    """Q31: missing transaction ids filled with `txn_` and 12 hex digits of the row's hash."""
+    t = transactions(spark, sf)
+    t = t.withColumn("transaction_id", F.when(F.col("txn_id") % 5 != 0, F.concat(F.lit("id_"), F.col("txn_id").cast("string"))))
+    out = Q.fill_transaction_id(t)
+    made = F.col("transaction_id").rlike("^txn_[0-9a-f]{12}$")
+    return out.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("transaction_id").alias("distinct_ids"),
+                   F.sum((~made).cast("int")).cast("long").alias("kept"), F.sum(made.cast("int")).cast("long").alias("generated"))
