@@ -82,6 +82,21 @@ def hash_positions(df: DataFrame, seed: int, group_cols: list[str], id_col: str
     return ranks.row_positions(keyed, group_cols, "__h", id_col, out=out).drop("__h")
 
 
+def first_in_hash_order(df: DataFrame, n: int, n_rows: int, seed: int, id_col: str = "txn_id") -> DataFrame:
+    """The first `n` of `n_rows` rows in hash order: a cut on the hash first, a rank of the few rows below it.
+
+    The cut leaves a margin of ten standard deviations; should fewer rows than
+    `n` lie below it (ids that repeat), all rows are ranked.
+    """
+    below = df
+    if n_rows > 0 and n + 10 * math.sqrt(n) + 100 < n_rows:
+        cut = int((n + 10 * math.sqrt(n) + 100) / n_rows * 2**60)
+        few = df.where(md5_order(seed, id_col) < cut)
+        if few.count() >= n:
+            below = few
+    return hash_positions(below, seed, [], id_col).where(F.col("pos") < n).drop("pos")
+
+
 def stratified_split(df: DataFrame, test_frac: float = 0.25, seed: int = 42, label: str = S.LABEL,
                      id_col: str = "txn_id") -> tuple[DataFrame, DataFrame]:
     """Per class, the first round(test_frac * n_c) rows of a hash order go to test."""
@@ -187,8 +202,7 @@ def undersample(df: DataFrame, ratio: float = 1.0, seed: int = 42, label: str =
     minority = 1 if counts.get(1, 0) <= counts.get(0, 0) else 0
     keep = int(n_min / ratio)
     maj = df.where(F.col(label) != minority)
-    p = hash_positions(maj, seed, [label], id_col).where(F.col("pos") < keep).drop("pos")
-    return df.where(F.col(label) == minority).unionByName(p)
+    return df.where(F.col(label) == minority).unionByName(first_in_hash_order(maj, keep, max(counts.values(), default=0), seed, id_col))
 
 
 def variance_filter(train: DataFrame, cols: list[str], threshold: float = 1e-6) -> DataFrame:
@@ -244,9 +258,12 @@ def mutual_information(train: DataFrame, cols: list[str], bins: int = 10, label:
 def sample_rows(df: DataFrame, n: int, seed: int = 42, id_col: str = "txn_id", group_cols: list[str] | None = None) -> DataFrame:
     """S11/MN10: exactly min(n, rows) rows per group, repeatable (first n of a hash order).
 
-    A sampling operator: the row cap is the feature. Positions come from the
-    distributed rank, so no task sorts a whole group.
+    A sampling operator: the row cap is the feature. Without groups only rows
+    below a hash cut are ranked; else positions come from the distributed rank,
+    so no task sorts a whole group.
     """
+    if not group_cols:
+        return first_in_hash_order(df, n, df.count(), seed, id_col)
     p = hash_positions(df, seed, group_cols or [], id_col)
     return p.where(F.col("pos") < n).drop("pos")
 
