@@ -139,6 +139,31 @@ def score_batch(requests: DataFrame, prob: Column | str, threshold: float, block
     return out.drop("__p")
 
 
+def model_probability(rows: DataFrame, model, stats: dict[str, tuple[float, float]], out: str = "model_p") -> DataFrame:
+    """M5/T7 inside the scorer: probability of a fitted pipeline for rows with raw features.
+
+    One-hots and saved scaler statistics are applied to copies, so the rows keep
+    the raw values that the flags, signals and reasons are made of. Works on
+    batches and streams alike: it is a projection.
+    """
+    from .prep import apply_scaler
+    from .train import predict_proba
+
+    names = rows.columns
+    kept = {c: f"__raw_{c}" for c in stats if c in names}
+    x = FE.one_hot(rows).withColumns({r: F.col(c) for c, r in kept.items()})
+    x = predict_proba(model, apply_scaler(x, stats), out)
+    return x.withColumns({c: F.col(r) for c, r in kept.items()}).select(*names, out)
+
+
+def score_with_model(requests: DataFrame, model, stats: dict[str, tuple[float, float]], policy: dict, id_col: str = "txn_id",
+                     update_state: bool = True, history: DataFrame | None = None) -> DataFrame:
+    """P1-P10 with a saved model, scaler statistics and policy document (`threshold`, optional `block_threshold`)."""
+    r = scoring_velocity(request_defaults(requests), id_col=id_col, update_state=update_state, history=history)
+    r = model_probability(FE.row_features(r), model, stats)
+    return decide(r, float(policy["threshold"]), "model_p", policy.get("block_threshold"), policy.get("model", "model")).drop("model_p")
+
+
 def decision_counts(scored: DataFrame) -> DataFrame:
     """Rows per decision."""
     return scored.groupBy("decision").agg(F.count(F.lit(1)).alias("n"))

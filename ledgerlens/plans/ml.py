@@ -194,3 +194,28 @@ def feature_usage(spark, sf):
     used = FE.behavioural(feats)
     rows = [(f, f in used, "behavioural/contextual" if f in used else "removed mechanical balance/amount signal") for f in feats]
     return spark.createDataFrame(rows, "feature string, used_for_training boolean, reason string")
+
+
+def _saved_parts(spark, sf):
+    """A logistic model fitted on the train fold, and its scaler statistics, both saved and loaded back."""
+    import json
+
+    m = FE.feature_matrix(transactions(spark, sf))[0]
+    tr, _, _ = P.temporal_split(m, 0.8, "step_raw")
+    stats = P.stats_dict(P.robust_stats(tr, [c for c in S.CONTINUOUS_FEATURES if c in m.columns]), "center", "scale")
+    model = TR.fit(P.apply_scaler(tr, stats), BEHAVIOURAL, "LogisticRegression", {"C": 1.0}, "original")
+    root = f"{checkpoint_dir(spark).rstrip('/')}/scorer-{uuid.uuid4().hex}"
+    TR.save_model(model, f"{root}/model")
+    TR.write_policy(spark, {"scaler": {k: list(v) for k, v in stats.items()}, "threshold": 0.05, "model": "logistic"}, f"{root}/policy")
+    doc = json.loads(spark.read.text(f"{root}/policy").first()[0])
+    return TR.load_model(f"{root}/model"), {k: tuple(v) for k, v in doc["scaler"].items()}, doc
+
+
+@query("model_scored")
+def model_scored(spark, sf):
+    """Requests scored by a saved model with saved scaler statistics and policy."""
+    from ..operators import score as SC
+
+    model, stats, policy = _saved_parts(spark, sf)
+    out = SC.score_with_model(transactions(spark, sf), model, stats, policy)
+    return out.select("txn_id", "decision", "fraud_probability", "dest_prior_count", "dest_steps_since_last")
