@@ -30,8 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: repeated line chunks go; so do documents that consisted of nothing else."""
-    out = without_repeats(docs).where("__removed_lines = 0 or __removed_lines < __n_lines")
-    return _measured(out).select(*docs.columns)
+    return _measured(without_repeats(docs, drop_emptied=True)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

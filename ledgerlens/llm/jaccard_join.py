@@ -39,12 +39,12 @@ from .components import components
 WORDS = 5
 PERCENT = 80
 # A shingle in more than this share of the documents (and COMMON_LEAST of them) is ordered last.
-COMMON_SHARE = 0.001
-COMMON_LEAST = 16
+COMMON_SHARE = 0.00005
+COMMON_LEAST = 8
 # Shingles of the undecided and of the other members in one cell of a split region.
 CELL_OUTER, CELL_INNER = 250_000, 1_000_000
 # Prefix shingles beyond the first shared one, as a share of the set.
-SPARE = 0.05
+SPARE = 0.1
 # Bits of the map that spares the texts of far documents a shuffle; past some ten million regions' members it lets all through.
 BITS = 1 << 25
 # Shingles that a task counts at once to find the common ones.
@@ -224,7 +224,7 @@ def _cell(percent: int, words: int):
         """Links between the undecided and the other members of one cell that connect two components.
 
         Rows: outer, inner (bool: on which sides of the join), cls, label, n, d
-        (distance to the region's pivot, or NaN where sizes alone keep them apart), text.
+        (distance to the region's pivot, or NaN where sizes or prefixes keep them apart), text.
         """
         every = list(shingle_sets(cell.column("text"), words))
         left, right = (np.flatnonzero(cell.column(c).to_numpy()) for c in ("outer", "inner"))
@@ -311,10 +311,18 @@ def jaccard_groups(
     if texts.count() > texts.select("cls").distinct().count():  # rows that repeat id and text
         texts = stored(texts.dropDuplicates(["cls"]), "jaccard-texts")
 
-    # sizes alone keep many members from their pivots
+    # sizes and too few shared prefix shingles keep many members from their pivots
+    shared_hits = stored(hits.groupBy("cls").agg(F.array_sort(F.collect_list("shingle")).alias("hits")), "jaccard-prefixes")
+
+    def both(rows: DataFrame, table: DataFrame, column: str, other: str) -> DataFrame:
+        """`rows` with `column` of the member and, as `other`, of the pivot; both joins read one exchange of `table`."""
+        got = rows.join(table, "cls").withColumnsRenamed({"cls": "x", column: "of_x", "pivot": "cls"})
+        return got.join(table, "cls").withColumnsRenamed({"cls": "pivot", column: other, "x": "cls", "of_x": column})
+
     able = members.where(100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))
-    other = texts.select(F.col("cls").alias("pivot"), F.col("text").alias("ptext"))
-    pairs = able.join(texts, "cls").join(other, "pivot").select("cls", "pivot", "n", "pn", "text", "ptext")
+    enough = F.size(F.array_intersect("hits", "phits")) >= 1 + F.floor(SPARE * F.least("n", "pn"))
+    able = both(able, shared_hits, "hits", "phits").where(enough).select("cls", "pivot", "n", "pn")
+    pairs = both(able, texts, "text", "ptext").select("cls", "pivot", "n", "pn", "text", "ptext")
     got = pairs.mapInArrow(_shared(words), "cls long, pivot long, n long, pn long, shared long")
     union = F.col("n") + F.col("pn") - F.col("shared")
     got = stored(got.select("cls", "pivot", (1 - F.col("shared") / union).alias("d"), (100 * F.col("shared") >= percent * union).alias("linked")), "jaccard-distances")
@@ -353,7 +361,6 @@ def jaccard_groups(
     inner = inside.where(~small).select(*keep, F.lit(False).alias("outer"), F.lit(True).alias("inner"), every("ob").alias("o"), place("ib").alias("i"))
     cells = whole.unionByName(outer).unionByName(inner)
     # first by the few shared prefix shingles of each, then by the texts of those left
-    shared_hits = hits.groupBy("cls").agg(F.array_sort(F.collect_list("shingle")).alias("hits"))
     likely = cells.join(shared_hits, "cls").groupBy("pivot", "o", "i").applyInArrow(_likely(percent), LIKELY_SCHEMA)
     likely = stored(likely, "jaccard-likely")
     second = likely.join(texts, "cls").groupBy("pivot", "o", "i").applyInArrow(_cell(percent, words), CELL_SCHEMA)

@@ -50,12 +50,12 @@ def with_chunks(docs: DataFrame, text_col: str = "text", long_chars: int = LONG,
 
 
 def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_chars: int = LONG, cut: int = CUT) -> DataFrame:
-    """(doc_id, text_hash, positions): first lines of the chunks to remove from each document that has any."""
+    """(doc_id, th, positions, removed): first lines of the chunks to remove from each document that has any, and their lines."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # explode_outer: plain explode would add a filter that computes the chunks a second time, below them
     c = with_chunks(slim, "text", long_chars, cut).select("doc_id", F.xxhash64("text").alias("th"), F.explode_outer("__chunks").alias("c"))
     c = c.where((F.col("c.n") > 1) | (F.length("c.body") >= long_chars))
-    c = c.select("doc_id", "th", F.col("c.pos").alias("pos"), F.col("c.body").alias("body"), F.xxhash64("c.body").alias("ch"))
+    c = c.select("doc_id", "th", F.col("c.pos").alias("pos"), F.col("c.n").alias("n_lines"), F.col("c.body").alias("body"), F.xxhash64("c.body").alias("ch"))
     # null ids come last, as the first occurrence should have an id
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "pos")
     again = c.groupBy("ch").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("ch", "first")
@@ -64,27 +64,33 @@ def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = stored(found, "chunks-repeated")
     first = found.where("is_first").groupBy("ch").agg(F.min("body").alias("first_body"))
     equal = found.where("not is_first").join(first, "ch").where(F.col("body") == F.col("first_body"))
-    return equal.groupBy("doc_id", "th").agg(F.collect_set("pos").alias("positions"))
+    # a set, as rows alike in id and text name the same chunks
+    gone = equal.groupBy("doc_id", "th").agg(F.collect_set(F.struct("pos", "n_lines")).alias("gone"))
+    total = F.aggregate("gone", F.lit(0).cast("long"), lambda s, g: s + g["n_lines"])
+    return gone.select("doc_id", "th", F.col("gone.pos").alias("positions"), total.alias("removed"))
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_chars: int = LONG, cut: int = CUT) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_chars: int = LONG, cut: int = CUT, drop_emptied: bool = False,
+) -> DataFrame:
     """`docs` with repeated chunks removed from its text, and columns __n_lines, __removed_lines.
 
-    Edge cases: a null text stays null, an empty one empty (one empty line); a
+    `drop_emptied` leaves out documents that lose all their lines. Edge cases: a null text stays null, an empty one empty (one empty line); a
     text that loses all chunks becomes empty; rows alike in id and text count as one
     document, which keeps its first chunks in every such row, and rows that
     share an id only are told apart by their texts; an empty table gives no rows;
     other columns pass through.
     """
     gone = removed_chunks(docs, id_col, text_col, long_chars, cut)
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "positions").withColumnRenamed("positions", "__gone")
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("positions").alias("__gone"), F.col("removed").alias("__removed"))
     d = docs.join(gone, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__th")), "left").drop("__id", "__th")
+    lines = F.coalesce(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
+    d = d.withColumns({"__n_lines": lines, "__removed_lines": F.coalesce("__removed", F.lit(0).cast("long"))}).drop("__removed")
+    if drop_emptied:
+        # on plain columns: a filter on the chunks would compute them anew for every element
+        d = d.where((F.col("__removed_lines") == 0) | (F.col("__removed_lines") < F.col("__n_lines")))
     d = with_chunks(d, text_col, long_chars, cut)
-    lost = F.filter("__chunks", lambda c: F.array_contains("__gone", c["pos"]))
     d = d.withColumn("__left", F.filter("__chunks", lambda c: ~F.array_contains("__gone", c["pos"])))
-    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, c: s + c["n"])
-    d = d.withColumn("__n_lines", F.when(F.col(text_col).isNull(), F.lit(0).cast("long")).otherwise(total(F.col("__chunks"))))
-    d = d.withColumn("__removed_lines", F.when(F.col("__gone").isNull(), F.lit(0).cast("long")).otherwise(total(lost)))
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform("__left", lambda c: c["body"]), "\n"))
     return d.withColumn(text_col, text).drop("__gone", "__chunks", "__left")
 
