@@ -84,9 +84,12 @@ def smote_q(spark, sf):
 
 @query("rf_importance")
 def rf_importance(spark, sf):
-    """Random-forest feature-importance ranking on the train fold."""
-    tr, _, _, _, feats = model_frames(spark, sf)
-    return TR.feature_importance(tr, feats).orderBy(F.col("importance").desc())
+    """Random-forest importance ranking of the columns that T14 and T15 leave of the scaled train fold."""
+    tr, _, _, _, _ = model_frames(spark, sf)
+    every = FE.candidate_features(tr.drop("amount_raw", "step_raw"))
+    varied = [r["feature"] for r in P.variance_filter(tr, every).where(~F.col("dropped")).orderBy("idx").collect()]
+    kept = [c for c, _, redundant in P.correlation_prune(tr, varied) if not redundant]
+    return TR.feature_importance(tr, kept).orderBy(F.col("importance").desc())
 
 
 _TUNED: dict[tuple, str] = {}

@@ -8,6 +8,7 @@ from .. import schema as S
 from ..functions.exprs import round_doubles
 from ..operators import features as FE
 from ..operators import prep as P
+from ..operators.smote import smote
 from ..sources.fixture import transactions
 from .features import matrix_cte, matrix_features, older_variant
 from .registry import query, txn_sql
@@ -202,13 +203,17 @@ def undersample(spark, sf):
 SELECT strategy, train_rows, train_fraud, round(train_fraud / train_rows * 100.0, 3) AS train_fraud_pct FROM (
   SELECT 'original (weights)' AS strategy, count(*) AS train_rows, CAST(sum(isFraud) AS BIGINT) AS train_fraud FROM tr
   UNION ALL SELECT 'undersample', count(*), CAST(sum(isFraud) AS BIGINT) FROM us
-  UNION ALL SELECT 'undersample 0.05', count(*), CAST(sum(isFraud) AS BIGINT) FROM us05)""",
+  UNION ALL SELECT 'undersample 0.05', count(*), CAST(sum(isFraud) AS BIGINT) FROM us05
+  UNION ALL SELECT 'smote', CAST(count(*) + greatest(count(*) - 2 * sum(isFraud), 0) AS BIGINT),
+                   CAST(sum(isFraud) + greatest(count(*) - 2 * sum(isFraud), 0) AS BIGINT) FROM tr)""",
     ctes=_FOLDS + ",\n" + _under_sql(1.0) + ",\n" + _under_sql(0.05).replace("us AS (", "us05 AS (", 1)))
 def imbalance_summary(spark, sf):
     """Rows / fraud / fraud % of the train fold under the resampling strategies."""
     tr, _, _ = train_test(spark, sf)
     base = tr.select("txn_id", "isFraud", "step_raw")
-    parts = {"original (weights)": base, "undersample": P.undersample(base, 1.0), "undersample 0.05": P.undersample(base, 0.05)}
+    scaled = P.apply_scaler(tr, P.stats_dict(P.robust_stats(tr, CONT), "center", "scale"))
+    parts = {"original (weights)": base, "undersample": P.undersample(base, 1.0), "undersample 0.05": P.undersample(base, 0.05),
+             "smote": smote(scaled, FEATS, ratio=1.0)}
     out = None
     for name, d in parts.items():
         a = d.agg(F.count(F.lit(1)).alias("train_rows"), F.sum("isFraud").cast("long").alias("train_fraud")).select(
