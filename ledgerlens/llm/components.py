@@ -19,9 +19,12 @@ def components(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct()
     both = stored(both, "cc-edges")
     labels = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "node"), "cc-0")
+    if labels.isEmpty():
+        return labels
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        low = labels.join(near, labels["node"] == near["a"]).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        near = both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "label", F.lit(None).cast("long").alias("old"))
+        own = labels.select("node", "label", F.col("label").alias("old"))
+        low = near.unionByName(own).groupBy("node").agg(F.min("label").alias("label"), F.max("old").alias("old"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
         nxt = low.join(up, "label").select("node", "old", F.least("label", "up").alias("label"))
         nxt = stored(nxt, "cc-round")
