@@ -28,9 +28,11 @@ ODD = "doc_id long, text string, lang string, source string, n_chars long, n lon
 
 
 def odd_rows():
-    prose = lambda k: "\n".join(f"line {chr(97 + k)}{chr(97 + j)} of the text with some more words in it that fill it up to be long enough for its own chunk, as " + "abcdefghij"[j] * 9 for j in range(6))
+    # six lines of fourteen words, no word twice; each line long enough for a chunk of its own
+    letter = lambda x: chr(97 + x)
+    prose = lambda k: "\n".join(" ".join(f"{letter(k)}{letter(j)}{letter(w)}wordy" for w in range(16)) for j in range(6))
     rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (None, prose(1), "en", "a", 5), (3, prose(2), None, None, None),
-            (4, prose(3), "en", "b", 7), (4, prose(3), "en", "b", 7), (5, prose(3).replace("line", "row", 1), "en", "b", 7), (6, "w " * 30_000, "en", "c", 1)]
+            (4, prose(3), "en", "b", 7), (4, prose(3), "en", "b", 7), (5, prose(3).replace("daawordy", "other", 1), "en", "b", 7), (6, "w " * 30_000, "en", "c", 1)]
     return [(*r, 1, 2, "k", 3, "l", 4) for r in rows]
 
 
