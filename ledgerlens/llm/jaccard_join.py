@@ -13,8 +13,9 @@ p. Two sets link when their distance is at most eps = 0.2.
    sets, at distance 1 from every pivot, belong to none.
 3. Every member is compared with its pivots; those within eps link.
 4. Members of one component are settled with one another, however far apart.
-   The others recurse: each open member of a region is joined with the members
-   inside its triangle-inequality and size windows, in cells of bounded size, exactly.
+   The others are joined once, without further pivots: each open member of a
+   region with the members, open or settled, inside its triangle-inequality and
+   size windows, in cells of bounded size, exactly.
 
 A region of copies, however large, is settled in step 3 but for the members on
 its border. No step emits the pairs of a region.
@@ -341,12 +342,15 @@ def jaccard_groups(
     inside = open_.join(of, "pivot").where(
         (F.col("open") | F.isnan("d") | F.isnan("d1") | ((F.col("d") >= F.col("d0") - eps - 1e-9) & (F.col("d") <= F.col("d1") + eps + 1e-9)))
         & (100 * F.col("n") >= percent * F.col("n0")) & (percent * F.col("n") <= 100 * F.col("n1")))
-    # only members with another open member of a size near their own can find a link here
+    # a link needs an open member and one of another label, open or settled, of a size near its own: settled members
+    # need an open one beside them, open ones any of another label
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent) + 1e-12))
     inside = inside.withColumn("band", band)
-    beside = inside.where("open").select("pivot", "cls", F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])).alias("band"))
-    beside = beside.groupBy("pivot", "band").agg(F.min("cls").alias("c0"), F.max("cls").alias("c1"))
-    inside = stored(inside.join(beside, ["pivot", "band"]).where((F.col("c0") != F.col("cls")) | (F.col("c1") != F.col("cls"))).drop("band", "c0", "c1"), "jaccard-inside")
+    beside = inside.groupBy("pivot", "band").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.max("open").alias("any_open"))
+    beside = beside.withColumn("band", F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])))
+    beside = beside.groupBy("pivot", "band").agg(F.min("l0").alias("l0"), F.max("l1").alias("l1"), F.max("any_open").alias("any_open"))
+    able = F.when(F.col("open"), (F.col("l0") != F.col("label")) | (F.col("l1") != F.col("label"))).otherwise(F.col("any_open"))
+    inside = stored(inside.join(beside, ["pivot", "band"]).where(able).drop("band", "l0", "l1", "any_open"), "jaccard-inside")
     total = inside.groupBy("pivot").agg(F.sum("n").alias("inner_n"), F.count(F.lit(1)).alias("m")).where("m > 1")
     inside = inside.join(total.select("pivot", "inner_n"), "pivot")
     blocks = lambda c, size: F.ceil(F.col(c) / F.lit(float(size)))

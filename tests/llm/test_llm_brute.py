@@ -66,6 +66,26 @@ def test_jaccard_groups_on_borderline_copies_in_small_cells(spark):
     assert 3 < len({r[2] for r in exp}) < 300
 
 
+def nested_chains(n, seed):
+    """Texts that shrink from one end in steps that link, while the first and the third do not."""
+    rnd = random.Random(seed)
+    rows = []
+    for c in range(n):
+        w = [f"c{c}w{rnd.randrange(10**6)}" for _ in range(124)]
+        cuts = (124, 104, 86) if c % 2 else (124, 104, 86, 73)
+        rows += [(10 * c + k, " ".join(w[:size] if c % 3 else w[-size:])) for k, size in enumerate(cuts)]
+    return rows
+
+
+def test_jaccard_groups_links_through_settled_members(spark):
+    rows = nested_chains(60, 11)
+    exp = brute_groups(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r[2] for r in exp} == {10 * c for c in range(60)}
+    assert sorted(map(tuple, jaccard_groups(df).collect())) == exp
+    assert sorted(map(tuple, jaccard_groups(df, cell_outer=150, cell_inner=200).collect())) == exp
+
+
 def test_line_rule_measures(spark):
     df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     got = {r["doc_id"]: r for r in line_rules(df).collect()}
