@@ -7,10 +7,9 @@ them is boilerplate of its host and is removed. A document is rejected when too
 few of its words are left.
 
 Copies of one document would make all of its own lines look like boilerplate,
-so a line counts the distinct *other* content it stands in: each document is
-represented, with respect to a line, by the smallest other line hash it holds
-(its first minimum, or the second if the line is the first). Copies and near
-copies share that line and count once; unrelated pages of a host do not.
+so documents are told apart by content: the hash of all their distinct
+normalised lines. Copies that differ in nothing else count once; near copies
+are documents of their own, as nothing tells them from pages of one template.
 
 Python (Arrow, numpy) does the per-document work only: words, repeated windows
 and line hashes. Counting across documents is Spark's: explode, a distinct that
@@ -42,9 +41,9 @@ _DIGIT[ord("0") : ord("9") + 1] = ord("0")
 
 LINE_SCHEMA = (
     "key struct<doc_id: long, th: long>, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "lines array<struct<h: long, n: long>>, least array<long>"
+    "lines array<struct<h: long, n: long>>, content long"
 )
-LINE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "least")
+LINE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "content")
 
 
 def _repeat_words(words: np.ndarray) -> int:
@@ -67,7 +66,7 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, hosts = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
         cols: dict[str, list] = {k: [] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
-        line_h, line_n, line_off, least, least_off = [], [], [0], [], [0]
+        line_h, line_n, line_off, content = [], [], [0], []
         for a, b, data, off in text_chunks(batch.column(2)):
             exact, first, s, e = word_hashes(data, off, lower=False)
             loose, _, _, _ = word_hashes(_DIGIT[data], off, lower=True)
@@ -92,19 +91,17 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 h = run_hashes(loose[w0:w1], edge[full] - w0, edge[full + 1] - w0)
                 u, inverse = np.unique(h, return_inverse=True)
                 n = np.bincount(inverse, weights=(edge[full + 1] - edge[full]), minlength=len(u)).astype(np.int64)
+                content.append(run_hashes(u, np.zeros(1, np.int64), np.array([len(u)]))[:1].view(np.int64))
                 u = mix64(u ^ hosts[a + d]).view(np.int64)
                 line_h.append(u)
                 line_n.append(n)
                 line_off.append(line_off[-1] + len(u))
-                least.append(u[:2])
-                least_off.append(least_off[-1] + len(u[:2]))
         flat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
         lines = pa.StructArray.from_arrays([pa.array(flat(line_h)), pa.array(flat(line_n))], names=["h", "n"])
         yield pa.RecordBatch.from_arrays(
             [ids, *[pa.array(np.array(v, dtype=np.int64)) for v in cols.values()],
-             pa.ListArray.from_arrays(pa.array(line_off, pa.int32()), lines),
-             pa.ListArray.from_arrays(pa.array(least_off, pa.int32()), pa.array(flat(least)))],
-            names=["key", *cols, "lines", "least"],
+             pa.ListArray.from_arrays(pa.array(line_off, pa.int32()), lines), pa.array(flat(content))],
+            names=["key", *cols, "lines", "content"],
         )
 
 
@@ -139,15 +136,13 @@ def _judged(
         host.alias("host_hash"), text.alias("text"))
     m = rows.mapInArrow(measure, LINE_SCHEMA).select("key.*", *LINE_COLUMNS).withColumn("row", F.monotonically_increasing_id())
     m = stored(m, "line-rules")
-    lines = m.select("row", F.get("least", F.lit(0)).alias("l0"), F.get("least", F.lit(1)).alias("l1"), F.explode("lines").alias("line"))
-    lines = lines.select("row", F.col("line.h").alias("h"), F.col("line.n").alias("n"), "l0", "l1")
-    beside = F.when(F.col("l0") == F.col("h"), F.col("l1")).otherwise(F.col("l0"))
-    # a document of one line has no other content: all such copies count once (0)
-    content = lines.select("h", F.coalesce(beside, F.lit(0)).alias("beside")).distinct()
+    lines = m.select("row", "content", F.explode("lines").alias("line"))
+    lines = lines.select("row", F.col("line.h").alias("h"), F.col("line.n").alias("n"), "content")
+    content = lines.select("h", "content").distinct()
     frequent = content.groupBy("h").agg(F.count(F.lit(1)).alias("n_documents")).where(F.col("n_documents") > max_documents)
     hits = lines.join(frequent.select("h"), "h")
     lost = stored(hits.groupBy("row").agg(F.sum("n").alias("lost_words"), F.collect_list("h").alias("__gone")), "line-lost")
-    v = m.drop("lines", "least").join(lost.drop("__gone"), "row", "left").withColumn("lost_words", F.coalesce("lost_words", F.lit(0)).cast("long"))
+    v = m.drop("lines", "content").join(lost.drop("__gone"), "row", "left").withColumn("lost_words", F.coalesce("lost_words", F.lit(0)).cast("long"))
     v = v.withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     v = v.withColumn("kept", ~F.col("base_failed") & (F.col("lost_words") <= max_lost_share * F.col("n_words")))
     return v, lost.select("row", "__gone")

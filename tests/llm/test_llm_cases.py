@@ -96,6 +96,21 @@ def test_line_rules_keep_copies_and_remove_boilerplate(spark):
     assert text[3] == own(3) and text[100] == own(600) and 300 not in text
 
 
+def test_line_rules_remove_templates_of_several_lines(spark):
+    name = lambda *k: "".join(chr(97 + x % 26) + chr(97 + x // 26) for x in k)
+    rows, template = [], {}
+    for h, (pages, k, u) in enumerate([(30, 3, 1), (60, 5, 2), (60, 5, 1), (40, 4, 4)] * 3):
+        template[f"h{h}"] = [f"template line {name(j)} of this host {name(h)}" for j in range(k)]
+        own = lambda i: [" ".join(name(h, i, j, w) for w in range(60 // u)) for j in range(u)]  # noqa: B023, E731
+        rows += [(1000 * h + i, "\n".join(own(i) + template[f"h{h}"]), f"h{h}") for i in range(pages)]
+    rows += [(90_000 + i, "\n".join(f"copy {name(j)} " + f"{name(j, j)} " * 8 for j in range(9)), "copies") for i in range(60)]
+    d = docs(spark, rows)
+    lost = {r["doc_id"]: r["lost_words"] for r in line_rules(d).collect()}
+    assert all(lost[i] == sum(len(x.split()) for x in template.get(s, [])) for i, _, s in rows)
+    texts = [r["text"] for r in clean_lines(d).where("source <> 'copies'").collect()]
+    assert len(texts) == sum(s != "copies" for _, _, s in rows) and not any("template line" in t for t in texts)
+
+
 def test_jaccard_cases(odd, none):
     rows = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_groups(odd).collect()}
     assert {(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4)} <= rows
