@@ -2,11 +2,14 @@
 
 1. The corpus occurrences of every n-gram of the test items are counted over
    all documents; the rarest two thirds of each item's n-grams are its seeds
-   (relative to the item, so an item that leaked into very many documents keeps seeds).
+   (relative to the item, so an item that leaked into very many documents keeps seeds),
+   and of any three in a row the rarest, so that each passage has some.
 2. A document that holds a seed is aligned with the seed's item: Smith-Waterman
    over words in a window around the seeds (match +2, other word or gap -1).
-   An item is found where the best local alignment reaches MIN_SHARE of the
-   score of a full copy.
+   An item is found where its alignments, which overlap neither in the document
+   nor in the item, reach MIN_SHARE of the score of a full copy; also where one of
+   them has the score of PASSAGE_WORDS words and MIN_SHARE of a full copy of the
+   words it spans, or where so many words stand in a row.
 
 Documents never move: both steps are one pass over the scan each, against a
 block of test items held by every task. Blocks have a bounded number of words;
@@ -30,6 +33,8 @@ MATCH, MISS, GAP = 2, -1, 1
 MIN_SHARE = 0.5
 # An alignment counts from this many matched words' score on (or the whole of a shorter item).
 MIN_MATCHES = 8
+# A passage of an item counts from this many matched words' score on, whatever the item's length.
+PASSAGE_WORDS = 13
 # Words of test items that a pass holds at once.
 BLOCK_WORDS = 2_000_000
 
@@ -58,32 +63,68 @@ class Items:
         self.gram, self.item, self.place = flat[order], self.item[order], self.place[order]
 
     def keep_rare(self, counts: dict[int, int], share: float = SEED_SHARE) -> None:
-        """Keep of every item the given share of its n-grams, the rarest first (ties with the last one stay)."""
+        """Keep of every item the given share of its n-grams, the rarest first (ties with the last one stay), and the rarest of
+        any n in a row: a passage that very many documents quote keeps seeds though the rest of its item is rarer."""
         c = np.array([counts.get(int(g), 0) for g in self.gram.view(np.int64)])
         keep = np.zeros(len(c), dtype=bool)
         by = np.argsort(self.item, kind="stable")
         for rows in np.split(by, np.flatnonzero(np.diff(self.item[by])) + 1) if len(by) else []:
             keep[rows] = c[rows] <= np.sort(c[rows])[int(np.ceil(len(rows) * share)) - 1]
+            rows = rows[np.lexsort((c[rows], self.place[rows] // self.n))]
+            keep[rows[np.flatnonzero(np.diff(self.place[rows] // self.n, prepend=-1))]] = True
         self.gram, self.item, self.place = self.gram[keep], self.item[keep], self.place[keep]
 
     def seeds(self) -> np.ndarray:
         return np.unique(self.gram)
 
 
-def align(item: np.ndarray, doc: np.ndarray) -> tuple[int, int]:
-    """Best Smith-Waterman score of two word sequences and the document word it ends at."""
+def align(item: np.ndarray, doc: np.ndarray) -> tuple[int, int, int]:
+    """Best Smith-Waterman score of two word sequences and the item and document words it ends at."""
     row = np.zeros(len(doc) + 1, dtype=np.int64)
     steps = GAP * np.arange(len(doc) + 1)
-    best, end = 0, 0
-    for w in item:
+    best, last, end = 0, 0, 0
+    for i, w in enumerate(item, 1):
         new = np.zeros_like(row)
         np.maximum(row[:-1] + np.where(doc == w, MATCH, MISS), row[1:] - GAP, out=new[1:])
         # gaps within the row: the best start to the left less its distance
         row = np.maximum(np.maximum.accumulate(np.maximum(new, 0) + steps) - steps, 0)
         j = int(row.argmax())
         if row[j] > best:
-            best, end = int(row[j]), j
-    return best, end
+            best, last, end = int(row[j]), i, j
+    return best, last, end
+
+
+def span(item: np.ndarray, doc: np.ndarray, score: int) -> tuple[int, int]:
+    """Words of the item and of the document that the alignment of that score spans which ends both."""
+    item, doc = item[::-1], doc[::-1]
+    steps = GAP * np.arange(len(doc) + 1)
+    row = -steps
+    for i, w in enumerate(item, 1):
+        new = np.empty_like(row)
+        new[0] = -GAP * i
+        np.maximum(row[:-1] + np.where(doc == w, MATCH, MISS), row[1:] - GAP, out=new[1:])
+        row = np.maximum.accumulate(new + steps) - steps
+        if row.max() >= score:
+            return i, int(row.argmax())
+    return len(item), len(doc)
+
+
+def longest_run(item: np.ndarray, doc: np.ndarray) -> int:
+    """Most words in a row that both hold."""
+    row, best = np.zeros(len(doc) + 1, dtype=np.int64), 0
+    for w in item:
+        row[1:] = np.where(doc == w, row[:-1] + 1, 0)
+        best = max(best, int(row.max()))
+    return best
+
+
+def _apart(parts: list[tuple[int, int, int, int, int]]) -> int:
+    """Summed score of alignments (score, item from and to, document from and to), best first, that overlap in neither."""
+    taken: list[tuple[int, int, int, int, int]] = []
+    for p in sorted(parts, reverse=True):
+        if all((p[2] <= q[1] or q[2] <= p[1]) and (p[4] <= q[3] or q[4] <= p[3]) for q in taken):
+            taken.append(p)
+    return sum(p[0] for p in taken)
 
 
 def find(texts: pa.Array, items: Items) -> Iterator[tuple[int, int, float, int]]:
@@ -109,17 +150,32 @@ def find(texts: pa.Array, items: Items) -> Iterator[tuple[int, int, float, int]]
         # one window for each run of seeds of an item whose places agree within half its length
         new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(start) > size[1:] // 2)])
         cuts = np.flatnonzero(new)
-        best: dict[tuple[int, int], tuple[int, int]] = {}
+        aligned: dict[tuple[int, int], list[tuple[int, int, int, int, int]]] = {}
         for i, j in zip(cuts, np.append(cuts[1:], len(at))):
             d, t, m = int(doc[i]), int(item[i]), int(size[i])
             w0, w1 = max(first[d], start[i] - m // 2), min(first[d + 1], start[j - 1] + m + m // 2)
-            score, end = align(items.words[t], h[w0:w1])
-            if score > best.get((d, t), (0, 0))[0]:
-                best[d, t] = (score, int(w0 - first[d]) + end)
-        for (d, t), (score, end) in best.items():
-            full = MATCH * len(items.words[t])
-            if score >= MIN_SHARE * full and score >= min(full, MATCH * MIN_MATCHES):
-                yield a + d, t, score / full, end
+            score, last, end = align(items.words[t], h[w0:w1])
+            aligned.setdefault((d, t), []).append((score, last, int(w0), int(w1), int(w0) + end))
+        for (d, t), windows in aligned.items():
+            words = items.words[t]
+            full = MATCH * len(words)
+            least = min(full, MATCH * MIN_MATCHES)
+            windows = [w for w in windows if w[0] >= least]
+            if not windows:
+                continue
+            score, _, _, _, end = max(windows, key=lambda w: w[0])
+            hit = score >= MIN_SHARE * full
+            if not hit and (score >= MATCH * PASSAGE_WORDS or sum(w[0] for w in windows) >= MIN_SHARE * full):
+                parts = []
+                for value, last, w0, w1, stop in windows:
+                    n_item, n_doc = span(words[:last], h[w0:stop], value)
+                    parts.append((value, last - n_item, last, stop - n_doc, stop))
+                    if value >= MATCH * PASSAGE_WORDS:
+                        hit = hit or value >= MIN_SHARE * MATCH * max(n_item, n_doc) or longest_run(words, h[w0:w1]) >= PASSAGE_WORDS
+                score = max(score, _apart(parts))
+                hit = hit or score >= MIN_SHARE * full
+            if hit:
+                yield a + d, t, score / full, int(end - first[d])
 
 
 def _counts(seeds: np.ndarray, n: int):
@@ -157,10 +213,10 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, score, at_word) of every document and test item it holds a copy of.
+    """(doc_id, item_id, score, at_word) of every document and test item it holds a copy or a passage of.
 
-    `score` is the alignment's share of a full copy's; `at_word` the document
-    word at which it ends. Edge cases: null and empty texts hold nothing;
+    `score` is the alignments' share of a full copy's; `at_word` the document
+    word at which the best one ends. Edge cases: null and empty texts hold nothing;
     repeated rows and repeated items are reported each; empty tables give no rows; null ids pass
     through; other columns are not read.
     """

@@ -163,6 +163,20 @@ def test_decontamination_finds_edited_copies(spark):
     assert [(r["doc_id"], r["item_id"]) for r in got] == [(1, 1)] and got[0]["score"] > 0.6
 
 
+def test_decontamination_finds_passages(spark):
+    words = [f"term{i}" for i in range(400)]
+    short = [f"brief{i}" for i in range(24)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(short))], "item_id long, text string")
+    edited = [w if i % 7 else "changed" for i, w in enumerate(words[40:80])]
+    around = lambda *parts: ("before " * 50 + (" between" * 80 + " ").join(" ".join(p) for p in parts) + " after" * 50)
+    held = {
+        1: around(words[100:290]), 2: around(words[7:20]), 3: around(edited), 4: around(short[:9], short[14:23]), 5: around(short[14:23], short[:9]),
+        6: around(words[10:20]), 7: around(short[:9]), 8: around(short[:9], short[:9]), 9: around(w for i in range(0, 60, 5) for w in (*words[i : i + 2], "x", "y", "z")),
+    }
+    found = {(r["doc_id"], r["item_id"]) for r in contaminated(docs(spark, [(i, t, "a") for i, t in held.items()]), bench).collect()}
+    assert found == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2)}
+
+
 def test_secret_cases(odd, none, spark):
     assert scan_secrets(odd.where("doc_id <> 7")).where("is_secret").count() == 0
     assert scan_secrets(none).count() == 0
