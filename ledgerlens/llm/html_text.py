@@ -41,6 +41,9 @@ BLOCK = frozenset(
     "header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# What may stand in a head; anything else ends it, as its end tag may be left out.
+IN_HEAD = frozenset("html head title base link meta script style noscript template".split())
+FOREIGN = frozenset(("svg", "math"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Words of class, id or role attributes that name furniture.
 ROLE = re.compile(
@@ -54,6 +57,8 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
 )
 ATTR = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+# A slash that ends an unquoted value does not close the element.
+SLASH_VALUE = re.compile(r"=\s*[^\s\"'>]*/$")
 SPACE = re.compile(r"\s+")
 HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 LEGAL = re.compile(r"(?:\W*(?:copyright|all rights reserved)\b|\s*\u00a9)", re.I)
@@ -84,9 +89,13 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
     furniture = inside = links = skipped = 0
     has_main, at, n = False, 0, len(page)
     now: Block | None = None
+    xml = page[:100].lstrip("\ufeff \t\r\n").startswith("<?xml")
 
     def text(piece: str) -> None:
-        nonlocal now
+        nonlocal now, skipped
+        if piece and stack and stack[-1][0] == "head" and not piece.isspace():
+            stack.pop()
+            skipped -= 1
         if not piece or skipped:
             return
         if now is None:
@@ -115,6 +124,9 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
         tag = (m.group(2) or "").lower()
         if not tag:
             continue
+        if not m.group(1) and tag not in IN_HEAD and stack and stack[-1][0] == "head":
+            stack.pop()
+            skipped -= 1
         if tag == "br" and now is not None and not skipped:
             now.parts.append(" ")
         if tag in BLOCK:
@@ -147,7 +159,7 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
                 if stack[i][0] in BLOCK and tag == "p":
                     break
         raw = (m.group(3) or "").strip()
-        closed = raw.endswith("/")
+        closed = raw.endswith("/") and not SLASH_VALUE.search(raw) and (xml or tag in FOREIGN or any(t in FOREIGN for t, _, _ in stack))
         main, bad = tag in ("article", "main"), tag in FURNITURE
         if raw and raw != "/":
             attrs = {k.lower(): v.strip("\"'") for k, v in ATTR.findall(raw)}
@@ -158,11 +170,10 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
                 bad = bad or ROLE.search(names) is not None or bool({"header", "top"} & set(names.lower().split()))
         if tag == "header" and inside:
             bad = False  # the heading part of an article
-        if main and (furniture or bad):
+        if main and (furniture or bad or skipped):
             main = False
-        if main:
-            has_main = True
         if not closed:
+            has_main = has_main or main
             stack.append((tag, bad, main))
             furniture += bad
             inside += main

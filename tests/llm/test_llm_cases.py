@@ -248,3 +248,16 @@ def test_html_furniture():
     assert main_text(page) == (
         "A title\nThe first paragraph of the story is long enough to be text, and it is about the town & its people.\nShort one.\nThe end of the story."
     )
+
+
+def test_html_optional_tags_and_slashes():
+    story = "The first paragraph of the story is long enough to be text, and it is about the town and its people."
+    head = "<html><head><meta charset=utf-8><title>No</title><style>p{}</style>"
+    for page in (
+        f"{head}<body><p>{story}</p></body></html>", f"{head}<p>{story}</p>", f"{head}{story}", f"<head><link href=/a/><div><p>{story}</div>",
+        f"{head}</head><body><article data-u=/a/><p>{story}</p></article>", f"<main data-u=/a/>{story}</main>", f"<article/><p>{story}</p></article>",
+        f"<p>{story}<svg><path d='M0'/><g/></svg></p>", f"<p>{story}</p><svg width=1 />", f"<object><article>No</article></object><p>{story}</p>",
+        f"<?xml version='1.0'?><html><head/><body><a id='top'/><article/><p>{story}</p></body></html>",
+    ):
+        assert main_text(page) == story, page
+    assert main_text(f"{head}<script>var a = 1;</script> <body><nav>Home</nav><p>{story}</p>") == story
