@@ -1,7 +1,8 @@
 """Operator 2: secret scan whose false positives a random forest removes.
 
-Candidates are runs of token characters with a digit among them, found with
-DataFrame functions in every whole text. Each has features of its length, its
+Candidates are runs of token characters with a digit among them, and whatever
+is assigned to a secret's name (from NAMED_LENGTH characters, of any kind), found
+with DataFrame functions in every whole text. Each has features of its length, its
 character transitions, how much of it dictionary words cover, the path it was
 found under and the words beside it. A random forest, trained on labelled
 findings, tells secrets from identifiers, numbers and the like.
@@ -33,6 +34,14 @@ THRESHOLD = 0.5
 CANDIDATE = f"(?=[A-Za-z0-9_+/.=-]*[0-9])[A-Za-z0-9_+/.=-]{{{LEAST_LENGTH},}}"
 # Words before a value that name it as a secret.
 NAMES = "(?i)(pass(word|wd|phrase)?|pwd|secret|token|api_?key|auth|bearer|credential|private_?key|access_?key)"
+# Least characters of a value assigned to such a name; it ends at white space, a quote or the next name=value.
+NAMED_LENGTH = 4
+_NAME = NAMES + "(?:[_-]?(?:key|value|string|code|hash|id|s))?[0-9_]*[\"'`]?"
+_VALUE = f"[\"'`]*([^\\s\"'`]{{{NAMED_LENGTH},}}?)(?=[&;,][A-Za-z_][A-Za-z0-9_]*=|[\\s\"'`]|$)"
+NAMED_TEXT = _NAME + "[\\x20\\x09-\\x0D]*[:=]"
+NAMED_VALUE = _NAME + "[:=]+>?" + _VALUE
+# The words before a value, with one space after each.
+NAME_ASSIGNED, NAME_ALONE = _NAME + " ?[:=]+>? $", _NAME + " $"
 PLACEHOLDER = "(?i)(example|sample|dummy|placeholder|changeme|your|xxxx|test|fake|0{8}|1234567)"
 TEST_PATH = "(?i)(test|spec|example|sample|fixture|doc|mock)"
 # Formats that providers publish for their keys.
@@ -54,26 +63,60 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str) -> Da
     """(doc_id, path, word, place, value, name, before, after): every candidate with the words beside it.
 
     `word` is the index of the white-space word that holds it, `place` the
-    number of the candidate in that word; `name` is what stands before the value
-    in the same word.
+    number of the candidate in that word (values assigned to a name come after
+    the others); `name` is what stands before the value in the same word, with
+    the two words before it if they name the value.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"), F.col(text_col).alias("text"))
-    d = d.where(F.col("text").rlike(CANDIDATE)).withColumn("words", F.split("text", SPACE_CLASS)).drop("text")
-    at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: (F.length(F.get("words", i)) >= LEAST_LENGTH) & F.get("words", i).rlike(CANDIDATE))
-    d = d.withColumn("at", at)
+    d = d.where(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(NAMED_TEXT)).withColumn("words", F.split("text", SPACE_CLASS)).drop("text")
+    word = lambda i: F.coalesce(F.get("words", i), F.lit(""))
+    lead = lambda i: F.concat(word(i - 2), F.lit(" "), word(i - 1), F.lit(" "))
+    sign = lambda w: F.contains(w, F.lit("=")) | F.contains(w, F.lit(":"))
+
+    def holds(i: Column) -> Column:
+        token = (F.length(word(i)) >= LEAST_LENGTH) & word(i).rlike(CANDIDATE)
+        return token | sign(word(i)) & (word(i).rlike(NAMED_VALUE) | lead(i).rlike(NAME_ALONE)) | sign(word(i - 1)) & lead(i).rlike(NAME_ASSIGNED)
+
+    d = d.withColumn("at", F.filter(F.sequence(F.lit(0), F.size("words") - 1), holds))
     near = lambda i: F.concat_ws(" ", *[F.coalesce(F.get("words", i + k), F.lit("")) for k in (-3, -2, -1)])
-    hit = F.transform("at", lambda i: F.struct(i.alias("word"), F.get("words", i).alias("raw"), near(i).alias("before"), F.coalesce(F.get("words", i + 1), F.lit("")).alias("after")))
+    hit = F.transform("at", lambda i: F.struct(i.alias("word"), F.get("words", i).alias("raw"), lead(i).alias("lead"), near(i).alias("before"), F.coalesce(F.get("words", i + 1), F.lit("")).alias("after")))
     d = d.select("doc_id", "path", F.explode_outer(hit).alias("h")).select("doc_id", "path", "h.*")
     parts = F.regexp_extract_all("raw", F.lit("[A-Za-z0-9_+/.-]+=*"), F.lit(0))
-    d = d.select("doc_id", "path", "word", "before", "after", F.posexplode_outer(parts).alias("place", "value"), "raw")
-    d = d.withColumn("value", F.regexp_replace("value", "^[.=-]+|[.]+$", ""))
-    d = d.where((F.length("value") >= LEAST_LENGTH) & F.col("value").rlike("[0-9]"))
+    # a value assigned to a name in this word, or to one in the words before it
+    assigned = F.when(F.col("lead").rlike(NAME_ASSIGNED), F.regexp_extract("raw", "^" + _VALUE, 1))
+    assigned = assigned.when(F.col("lead").rlike(NAME_ALONE), F.regexp_extract("raw", "^[:=]+>?" + _VALUE, 1)).otherwise("")
+    named = F.concat(F.regexp_extract_all("raw", F.lit(NAMED_VALUE), F.lit(3)), F.array(assigned))
+    named = F.transform(named, lambda v: F.regexp_replace(v, "[.,;:)\\]}]+$", ""))
+    named = F.array_distinct(F.filter(named, lambda v: F.length(v) >= NAMED_LENGTH))
+    d = d.withColumns({"parts": parts, "named": named})
+
+    def trimmed(v: Column) -> Column:
+        return F.regexp_replace(v, "^[.=-]+|[.]+$", "")
+
+    def split(v: Column) -> Column:
+        return F.regexp_extract(v, "^([A-Za-z_]+)=(.+)$", 2)
+
+    def token_value(v: Column) -> Column:
+        return F.when(F.length(split(v)) > 0, split(v)).otherwise(F.regexp_replace(v, "=+$", ""))
+
+    able = lambda v: (F.length(v) >= LEAST_LENGTH) & v.rlike("[0-9]")
+    tokens = F.filter(F.transform("parts", lambda v: token_value(trimmed(v))), able)
+    bare = lambda v: F.regexp_replace(v, "=+$", "")
+    other = F.filter("named", lambda v: ~F.exists("tokens", lambda t: bare(t) == bare(v)))
+    d = d.withColumn("tokens", tokens).withColumn("named", other)
+    numbered = F.concat(
+        F.transform("parts", lambda v, i: F.struct(i.cast("int").alias("place"), v.alias("value"), F.lit(False).alias("by_name"))),
+        F.transform("named", lambda v, i: F.struct((F.size("parts") + i).cast("int").alias("place"), v.alias("value"), F.lit(True).alias("by_name"))))
+    d = d.select("doc_id", "path", "word", "before", "after", "lead", "raw", F.explode_outer(numbered).alias("c"))
+    d = d.select("doc_id", "path", "word", "before", "after", "lead", "raw", "c.*")
+    d = d.withColumn("value", F.when(F.col("by_name"), F.col("value")).otherwise(trimmed(F.col("value"))))
+    d = d.where(F.col("by_name") | able(F.col("value")))
     # "name=value" in one word: the name part goes to `name`
     name = F.expr("substring_index(raw, value, 1)")
-    split = F.regexp_extract("value", "^([A-Za-z_]+)=(.+)$", 2)
-    d = d.withColumn("name", F.concat(name, F.regexp_extract("value", "^([A-Za-z_]+=).+$", 1)))
-    d = d.withColumn("value", F.when(F.length(split) > 0, split).otherwise(F.regexp_replace("value", "=+$", "")))
-    return d.where((F.length("value") >= LEAST_LENGTH) & F.col("value").rlike("[0-9]")).drop("raw")
+    beside = F.when(F.col("by_name") & F.col("lead").rlike(f"{NAME_ASSIGNED}|{NAME_ALONE}"), F.concat("lead", name)).otherwise(name)
+    d = d.withColumn("name", F.when(F.col("by_name"), beside).otherwise(F.concat(name, F.regexp_extract("value", "^([A-Za-z_]+=).+$", 1))))
+    d = d.withColumn("value", F.when(F.col("by_name"), F.col("value")).otherwise(token_value(F.col("value"))))
+    return d.where(F.col("by_name") | able(F.col("value"))).drop("raw", "lead", "by_name")
 
 
 def with_features(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
@@ -110,10 +153,15 @@ def rule_labels(x: DataFrame) -> DataFrame:
 
     1: a provider's format, or a value assigned to a secret's name, that is no
     placeholder; 0: numbers, addresses and placeholders, and values without any such
-    word beside them that dictionary words cover by half.
+    word beside them that dictionary words cover by half, and assigned dictionary words. Of
+    short values, those without digits and those with other marks only letters with digits are sure.
     """
+    open_ = (F.col("length") < LEAST_LENGTH) | (F.col("digits") == 0) | F.col("value").rlike("[^A-Za-z0-9_+/.=-]")
+    sure = ~open_ | F.col("value").rlike("^(?=.*[A-Za-z])(?=.*[0-9])[^$<{%(\\[]")
     secret = (F.col("known") > 0) | ((F.col("assigned") > 0) & ((F.col("named") > 0) | (F.col("named_near") > 0)) & (F.col("placeholder") == 0))
     other = (F.col("number") > 0) & (F.col("named") + F.col("named_near") == 0) | (F.col("placeholder") > 0) & (F.col("known") == 0)
+    secret = secret & sure
+    other = other | (F.col("dictionary") >= 0.95) & (F.col("digits") == 0)
     other = other | (F.col("dictionary") >= 0.5) & (F.col("named") + F.col("named_near") == 0)
     return x.withColumn("label", F.when(secret, 1.0).when(other, 0.0)).where("label is not null")
 

@@ -187,6 +187,19 @@ def test_secret_cases(odd, none, spark):
     assert not any(got[100 + i, f"40418949746{i:05d}"] for i in range(30))
 
 
+def test_secrets_of_any_kind_after_a_name(spark):
+    values = ["S3cret99", "hunter2", "correcthorsebattery", "p@ss!w0rd#2024", "x9f?Kq2"]
+    forms = ["password={}", "pwd: {} and", 'DB_PASSWORD = "{}"', "{{'secret':'{}'}}", "api_key={}&user=me", "token ={},"]
+    rows = [(10 * i + k, f"{PROSE} {f.format(v)} {PROSE}", "a") for i, f in enumerate(forms) for k, v in enumerate(values)]
+    rows += [(1000 + i, f"{PROSE} password=b7db{i:04d}a4a5fcc783 and author: nobody order 40418949746{i:05d}", "a") for i in range(30)]
+    got = {}
+    for r in scan_secrets(docs(spark, rows)).collect():
+        got.setdefault(r["doc_id"], {})[r["value"]] = r["is_secret"]
+    assert {i: set(got.get(i, {})) for i, _, _ in rows if i < 1000} == {10 * i + k: {v} for i in range(len(forms)) for k, v in enumerate(values)}
+    assert all(set(got[1000 + i]) == {f"b7db{i:04d}a4a5fcc783", f"40418949746{i:05d}"} for i in range(30))
+    assert all(got[10 * i][values[0]] and got[10 * i + 1][values[1]] for i in range(len(forms)))
+
+
 def test_toxicity_cases(spark, odd, none):
     labels = spark.createDataFrame([(1, 0), (5, 1), (None, 1), (6, None)], "doc_id long, toxic int")
     out = score_toxicity(odd, labels)
