@@ -14,9 +14,11 @@ from .mixing import mix_sources
 from .oracles import OP1, OP10
 from .registry import register
 from .secrets import scan_secrets
+from .token_output import token_ids
 from .toxicity import score_toxicity
 from .url_filter import judge_urls
 from .warc import archive_pages
+from .whitening import whiten
 
 
 @register("op1_source_mix", OP1)
@@ -78,3 +80,17 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 2: every secret candidate of all documents, scored by the forest."""
     return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@register("op11_token_ids")
+def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11: place, length and checksum of every document's token ids, read back from the coded files."""
+    import public_tokenizers
+
+    return token_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))[0]
+
+
+@register("op13_whitened_embeddings")
+def op13_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13: whitened components of every usable embedding, fitted on the distinct quantised vectors."""
+    return whiten(table(spark, sf_dir, "embeddings"))
