@@ -45,3 +45,21 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE r.n_lines END AS n_lines,
   CASE WHEN r.removed_lines = 0 THEN d.text ELSE r.left_text END AS text
 FROM documents d JOIN r USING (doc_id)
 """
+
+OP12 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+s AS (SELECT count(*) FILTER (WHERE len(words) > 0) AS n_docs, greatest(sum(len(words)), 1)::BIGINT AS n_terms FROM d),
+p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(words) AS n, unnest(words) AS term FROM d) GROUP BY ALL),
+q AS (
+  SELECT item_id, term, count(*) AS reps FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p WHERE term IN (SELECT term FROM q) GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM f, s),
+g AS (SELECT q.item_id, p.doc_id, sum(q.reps * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (25 + (75 * p.n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN p USING (term), s GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM g WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10
+"""

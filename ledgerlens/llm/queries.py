@@ -8,10 +8,11 @@ from .common import table
 from .decontaminate import contaminated
 from .html_text import extract_text
 from .jaccard_join import jaccard_groups
+from .lexical_search import search
 from .line_chunks import line_dedup
 from .line_rules import line_rules
 from .mixing import mix_sources
-from .oracles import OP1, OP10
+from .oracles import OP1, OP10, OP12
 from .registry import register
 from .secrets import scan_secrets
 from .token_output import token_ids
@@ -94,3 +95,9 @@ def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 13: whitened components of every usable embedding, fitted on the distinct quantised vectors."""
     return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register("op12_lexical_search", OP12)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12: the ten best documents of every benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
