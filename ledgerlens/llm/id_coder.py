@@ -98,17 +98,14 @@ class _Model:
             self._bounds()
 
 
-def _ready(low: np.ndarray, span: np.ndarray):
-    """Lanes whose next 16 bits are settled (or whose range must be cut so that they are); None if there is none."""
-    same = ((low ^ (low + span)) >> _TOP) == 0
+def _ready(low: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Places whose next 16 bits are settled, or whose range is so small that it is cut until they are."""
     small = span < _SMALL
-    either = same | small
-    if not either.any():
-        return None
-    cut = small & ~same
-    if cut.any():
+    settled = ((low ^ (low + span)) >> _TOP) == 0
+    cut = np.flatnonzero(small & ~settled)
+    if len(cut):
         span[cut] = (~low[cut] + _U(1)) & _LOW32
-    return np.flatnonzero(either)
+    return np.flatnonzero(settled | small)
 
 
 class _Writer:
@@ -119,13 +116,16 @@ class _Writer:
 
     def put(self, lanes, start: np.ndarray, width: np.ndarray, bits: int) -> None:
         part = self.span[lanes] >> _U(bits)
-        self.low[lanes] += part * start.astype(_U)
-        self.span[lanes] = part * width.astype(_U)
-        while (i := _ready(self.low, self.span)) is not None:
-            self.words[i, self.at[i]] = (self.low[i] >> _TOP).astype(np.uint16)
-            self.at[i] += 1
-            self.low[i] <<= _WORD
-            self.span[i] <<= _WORD
+        low, span = self.low[lanes] + part * start.view(_U), part * width.view(_U)
+        i = _ready(low, span)
+        while len(i):
+            k, top = lanes[i], low[i]
+            self.words[k, self.at[k]] = top >> _TOP
+            self.at[k] += 1
+            top, rest = top << _WORD, span[i] << _WORD
+            more = _ready(top, rest)
+            low[i], span[i], i = top, rest, i[more]
+        self.low[lanes], self.span[lanes] = low, span
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         """Words of each lane and their number: two more words settle a lane, as the range is 2^32 at least."""
@@ -152,17 +152,20 @@ class _Reader:
         return word
 
     def point(self, lanes, bits: int) -> np.ndarray:
-        part = self.span[lanes] >> _U(bits)
-        return np.minimum((self.code[lanes] - self.low[lanes]) // part, _U((1 << bits) - 1)).astype(np.int64)
-
-    def take(self, lanes, start: np.ndarray, width: np.ndarray, bits: int) -> None:
-        part = self.span[lanes] >> _U(bits)
-        self.low[lanes] += part * start.astype(_U)
-        self.span[lanes] = part * width.astype(_U)
-        while (i := _ready(self.low, self.span)) is not None:
-            self.code[i] = (self.code[i] << _WORD) | self._next(i)
-            self.low[i] <<= _WORD
-            self.span[i] <<= _WORD
+        """The place in 0 .. 2^bits of each lane's code; `take` then takes the interval found for it."""
+        self.part = self.span[lanes] >> _U(bits)
+        return np.minimum((self.code[lanes] - self.low[lanes]) // self.part, _U((1 << bits) - 1)).view(np.int64)
+
+    def take(self, lanes, start: np.ndarray, width: np.ndarray) -> None:
+        low, span = self.low[lanes] + self.part * start.view(_U), self.part * width.view(_U)
+        i = _ready(low, span)
+        while len(i):
+            k = lanes[i]
+            self.code[k] = (self.code[k] << _WORD) | self._next(k)
+            top, rest = low[i] << _WORD, span[i] << _WORD
+            more = _ready(top, rest)
+            low[i], span[i], i = top, rest, i[more]
+        self.low[lanes], self.span[lanes] = low, span
 
 
 def _active(n: int, lanes: int, each: int, t: int) -> int:
@@ -189,7 +192,7 @@ def encode_ids(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray
         shares = model.mix[model.state]
         row = np.arange(m)
         start = shares[row, kind]
-        out.put(slice(0, m), start, shares[row, kind + 1] - start, MIX_BITS)
+        out.put(row, start, shares[row, kind + 1] - start, MIX_BITS)
         rest = np.flatnonzero(kind == 2)
         if len(rest):
             start = model.cum[x[rest]]
@@ -212,17 +215,17 @@ def decode_ids(words: np.ndarray, used: np.ndarray, n: int, vocabulary: int) ->
         m = _active(n, lanes, each, t)
         model.predict((grid[t - 1] if t else zero)[:m], (grid[t - 2] if t > 1 else zero)[:m])
         shares = model.mix[model.state]
-        at = src.point(slice(0, m), MIX_BITS)
-        kind = (at >= shares[:, 1]).astype(np.int64) + (at >= shares[:, 2])
         row = np.arange(m)
+        at = src.point(row, MIX_BITS)
+        kind = (at >= shares[:, 1]).astype(np.int64) + (at >= shares[:, 2])
         start = shares[row, kind]
-        src.take(slice(0, m), start, shares[row, kind + 1] - start, MIX_BITS)
+        src.take(row, start, shares[row, kind + 1] - start)
         x = np.where(kind == 0, model.a2, model.a1)
         rest = np.flatnonzero(kind == 2)
         if len(rest):
             x[rest] = np.searchsorted(model.cum, src.point(rest, ORDER0_BITS), side="right") - 1
             start = model.cum[x[rest]]
-            src.take(rest, start, model.cum[x[rest] + 1] - start, ORDER0_BITS)
+            src.take(rest, start, model.cum[x[rest] + 1] - start)
         model.learn(x, kind)
         grid[t, :m] = x
     return grid.T.reshape(-1)[:n]

@@ -53,14 +53,16 @@ BLOCK_IDS = 1 << 20
 # A new file is begun at the first document's end after this many ids.
 FILE_IDS = 8 << 20
 # Texts are tokenised in runs of about this many characters.
-RUN_CHARS = 1 << 20
+RUN_CHARS = 4 << 20
 # A worker keeps the ids of pieces of so many characters in all, then starts anew.
-CACHE_CHARS = 1 << 24
+CACHE_CHARS = 8 << 20
 
 INDEX_SCHEMA = "part int, seq int, file string, n_docs long, n_ids long, n_blocks long, n_bytes long"
 DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 _PIECE = re.compile(r"\s*\S+|\s+")
+# A space beside other white space: such texts are not split at single spaces.
+_WIDE_SPACE = re.compile(r" (?:(?=\s)|(?<=\s ))")
 # White space for Python, but ordinary characters for the tokenizer's word pattern.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _LOADED: dict[str, "PieceEncoder"] = {}
@@ -71,8 +73,10 @@ class PieceEncoder:
 
     A byte-level BPE with the usual word pattern never merges across the place
     between a character and white space after it, so a text's ids are those of
-    its pieces (white space and the run of characters after it). Texts with
-    control characters on which the two ideas of white space differ go to the library whole.
+    its pieces. Texts are cut at single spaces (by Arrow, which also finds the distinct pieces of a run);
+    texts with wider white space by a pattern, and those with control characters on which the
+    two ideas of white space differ go to the library whole. New pieces are
+    joined to one text for the library; its ids fall to the pieces by their bytes.
     """
 
     def __init__(self, path: str):
@@ -82,6 +86,10 @@ class PieceEncoder:
         self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
         if self.vocabulary >= 1 << (ORDER0_BITS - 1):
             raise ValueError(f"a vocabulary of {self.vocabulary} ids is beyond the coder's order-0 precision")
+        special = {k: v.content for k, v in self.library.get_added_tokens_decoder().items()}
+        # a character of the byte alphabet stands for each byte of an ordinary id
+        names = ((k, self.library.id_to_token(k)) for k in range(self.vocabulary))
+        self.n_bytes = np.array([len(special[k].encode()) if k in special else len(name or "") for k, name in names], np.int64)
         self._clear()
 
     def _clear(self) -> None:
@@ -90,35 +98,73 @@ class PieceEncoder:
         self.chars = 0
 
     def _add(self, pieces: list[str]) -> None:
-        for piece, got in zip(pieces, self.library.encode_batch_fast(pieces, add_special_tokens=False)):
-            ids, k = got.ids, len(self.places)
-            if k >= len(self.first):
-                self.first, self.size = np.resize(self.first, 2 * k), np.resize(self.size, 2 * k)
-            while self.used + len(ids) > len(self.pool):
-                self.pool = np.resize(self.pool, 2 * len(self.pool))
-            self.first[k], self.size[k] = self.used, len(ids)
-            self.pool[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.places[piece] = k
-            self.chars += len(piece)
-
-    def run(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Encode new pieces: those that begin with white space and end without it as one text, the others each alone."""
+        joined = [p for p in pieces if p[:1].isspace() and not p[-1:].isspace() and not _ODD_SPACE.search(p)]
+        if joined:
+            ids = np.array(self.library.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.cumsum([len(p.encode("utf-8")) for p in joined])
+            cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
+            self._keep(joined, ids, np.diff(cuts, prepend=0))
+        alone = set(joined)
+        alone = [p for p in pieces if p not in alone]
+        if alone:
+            got = [e.ids for e in self.library.encode_batch_fast(alone, add_special_tokens=False)]
+            self._keep(alone, np.array([i for g in got for i in g], np.int32), np.array([len(g) for g in got], np.int64))
+
+    def _keep(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        k, n = len(self.places), len(pieces)
+        if k + n > len(self.first):
+            self.first, self.size = np.resize(self.first, 2 * (k + n)), np.resize(self.size, 2 * (k + n))
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.resize(self.pool, 2 * (self.used + len(ids)))
+        self.first[k : k + n] = self.used + np.cumsum(sizes) - sizes
+        self.size[k : k + n] = sizes
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.chars += sum(map(len, pieces))
+        self.places.update(zip(pieces, range(k, k + n)))
+
+    def _at(self, pieces: list[str]) -> np.ndarray:
+        at = list(map(self.places.get, pieces))
+        if None in at:
+            self._add(list(dict.fromkeys(p for p, k in zip(pieces, at) if k is None)))
+            at = list(map(self.places.get, pieces))
+        return np.array(at, np.int64)
+
+    def run(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, END_ID after each; number of ids of each text with its end id)."""
         if self.chars > CACHE_CHARS:
             self._clear()
-        split = [[t] if _ODD_SPACE.search(t) else _PIECE.findall(t) for t in texts]
-        flat = [p for pieces in split for p in pieces]
-        at = list(map(self.places.get, flat))
-        if None in at:
-            self._add(list(dict.fromkeys(p for p, k in zip(flat, at) if k is None)))
-            at = list(map(self.places.get, flat))
-        at = np.array(at, np.int64)
+        strings = texts.to_pylist()
+        wide = [k for k, t in enumerate(strings) if _WIDE_SPACE.search(t)]
+        cut = pc.split_pattern(pc.if_else(pa.array(np.isin(np.arange(len(strings)), wide)), "", texts), " ")
+        counts = cut.value_lengths().to_numpy()
+        starts = np.cumsum(counts) - counts
+        coded = cut.flatten().dictionary_encode()
+        at = self._at([" " + w for w in coded.dictionary.to_pylist()])[coded.indices.to_numpy()]
+        # a text's first piece has no space before it
+        at[starts] = self._at([t.partition(" ")[0] for t in strings])
+        if wide:
+            split = [[t] if _ODD_SPACE.search(t) else _PIECE.findall(t) for t in (strings[k] for k in wide)]
+            own = self._at([p for pieces in split for p in pieces])
+            # the pieces of wide texts take the place of their one empty piece
+            lengths = np.array([len(x) for x in split])
+            keep = np.ones(len(at), bool)
+            keep[starts[wide]] = False
+            into = np.repeat(starts[wide], lengths)
+            at = np.insert(at, into, own)[np.insert(keep, into, True)]
+            counts = counts.copy()
+            counts[wide] = lengths
         size, first = self.size[at], self.first[at]
         total = np.concatenate([[0], np.cumsum(size)])
-        ends = total[np.cumsum([0, *map(len, split)])]
-        ids = self.pool[np.arange(total[-1]) + np.repeat(first - total[:-1], size)]
-        counts = np.diff(ends) + 1
-        return np.insert(ids, ends[1:], END_ID), counts
+        ends = total[np.cumsum(np.concatenate([[0], counts]))]
+        # an end id after each text
+        after = np.diff(ends) + 1
+        ids = np.full(total[-1] + len(after), END_ID, np.int32)
+        inside = np.ones(len(ids), bool)
+        inside[np.cumsum(after) - 1] = False
+        ids[inside] = self.pool[np.arange(total[-1]) + np.repeat(first - total[:-1], size)]
+        return ids, after
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -228,16 +274,14 @@ def token_folder(spark: SparkSession, name: str = "tokens") -> str:
     return path
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
-    """(ids, texts) of a batch in runs of about RUN_CHARS bytes."""
-    ids, texts = batch.column(0).to_pylist(), batch.column(1)
-    lo, n = 0, 0
-    sizes = [0 if v is None else v for v in pc.binary_length(texts).to_pylist()]
-    for i, size in enumerate(sizes):
-        n += size
-        if n >= RUN_CHARS or i == len(sizes) - 1:
-            yield ids[lo : i + 1], [t or "" for t in texts.slice(lo, i + 1 - lo).to_pylist()]
-            lo, n = i + 1, 0
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[list, pa.Array]]:
+    """(ids, texts) of a batch in runs of about RUN_CHARS bytes; null texts are empty."""
+    ids, texts = batch.column(0).to_pylist(), pc.fill_null(batch.column(1), "")
+    run = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // RUN_CHARS
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(ids)]
+    for lo, hi in zip(cuts, cuts[1:]):
+        if hi > lo:
+            yield ids[lo:hi], texts.slice(lo, hi - lo)
 
 
 def write_tokens(
