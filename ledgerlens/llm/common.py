@@ -46,6 +46,48 @@ def word_count(text: Column) -> Column:
     return F.size(word_array(text)).cast("long")
 
 
+# ---------------------------------------------------------------- key filters
+
+# One row of a key filter holds so many bits (the size of Spark's bitmap aggregate).
+_ROW_BITS = 32768
+
+
+def key_filter(keys: DataFrame, key: str, n: int, most_bits: int = 1 << 27) -> DataFrame:
+    """(bucket, bitmap): a bit table over the 64-bit hashes in `key`, for `maybe_in`.
+
+    About 16 bits a key for `n` keys, and never more than `most_bits` (16 MB),
+    so it may be broadcast whatever the table's size.
+    """
+    bits = _ROW_BITS
+    while bits < min(16 * n, most_bits):
+        bits *= 2
+    at = F.pmod(F.col(key), F.lit(bits))
+    rows = keys.select((at / _ROW_BITS).cast("long").alias("bucket"), F.pmod(at, F.lit(_ROW_BITS)).alias("bit"))
+    out = rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    return out.select(F.lit(bits).cast("long").alias("bits"), "bucket", "bitmap")
+
+
+def maybe_in(df: DataFrame, key: Column, stored_filter: DataFrame, bits: int, out: str) -> DataFrame:
+    """`df` with boolean `out`: false only where no key of the filter equals `key`."""
+    at = F.pmod(key, F.lit(bits))
+    table = F.broadcast(stored_filter.select(F.col("bucket").alias("__bucket"), F.col("bitmap").alias("__bitmap")))
+    d = df.withColumn("__at", at).join(table, (F.col("__at") / _ROW_BITS).cast("long") == F.col("__bucket"), "left")
+    byte = F.expr(f"conv(hex(substring(__bitmap, cast((__at % {_ROW_BITS}) div 8 as int) + 1, 1)), 16, 10)").cast("int")
+    bit = F.expr("cast(__at % 8 as int)")
+    hit = F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), bit)), F.lit(2)) == 1, F.lit(False))
+    return d.withColumn(out, hit).drop("__at", "__bucket", "__bitmap")
+
+
+def split_by_keys(df: DataFrame, key: Column, keys: DataFrame, key_name: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of `df` that may have a key of `keys`, the other rows): only the first need to be shuffled to a join with `keys`."""
+    found = stored(key_filter(keys, key_name, keys.count()), "key-filter")
+    head = found.first()
+    if head is None:
+        return df.where(F.lit(False)), df
+    marked = maybe_in(df, key, found, head["bits"], "__maybe")
+    return marked.where("__maybe").drop("__maybe"), marked.where("not __maybe").drop("__maybe")
+
+
 # ---------------------------------------------------------------- word hashes
 
 _RNG = np.random.RandomState(20240229)

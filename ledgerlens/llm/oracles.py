@@ -29,21 +29,22 @@ SELECT doc_id, size, source_size, target, (n * size)::BIGINT AS taken, n::BIGINT
 
 OP10 = r"""
 WITH l AS (
-  SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS i
-  FROM documents),
-h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h, length(line) >= 120 AS long FROM l),
-b AS (SELECT *, CASE WHEN i = 0 OR long OR lag(long) OVER w OR (h * 31 + coalesce(lead(h) OVER w, 0)) % 4 = 0 THEN 1 ELSE 0 END AS cut
-  FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-n AS (SELECT *, sum(cut) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM b),
-chunk AS (SELECT doc_id, c, min(i) AS pos, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM n GROUP BY doc_id, c),
-able AS (SELECT *, n > 1 OR length(body) >= 120 AS able FROM chunk),
-f AS (SELECT *, able AND row_number() OVER (PARTITION BY able, body ORDER BY doc_id, pos) > 1 AS gone FROM able),
-r AS (SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (WHERE gone), 0)::BIGINT AS removed_lines,
-    coalesce(string_agg(body, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS left_text FROM f GROUP BY doc_id)
-SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE r.n_lines END AS n_lines, r.removed_lines,
-  CASE WHEN r.removed_lines = 0 THEN d.text ELSE r.left_text END AS text
-FROM documents d JOIN r USING (doc_id)
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
+o AS (SELECT doc_id, i, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS stop FROM l),
+s AS (SELECT *, stop - length(line) AS start FROM o),
+-- every run of lines of at least 120 characters, the shortest from its first line
+r AS (SELECT a.doc_id, a.i, b.i - a.i + 1 AS n, a.start, b.stop FROM s a ASOF JOIN s b ON a.doc_id = b.doc_id AND a.start + 120 <= b.stop),
+t AS (SELECT r.doc_id, r.i, r.n, substr(d.text, (r.start + 1)::BIGINT, (r.stop - r.start)::BIGINT) AS body FROM r JOIN documents d USING (doc_id)),
+f AS (SELECT doc_id, i, n, row_number() OVER (PARTITION BY body ORDER BY doc_id, i) > 1 AS again FROM t),
+-- a line goes if a run that occurs earlier covers it
+c AS (SELECT s.doc_id, s.i, s.line,
+    coalesce(max(CASE WHEN f.again THEN f.i + f.n END) OVER (PARTITION BY s.doc_id ORDER BY s.i), 0) > s.i AS gone
+  FROM s LEFT JOIN f ON f.doc_id = s.doc_id AND f.i = s.i),
+g AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS removed_lines,
+    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS left_text FROM c GROUP BY doc_id)
+SELECT d.doc_id, coalesce(g.n_lines, 0) AS n_lines, coalesce(g.removed_lines, 0) AS removed_lines,
+  CASE WHEN g.removed_lines > 0 THEN g.left_text ELSE d.text END AS text
+FROM documents d LEFT JOIN g USING (doc_id)
 """
 
 OP12 = r"""
