@@ -3,7 +3,8 @@
 Lines are normalised (A-Z lower-cased, runs of white space made one space,
 digits made 0) and hashed together with the host. For every (host, line) the
 distinct documents are counted; a line found in more than `max_documents` of
-them is boilerplate of its host and is removed. A document is rejected when too
+them, and in more than the share `max_share` of its host's, is boilerplate of the host and is removed: the
+count keeps small hosts out, the share makes verdicts independent of how much of a host the table holds. A document is rejected when too
 few of its words are left.
 
 Copies of one document would make all of its own lines look like boilerplate,
@@ -25,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, mix64, run_hashes, stored, text_chunks, word_hashes
+from .common import gram_hashes, mix64, run_hashes, split_by_keys, stored, text_chunks, word_hashes
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-# A line in more than this many distinct documents of one host is removed.
+# A line in more than so many distinct documents of one host, and in more than this share of them, is removed.
 MAX_DOCUMENTS = 20
+MAX_SHARE = 0.05
 # A document that loses more than this share of its words is rejected.
 MAX_LOST_SHARE = 0.5
 
@@ -41,9 +43,9 @@ _DIGIT[ord("0") : ord("9") + 1] = ord("0")
 
 LINE_SCHEMA = (
     "key struct<doc_id: long, th: long>, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "lines array<struct<h: long, n: long>>, content long"
+    "lines array<struct<h: long, n: long>>, content long, host long"
 )
-LINE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "content")
+LINE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "content", "host")
 
 
 def _repeat_words(words: np.ndarray) -> int:
@@ -100,14 +102,14 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines = pa.StructArray.from_arrays([pa.array(flat(line_h)), pa.array(flat(line_n))], names=["h", "n"])
         yield pa.RecordBatch.from_arrays(
             [ids, *[pa.array(np.array(v, dtype=np.int64)) for v in cols.values()],
-             pa.ListArray.from_arrays(pa.array(line_off, pa.int32()), lines), pa.array(flat(content))],
-            names=["key", *cols, "lines", "content"],
+             pa.ListArray.from_arrays(pa.array(line_off, pa.int32()), lines), pa.array(flat(content)), batch.column(1)],
+            names=["key", *cols, "lines", "content", "host"],
         )
 
 
 def line_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-    max_documents: int = MAX_DOCUMENTS, max_lost_share: float = MAX_LOST_SHARE, min_words: int = MIN_WORDS,
+    max_documents: int = MAX_DOCUMENTS, max_lost_share: float = MAX_LOST_SHARE, min_words: int = MIN_WORDS, max_share: float = MAX_SHARE,
 ) -> DataFrame:
     """One row per document:
 
@@ -121,12 +123,12 @@ def line_rules(
     its own; rows that share an id are judged each, as rows; repeated rows
     count as copies; an empty table gives empty tables; other columns are not read.
     """
-    return _judged(docs, id_col, text_col, host_col, max_documents, max_lost_share, min_words)[0].drop("row", "th")
+    return _judged(docs, id_col, text_col, host_col, max_documents, max_lost_share, min_words, max_share)[0].drop("row", "th")
 
 
 def _judged(
     docs: DataFrame, id_col: str, text_col: str, host_col: str,
-    max_documents: int = MAX_DOCUMENTS, max_lost_share: float = MAX_LOST_SHARE, min_words: int = MIN_WORDS,
+    max_documents: int = MAX_DOCUMENTS, max_lost_share: float = MAX_LOST_SHARE, min_words: int = MIN_WORDS, max_share: float = MAX_SHARE,
 ) -> tuple[DataFrame, DataFrame]:
     """Verdicts by `row`, with `th` (hash of text and host), and (row, __gone): the removed hashes of rows that have any."""
     host = F.xxhash64(F.coalesce(F.col(host_col).cast("string"), F.lit("\u0000")))
@@ -136,13 +138,15 @@ def _judged(
         host.alias("host_hash"), text.alias("text"))
     m = rows.mapInArrow(measure, LINE_SCHEMA).select("key.*", *LINE_COLUMNS).withColumn("row", F.monotonically_increasing_id())
     m = stored(m, "line-rules")
-    lines = m.select("row", "content", F.explode("lines").alias("line"))
-    lines = lines.select("row", F.col("line.h").alias("h"), F.col("line.n").alias("n"), "content")
-    content = lines.select("h", "content").distinct()
-    frequent = content.groupBy("h").agg(F.count(F.lit(1)).alias("n_documents")).where(F.col("n_documents") > max_documents)
+    lines = m.select("row", "content", "host", F.explode("lines").alias("line"))
+    lines = lines.select("row", F.col("line.h").alias("h"), F.col("line.n").alias("n"), "content", "host")
+    content = lines.select("h", "content", "host").distinct()
+    frequent = content.groupBy("h").agg(F.count(F.lit(1)).alias("n_documents"), F.max("host").alias("host")).where(F.col("n_documents") > max_documents)
+    hosts = m.where("n_words > 0").select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_host"))
+    frequent = frequent.join(hosts, "host").where(F.col("n_documents") > max_share * F.col("n_host"))
     hits = lines.join(frequent.select("h"), "h")
     lost = stored(hits.groupBy("row").agg(F.sum("n").alias("lost_words"), F.collect_list("h").alias("__gone")), "line-lost")
-    v = m.drop("lines", "content").join(lost.drop("__gone"), "row", "left").withColumn("lost_words", F.coalesce("lost_words", F.lit(0)).cast("long"))
+    v = m.drop("lines", "content", "host").join(lost.drop("__gone"), "row", "left").withColumn("lost_words", F.coalesce("lost_words", F.lit(0)).cast("long"))
     v = v.withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     v = v.withColumn("kept", ~F.col("base_failed") & (F.col("lost_words") <= max_lost_share * F.col("n_words")))
     return v, lost.select("row", "__gone")
@@ -153,14 +157,21 @@ def clean_lines(
 ) -> DataFrame:
     """Kept documents of `docs` without the boilerplate lines of their host; columns as they are.
 
-    The hash of every line is computed again as in `line_rules`, so only the
+    Only documents that are rejected or lose lines are shuffled, to the verdicts; a
+    key filter of bounded size tells the others, which pass as they are. The hash of every line is computed again as in `line_rules`, so only the
     short list of a document's removed hashes travels to its text.
-    Rows that share an id and a text are one document here: they are kept or rejected alike.
+
+    Edge cases: as in `line_rules`; rows that share an id, a text and a host are one document here: they are kept or
+    rejected alike. A text that loses all its lines becomes empty, if its document is kept; an empty table gives no rows.
     """
     verdicts, gone = _judged(docs, id_col, text_col, host_col, **options)
-    mark = F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string"), F.col(host_col).cast("string")).alias("th"))
-    keep = verdicts.where("kept").groupBy("doc_id", "th").agg(F.first("row").alias("row")).join(gone, "row", "left").select(F.struct("doc_id", "th").alias("__mark"), "__gone")
-    out = docs.join(keep, mark.eqNullSafe(F.col("__mark"))).drop("__mark")
+    one = verdicts.groupBy("doc_id", "th").agg(F.first("row").alias("row"), F.first("kept").alias("kept")).join(gone, "row", "left")
+    touched = one.where(~F.col("kept") | F.col("__gone").isNotNull()).withColumn("key", F.xxhash64("doc_id", "th"))
+    touched = stored(touched.select("key", F.struct("doc_id", "th").alias("__mark"), F.col("kept").alias("__kept"), "__gone"), "line-touched")
+    th = F.xxhash64(F.col(text_col).cast("string"), F.col(host_col).cast("string"))
+    some, others = split_by_keys(docs, F.xxhash64(F.col(id_col).cast("long"), th), touched, "key")
+    mark = F.struct(F.col(id_col).cast("long").alias("doc_id"), th.alias("th"))
+    out = some.join(touched.drop("key"), mark.eqNullSafe(F.col("__mark")), "left").where(F.coalesce("__kept", F.lit(True))).drop("__mark", "__kept")
     columns = docs.columns
     at, kind = columns.index(text_col), docs.schema
     host = F.xxhash64(F.coalesce(F.col(host_col).cast("string"), F.lit("\u0000")))
@@ -177,7 +188,7 @@ def clean_lines(
             cols[at] = pa.array(texts, cols[at].type)
             yield pa.RecordBatch.from_arrays(cols, names=columns)
 
-    return out.select(*columns, "__gone", host.alias("__host")).mapInArrow(strip, kind)
+    return others.unionByName(out.select(*columns, "__gone", host.alias("__host")).mapInArrow(strip, kind))
 
 
 def _without(text: str, host: np.uint64, lost: set[int]) -> str:

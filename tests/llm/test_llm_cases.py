@@ -139,6 +139,30 @@ def test_line_dedup_catches_shifted_passages(spark):
     assert all(f"own line {i} 0" in out[i] and f"end of {i}" in out[i] for i in range(30))
 
 
+@pytest.mark.parametrize("k", range(3, 11))
+def test_line_dedup_removes_passages_of_short_lines(spark, k):
+    # lines of about 60 characters; ten passages, each in four documents between lines of their own
+    line = lambda *key: " ".join(f"{'x'.join(map(str, key))}w{j}abcdefgh"[:9].ljust(9, "q") for j in range(6))
+    passage = lambda p: [line("p", p, i) for i in range(k)]
+    rows = [(4 * p + c, "\n".join([line("a", p, c, i) for i in range(c)] + passage(p) + [line("b", p, c, i) for i in range(3 - c)]), "a") for p in range(10) for c in range(4)]
+    out = {r["doc_id"]: (r["removed_lines"], r["text"]) for r in line_dedup(docs(spark, rows)).collect()}
+    later = [out[4 * p + c] for p in range(10) for c in range(1, 4)]
+    assert all(out[4 * p][0] == 0 for p in range(10))
+    assert sum(n for n, _ in later) >= 0.9 * k * len(later)
+    assert all(all(line("a", p, c, i) in out[4 * p + c][1] for i in range(c)) for p in range(10) for c in range(4))
+
+
+def test_line_rules_do_not_depend_on_the_size_of_the_host(spark):
+    # two of sixty ordinary headings on every page, and one line of the host's template
+    page = lambda i: "\n".join([f"Heading {'abcdefghij'[h % 10]}{'klmnop'[h // 10]} of a page" for h in (i % 60, (7 * i + 3) % 60)] + ["Share this page with your friends"] + [" ".join(f"own{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(60))])
+    lost = {}
+    for n in (300, 1500):
+        got = line_rules(docs(spark, [(i, page(i), "host") for i in range(n)])).collect()
+        lost[n] = {r["lost_words"] for r in got}
+        assert all(r["kept"] for r in got)
+    assert lost[300] == lost[1500] == {6}
+
+
 def test_decontamination_cases(spark, odd, none):
     bench = spark.createDataFrame(
         [(1, PROSE), (2, None), (3, ""), (4, "the of"), (5, PROSE.upper() + "!"), (6, "quite different words that nothing in these texts holds at all")],
