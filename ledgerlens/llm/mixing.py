@@ -7,8 +7,8 @@ sizes add up to the budget is the sample. A target above the size of a source
 first takes every document once per complete epoch; only the rest is sampled.
 
 All steps are DataFrame expressions. A source is never sorted in one task: its
-documents fall into buckets by ranges of the key (bucket count in proportion to the
-source), bucket totals are prefix-summed, and only the documents of one bucket
+documents fall into buckets by ranges of the key (between quantiles of the source's own keys, as weights bend
+their distribution; the number of buckets is in proportion to the source), bucket totals are prefix-summed, and only the documents of one bucket
 are sorted together. The tables gathered in one task hold one row per source.
 """
 
@@ -23,6 +23,8 @@ from .common import stored, word_count
 
 # Documents of a source that are sorted together.
 BUCKET_ROWS = 20_000
+# Quantiles of a large source's keys; the ranges between them are split evenly into as many buckets as its size asks for.
+QUANTILES = 128
 SYMBOLS = "#*$%&|<>"
 KEY_BITS = 52
 
@@ -35,13 +37,28 @@ def quality_weight(text: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.lit(20.0) * symbols.cast("double") / F.greatest(n, F.lit(1)).cast("double"))
 
 
-def uniform(row_id: Column, seed: str) -> Column:
-    """Uniform in (0, 1) from a hash of the id (a null id hashes as the empty text)."""
-    h = F.md5(F.concat(F.coalesce(row_id.cast("string"), F.lit("")), F.lit(":" + seed)))
+def uniform(row_id: Column, text: Column, seed: str) -> Column:
+    """Uniform in (0, 1) from a hash of the id (of the text, where the id is null)."""
+    h = F.md5(F.concat(F.coalesce(row_id.cast("string"), F.md5(F.coalesce(text, F.lit("")))), F.lit(":" + seed)))
     v = F.conv(F.substring(h, 1, KEY_BITS // 4), 16, 10).cast("long")
     return (v.cast("double") + F.lit(0.5)) / F.lit(float(2**KEY_BITS))
 
 
+def with_buckets(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """`rows` (has, src, key, ...) joined to `plan` (has, src, buckets, ...), with `bucket`: it never falls as the key rises."""
+    probs = [i / QUANTILES for i in range(1, QUANTILES)]
+    large = rows.join(plan.where("buckets > 1").select("has", "src"), ["has", "src"])
+    bounds = large.groupBy("has", "src").agg(
+        F.percentile_approx("key", probs, 40 * QUANTILES).alias("q"), F.min("key").alias("least"), F.max("key").alias("most"))
+    r = rows.join(plan, ["has", "src"]).join(bounds, ["has", "src"], "left")
+    at = F.when(F.col("q").isNull(), F.lit(0)).otherwise(F.size(F.filter("q", lambda x: x <= F.col("key"))))
+    r = r.withColumn("range", at).withColumn("parts", F.ceil(F.col("buckets") / F.lit(float(QUANTILES))))
+    lo = F.coalesce(F.get("q", F.col("range") - 1), F.col("least"))
+    hi = F.coalesce(F.get("q", F.col("range")), F.col("most"))
+    part = F.when(hi > lo, F.least(F.floor((F.col("key") - lo) / (hi - lo) * F.col("parts")), F.col("parts") - 1)).otherwise(0)
+    return r.withColumn("bucket", (F.col("range") * F.col("parts") + part).cast("long")).drop("q", "least", "most", "range", "parts")
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[int], budget: tuple[int, int], cap: int) -> DataFrame:
     """Targets of a (has, src, source_size, n_docs) table: one row per source.
 
@@ -88,12 +105,13 @@ def mix_sources(
     `copies` is how often the mix repeats the document, `taken` = copies * size.
     The fractional part takes a document when at least half of it lies below
     the remaining budget, so a source misses its target by at most half a
-    document. Reruns agree: keys depend on ids alone.
+    document. Reruns agree: keys depend on ids (where null, on texts) alone.
 
     Edge cases: a null text has size 0 and weight 1; a null source is a source
-    of its own, last in order; null ids share one key and are ordered by size;
+    of its own, last in order; documents without id draw by their text;
     repeated rows are kept and counted each (rows alike in id and size are
-    interchangeable); documents of size 0 add no words; an empty table gives no
+    interchangeable); documents of size 0 add no words and no document has more than
+    `cap` copies; a source of size 0 is not taken; an empty table gives no
     rows. Other columns of `docs` are not read.
     """
     slim = docs.select(
@@ -101,8 +119,9 @@ def mix_sources(
         F.col(source_col).cast("string").alias("source"),
         word_count(F.col(text_col)).alias("size"),
         quality_weight(F.col(text_col)).alias("weight"),
+        uniform(F.col(id_col), F.col(text_col).cast("string"), seed).alias("draw"),
     ).withColumns({
-        "key": -F.log(uniform(F.col("doc_id"), seed)) / F.col("weight"),
+        "key": -F.log(F.col("draw")) / F.col("weight"),
         "has": F.col("source").isNotNull(),
         "src": F.coalesce("source", F.lit("")),
     })
@@ -114,16 +133,14 @@ def mix_sources(
     plan = plan.withColumn("left", F.col("target") - (F.col("epochs") * F.col("source_size")).cast("double"))
     plan = plan.withColumn("buckets", F.ceil(F.col("n_docs") / F.lit(float(bucket_rows))))
 
-    rows = slim.join(plan, ["has", "src"])
-    # 1 - exp(-key) rises with the key and spreads it over [0, 1): equal ranges hold similar numbers of documents
-    rows = rows.withColumn("bucket", F.least(F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * F.col("buckets")), F.col("buckets") - 1))
+    rows = with_buckets(slim.drop("draw"), plan)
     totals = rows.groupBy("has", "src", "bucket").agg(F.sum("size").alias("bucket_size"))
     before = Window.partitionBy("has", "src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("has", "src", "bucket", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("has", "src", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.join(starts, ["has", "src", "bucket"]).withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    extra = ((2 * F.col("before") + F.col("size")).cast("double") <= 2 * F.col("left")).cast("long")
-    rows = rows.withColumn("copies", F.col("epochs") + extra)
+    extra = ((F.col("left") > 0) & ((2 * F.col("before") + F.col("size")).cast("double") <= 2 * F.col("left"))).cast("long")
+    rows = rows.withColumn("copies", F.least(F.col("epochs") + extra, F.lit(cap)))
     return rows.select(
         "doc_id", "source", "size", "source_size", "target", "weight", F.col("copies").cast("long").alias("copies"),
         (F.col("copies") * F.col("size")).alias("taken"),

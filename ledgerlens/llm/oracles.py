@@ -6,7 +6,7 @@ WITH d AS (
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
     1.0::DOUBLE / (1.0::DOUBLE + 20.0::DOUBLE * (length(coalesce(text, '')) - length(translate(coalesce(text, ''), '#*$%&|<>', '')))::DOUBLE
         / greatest(length(coalesce(text, '')), 1)::DOUBLE) AS weight,
-    ((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix-1'), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
+    ((('0x' || substr(md5(coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) || ':mix-1'), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
   FROM documents),
 k AS (SELECT *, -ln(u) / weight AS key FROM d),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -23,7 +23,7 @@ e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE
 p AS (SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs, e.target - (e.epochs * e.source_size)::DOUBLE AS rest,
     coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source),
-c AS (SELECT *, epochs + CASE WHEN (2 * before + size)::DOUBLE <= 2 * rest THEN 1 ELSE 0 END AS n FROM p)
+c AS (SELECT *, least(epochs + CASE WHEN rest > 0 AND (2 * before + size)::DOUBLE <= 2 * rest THEN 1 ELSE 0 END, 2) AS n FROM p)
 SELECT doc_id, size, source_size, target, (n * size)::BIGINT AS taken, n::BIGINT AS copies FROM c
 """
 

@@ -298,3 +298,22 @@ def test_html_optional_tags_and_slashes():
     ):
         assert main_text(page) == story, page
     assert main_text(f"{head}<script>var a = 1;</script> <body><nav>Home</nav><p>{story}</p>") == story
+
+
+@pytest.mark.parametrize("symbols", [0, 45, 90])
+def test_mix_buckets_are_even_at_any_weight(spark, symbols):
+    from ledgerlens.llm.mixing import quality_weight, uniform, with_buckets
+    from pyspark.sql import functions as F
+
+    text = F.lit("#" * symbols + "a" * (100 - symbols))
+    rows = spark.range(60_000).select("id", F.lit(True).alias("has"), F.lit("code").alias("src"), (-F.log(uniform(F.col("id"), text, "s")) / quality_weight(text)).alias("key"))
+    for buckets in (60, 600):
+        plan = spark.createDataFrame([(True, "code", buckets)], "has boolean, src string, buckets long")
+        sizes = [r["count"] for r in with_buckets(rows, plan).groupBy("bucket").count().collect()]
+        assert sum(sizes) == 60_000 and len(sizes) > buckets / 2 and max(sizes) < 3 * 60_000 / min(buckets, 128)
+
+
+def test_mix_takes_no_empty_document_too_often(spark):
+    rows = docs(spark, [(i, "" if i < 5 else "some words here", "a") for i in range(10)] + [(20 + i, "w " * 500, s) for i, s in enumerate("bcd")])
+    got = mix_sources(rows).collect()
+    assert max(r["copies"] for r in got) <= 2 and mixed_documents(rows).groupBy("doc_id").count().agg({"count": "max"}).first()[0] <= 2
