@@ -13,10 +13,11 @@ Boundaries chosen by a residue of the rolling hash, with chunks between them,
 were built first: between different surroundings they left 39 % of the repeated
 passages of 10 lines and 84 % of those of 5 whole, as no chunk lay between two such boundaries.
 
-DataFrame functions only. Chunks are cut once and stored as hashes; repeats are
-found on hashes and places alone, and only texts that hold a repeated chunk are
-moved (a key filter of bounded size tells the others). Bodies are compared by
-a join on the hash, one row per hash on one side, so a chunk in a third of all documents can be split.
+DataFrame functions only. Repeats are found on hashes and places alone. Bodies
+are cut in a second scan, held against a key filter of the repeated hashes (of bounded
+size) before they move, and compared by a join on the hash, one row per hash on one side,
+so a chunk in a third of all documents can be split. Only texts that lose lines are
+shuffled, to the lists of their chunks.
 """
 
 from __future__ import annotations
@@ -30,37 +31,57 @@ from .common import split_by_keys, stored
 CHUNK = 120
 
 
-def chunks(text: Column, chars: int = CHUNK) -> Column:
-    """Bodies of the chunks that begin at lines 0, 1, ...; the last lines begin none if they have fewer characters together."""
-    return F.regexp_extract_all(text, F.lit(f"(?md)^(?=([\\s\\S]{{{chars},}}?(?=\n|\\z)))"), F.lit(1))
-
-
 def _held(column: Column) -> Column:
     """A generator of one row: its output is computed once, however often it is used."""
     return F.explode(F.array(column))
 
 
-def _lines_in(body: Column) -> Column:
-    return F.length(body) - F.length(F.replace(body, F.lit("\n"), F.lit(""))) + 1
+def with_chunks(slim: DataFrame, chars: int, bodies: bool) -> DataFrame:
+    """(doc_id, th, pos, n, h[, body]) of every chunk of (doc_id, th, text): first line, number of lines, hash.
+
+    The last lines of a text begin no chunk if they have fewer than `chars` characters together.
+    """
+    d = slim.select("doc_id", "th", _held(F.split("text", "\n", -1)).alias("lines")).where("lines is not null")
+
+    def size(i: Column) -> Column:
+        """(characters, lines) of the shortest run from line i on; every line adds one character at least."""
+        start = F.struct(F.lit(-1).alias("chars"), F.lit(0).alias("n"))
+        more = lambda a, x: F.when(a["chars"] >= chars, a).otherwise(F.struct((a["chars"] + 1 + F.length(x)).alias("chars"), (a["n"] + 1).alias("n")))
+        return F.aggregate(F.slice("lines", i + 1, chars + 1), start, more)
+
+    def chunk(i: Column) -> Column:
+        line = F.get("lines", i)
+        run = F.when(F.length(line) >= chars, F.struct(F.length(line).alias("chars"), F.lit(1).alias("n"))).otherwise(size(i))
+        return F.struct(i.alias("pos"), run.alias("run"))
+
+    runs = F.filter(F.transform(F.sequence(F.lit(0), F.size("lines") - 1), chunk), lambda c: c["run"]["chars"] >= chars)
+    d = d.select("doc_id", "th", "lines", _held(runs).alias("runs"))
+    body = lambda c: F.when(c["run"]["n"] == 1, F.get("lines", c["pos"])).otherwise(F.array_join(F.slice("lines", c["pos"] + 1, c["run"]["n"]), "\n"))
+    given = F.transform("runs", lambda c: F.struct(c["pos"].alias("pos"), c["run"]["n"].alias("n"), (body(c) if bodies else F.xxhash64(body(c))).alias("x")))
+    # outer: a plain explode would add a filter that cuts the chunks a second time, below it
+    d = d.select("doc_id", "th", F.explode_outer(given).alias("c")).where("c is not null").select("doc_id", "th", "c.pos", "c.n", "c.x")
+    return d.withColumn("h", F.xxhash64("x")).withColumnRenamed("x", "body") if bodies else d.withColumnRenamed("x", "h")
+
+
+# null ids come last, as the first occurrence should have an id
+_PLACE = ("no_id", "doc_id", "th", "pos")
 
 
 def removed_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars: int = CHUNK) -> DataFrame:
     """(doc_id, th, gone): the chunks to remove, array of (pos: first line, n: lines) in order, of each document that has any."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    # outer: a plain explode would add a filter that cuts the chunks a second time, below it
-    hashes = F.transform(chunks(F.col("text"), chars), lambda c: F.xxhash64(c))
-    cut = slim.select("doc_id", "th", F.posexplode_outer(hashes).alias("pos", "h")).where("h is not null")
-    cut = stored(cut, "chunk-hashes")
-    again = cut.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    found = stored(cut.join(again, "h", "left_semi"), "chunks-repeated")
-    # null ids come last, as the first occurrence should have an id
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "pos")
-    first = found.groupBy("h").agg(F.min(place).alias("first"))
-    bodies = stored(_bodies(slim, found, chars).join(first, "h").withColumn("is_first", place.eqNullSafe(F.col("first"))).drop("first"), "chunk-bodies")
-    kept = bodies.where("is_first").select("h", F.col("body").alias("first_body")).dropDuplicates(["h"])
-    equal = bodies.where("not is_first").join(kept, "h").where(F.col("body") == F.col("first_body"))
+    found = with_chunks(slim, chars, bodies=False).groupBy("h").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("first"))
+    first = stored(found.where("times > 1").select("h", "first", F.xxhash64("h", *[F.col("first")[c] for c in _PLACE]).alias("key")), "chunks-first")
+    bodies, _ = split_by_keys(with_chunks(slim, chars, bodies=True), F.col("h"), first, "h")
+    bodies = stored(bodies.withColumn("place", place), "chunk-bodies")
+    # the first occurrences: a second filter, then the exact join; rows alike in id and text are one
+    some, _ = split_by_keys(bodies, F.xxhash64("h", *[F.col("place")[c] for c in _PLACE]), first, "key")
+    kept = some.select("h", "place", "body").join(first.select("h", F.col("first").alias("place")), ["h", "place"], "left_semi")
+    kept = kept.dropDuplicates(["h"]).select("h", F.col("place").alias("first"), F.col("body").alias("first_body"))
+    equal = bodies.join(kept.hint("merge"), "h").where((F.col("body") == F.col("first_body")) & ~F.col("place").eqNullSafe(F.col("first")))
     # a set, as rows alike in id and text name the same chunks
-    gone = F.sort_array(F.collect_set(F.struct("pos", _lines_in(F.col("body")).alias("n"))))
+    gone = F.sort_array(F.collect_set(F.struct("pos", "n")))
     return stored(equal.groupBy("doc_id", "th").agg(gone.alias("gone")), "chunks-gone")
 
 
@@ -68,17 +89,8 @@ def _key(doc_id: Column, th: Column) -> Column:
     return F.xxhash64(doc_id, th)
 
 
-def _bodies(slim: DataFrame, found: DataFrame, chars: int) -> DataFrame:
-    """(doc_id, th, pos, h, body) of every repeated chunk, from the texts of the documents that hold one."""
-    at = found.groupBy("doc_id", "th").agg(F.collect_set("pos").alias("at"))
-    at = stored(at.withColumn("key", _key(F.col("doc_id"), F.col("th"))), "chunk-places")
-    some, _ = split_by_keys(slim, _key(F.col("doc_id"), F.col("th")), at, "key")
-    there = at.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "at")
-    d = some.join(there, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")))
-    d = d.select("doc_id", "th", "at", _held(chunks(F.col("text"), chars)).alias("bodies"))
-    pick = F.transform("at", lambda p: F.struct(p.alias("pos"), F.get("bodies", p).alias("body")))
-    d = d.select("doc_id", "th", F.explode_outer(pick).alias("c")).select("doc_id", "th", "c.pos", "c.body")
-    return d.withColumn("h", F.xxhash64("body"))
+def _lines_in(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
 
 
 def _left_text(lines: Column, gone: Column) -> Column:
@@ -106,7 +118,8 @@ def without_repeats(
     own = F.xxhash64(text_col)
     some, others = split_by_keys(docs, _key(F.col(id_col), own), gone, "key")
     there = gone.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("gone").alias("__gone"))
-    d = some.join(there, F.col(id_col).eqNullSafe(F.col("__id")) & (own == F.col("__th")), "left").drop("__id", "__th")
+    # merged at every size: a broadcast of this side would end at some number of documents
+    d = some.join(there.hint("merge"), F.col(id_col).eqNullSafe(F.col("__id")) & (own == F.col("__th")), "left").drop("__id", "__th")
     n_lines = F.coalesce(_lines_in(F.col(text_col)), F.lit(0)).cast("long")
     none = F.lit(0).cast("long")
     changed = d.where("__gone is not null").select(
