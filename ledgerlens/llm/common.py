@@ -98,6 +98,8 @@ _BASE_INV = np.uint64(pow(int(_BASE), -1, 2**64))
 _GRAM = np.uint64(0xD6E8FEB86659FD93)
 _GRAM_INV = np.uint64(pow(int(_GRAM), -1, 2**64))
 _CHUNK = 1 << 18
+#: Rows of a batch that are worked on at once.
+SLICE_ROWS = 512
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -135,21 +137,29 @@ def text_chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     """Split an Arrow string array into runs of documents of about 256 KB.
 
     Yields (first document, last + 1, bytes, document offsets into the bytes);
-    nulls count as empty. Bounds the numpy temporaries of a batch; a longer
-    single text forms its own run.
+    nulls count as empty. Bounds the copies and numpy temporaries of a batch to SLICE_ROWS
+    documents; a longer single text forms its own run.
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    off = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    raw = texts.buffers()[2]
-    data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, np.uint8)
-    i, n = 0, len(texts)
-    while i < n:
-        j = max(i + 1, int(np.searchsorted(off, off[i] + _CHUNK, side="right")) - 1)
-        j = min(j, n)
-        yield i, j, data[off[i] : off[j]], off[i : j + 1] - off[i]
-        i = j
+    for base in range(0, len(texts), SLICE_ROWS):
+        part = pc.fill_null(texts.slice(base, SLICE_ROWS).cast(pa.large_string()), "")
+        off = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset : part.offset + len(part) + 1]
+        raw = part.buffers()[2]
+        data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, np.uint8)
+        i, n = 0, len(part)
+        while i < n:
+            j = max(i + 1, int(np.searchsorted(off, off[i] + _CHUNK, side="right")) - 1)
+            j = min(j, n)
+            yield base + i, base + j, data[off[i] : off[j]], off[i : j + 1] - off[i]
+            i = j
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of SLICE_ROWS rows: what a task makes of its rows at once stays small."""
+    for b in batches:
+        for lo in range(0, b.num_rows, SLICE_ROWS):
+            yield b.slice(lo, SLICE_ROWS)
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, mix64, run_hashes, stored, text_chunks, word_hashes
+from .common import gram_hashes, mix64, run_hashes, slices, stored, text_chunks, word_hashes
 from .components import components
 
 WORDS = 5
@@ -74,7 +74,7 @@ def _common(words: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Shingles that two or more documents of a run hold, with their number; a run has RUN shingles."""
         held, size = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for s in shingle_sets(batch.column(0), words):
                 held.append(s.copy())
                 size += len(s)
@@ -99,7 +99,7 @@ def set_class(s: np.ndarray) -> int:
 def _index(words: int, percent: int, common: np.ndarray):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(doc_id, size, class, prefix shingles) of each document."""
-        for batch in batches:
+        for batch in slices(batches):
             n, cls, parts, off = [], [], [], [0]
             for s in shingle_sets(batch.column(1), words):
                 take = len(s) - -(-percent * len(s) // 100) + 1 + int(SPARE * len(s)) if len(s) else 0
@@ -149,7 +149,7 @@ def _maybe(bitmap: np.ndarray):
 
 def _classes(words: int):
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             cls = [set_class(s) for s in shingle_sets(b.column(0), words)]
             yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), b.column(0)], names=["cls", "text"])
 
@@ -159,7 +159,7 @@ def _classes(words: int):
 def _shared(words: int):
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Size of the intersection of the two sets of every pair (cls, pivot, n, pn, text, ptext)."""
-        for b in batches:
+        for b in slices(batches):
             pivots: dict[int, np.ndarray] = {}
             first = {p: i for i, p in enumerate(b.column(1).to_pylist())}
             for p, s in zip(first, shingle_sets(b.column(5).take(pa.array(list(first.values()), pa.int64())), words)):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, mix64, run_hashes, split_by_keys, stored, text_chunks, word_hashes
+from .common import gram_hashes, mix64, run_hashes, slices, split_by_keys, stored, text_chunks, word_hashes
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -65,7 +65,7 @@ def _repeat_words(words: np.ndarray) -> int:
 
 def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Base metrics and normalised line hashes of every whole text of (key, host_hash, text)."""
-    for batch in batches:
+    for batch in slices(batches):
         ids, hosts = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
         cols: dict[str, list] = {k: [] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
         line_h, line_n, line_off, content = [], [], [0], []
@@ -177,7 +177,7 @@ def clean_lines(
     host = F.xxhash64(F.coalesce(F.col(host_col).cast("string"), F.lit("\u0000")))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             hosts = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).view(np.uint64)
             lists = b.column(b.num_columns - 2).to_pylist()
             texts = b.column(at).to_pylist()
