@@ -122,17 +122,21 @@ def average_precision(df: DataFrame, score: str = "score", label: str = S.LABEL,
     return average_precision_from(score_table(df, score, label, group_cols), group_cols)
 
 
-def roc_auc(df: DataFrame, score: str = "score", label: str = S.LABEL, group_cols: list[str] | None = None) -> DataFrame:
-    """ROC-AUC as the Mann-Whitney statistic with mid-ranks for ties."""
-    group_cols = group_cols or []
-    t = score_table(df, score, label, group_cols)
-    c = ranks.cumulative(t, group_cols, ["s"], ["n_pos", "n_neg"], prefix="below_", totals=True)
+def roc_auc_from(table: DataFrame, group_cols: list[str]) -> DataFrame:
+    """M10 over a (group, s, n_pos, n_neg) table; NULL unless both classes occur."""
+    c = ranks.cumulative(table, group_cols, ["s"], ["n_pos", "n_neg"], prefix="below_", totals=True)
     c = c.withColumnsRenamed({"below_total_n_pos": "__P", "below_total_n_neg": "__N"})
     u = F.sum(F.col("n_pos") * (F.col("below_n_neg") + F.lit(0.5) * F.col("n_neg")))
     return c.groupBy(*group_cols).agg(
         F.when((F.first("__P") > 0) & (F.first("__N") > 0), u / (F.first("__P") * F.first("__N"))).alias("roc_auc"))
 
 
+def roc_auc(df: DataFrame, score: str = "score", label: str = S.LABEL, group_cols: list[str] | None = None) -> DataFrame:
+    """ROC-AUC as the Mann-Whitney statistic with mid-ranks for ties."""
+    group_cols = group_cols or []
+    return roc_auc_from(score_table(df, score, label, group_cols), group_cols)
+
+
 def confusion(df: DataFrame, threshold: float, score: str = "score", label: str = S.LABEL,
               amount: str = "amount_raw", c_fp: float = S.C_FP) -> DataFrame:
     """Confusion counts, precision / recall / F1 (0 on zero division),

@@ -2,8 +2,7 @@
 
 Estimators are Spark ML pipelines (VectorAssembler + classifier). Class
 weighting uses `weightCol`; resampling happens on DataFrames (undersampling
-in `prep`, SMOTE in `smote`). Every candidate is scored on validation with the
-distributed evaluation operators of `evaluate`.
+in `prep`, SMOTE in `smote`). The grid itself is run by `tuning`.
 """
 
 from __future__ import annotations
@@ -11,10 +10,8 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -23,8 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..session import ensure_checkpoint_dir
-from . import evaluate as M
 from . import prep as P
 
 BALANCING_METHODS = ["original", "class_weighted", "smote", "undersampling"]
@@ -69,7 +64,7 @@ def _forest(p: dict, n_rows: int, seed: int, cols: dict):
 def _boosted(p: dict, n_rows: int, seed: int, cols: dict):
     depth = max(1, math.ceil(math.log2(p["num_leaves"] + 1)))
     return GBTClassifier(maxIter=p["n_estimators"], stepSize=p["learning_rate"], maxDepth=depth, minInstancesPerNode=p["min_child_samples"],
-                         subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed, **cols)
+                         subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed, checkpointInterval=30, **cols)
 
 
 def _even_weights(n0: int, n1: int) -> tuple[float, float]:
@@ -155,30 +150,6 @@ def predict_proba(model: PipelineModel, df: DataFrame, out: str = "proba") -> Da
         "features", "rawPrediction", "probability", "prediction")
 
 
-def evaluate_candidate(model: PipelineModel, val: DataFrame, label: str = S.LABEL, amount: str = "amount_raw",
-                       c_fp: float = S.C_FP) -> dict:
-    """Validation metrics of one fitted candidate at its minimum-net-cost threshold."""
-    scored = predict_proba(model, val, "proba").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = scored.count()
-        sweep = M.threshold_sweep(scored, "proba", label, amount, c_fp)
-        best = M.best_threshold(sweep, n).first()
-        if best is None:
-            raise ValueError("every threshold of the sweep would send all rows to review")
-        t = float(best["threshold"])
-        conf = M.confusion(scored, t, "proba", label, amount, c_fp).first()
-        ap = M.average_precision(scored, "proba", label).first()["average_precision"]
-        auc = M.roc_auc(scored, "proba", label).first()["roc_auc"]
-    finally:
-        scored.unpersist()
-    return {
-        "val_auc_pr": ap, "val_roc_auc": auc, "val_threshold": t,
-        "val_precision": conf["test_precision"], "val_recall": conf["test_recall"], "val_f1": conf["test_f1"],
-        "val_net_cost": float(best["net_cost"]), "val_missed_fraud_amount": float(best["missed_fraud_amount"]),
-        "val_fraud_amount_caught": float(best["fraud_amount_caught"]), "val_n_fp": int(best["n_fp"]), "val_n_tp": int(best["n_tp"]), "val_n_fn": int(best["n_fn"]),
-    }
-
-
 TUNING_SCHEMA = (
     "data_balancing string, model string, config_id string, config_label string, params_json string, "
     "inner_train_rows_after_balancing long, inner_train_fraud_after_balancing long, validation_rows long, "
@@ -188,42 +159,6 @@ TUNING_SCHEMA = (
 )
 
 
-def tune(train: DataFrame, val: DataFrame, features: list[str], methods: list[str] = BALANCING_METHODS,
-         models: list[str] = MODEL_NAMES, label: str = S.LABEL, seed: int = 42, parallelism: int = 4) -> DataFrame:
-    """M4: grid of candidates x balancing methods, each fitted and scored on validation.
-
-    Each balanced frame is built and persisted once per method; candidate fits
-    are independent Spark jobs submitted from a small thread pool.
-    """
-    spark = train.sparkSession
-    # frames every fit re-reads: reliable checkpoints in the shared folder cut the
-    # lineage, so a lost executor re-reads files instead of recomputing (SMOTE is costly)
-    ensure_checkpoint_dir(spark)
-    val = val.checkpoint(eager=True)
-    n_val = val.count()
-    rows = []
-    for method in methods:
-        bal = resampled(train, method, features, seed, label).checkpoint(eager=True)
-        counts = P.class_counts(bal, label)
-        n_bal = {"inner_train_rows_after_balancing": sum(counts.values()), "inner_train_fraud_after_balancing": counts.get(1, 0)}
-        points = [(m, k, p) for m in models for k, p in enumerate(FAMILIES[m].grid)]
-
-        def run(point, bal=bal, method=method, n_bal=n_bal):
-            family, k, params = point
-            scores = evaluate_candidate(fit(bal, features, family, params, method, label, seed), val, label)
-            named = {"data_balancing": method, "model": family, "config_id": f"{family}/{method}/{k}",
-                     "config_label": describe(params), "params_json": json.dumps(params, sort_keys=True)}
-            return named | n_bal | {"validation_rows": n_val, "c_fp_assumption": S.C_FP} | scores
-
-        with ThreadPoolExecutor(max_workers=parallelism) as ex:
-            rows.extend(ex.map(run, points))
-    return spark.createDataFrame([tuple(r[k] for k in _tuning_cols()) for r in rows], TUNING_SCHEMA)
-
-
-def _tuning_cols() -> list[str]:
-    return [c.strip().split(" ")[0] for c in TUNING_SCHEMA.split(",")]
-
-
 def best_per_group(results: DataFrame) -> DataFrame:
     """Best config per (balancing, model): net cost asc, AUC-PR desc, config id."""
     from pyspark.sql import Window

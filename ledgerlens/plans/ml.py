@@ -17,6 +17,7 @@ from ..operators import evaluate as M
 from ..operators import features as FE
 from ..operators import prep as P
 from ..operators import train as TR
+from ..operators import tuning as TU
 from ..operators.smote import smote
 from ..session import checkpoint_dir, ensure_checkpoint_dir
 from ..sources.fixture import transactions
@@ -92,20 +93,10 @@ def rf_importance(spark, sf):
     return TR.feature_importance(tr, kept).orderBy(F.col("importance").desc())
 
 
-_TUNED: dict[tuple, str] = {}
-
-
 def tuning_results(spark, sf, models=tuple(TR.MODEL_NAMES)):
-    """The tuning tables of some families, each fitted once per session and table folder and then read back."""
-    keys = [(spark.sparkContext.applicationId, sf.rstrip("/"), m) for m in models]
-    if any(k not in _TUNED for k in keys):
-        _, _, itr, iva, feats = model_frames(spark, sf)
-        for key in keys:
-            if key not in _TUNED:
-                path = f"{checkpoint_dir(spark).rstrip('/')}/tuning-{uuid.uuid4().hex}"
-                TR.tune(itr, iva, feats, models=[key[2]]).write.parquet(path)
-                _TUNED[key] = path
-    return spark.read.schema(TR.TUNING_SCHEMA).parquet(*[_TUNED[k] for k in keys])
+    """The tuning table of some families; fits that the folder of these frames holds are read back."""
+    _, _, itr, iva, feats = model_frames(spark, sf)
+    return TU.tune(itr, iva, feats, models=list(models))
 
 
 @query("tune_lr")
@@ -133,6 +124,12 @@ def leaderboard(spark, sf):
     return TR.leaderboard(TR.overall_winner(res), "val_net_cost")
 
 
+@query("leaderboard_auc_pr")
+def leaderboard_auc_pr(spark, sf):
+    """All 84 fits ranked by validation AUC-PR."""
+    return TR.leaderboard(tuning_results(spark, sf), "val_auc_pr")
+
+
 def _winner(spark, sf):
     res = tuning_results(spark, sf)
     w = TR.overall_winner(res).where("selected").first()

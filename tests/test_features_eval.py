@@ -104,7 +104,7 @@ def test_review_budget_ties_by_id(spark):
 
 def test_no_admissible_threshold_raises(spark):
     df = spark.createDataFrame([(1, 1.0, 1, 5.0)], "txn_id long, score double, isFraud int, amount_raw double")
-    with pytest.raises(ValueError, match="admissible"):
+    with pytest.raises(ValueError, match="send all rows to review"):
         M.choose_threshold(df)
 
 

@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from ledgerlens.plans.registry import QUERIES, load_all
 
-ML_AND_STREAMS = {"train_lr", "train_rf", "train_gbt", "smote", "rf_importance", "tune_lr", "leaderboard", "final_test",
+ML_AND_STREAMS = {"train_lr", "train_rf", "train_gbt", "smote", "rf_importance", "tune_lr", "tune_rf", "tune_gbt", "leaderboard", "leaderboard_auc_pr", "final_test",
                   "policy_document", "model_roundtrip", "feature_list_document", "stream_velocity", "stream_dedup",
                   "stream_ingest", "stream_rolling", "model_scored", "table_roundtrip", "event_log_roundtrip"}
 
