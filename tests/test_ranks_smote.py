@@ -1,6 +1,7 @@
 """Distributed ranks and exact SMOTE neighbours against brute force."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,6 +47,65 @@ def test_knn_is_exact(spark):
         assert [n for _, n in sorted(got[i])] == exp
 
 
+def _brute(X, ids, k):
+    out = {}
+    for i, x in enumerate(X):
+        d = np.sqrt(((X - x) ** 2).sum(-1))
+        d[i] = np.inf
+        out[ids[i]] = [int(ids[j]) for j in np.lexsort((ids, d))[:k]]
+    return out
+
+
+def _found(nn):
+    got = {}
+    for r in nn.collect():
+        got.setdefault(r.id, []).append((r.rank, r.nn_id))
+    return {i: [n for _, n in sorted(x)] for i, x in got.items()}
+
+
+def test_knn_with_copies_and_split_cells(spark, monkeypatch):
+    from ledgerlens.operators import smote as SM
+
+    monkeypatch.setattr(SM, "VISIT_ROWS", 50)
+    rng = np.random.default_rng(3)
+    # a third of the rows are one vector; grid points give many equal distances
+    X = np.concatenate([np.tile([1.0, 2.0, 3.0], (100, 1)), rng.integers(0, 4, (200, 3)).astype(float)])
+    ids = rng.permutation(len(X)) * 7
+    df = spark.createDataFrame([(int(i), [float(v) for v in x]) for i, x in zip(ids, X)], "id long, v array<double>").repartition(4)
+    assert _found(nearest_neighbours(df, "id", "v", k=5, block_rows=10, pivots=6)) == _brute(X, ids, 5)
+
+
+def test_knn_of_few_rows(spark):
+    df = spark.createDataFrame([(1, [0.0]), (2, [1.0]), (3, [5.0])], "id long, v array<double>")
+    assert _found(nearest_neighbours(df, "id", "v", k=5)) == {1: [2, 3], 2: [1, 3], 3: [2, 1]}
+    assert nearest_neighbours(df.limit(0), "id", "v").count() == 0
+
+
+def test_knn_compares_few_pairs_of_fifty_thousand_rows(spark):
+    from ledgerlens.operators import smote as SM
+
+    n = 50_000
+    rng = np.random.default_rng(11)
+    # clusters in 12 dimensions, as scaled transactions form them
+    X = rng.normal(size=(60, 12))[rng.integers(0, 60, n)] * 4 + rng.normal(size=(n, 12)) * rng.choice([0.05, 0.3], (n, 1))
+    ids = np.arange(n)
+    df = spark.createDataFrame(pd.DataFrame({"id": ids, "v": list(X)}), "id long, v array<double>")
+    points = SM.distinct_points(df, "id", "v", 6)
+    placed, centres, regions = SM.in_regions(points, 2048)
+    inside = placed.groupBy("region", "cell").applyInPandas(
+        SM._inside(6), f"vid long, v array<double>, region long, cell long, r double, bound double, best array<{SM.PAIR}>")
+    visits = SM.visits_of(inside.cache(), centres, regions)
+    sizes = placed.groupBy("region", "cell").agg(F.count("*").alias("n"))
+    compared = visits.join(sizes, ["region", "cell"]).agg(F.sum("n")).first()[0] + sizes.agg(F.sum(F.col("n") * F.col("n"))).first()[0]
+    assert compared < 0.1 * n * n
+    got = _found(nearest_neighbours(df, "id", "v", k=5))
+    assert len(got) == n
+    for i in rng.choice(n, 300, replace=False):
+        d = np.sqrt(((X - X[i]) ** 2).sum(-1))
+        d[i] = np.inf
+        assert got[i] == list(np.lexsort((ids, d))[:5])
+
+
 def test_smote_counts_and_convexity(spark):
     rng = np.random.default_rng(7)
     rows = [(i, float(a), float(b), int(i < 12)) for i, (a, b) in enumerate(rng.normal(size=(80, 2)))]
