@@ -8,8 +8,10 @@ the label of the nearest decided neighbours on both sides; headings go with the
 text that follows them.
 
 Markup that names its role (nav, footer, aside, form, hidden parts, class or id
-words such as advert, cookie, comment) decides against its blocks, and a page's
-article or main element, where there is one, bounds where its text can be.
+words such as advert, cookie, comment) decides against its blocks. Words that also
+qualify a page's layout (sidebar, share, search) count only where they
+come first, and neither they nor a form, aside or header count if they enclose most of the page's
+prose. A page's article or main element bounds where its text can be, if it holds most of the prose.
 
 The work is per page and vector-free, so it runs as one mapInArrow over the
 scan: no shuffle, memory of one page at a time.
@@ -45,18 +47,28 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 IN_HEAD = frozenset("html head title base link meta script style noscript template".split())
 FOREIGN = frozenset(("svg", "math"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# Words of class, id or role attributes that name furniture.
+# Words of class, id or role attributes that name furniture wherever they stand.
 ROLE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adbox|banner|breadcrumb\w*|comment\w*|cookie\w*|consent|disqus\w*|footer|gdpr|login|masthead|menu\w*|modal|"
-    r"nav\w*|newsletter|notice\w*|pagination|pager|popup|promo\w*|related|reply|replies|respond|share|sharing|sidebar\w*|signup|social\w*|sponsor\w*|"
-    r"subscribe|subscription|toolbar|(?:site|page|top|global|main)[_-]?header|widget\w*|contentinfo|navigation|complementary|search|alert\w*|disclaimer)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adbox|banner|breadcrumb\w*|comment\w*|cookie\w*|consent|disqus\w*|footer|gdpr|"
+    r"nav\w*|newsletter|pagination|pager|popup|promo\w*|related|reply|replies|respond|subscribe|subscription|navigation)(?:$|[\s_-])",
     re.I,
 )
-MAIN_ROLE = re.compile(r"(?:^|[\s_-])(?:main|article\w*|post-?(?:body|content)|entry-?content|content)(?:$|[\s_-])", re.I)
+# Words that name furniture as the first word of a class, or in an id or role.
+FIRST_ROLE = re.compile(
+    r"(?:^|[\s_-])(?:login|masthead|menu\w*|modal|notice\w*|share|sharing|sidebar\w*|signup|social\w*|sponsor\w*|"
+    r"toolbar|(?:site|page|top|global|main)[_-]?header|widget\w*|contentinfo|complementary|search|alert\w*|disclaimer)(?:$|[\s_-])",
+    re.I,
+)
+# Class words that state an absence or a setting name nothing.
+STATE = re.compile(r"(?:no|has|with|without|hide|show|is|not)[-_].*|.*[-_](?:enabled|disabled|ready|open|closed|on|off|active)", re.I)
+MAIN_ROLE = re.compile(r"(?:main|article|post|entry|story)[-_]?(?:body|content|text|main)|articlebody", re.I)
+# Elements that are furniture unless they enclose most of the prose.
+SOFT = frozenset("aside form header".split())
+# A quote opens a value only behind an equals sign; an apostrophe inside an unquoted value does not.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)", re.S
 )
-ATTR = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+ATTR = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 # A slash that ends an unquoted value does not close the element.
 SLASH_VALUE = re.compile(r"=\s*[^\s\"'>]*/$")
 SPACE = re.compile(r"\s+")
@@ -71,22 +83,22 @@ RAW = {t: re.compile(rf"</{t}\s*[^>]*>", re.I) for t in ("script", "style", "tex
 class Block:
     """A run of text between block-level tags: its characters, those in links, and where it stands."""
 
-    __slots__ = ("furniture", "heading", "inside", "label", "linked", "parts", "text")
+    __slots__ = ("furniture", "heading", "inside", "linked", "marks", "parts", "text")
 
-    def __init__(self, furniture: bool, inside: bool, heading: bool):
+    def __init__(self, furniture: bool, marks: tuple[int, ...], inside: bool, heading: bool):
         self.parts: list[str] = []
         self.linked = 0
-        self.furniture, self.inside, self.heading = furniture, inside, heading
-        self.label: bool | None = None
+        # marks: numbers of the enclosing elements that are furniture unless they hold most of the prose
+        self.furniture, self.marks, self.inside, self.heading = furniture, marks, inside, heading
         self.text = ""
 
 
 def blocks_of(page: str) -> tuple[list[Block], bool]:
-    """Blocks with text in page order, and whether the page has an article or main element."""
+    """Blocks with text in page order, and whether an article or main element bounds the page's text."""
     out: list[Block] = []
-    # open elements: (tag, is furniture, is main part)
-    stack: list[tuple[str, bool, bool]] = []
-    furniture = inside = links = skipped = 0
+    # open elements: (tag, is furniture, is main part, number of its mark or 0)
+    stack: list[tuple[str, bool, bool, int]] = []
+    furniture = inside = links = skipped = n_marks = 0
     has_main, at, n = False, 0, len(page)
     now: Block | None = None
     xml = page[:100].lstrip("\ufeff \t\r\n").startswith("<?xml")
@@ -101,7 +113,7 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
         if now is None:
             if piece.isspace():
                 return
-            now = Block(furniture > 0, inside > 0, any(t in HEADINGS for t, _, _ in stack[-4:]))
+            now = Block(furniture > 0, tuple(e[3] for e in stack if e[3]), inside > 0, any(e[0] in HEADINGS for e in stack[-4:]))
             out.append(now)
         if "&" in piece:
             piece = html_lib.unescape(piece)
@@ -137,7 +149,7 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
             # close the nearest open element of that name, and all within it
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    for name, f, a in stack[i:]:
+                    for name, f, a, _ in stack[i:]:
                         furniture -= f
                         inside -= a
                         links -= name == "a"
@@ -151,7 +163,7 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
             # an open p ends at the next one; a link cannot hold a link
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    name, f, a = stack.pop(i)
+                    name, f, a, _ = stack.pop(i)
                     furniture -= f
                     inside -= a
                     links -= name == "a"
@@ -159,22 +171,27 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
                 if stack[i][0] in BLOCK and tag == "p":
                     break
         raw = (m.group(3) or "").strip()
-        closed = raw.endswith("/") and not SLASH_VALUE.search(raw) and (xml or tag in FOREIGN or any(t in FOREIGN for t, _, _ in stack))
-        main, bad = tag in ("article", "main"), tag in FURNITURE
+        closed = raw.endswith("/") and not SLASH_VALUE.search(raw) and (xml or tag in FOREIGN or any(e[0] in FOREIGN for e in stack))
+        main, bad, soft = tag in ("article", "main"), tag in FURNITURE and tag not in SOFT, tag in SOFT
         if raw and raw != "/":
             attrs = {k.lower(): v.strip("\"'") for k, v in ATTR.findall(raw)}
-            names = " ".join(attrs.get(k, "") for k in ("class", "id", "role")).strip()
             main = main or attrs.get("role") in ("main", "article")
             bad = bad or "hidden" in attrs or attrs.get("aria-hidden") == "true" or HIDDEN.search(attrs.get("style", "")) is not None
-            if names and tag not in ("html", "body") and not main and not (inside and "header" in names.lower()):
-                bad = bad or ROLE.search(names) is not None or bool({"header", "top"} & set(names.lower().split()))
+            classes = [c for c in attrs.get("class", "").split() if not STATE.fullmatch(c)]
+            named = [attrs[k] for k in ("id", "role") if attrs.get(k)]
+            if (classes or named) and tag not in ("html", "body") and not main and not (inside and any("header" in c.lower() for c in classes + named)):
+                bad = bad or ROLE.search(" ".join(classes + named)) is not None
+                first = " ".join(classes[:1] + named)
+                content = any(MAIN_ROLE.fullmatch(c) for c in classes + named)
+                soft = not content and (soft or FIRST_ROLE.search(first) is not None or bool({"header", "top"} & set(first.lower().split())))
         if tag == "header" and inside:
-            bad = False  # the heading part of an article
+            bad = soft = False  # the heading part of an article
         if main and (furniture or bad or skipped):
             main = False
         if not closed:
             has_main = has_main or main
-            stack.append((tag, bad, main))
+            n_marks += soft
+            stack.append((tag, bad, main, n_marks if soft else 0))
             furniture += bad
             inside += main
             links += tag == "a"
@@ -187,13 +204,30 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
         b.text = SPACE.sub(" ", "".join(b.parts)).strip()
         if b.text:
             kept.append(b)
-    return kept, has_main
+    return kept, _settled(kept, has_main)
+
+
+def _settled(blocks: list[Block], has_main: bool) -> bool:
+    """Make furniture of what lies in marked elements that do not hold most of the prose; whether the main element bounds the text."""
+    prose = [len(b.text) if not b.furniture and content_label(b) else 0 for b in blocks]
+    held: dict[int, int] = {}
+    for b, n in zip(blocks, prose):
+        for mark in b.marks:
+            held[mark] = held.get(mark, 0) + n
+    total = sum(prose)
+    for b in blocks:
+        b.furniture = b.furniture or any(2 * held[mark] <= total for mark in b.marks)
+    left = [(b.inside, n) for b, n in zip(blocks, prose) if not b.furniture]
+    return has_main and 2 * sum(n for inside, n in left if inside) >= sum(n for _, n in left)
 
 
 def first_pass(b: Block, has_main: bool) -> bool | None:
     """True: text, False: furniture, None: undecided."""
-    if b.furniture or (has_main and not b.inside):
-        return False
+    return False if b.furniture or (has_main and not b.inside) else content_label(b)
+
+
+def content_label(b: Block) -> bool | None:
+    """What a block's own words say: True for prose, False for links and legal lines, None for short or odd ones."""
     chars = max(1, len(b.text) - b.text.count(" "))
     if b.linked / chars > MAX_LINK:
         return False if b.linked / chars > 0.6 or len(b.text) < LONG_CHARS else None

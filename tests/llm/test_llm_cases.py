@@ -287,6 +287,20 @@ def test_html_furniture():
     )
 
 
+def test_html_articles_in_elements_with_layout_words():
+    story = "The first paragraph of the story is long enough to be text, and it is about the town and its people."
+    teaser = "Read also: the other story about it."
+    for page in (
+        f"<div class='post-content no-sidebar'><p>{story}</p></div>", f"<div class='entry share-enabled'><p>{story}</p></div>",
+        f"<main><div class='results search'><p>{story}</p></div></main>", f"<form><div class=sidebar>Links</div><p>{story}</p></form>",
+        f"<p title=don't>{story}</p><nav title=it's>Home</nav>", f"<div class='search'><p>{story}</p></div>",
+        f"<div class='widget article-body'><p>{story}</p></div><div class=widget>{teaser}</div>",
+        f"<p>{story}</p><div class='comment-list'>" + f"<p>I am a reader: {story}</p>" * 3 + "</div>",
+    ):
+        assert main_text(page) == story, page
+    assert main_text(f"<article><p>{teaser}</p></article><div id=story><p>{story}</p><p>{story}</p></div>").endswith(f"{story}\n{story}")
+
+
 def test_html_optional_tags_and_slashes():
     story = "The first paragraph of the story is long enough to be text, and it is about the town and its people."
     head = "<html><head><meta charset=utf-8><title>No</title><style>p{}</style>"
