@@ -6,8 +6,9 @@
 2. `resolve` shuffles headers alone by payload digest, finds the original of each digest
    (largest page_id) and joins the others to it.
 3. `write_deduplicated` reads each archive once more in file order and writes a
-   new one: originals keep their payload, repeats become revisit records with
-   fresh headers that name the original.
+   new one, with fresh headers for every record: a warcinfo record opens each file, originals keep their
+   payload under a new record id, repeats become revisit records that keep their own URL and name the
+   original's record, URL and date. The archives can be read without the index.
 4. `read_records` parses the new archives and checks every payload's digest.
 
 Payload bytes are never shuffled and never held but one record at a time (plus
@@ -40,7 +41,7 @@ MIN_PAYLOAD = 0
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-HEADER_SCHEMA = "page_id long, record string, file string, start long, length long, payload_bytes long, payload_digest string"
+HEADER_SCHEMA = "page_id long, record string, url string, file string, start long, length long, payload_bytes long, payload_digest string"
 READ_SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -48,6 +49,11 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def fresh_id(name: str) -> str:
+    """The record id in the new archives of what `name` names in the old ones."""
+    return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}"
+
+
 def _line_value(value: str) -> str:
     """A header value on one line: control characters and line ends are percent-encoded."""
     return "".join(f"%{b:02X}" if b < 32 or b == 127 else chr(b) for b in value.encode("utf-8", "replace")).encode("latin-1").decode("utf-8", "replace")
@@ -75,16 +81,23 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 
 class _Archives:
-    """Writes records to files <folder>/<unique>-<n>.warc.gz, each closed at ARCHIVE_BYTES."""
+    """Writes records to files <folder>/<unique>-<n>.warc.gz, each closed at ARCHIVE_BYTES and, if asked for, opened by a warcinfo record."""
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, info: bool = False):
         self.fs, self.folder = pafs.FileSystem.from_uri(folder)
         self.stem, self.n, self.out, self.at, self.name = uuid.uuid4().hex, 0, None, 0, ""
+        self.info = info
 
     def add(self, raw: bytes) -> tuple[str, int, int]:
         if self.out is None:
             self.name = f"{self.folder}/{self.stem}-{self.n}.warc.gz"
             self.out, self.at, self.n = self.fs.open_output_stream(self.name, compression=None), 0, self.n + 1
+            if self.info:
+                file = self.name.rsplit("/", 1)[-1]
+                head = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<{fresh_id(file)}>"), ("WARC-Date", DATE), ("WARC-Filename", file), ("Content-Type", "application/warc-fields")]
+                opening = record_bytes(head, b"format: WARC File Format 1.1\r\ndescription: deduplicated by payload digest\r\n")
+                self.out.write(opening)
+                self.at = len(opening)
         self.out.write(raw)
         place = (self.name.rsplit("/", 1)[-1], self.at, len(raw))
         self.at += len(raw)
@@ -123,9 +136,9 @@ def write_records(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
                     if page_id.is_valid:
                         headers.append(("X-Page-ID", str(page_id.as_py())))
                     place = archives.add(record_bytes(headers, payload))
-                    rows.append((page_id.as_py(), record, *place, len(payload), digest))
+                    rows.append((page_id.as_py(), record, _line_value(url.as_py() or ""), *place, len(payload), digest))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 7, _HEADER_TYPES)], names=_HEADER_NAMES)
+                    [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 8, _HEADER_TYPES)], names=_HEADER_NAMES)
         finally:
             archives.close()
 
@@ -138,7 +151,7 @@ _HEADER_TYPES = [pa.int64() if c.split()[1] == "long" else pa.string() for c in
 
 
 def resolve(headers: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
-    """Headers with the original of each record: orig_page_id, orig_record (null: the record is itself a response).
+    """Headers with the original of each record: orig_page_id, orig_record, orig_url (null: the record is itself a response).
 
     Of equal payloads of at least `min_payload` bytes the one with the largest
     page_id is the original (null ids last; among rows that share the id, the
@@ -146,11 +159,11 @@ def resolve(headers: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
     fills a third of the archive is no hot group.
     """
     able = headers.where(F.col("payload_bytes") >= min_payload)
-    best = able.groupBy("payload_digest").agg(F.max(F.struct("page_id", "record")).alias("best"), F.count(F.lit(1)).alias("n"))
-    best = best.where("n > 1").select("payload_digest", F.col("best.page_id").alias("orig_page_id"), F.col("best.record").alias("orig_record"))
+    best = able.groupBy("payload_digest").agg(F.max(F.struct("page_id", "record", "url")).alias("best"), F.count(F.lit(1)).alias("n"))
+    best = best.where("n > 1").select("payload_digest", F.col("best.page_id").alias("orig_page_id"), F.col("best.record").alias("orig_record"), F.col("best.url").alias("orig_url"))
     joined = headers.join(best, "payload_digest", "left")
     own = (F.col("record") == F.col("orig_record")) | (F.col("payload_bytes") < min_payload)
-    return joined.withColumns({c: F.when(~own, F.col(c)) for c in ("orig_page_id", "orig_record")})
+    return joined.withColumns({c: F.when(~own, F.col(c)) for c in ("orig_page_id", "orig_record", "orig_url")})
 
 
 def write_deduplicated(resolved: DataFrame, source: str, target: str) -> DataFrame:
@@ -163,7 +176,7 @@ def write_deduplicated(resolved: DataFrame, source: str, target: str) -> DataFra
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, inner = pafs.FileSystem.from_uri(base)
-        archives, name, handle = _Archives(target), None, None
+        archives, name, handle = _Archives(target, info=True), None, None
         try:
             for b in batches:
                 rows = []
@@ -172,15 +185,16 @@ def write_deduplicated(resolved: DataFrame, source: str, target: str) -> DataFra
                         if handle is not None:
                             handle.close()
                         name, handle = r["file"], fs.open_input_file(f"{inner}/{r['file']}")
+                    head = [("WARC-Record-ID", f"<{fresh_id(r['record'])}>"), ("WARC-Date", DATE), ("WARC-Target-URI", r["url"]),
+                            ("WARC-Payload-Digest", f"sha1:{r['payload_digest']}")]
+                    head += [(k, str(r[c])) for k, c in (("X-Page-ID", "page_id"), ("X-Refers-To-Page-ID", "orig_page_id")) if r[c] is not None]
                     if r["orig_record"] is None:
                         handle.seek(r["start"])
-                        raw = handle.read(r["length"])
+                        raw = record_bytes([("WARC-Type", "response"), *head], parse_record(handle.read(r["length"]))[1])
                     else:
-                        head = [("WARC-Type", "revisit"), ("WARC-Record-ID", f"<{r['record']}>"), ("WARC-Date", DATE), ("WARC-Profile", PROFILE),
-                                ("WARC-Refers-To", f"<{r['orig_record']}>"), ("WARC-Payload-Digest", f"sha1:{r['payload_digest']}"),
-                                ("X-Payload-Length", str(r["payload_bytes"]))]
-                        head += [(k, str(r[c])) for k, c in (("X-Page-ID", "page_id"), ("X-Refers-To-Page-ID", "orig_page_id")) if r[c] is not None]
-                        raw = record_bytes(head, b"")
+                        refers = [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<{fresh_id(r['orig_record'])}>"), ("WARC-Refers-To-Target-URI", r["orig_url"]),
+                                  ("WARC-Refers-To-Date", DATE), ("X-Payload-Length", str(r["payload_bytes"]))]
+                        raw = record_bytes([("WARC-Type", "revisit"), *head, *refers], b"")
                     rows.append(archives.add(raw))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 3, (pa.string(), pa.int64(), pa.int64()))], names=["file", "start", "length"])

@@ -257,6 +257,44 @@ def test_warc_cases(pages):
     assert archive_pages(pages.limit(0))[0].count() == 0
 
 
+def _walk(folder):
+    """Records of all archives of a folder, read member by member without the index."""
+    import zlib
+
+    import pyarrow.fs as pafs
+    from ledgerlens.llm.warc import parse_record
+
+    fs, inner = pafs.FileSystem.from_uri(folder)
+    for info in fs.get_file_info(pafs.FileSelector(inner)):
+        with fs.open_input_file(info.path) as f:
+            raw = f.read()
+        while raw:
+            d = zlib.decompressobj(31)
+            d.decompress(raw)
+            member, raw = raw[: len(raw) - len(d.unused_data)], d.unused_data
+            yield info.base_name, *parse_record(member)
+
+
+def test_archives_keep_every_url_and_payload(spark, pages):
+    rows, folder = archive_pages(pages)
+    rows.count()
+    records = list(_walk(folder))
+    by_file = {}
+    for file, head, _ in records:
+        by_file.setdefault(file, []).append(head["warc-type"])
+    assert all(kinds[0] == "warcinfo" and kinds.count("warcinfo") == 1 for kinds in by_file.values())
+    held = {h["warc-record-id"]: (h, p) for _, h, p in records if h["warc-type"] != "warcinfo"}
+    assert len(held) == 8 == len(records) - len(by_file)
+    got = []
+    for h, payload in held.values():
+        if h["warc-type"] == "revisit":
+            origin, payload = held[h["warc-refers-to"]]
+            assert origin["warc-type"] == "response" and origin["warc-target-uri"] == h["warc-refers-to-target-uri"]
+            assert h["warc-refers-to-date"] == origin["warc-date"] and "warc-profile" in h
+        got.append((h["warc-target-uri"], payload.decode()))
+    assert sorted(got) == sorted((r["url"] or "", r["html"] or "") for r in pages.collect())
+
+
 def test_url_cases(pages):
     rows = {r["page_id"]: r for r in judge_urls(pages).collect()}
     assert (rows[3]["host"], rows[3]["path"], rows[3]["rule"]) == ("", "", None)
