@@ -46,15 +46,15 @@ SELECT txn_id, coalesce(nameDest, 'UNKNOWN_DEST') AS nameDest, step,
        CAST(max(CASE WHEN type IN ('TRANSFER','CASH_OUT') THEN step END) OVER {_VW} IS NULL AS INTEGER) AS dest_first_seen
 FROM transactions"""))
 def stream_velocity(spark, sf):
-    """Keyed-state destination velocity over a request stream arriving in step order."""
+    """Stateful destination velocity over a request stream arriving in step order."""
     t = transactions(spark, sf)
     req = t.select("txn_id", "type", "step", "nameDest")
-    src, out, ckpt = J.scratch(spark, "req-src"), J.scratch(spark, "vel-out"), J.scratch(spark, "vel-ckpt")
+    src, out, state, ckpt = (J.scratch(spark, f"vel-{x}") for x in ("src", "out", "state", "ckpt"))
     for part in _arrivals(req):
         # what has arrived is one micro-batch, in as many files as Spark writes
         part.write.mode("append").parquet(src)
-        J.run_available_now(velocity_stream(spark.readStream.schema(req.schema).parquet(src)), out, ckpt)
-    return spark.read.parquet(out)
+        velocity_stream(spark.readStream.schema(req.schema).parquet(src), out, state, ckpt)
+    return spark.read.parquet(out).drop("epoch")
 
 
 def _log_slices(spark, sf):
@@ -116,12 +116,12 @@ def stream_rolling(spark, sf):
 SELECT txn_id, decision, fraud_probability, risk_signals, reason, dest_prior_count, dest_steps_since_last, dest_first_seen FROM sc""",
                                  ctes=SCORED_CTE))
 def stream_scoring(spark, sf):
-    """P1-P10 on a stream: requests in step order -> keyed velocity state -> features -> decisions (file sink)."""
+    """P1-P10 on a stream: requests in step order -> velocity state -> features -> decisions (file sink)."""
     _, t = test_threshold(spark, sf)
     req = transactions(spark, sf)
-    src, out, ckpt = J.scratch(spark, "score-src"), J.scratch(spark, "score-out"), J.scratch(spark, "score-ckpt")
+    src, out, state, ckpt = (J.scratch(spark, f"score-{x}") for x in ("src", "out", "state", "ckpt"))
     for part in _arrivals(req):
         part.write.mode("append").parquet(src)
-        J.run_available_now(score_stream(spark.readStream.schema(req.schema).parquet(src), "score", t), out, ckpt)
+        score_stream(spark.readStream.schema(req.schema).parquet(src), "score", t, out, state, ckpt)
     return spark.read.parquet(out).select("txn_id", "decision", "fraud_probability", "risk_signals", "reason",
                                           "dest_prior_count", "dest_steps_since_last", "dest_first_seen")

@@ -1,51 +1,22 @@
-"""Streaming scorer (P1-P10 on a stream): requests -> keyed velocity state -> features -> decision.
+"""Streaming scorer (P1-P10 on a stream): requests -> velocity state -> features -> decision.
 
-The same projection code as the batch scorer (`operators.score`) runs after
-the stateful step, so batch and stream cannot disagree on features or policy.
-Rows outside the fraud universe and rows with caller-supplied velocity read
-no state (the batch rule); universe rows read the state before updating it.
+Every micro-batch goes through the batch scorer (`operators.score.score_batch`)
+with the state that earlier micro-batches left, so batch and stream cannot
+disagree on features or policy. Rows outside the fraud universe and rows with
+caller-supplied velocity read no state and do not advance it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from .. import schema as S
-from ..operators import features as FE
 from ..operators import score as SC
-from .velocity import stream_velocity
+from .velocity import VelocityState, run_stateful
 
 
-def score_stream(requests: DataFrame, prob: Column | str, threshold: float, block_threshold: float | None = None) -> DataFrame:
-    """Streaming DataFrame of requests -> scored decisions (append mode)."""
-    r = SC.request_defaults(requests)
-    universe = F.col("type").isin(S.FRAUD_TYPES)
-    if "dest_prior_count" not in r.columns:
-        # no caller-supplied velocity: every universe row reads and advances the state
-        v = stream_velocity(r, list(r.columns))
-        v = v.withColumns({
-            "dest_prior_count": F.when(universe, F.col("dest_prior_count")).otherwise(F.lit(0).cast("long")),
-            "dest_steps_since_last": F.when(universe, F.col("dest_steps_since_last")).otherwise(F.lit(-1.0)),
-            "dest_first_seen": F.when(universe, F.col("dest_first_seen")).otherwise(F.lit(1)),
-        })
-    else:
-        r = r.withColumnRenamed("dest_prior_count", "__ov_prior")
-        if "dest_steps_since_last" in r.columns:
-            r = r.withColumnRenamed("dest_steps_since_last", "__ov_since")
-        else:
-            r = r.withColumn("__ov_since", F.lit(None).cast("double"))
-        # rows with caller values read no state and do not advance it
-        req = r.withColumn("dest_prior_count", F.when(F.col("__ov_prior").isNotNull(), F.lit(0)).cast("long"))
-        v = stream_velocity(req, [c for c in req.columns if c != "dest_prior_count"])
-        ov = F.col("__ov_prior").isNotNull()
-        ov_since = F.coalesce(F.col("__ov_since").cast("double"), F.lit(-1.0))
-        v = v.withColumns({
-            "dest_prior_count": F.when(ov, F.col("__ov_prior").cast("long")).when(universe, F.col("dest_prior_count")).otherwise(F.lit(0).cast("long")),
-            "dest_steps_since_last": F.when(ov, ov_since).when(universe, F.col("dest_steps_since_last")).otherwise(F.lit(-1.0)),
-            "dest_first_seen": F.when(ov, ((ov_since < 0) & (F.col("__ov_prior") == 0)).cast("int"))
-                                .when(universe, F.col("dest_first_seen")).otherwise(F.lit(1)),
-        }).drop("__ov_prior", "__ov_since")
-    v = FE.row_features(v)
-    pcol = F.col(prob) if isinstance(prob, str) else prob
-    return SC.decide(v.withColumn("__p", pcol), threshold, "__p", block_threshold).drop("__p")
+def score_stream(requests: DataFrame, prob: Column | str, threshold: float, out: str, state: str, ckpt: str, block_threshold: float | None = None) -> None:
+    """Score every request of a stream that is there now; decisions go to `out`, the state to `state`."""
+    def make(batch: DataFrame, history: DataFrame | None) -> DataFrame:
+        return SC.score_batch(batch, prob, threshold, block_threshold, history=history)
+
+    run_stateful(requests, make, out, VelocityState(requests.sparkSession, state), ckpt)

@@ -1,94 +1,129 @@
-"""Stateful destination velocity on a stream.
-
-Per destination the state is (count, last_step): the number of earlier
-state-updating requests and the step of the latest one. Each micro-batch's
-rows of a key are ordered by (step, txn_id), read the state before it is
-advanced, and update it afterwards, so features stay causal. Rows outside the
-fraud universe and rows carrying caller-supplied velocity read but never
-update the state. When events arrive in (step, id) order the output equals
-the batch `score.scoring_velocity`.
-
-A hot destination is one group per micro-batch (keyed state is sequential by
-definition); its size is bounded by the trigger (`maxFilesPerTrigger`).
+"""Stateful destination velocity on a stream (P7), one micro-batch at a time.
+
+The state of a destination is (count, last step) of its state-updating requests so far. A
+micro-batch is ordered by (step, txn_id) inside each destination; a row reads
+the state before it, and only rows of the fraud universe without caller-supplied velocity
+update it, so features stay causal. When events arrive in (step, id) order
+the output equals one batch over all of them.
+
+The state is a table of increments: every micro-batch adds one pre-aggregated
+row per destination it updated, under its epoch. Counts add up and steps take their
+maximum, so a destination with a third of all rows costs one row an epoch, and
+reading joins only the destinations of the batch. Every COMPACT_EPOCHS the
+increments are merged into a base. A replayed epoch reads the epochs
+before it and overwrites its own output and increment, so it adds nothing.
+
+Inside a micro-batch a destination with many rows is split by (step, id)
+ranges (`ranks.row_positions`): no task holds all rows of a key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import schema as S
+from ..operators import ranks
+from ..operators.features import HOT_KEY_ROWS
+from ..session import conf_int
 
-VELOCITY_FIELDS = "dest_prior_count long, dest_steps_since_last double, dest_first_seen int"
-STATE_SCHEMA = "count long, last_step long"
+VELOCITY_COLUMNS = ("dest_prior_count", "dest_steps_since_last", "dest_first_seen")
+STATE_SCHEMA = "nameDest string, state_count long, state_step long, epoch int"
+COMPACT_EPOCHS = 50
 
 
-def _advance_fn(passthrough: list[str], ttl_ms: int | None = None):
-    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            # destination idle for longer than the TTL: forget it
-            state.remove()
-            return
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values(["step", "txn_id"], kind="stable").reset_index(drop=True)
-        count0, last0 = (state.get if state.exists else (0, None))
-        upd = pdf["__updates"].to_numpy().astype(bool)
-        steps = pdf["step"].to_numpy().astype("int64")
-        u = upd.astype("int64")
-        prior = count0 + np.cumsum(u) - u
-        # step of the latest updating row strictly before each row (state value first)
-        upd_steps = pd.Series(np.where(upd, steps.astype("float64"), np.nan))
-        prev = upd_steps.shift(1)
-        if last0 is not None and np.isnan(prev.iloc[0]):
-            prev.iloc[0] = float(last0)
-        prev = prev.ffill().to_numpy()
-        since = np.where(np.isnan(prev), -1.0, steps - prev)
-        first = np.isnan(prev).astype("int32")
-        new_count = int(count0 + u.sum())
-        new_last = int(steps[upd][-1]) if upd.any() else last0
-        if new_count > 0:
-            state.update((new_count, new_last))
-            if ttl_ms:
-                state.setTimeoutDuration(ttl_ms)
-        out = pdf[passthrough].copy()
-        out["dest_prior_count"] = prior.astype("int64")
-        out["dest_steps_since_last"] = since.astype("float64")
-        out["dest_first_seen"] = first
-        yield out
-    return advance
-
-
-def stream_velocity(requests: DataFrame, passthrough: list[str] | None = None, state_ttl_ms: int | None = None) -> DataFrame:
-    """Streaming DataFrame of requests -> per-row causal velocity via keyed state (streaming only).
-
-    Output: `txn_id, nameDest, step`, any `passthrough` columns, and the three
-    velocity columns as read from the state before this row. `state_ttl_ms`
-    (processing time) drops the state of destinations idle for that long, which
-    bounds state size on an unbounded stream (it needs a continuously running
-    query with a processing-time trigger; `availableNow` runs use no TTL); by
-    default state is kept forever, matching the batch definition.
+def updating(requests: DataFrame):
+    """Rows that advance the state: in the fraud universe, without velocity of their own."""
+    own = F.col("dest_prior_count").isNotNull() if "dest_prior_count" in requests.columns else F.lit(False)
+    return F.coalesce(F.col("type").isin(S.FRAUD_TYPES), F.lit(False)) & ~own
+
+
+def batch_velocity(requests: DataFrame, history: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
+    """(txn_id, nameDest, step, VELOCITY_COLUMNS): what each request of a batch reads, given the state `history` before it.
+
+    `history` is (nameDest, state_count, state_step). Null destinations are UNKNOWN_DEST, null steps the default step.
     """
-    has_override = "dest_prior_count" in requests.columns
-    updates = F.col("type").isin(S.FRAUD_TYPES)
-    if has_override:
-        updates = updates & F.col("dest_prior_count").isNull()
-    extra = [c for c in (passthrough or []) if c not in ("txn_id", "nameDest", "step")]
     x = requests.select(
-        F.col("txn_id").cast("long").alias("txn_id"),
-        F.coalesce(F.col("nameDest"), F.lit(S.UNKNOWN_DEST)).alias("nameDest"),
-        F.coalesce(F.col("step").cast("long"), F.lit(S.DEFAULT_STEP).cast("long")).alias("step"),
-        *[F.col(c) for c in extra],
-        updates.alias("__updates"),
-    )
-    keep = ["txn_id", "nameDest", "step", *extra]
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in x.schema.fields if f.name in keep)
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if state_ttl_ms else GroupStateTimeout.NoTimeout
-    return x.groupBy("nameDest").applyInPandasWithState(
-        _advance_fn(keep, state_ttl_ms), f"{fields}, {VELOCITY_FIELDS}", STATE_SCHEMA, "append", timeout)
+        F.col("txn_id").cast("long").alias("txn_id"), F.coalesce("nameDest", F.lit(S.UNKNOWN_DEST)).alias("nameDest"),
+        F.coalesce(F.col("step").cast("long"), F.lit(S.DEFAULT_STEP).cast("long")).alias("step"), updating(requests).cast("long").alias("__u"))
+    limit = hot_rows or conf_int(requests.sparkSession, "spark.ledgerlens.velocity.hotKeyRows", HOT_KEY_ROWS)
+    most = x.groupBy("nameDest").count().agg(F.max("count")).first()[0] or 0
+    if most <= limit:
+        earlier = Window.partitionBy("nameDest").orderBy("step", "txn_id").rowsBetween(Window.unboundedPreceding, -1)
+        x = x.withColumns({
+            "__n": F.coalesce(F.sum("__u").over(earlier), F.lit(0)),
+            "__last": F.max(F.when(F.col("__u") == 1, F.col("step"))).over(earlier)})
+    else:
+        # rows before by split positions; the step of the last updating row by (destination, step) cells
+        cells = x.groupBy("nameDest", "step").agg(F.sum("__u").alias("__c"))
+        cells = ranks.cumulative(cells, ["nameDest"], ["step"], ["__c"], prefix="__before")
+        before = Window.partitionBy("nameDest").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+        cells = cells.withColumn("__prev", F.max(F.when(F.col("__c") > 0, F.col("step"))).over(before)).drop("__c")
+        x = ranks.row_positions(x, ["nameDest"], "step", "txn_id", out="__pos", sums={"__u": "__n"})
+        x = x.join(cells, ["nameDest", "step"])
+        x = x.withColumn("__last", F.when(F.col("__n") > F.col("__before__c"), F.col("step")).otherwise(F.col("__prev")))
+    if history is not None:
+        # one row per destination: joins by Spark's choice
+        x = x.join(history.select("nameDest", "state_count", "state_step"), "nameDest", "left")
+        x = x.withColumns({"__n": F.col("__n") + F.coalesce("state_count", F.lit(0)), "__last": F.coalesce("__last", "state_step")})
+    since = F.coalesce((F.col("step") - F.col("__last")).cast("double"), F.lit(-1.0))
+    return x.select("txn_id", "nameDest", "step", F.col("__n").cast("long").alias("dest_prior_count"), since.alias("dest_steps_since_last"),
+                    F.col("__last").isNull().cast("int").alias("dest_first_seen"))
+
+
+class VelocityState:
+    """The increments of a stream under a folder: epoch=<n> and, merged up to an epoch, base=<n>."""
+
+    def __init__(self, spark: SparkSession, folder: str, compact_epochs: int = COMPACT_EPOCHS):
+        self.spark, self.folder, self.compact_epochs = spark, folder.rstrip("/"), compact_epochs
+
+    def _numbers(self, kind: str) -> list[int]:
+        """Committed folders <kind>=<n>."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        done = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{kind}=*/_SUCCESS")) or []
+        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
+
+    def before(self, epoch: int) -> DataFrame | None:
+        """(nameDest, state_count, state_step) after all epochs before `epoch`; None if there are none."""
+        base = max((n for n in self._numbers("base") if n < epoch), default=-1)
+        parts = ([f"{self.folder}/base={base}"] if base >= 0 else []) + [f"{self.folder}/epoch={n}" for n in self._numbers("epoch") if base < n < epoch]
+        if not parts:
+            return None
+        rows = self.spark.read.schema("nameDest string, state_count long, state_step long").parquet(*parts)
+        return rows.groupBy("nameDest").agg(F.sum("state_count").alias("state_count"), F.max("state_step").alias("state_step"))
+
+    def add(self, batch: DataFrame, epoch: int) -> None:
+        """Write the increment of an epoch, and now and then a base."""
+        rows = batch.where(updating(batch)).select(
+            F.coalesce("nameDest", F.lit(S.UNKNOWN_DEST)).alias("nameDest"), F.coalesce(F.col("step").cast("long"), F.lit(S.DEFAULT_STEP).cast("long")).alias("step"))
+        new = rows.groupBy("nameDest").agg(F.count(F.lit(1)).alias("state_count"), F.max("step").alias("state_step"))
+        new.write.mode("overwrite").parquet(f"{self.folder}/epoch={epoch}")
+        if (epoch + 1) % self.compact_epochs == 0:
+            self.before(epoch + 1).write.mode("overwrite").parquet(f"{self.folder}/base={epoch}")
+
+
+def run_stateful(
+    requests: DataFrame, make: Callable[[DataFrame, DataFrame | None], DataFrame], out: str, state: VelocityState, ckpt: str, trigger: dict | None = None,
+) -> None:
+    """Run a stream of requests until nothing is new: each micro-batch writes make(batch, state before it) under its epoch, then its increment."""
+    def sink(batch: DataFrame, epoch: int) -> None:
+        if batch.isEmpty():
+            return
+        history = state.before(epoch)
+        if history is not None:
+            # only the batch's destinations are merged
+            keys = batch.select(F.coalesce("nameDest", F.lit(S.UNKNOWN_DEST)).alias("nameDest")).distinct()
+            history = history.join(keys, "nameDest", "left_semi")
+        make(batch, history).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        state.add(batch, epoch)
+
+    q = requests.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt).trigger(**(trigger or {"availableNow": True})).start()
+    q.awaitTermination()
+
+
+def stream_velocity(requests: DataFrame, out: str, state: str, ckpt: str, hot_rows: int | None = None) -> None:
+    """Velocity of every request of a stream, as `batch_velocity` rows under `out`."""
+    run_stateful(requests, lambda b, h: batch_velocity(b, h, hot_rows), out, VelocityState(requests.sparkSession, state), ckpt)

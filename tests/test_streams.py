@@ -57,38 +57,61 @@ def test_stream_scoring_equals_batch_decisions(spark):
     assert s.exceptAll(b).count() == 0 and b.exceptAll(s).count() == 0
 
 
-def test_velocity_state_ttl_option_keeps_results_when_not_idle(spark, tmp_path):
-    from ledgerlens.plans.streams import _arrivals
+def _hot_requests(spark, n=600):
+    # a third of the rows have no destination, another third share one
+    return spark.range(n).selectExpr(
+        "id + 1 as txn_id", "if(id % 5 = 0, 'PAYMENT', 'TRANSFER') as type", "id div 20 + 1 as step",
+        "case id % 3 when 0 then null when 1 then 'C_hot' else concat('C', id % 17) end as nameDest")
+
+
+def _run(spark, tmp_path, req, hot_rows, cuts=(7, 15, 23)):
     from ledgerlens.streaming.velocity import stream_velocity
 
-    req = transactions(spark, SF_SMALL).select("txn_id", "type", "step", "nameDest")
-    src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ckpt")
-    for part in _arrivals(req):
-        part.coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(req.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    # an hour of processing time: no destination goes idle during this short run. State timeouts
-    # need a continuously running query (processing-time trigger), not availableNow.
-    q = (stream_velocity(stream, state_ttl_ms=3_600_000).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).trigger(processingTime="1 second").start())
-    import time
+    src, out, state, ckpt = (str(tmp_path / x) for x in ("src", "out", "state", "ckpt"))
+    for lo, hi in zip((0, *cuts), (*cuts, 10_000)):
+        req.where((F.col("step") > lo) & (F.col("step") <= hi)).write.mode("append").parquet(src)
+        stream_velocity(spark.readStream.schema(req.schema).parquet(src), out, state, ckpt, hot_rows)
+    return out, state
 
-    n = req.count()
+
+def test_hot_destinations_on_a_stream_equal_one_batch(spark, tmp_path):
+    from ledgerlens.streaming.velocity import batch_velocity
+
+    req = _hot_requests(spark)
+    spark.conf.set("spark.ledgerlens.ranks.rowsPerBucket", "40")
     try:
-        # processAllAvailable() never returns while state timeouts are armed: poll the sink instead
-        deadline = time.time() + 120
-        while time.time() < deadline:
-            time.sleep(2)
-            assert q.exception() is None
-            try:
-                if spark.read.parquet(out).count() >= n:
-                    break
-            except Exception:  # sink not written yet
-                pass
+        out, _ = _run(spark, tmp_path, req, hot_rows=25)
+        got = spark.read.parquet(out).drop("epoch")
+        want = batch_velocity(req)
+        assert got.count() == 600 and got.exceptAll(want.select(*got.columns)).count() == 0
+        # brute force over the rows in order
+        seen, rows = {}, sorted(req.collect(), key=lambda r: (r.step, r.txn_id))
+        expect = {}
+        for r in rows:
+            k = r.nameDest or "UNKNOWN_DEST"
+            n, last = seen.get(k, (0, None))
+            expect[r.txn_id] = (n, -1.0 if last is None else float(r.step - last), int(last is None))
+            if r.type == "TRANSFER":
+                seen[k] = (n + 1, r.step)
+        assert {r.txn_id: (r.dest_prior_count, r.dest_steps_since_last, r.dest_first_seen) for r in got.collect()} == expect
     finally:
-        q.stop()
-    a = spark.read.parquet(out).select("txn_id", "dest_prior_count", "dest_steps_since_last")
-    b = E.queries()["stream_velocity"](spark, SF_SMALL).select("txn_id", "dest_prior_count", "dest_steps_since_last")
-    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+        spark.conf.unset("spark.ledgerlens.ranks.rowsPerBucket")
+
+
+def test_replayed_epoch_adds_nothing_and_bases_hold_the_state(spark, tmp_path):
+    from ledgerlens.streaming.velocity import VelocityState
+
+    req = _hot_requests(spark)
+    state = VelocityState(spark, str(tmp_path / "state"), compact_epochs=2)
+    for epoch in range(5):
+        part = req.where((F.col("step") > 6 * epoch) & (F.col("step") <= 6 * epoch + 6))
+        state.add(part, epoch)
+        state.add(part, epoch)
+    total = {r.nameDest: (r.state_count, r.state_step) for r in state.before(5).collect()}
+    want = req.where("type = 'TRANSFER'").groupBy(F.coalesce("nameDest", F.lit("UNKNOWN_DEST")).alias("d")).agg(F.count("*").alias("n"), F.max("step").alias("s"))
+    assert total == {r.d: (r.n, r.s) for r in want.collect()}
+    assert state._numbers("base") == [1, 3] and state.before(0) is None
+    assert sum(r.state_count for r in state.before(2).collect()) == req.where("type = 'TRANSFER' and step <= 12").count()
 
 
 def test_one_row_places_aggregates_side_by_side(spark):
@@ -102,7 +125,6 @@ def test_one_row_places_aggregates_side_by_side(spark):
 
 def test_stream_scoring_with_caller_overrides_equals_batch(spark, tmp_path):
     from ledgerlens.plans.streams import _arrivals
-    from ledgerlens.streaming import jobs as J
     from ledgerlens.streaming.scorer import score_stream
 
     t = transactions(spark, SF_SMALL)
@@ -110,11 +132,11 @@ def test_stream_scoring_with_caller_overrides_equals_batch(spark, tmp_path):
         "dest_prior_count": F.when(F.col("txn_id") % 7 == 0, F.lit(3)).cast("long"),
         "dest_steps_since_last": F.when(F.col("txn_id") % 7 == 0, F.lit(2.0)),
     })
-    src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    src, out, state, ckpt = (str(tmp_path / x) for x in ("src", "out", "state", "ckpt"))
     for part in _arrivals(req):
         part.coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(req.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    J.run_available_now(score_stream(stream, "score", 0.05), out, ckpt)
+    score_stream(stream, "score", 0.05, out, state, ckpt)
     cols = ["txn_id", "decision", "risk_signals", "dest_prior_count", "dest_steps_since_last", "dest_first_seen"]
     s = spark.read.parquet(out).select(*cols)
     b = SC.score_batch(req, "score", 0.05).select(*cols)
