@@ -39,19 +39,32 @@ def _is_missing(df: DataFrame, c: str) -> Column:
 
 
 def column_profile(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
-    """Q2: per column n_missing and n_unique (NULL/NaN excluded), one aggregate.
+    """Q2: per column n_missing and n_unique (NULL/NaN excluded).
 
-    `approx=True` uses HyperLogLog (`approx_count_distinct`) for very wide or
-    high-cardinality tables instead of exact distinct counts.
+    Each row gives one slim (column, value hash) pair a column; pairs are counted
+    with map-side partials in one shuffle, so no row is copied whole for each column and a value that
+    fills a column is no hot group. Two independent hashes (96 bits) stand for a value.
+    `approx=True` uses HyperLogLog (`approx_count_distinct`) instead of exact distinct counts.
     """
     cols = cols or df.columns
-    uniq = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
-    row = df.agg(*[
-        F.struct(count_if(_is_missing(df, c)).alias("m"), uniq(F.nanvl(c, F.lit(None)) if isinstance(df.schema[c].dataType, T.DoubleType) else F.col(c)).cast("long").alias("u")).alias(c)
-        for c in cols
-    ])
-    s = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("d")) for c in cols])).alias("s")
-    return row.select(s).select("s.column_name", F.col("s.d.m").alias("n_missing"), F.col("s.d.u").alias("n_unique"))
+    names = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("column_name")) for i, c in enumerate(cols)])).alias("x")
+    if approx:
+        row = df.agg(*[F.struct(count_if(_is_missing(df, c)).alias("m"), F.approx_count_distinct(F.when(~_is_missing(df, c), F.col(c))).alias("u")).alias(c) for c in cols])
+        s = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("d")) for c in cols])).alias("s")
+        return row.select(s).select("s.column_name", F.col("s.d.m").alias("n_missing"), F.col("s.d.u").alias("n_unique"))
+
+    def value(c: str) -> Column:
+        # 0.0 and -0.0 are one value
+        return F.col(c) + F.lit(0.0) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.col(c)
+
+    pair = lambda i, c: F.struct(
+        F.lit(i).alias("i"), F.when(~_is_missing(df, c), F.xxhash64(value(c))).alias("h"), F.when(~_is_missing(df, c), F.hash(value(c))).alias("g"))
+    pairs = df.select(F.explode(F.array(*[pair(i, c) for i, c in enumerate(cols)])).alias("p")).select("p.*")
+    values = pairs.groupBy("i", "h", "g").agg(F.count(F.lit(1)).alias("n"))
+    per = values.groupBy("i").agg(F.sum(F.when(F.col("h").isNull(), F.col("n")).otherwise(0)).alias("n_missing"), F.count("h").alias("n_unique"))
+    # every column once, also of an empty table
+    every = df.sparkSession.range(1).select(names).select("x.*")
+    return every.join(per, "i", "left").select("column_name", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_missing", "n_unique")])
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
