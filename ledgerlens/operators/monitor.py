@@ -3,19 +3,22 @@
 All statistics come from aggregates over the scored reference and current
 sets: 2x2 counts per binary feature (chi-square), per-value counts with
 distributed running sums per numeric feature (KS), per-step aggregates with a
-range frame over the small step table (rolling metrics), and score tables
-exploded to their window ends (rolling average precision).
+range frame over the small step table (rolling metrics), and counts cumulated over
+scores and steps inside buckets of scores (rolling average precision).
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.exprs import one_row
+from ..session import stored
 from . import ranks
 from .evaluate import average_precision_from, erfc, with_erfc  # noqa: F401
 
@@ -189,20 +192,76 @@ def rolling_metrics(current: DataFrame, window: int = S.ROLLING_WINDOW_STEPS, st
     )
 
 
+# Distinct scores of positives in one bucket of the rolling average precision.
+POSITIVES_PER_BUCKET = 2000
+
+
 def rolling_average_precision(current: DataFrame, window: int = S.ROLLING_WINDOW_STEPS, step: str = "step",
-                              target: str = "target", score: str = "prediction_proba") -> DataFrame:
-    """MN6: average precision per rolling window; NULL when the window holds one class only."""
+                              target: str = "target", score: str = "prediction_proba",
+                              positives_per_bucket: int = POSITIVES_PER_BUCKET) -> DataFrame:
+    """MN6: average precision per rolling window; NULL when the window holds one class only.
+
+    Precision is wanted at the scores of positives alone. These are cut into
+    buckets; what a window holds above a bucket comes from a (bucket, step) table, and inside a bucket counts are
+    cumulated over scores and steps, so a (score, step) cell is read once and not once for each window it lies in.
+    """
     lab = current.where(F.col(target).isNotNull() & F.col(score).isNotNull())
-    st = lab.groupBy(step, F.col(score).alias("s")).agg(
-        F.sum((F.col(target) == 1).cast("long")).alias("n_pos"), F.sum((F.col(target) != 1).cast("long")).alias("n_neg"))
-    ends = lab.select(F.col(step).alias("window_end_step")).distinct()
-    # each (step, score) cell belongs to the windows ending in [step, step + window - 1]
-    ex = st.withColumn("window_end_step", F.explode(F.sequence(F.col(step), F.col(step) + window - 1)))
-    # one row per distinct labelled hour step: bounded by the horizon in hours, broadcast
-    ex = ex.join(F.broadcast(ends), "window_end_step", "inner")
-    cells = ex.groupBy("window_end_step", "s").agg(F.sum("n_pos").alias("n_pos"), F.sum("n_neg").alias("n_neg"))
-    ap = average_precision_from(cells, ["window_end_step"])
-    return ap.select("window_end_step", F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.col("average_precision")).alias("average_precision"))
+    cells = lab.groupBy(F.col(step).cast("long").alias("step"), F.col(score).cast("double").alias("s")).agg(
+        F.sum((F.col(target) == 1).cast("long")).alias("n_pos"), F.count(F.lit(1)).alias("n_all"))
+    cells = stored(cells, "rolling-cells")
+    _, bounds = ranks.count_and_bounds(cells.where("n_pos > 0").select("s").distinct(), "s", positives_per_bucket)
+    cells = ranks.with_bucket(cells, "s", bounds, "bucket").withColumn("bucket", F.col("bucket").cast("int"))
+    per = cells.groupBy("bucket", "step").agg(F.sum("n_pos").alias("n_pos"), F.sum("n_all").alias("n_all"))
+    # every labelled step in every bucket, with what lies in the buckets above
+    grid = cells.select("step").distinct().withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(len(bounds)))))
+    higher = Window.partitionBy("step").orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    above = grid.join(per, ["bucket", "step"], "left").select(
+        F.col("bucket").alias("below"), F.col("step").alias("at"), *[F.coalesce(F.sum(c).over(higher), F.lit(0)).alias(f"over_{c}") for c in ("n_pos", "n_all")])
+    parts = cells.groupBy("bucket").cogroup(above.groupBy("below")).applyInPandas(
+        _bucket_precision(window), "window_end_step long, gained double, positives long, rows long")
+    total = parts.groupBy("window_end_step").agg(*[F.sum(c).alias(c) for c in ("gained", "positives", "rows")])
+    both = (F.col("positives") > 0) & (F.col("rows") > F.col("positives"))
+    return total.select("window_end_step", F.when(both, F.col("gained") / F.col("positives")).alias("average_precision"))
+
+
+def _bucket_precision(window: int, rows_at_once: int = 64):
+    """A bucket's share of every window: sum of positives times precision at their scores, positives, rows."""
+    def run(cells: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+        above = above.sort_values("at")
+        steps = above["at"].to_numpy()
+        first = np.searchsorted(steps, steps - window + 1)
+
+        def in_windows(per_step: np.ndarray) -> np.ndarray:
+            run = np.concatenate([np.zeros((len(per_step), 1), np.int64), np.cumsum(per_step, axis=1)], axis=1)
+            return run[:, 1:] - run[:, first]
+
+        over_pos, over_all = (in_windows(above[f"over_{c}"].to_numpy(dtype=np.int64)[None, :])[0] for c in ("n_pos", "n_all"))
+        gained = np.zeros(len(steps))
+        own_pos, own_all = (np.zeros(len(steps), np.int64) for _ in range(2))
+        if len(cells):
+            s, pos, every = cells["s"].to_numpy(), cells["n_pos"].to_numpy(dtype=np.int64), cells["n_all"].to_numpy(dtype=np.int64)
+            at = np.searchsorted(steps, cells["step"].to_numpy())
+            # scores of positives, falling; a cell counts from the first of them that is not above it
+            marks = np.unique(s[pos > 0])[::-1]
+            level = np.searchsorted(-marks, -s, side="left")
+            order = np.argsort(level, kind="stable")
+            for lo in range(0, len(marks), rows_at_once):
+                hi = min(lo + rows_at_once, len(marks))
+                here = order[np.searchsorted(level[order], lo) : np.searchsorted(level[order], hi)]
+                grid = np.zeros((2, hi - lo, len(steps)), np.int64)
+                np.add.at(grid[0], (level[here] - lo, at[here]), pos[here])
+                np.add.at(grid[1], (level[here] - lo, at[here]), every[here])
+                new_pos, new_all = in_windows(grid[0]), in_windows(grid[1])
+                cum_pos, cum_all = own_pos + np.cumsum(new_pos, axis=0), own_all + np.cumsum(new_all, axis=0)
+                gained += (new_pos * ((over_pos + cum_pos) / np.maximum(over_all + cum_all, 1))).sum(axis=0)
+                own_pos, own_all = cum_pos[-1], cum_all[-1]
+            rest = order[np.searchsorted(level[order], len(marks)) :]
+            left = np.zeros((1, len(steps)), np.int64)
+            np.add.at(left[0], at[rest], every[rest])
+            own_all = own_all + in_windows(left)[0]
+        return pd.DataFrame({"window_end_step": steps, "gained": gained, "positives": own_pos, "rows": own_all})
+
+    return run
 
 
 def labelled_screen(current: DataFrame, target: str = "target") -> DataFrame:

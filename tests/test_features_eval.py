@@ -175,3 +175,23 @@ def test_stratified_cap_brute_force(spark):
         key = sorted(ids, key=lambda t: (int(hashlib.md5(f"42:{t}".encode()).hexdigest()[:15], 16), t))
         exp |= set(key[: int(round(len(ids) * frac))])
     assert got == exp
+
+
+def test_rolling_average_precision_over_many_buckets_equals_brute_force(spark):
+    import random
+
+    rng = random.Random(4)
+    # ties, a score shared by a third of the rows, unlabelled rows and steps without rows
+    rows = [(rng.choice([1, 2, 3, 5, 9, 10, 11, 14]), rng.choice([0, 0, 0, 1, None]), 0.5 if i % 3 == 0 else round(rng.random(), 2)) for i in range(400)]
+    df = spark.createDataFrame(rows, "step long, target int, prediction_proba double")
+    got = {r["window_end_step"]: r["average_precision"] for r in MN.rolling_average_precision(df, window=4, positives_per_bucket=3).collect()}
+    labelled = [r for r in rows if r[1] is not None]
+    assert set(got) == {s for s, _, _ in labelled}
+    for end, value in got.items():
+        w = [(y, p) for s, y, p in labelled if end - 4 < s <= end]
+        n_pos = sum(y for y, _ in w)
+        want = sum(sum(y for y, p in w if p == t) / n_pos * sum(y for y, p in w if p >= t) / sum(p >= t for _, p in w) for t in {p for _, p in w})
+        assert value == pytest.approx(want, abs=1e-12)
+    one = df.where("target = 1")
+    assert {r["average_precision"] for r in MN.rolling_average_precision(one, window=4).collect()} == {None}
+    assert MN.rolling_average_precision(df.limit(0), window=4).count() == 0
