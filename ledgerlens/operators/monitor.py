@@ -10,6 +10,7 @@ scores and steps inside buckets of scores (rolling average precision).
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,26 +24,31 @@ from . import ranks
 from .evaluate import average_precision_from, erfc, with_erfc  # noqa: F401
 
 
-def _long(ref: DataFrame, cur: DataFrame, features: list[str]) -> DataFrame:
+def _sides(ref: DataFrame, cur: DataFrame, features: list[str]) -> DataFrame:
+    """Both sides under one another: `side` and the features as doubles (NaN as NULL)."""
     def side(d: DataFrame, name: str) -> DataFrame:
-        return d.select(F.lit(name).alias("side"), F.explode(F.array(*[
-            F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features
-        ])).alias("s")).select("side", "s.feature", "s.value")
-    return side(ref, "ref").unionByName(side(cur, "cur")).where(F.col("value").isNotNull() & ~F.isnan("value"))
+        return d.select(F.lit(name).alias("side"), *[F.nanvl(F.col(f).cast("double"), F.lit(None)).alias(f) for f in features])
+    return side(ref, "ref").unionByName(side(cur, "cur"))
+
+
+def _stats(sides: DataFrame, features: list[str]) -> DataFrame:
+    """Per feature: counts, means per side, and whether it is binary (MN3), from one aggregate of two rows."""
+    per = sides.groupBy("side").agg(*[
+        F.struct(F.count(f).alias("n"), F.sum(f).alias("total"), *[F.coalesce(F.sum((F.col(f) == v).cast("long")), F.lit(0)).cast("long").alias(c) for v, c in ((0, "zeros"), (1, "ones"))]).alias(f)
+        for f in features])
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("s")) for f in features])).alias("x")
+    long = per.select("side", each).select("side", "x.feature", "x.s.*")
+    of = lambda side, c: F.coalesce(F.max(F.when(F.col("side") == side, F.col(c))), F.lit(0))
+    mean = lambda side: F.max(F.when((F.col("side") == side) & (F.col("n") > 0), F.col("total") / F.col("n")))
+    return long.groupBy("feature").agg(
+        of("ref", "n").alias("n_ref"), of("cur", "n").alias("n_cur"), mean("ref").alias("reference_mean"), mean("cur").alias("current_mean"),
+        of("ref", "zeros").alias("ref0"), of("ref", "ones").alias("ref1"), of("cur", "zeros").alias("cur0"), of("cur", "ones").alias("cur1"),
+        (F.sum(F.col("n") - F.col("zeros") - F.col("ones")) == 0).alias("is_binary"))
 
 
 def feature_stats(ref: DataFrame, cur: DataFrame, features: list[str]) -> DataFrame:
-    """Per feature: counts, means per side, and whether it is binary (MN3), one aggregate."""
-    long = _long(ref, cur, features)
-    r, c = F.col("side") == "ref", F.col("side") == "cur"
-    one, zero = F.col("value") == 1, F.col("value") == 0
-    return long.groupBy("feature").agg(
-        F.sum(r.cast("long")).alias("n_ref"), F.sum(c.cast("long")).alias("n_cur"),
-        F.avg(F.when(r, F.col("value"))).alias("reference_mean"), F.avg(F.when(c, F.col("value"))).alias("current_mean"),
-        F.sum((r & zero).cast("long")).alias("ref0"), F.sum((r & one).cast("long")).alias("ref1"),
-        F.sum((c & zero).cast("long")).alias("cur0"), F.sum((c & one).cast("long")).alias("cur1"),
-        (F.sum((~(one | zero)).cast("long")) == 0).alias("is_binary"),
-    )
+    """MN3 statistics of every feature; a feature without values has counts of 0."""
+    return _stats(_sides(ref, cur, features), features)
 
 
 def with_chi2_yates(df: DataFrame, cells: list[str], out: str) -> DataFrame:
@@ -133,16 +139,17 @@ def drift_chi2(stats: DataFrame, alpha: float = 0.05) -> DataFrame:
     ).withColumn("drifted", F.col("p_value") < alpha)
 
 
-def drift_ks(ref: DataFrame, cur: DataFrame, stats: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """MN4b: two-sample KS drift for non-binary features; score = D."""
-    numeric = [r["feature"] for r in stats.where(~F.col("is_binary") & (F.col("n_ref") > 0) & (F.col("n_cur") > 0)).select("feature").collect()]
+def _ks_of(sides: DataFrame, stats: DataFrame, numeric: list[str], alpha: float) -> DataFrame | None:
+    """MN4b of the listed features: each feature's value counts come from a scan of its own column."""
     if not numeric:
         return None
-    long = _long(ref, cur, numeric)
-    counts = long.groupBy("feature", "value").agg(
-        F.sum((F.col("side") == "ref").cast("long")).alias("c_ref"),
-        F.sum((F.col("side") == "cur").cast("long")).alias("c_cur"),
-    )
+    is_ref = F.col("side") == "ref"
+    counts = reduce(DataFrame.unionByName, [
+        sides.where(F.col(f).isNotNull()).groupBy(F.col(f).alias("value")).agg(
+            F.sum(is_ref.cast("long")).alias("c_ref"), F.sum((~is_ref).cast("long")).alias("c_cur")).select(F.lit(f).alias("feature"), "value", "c_ref", "c_cur")
+        for f in numeric])
+    # the bounds of the running sums and the sums themselves read the counts
+    counts = stored(counts, "drift-values")
     cum = ranks.cumulative(counts, ["feature"], ["value"], ["c_ref", "c_cur"], prefix="cum_", inclusive=True)
     st = stats.select("feature", "n_ref", "n_cur", "reference_mean", "current_mean")
     cum = cum.join(F.broadcast(st), "feature")  # one row per listed feature
@@ -155,11 +162,29 @@ def drift_ks(ref: DataFrame, cur: DataFrame, stats: DataFrame, alpha: float = 0.
     ).withColumn("drifted", F.col("p_value") < alpha)
 
 
+def _summary(ref: DataFrame, cur: DataFrame, features: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The stored sides, their statistics as a local table (one row a feature), and the numeric features to compare."""
+    sides = stored(_sides(ref, cur, features), "drift-sides")
+    stats = _stats(sides, features)
+    rows = stats.collect()
+    numeric = [r["feature"] for r in rows if not r["is_binary"] and r["n_ref"] > 0 and r["n_cur"] > 0]
+    return sides, sides.sparkSession.createDataFrame(rows, stats.schema), numeric
+
+
+def drift_ks(ref: DataFrame, cur: DataFrame, features: list[str], alpha: float = 0.05) -> DataFrame | None:
+    """MN4b: two-sample KS drift for non-binary features; score = D. None if no feature is numeric."""
+    sides, stats, numeric = _summary(ref, cur, features)
+    return _ks_of(sides, stats, numeric, alpha)
+
+
 def drift_summary(ref: DataFrame, cur: DataFrame, features: list[str], alpha: float = 0.05) -> DataFrame:
-    """MN4c: one row per non-empty feature: method, score, statistic, p-value, means, drifted."""
-    stats = feature_stats(ref, cur, features)
-    chi = drift_chi2(stats, alpha)
-    ks = drift_ks(ref, cur, stats, alpha)
+    """MN4c: one row per non-empty feature: method, score, statistic, p-value, means, drifted.
+
+    Both sides are computed and stored once, aggregated once for all features,
+    and read once more by column for the numeric ones.
+    """
+    sides, stats, numeric = _summary(ref, cur, features)
+    chi, ks = drift_chi2(stats, alpha), _ks_of(sides, stats, numeric, alpha)
     return chi if ks is None else chi.unionByName(ks)
 
 

@@ -129,7 +129,7 @@ def drift_chi2(spark, sf):
 def drift_ks(spark, sf):
     """MN4b: two-sample KS drift (D from distributed running sums, asymptotic p)."""
     ref, cur, _, _ = split(spark, sf)
-    return round_doubles(MN.drift_ks(ref, cur, MN.feature_stats(ref, cur, MONITOR_FEATURES)))
+    return round_doubles(MN.drift_ks(ref, cur, MONITOR_FEATURES))
 
 
 @query("drift_summary", txn_sql(f"SELECT {DRIFT_COLS} FROM drift", ctes=_drift_ctes()))
