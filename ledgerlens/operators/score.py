@@ -139,10 +139,13 @@ def score_batch(requests: DataFrame, prob: Column | str, threshold: float, block
     return out.drop("__p")
 
 
+MODEL_COLUMNS = ("features", "rawPrediction", "probability", "prediction")
+
+
 def model_probability(rows: DataFrame, model, stats: dict[str, tuple[float, float]], out: str = "model_p") -> DataFrame:
     """M5/T7 inside the scorer: probability of a fitted pipeline for rows with raw features.
 
-    One-hots and saved scaler statistics are applied to copies, so the rows keep
+    One-hots (unless the rows bring them) and saved scaler statistics are applied to copies, so the rows keep
     the raw values that the flags, signals and reasons are made of. Works on
     batches and streams alike: it is a projection.
     """
@@ -150,8 +153,11 @@ def model_probability(rows: DataFrame, model, stats: dict[str, tuple[float, floa
     from .train import predict_proba
 
     names = rows.columns
-    kept = {c: f"__raw_{c}" for c in stats if c in names}
-    x = FE.one_hot(rows).withColumns({r: F.col(c) for c, r in kept.items()})
+    # scaled columns, and columns named as the pipeline names its own
+    kept = {c: f"__raw_{c}" for c in [*stats, *MODEL_COLUMNS] if c in names}
+    coded = f"home_{FE.SORTED_COUNTRIES[0]}" in names
+    x = (rows if coded else FE.one_hot(rows)).withColumns({r: F.col(c) for c, r in kept.items()})
+    x = x.drop(*MODEL_COLUMNS)
     x = predict_proba(model, apply_scaler(x, stats), out)
     return x.withColumns({c: F.col(r) for c, r in kept.items()}).select(*names, out)
 
@@ -191,3 +197,52 @@ def outcome_kpis(scored: DataFrame, labels: DataFrame, id_col: str = "txn_id", l
         F.sum(((F.col("decision") == "BLOCK") & ~fraud).cast("int")).cast("long").alias("wrong_blocks"),
         F.sum(flagged.cast("int")).cast("long").alias("queue_size"),
     ).withColumn("queue_precision", F.round(F.coalesce(F.try_divide(F.col("caught_count"), F.col("queue_size")), F.lit(0.0)), 6))
+
+
+def resolve_cases(scored: DataFrame, log: DataFrame, id_col: str = "txn_id", scored_at: str = "step") -> DataFrame:
+    """The queue with each case's standing analyst decision (null: pending).
+
+    `log` holds (id, analyst_decision 'fraud' or 'legit', decided_at), in any
+    order: decisions may come late, be repeated or be revised. The latest decision of a case stands; at equal
+    times 'fraud' does. Decisions from before the case was scored, on cases
+    outside the queue, or of another wording resolve nothing.
+    """
+    queue = scored.where(F.col("decision").isin("REVIEW", "BLOCK"))
+    votes = log.where(F.col("analyst_decision").isin("fraud", "legit") & F.col("decided_at").isNotNull())
+    votes = votes.select(F.col(id_col).alias("__case"), "decided_at", "analyst_decision")
+    # votes are narrowed to the queue and to the time after scoring, then reduced to one row a case before the queue is joined
+    cases = queue.select(F.col(id_col).alias("__case"), F.col(scored_at).alias("__at"))
+    last = F.max(F.struct("decided_at", (F.col("analyst_decision") == "fraud").alias("fraud")))
+    stands = votes.join(cases, "__case").where(F.col("decided_at") >= F.col("__at")).groupBy("__case").agg(last.alias("v"))
+    stands = stands.select(F.col("__case").alias(id_col), F.col("v.decided_at").alias("decided_at"), F.when(F.col("v.fraud"), "fraud").otherwise("legit").alias("analyst_decision"))
+    return queue.join(stands, id_col, "left")
+
+
+def case_kpis(resolved: DataFrame, label: str = S.LABEL, amount: str = "amount") -> DataFrame:
+    """Outcomes of resolved cases: fraud caught, fraud released in error, good orders blocked, precision of the queue."""
+    said, fraud = F.col("analyst_decision"), F.col(label) == 1
+    count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias
+    value = lambda c: F.round(F.coalesce(F.sum(F.when(c, F.col(amount))), F.lit(0.0)), 6).alias
+    caught, released, wrong = (said == "fraud") & fraud, (said == "legit") & fraud, (said == "fraud") & ~fraud
+    none = F.lit(False)
+    out = resolved.agg(
+        count(said.isNotNull())("resolved"), count(said.isNull())("pending"),
+        count(F.coalesce(caught, none))("caught_count"), value(caught)("caught_value"),
+        count(F.coalesce(released, none))("released_in_error"), value(released)("released_value"),
+        count(F.coalesce(wrong, none))("wrong_blocks"), count(said.isNotNull() & fraud)("resolved_fraud"))
+    share = lambda c: F.round(F.coalesce(F.try_divide(F.col(c), F.col("resolved")), F.lit(0.0)), 6)
+    right = F.col("resolved") - F.col("released_in_error") - F.col("wrong_blocks")
+    return out.withColumns({"queue_precision": share("resolved_fraud"), "correct_share": F.round(F.coalesce(F.try_divide(right, F.col("resolved")), F.lit(0.0)), 6)}).drop("resolved_fraud")
+
+
+def fill_scores(frame: DataFrame, model, stats: dict[str, tuple[float, float]], threshold: float, decided: bool = True,
+                proba: str = "prediction_proba", prediction: str = "prediction") -> DataFrame:
+    """MN2: rows without a logged probability are scored by the model; logged ones are left as they are.
+
+    Only the rows without one go through the model. `decided` says that the log names
+    decisions: then they are the predictions; without them a row is flagged if its probability reaches `threshold`.
+    """
+    names = frame.columns
+    missing = model_probability(frame.where(F.col(proba).isNull()), model, stats, "__p").withColumn(proba, F.col("__p"))
+    out = frame.where(F.col(proba).isNotNull()).unionByName(missing.select(*names))
+    return out if decided else out.withColumn(prediction, (F.col(proba) >= F.lit(threshold)).cast("int"))

@@ -196,12 +196,16 @@ def feature_list_document(spark, sf):
     return TR.read_policy(spark, path)
 
 
+@query("feature_usage")
 def feature_usage(spark, sf):
-    """M23/FE23: candidate features, whether the behavioural model uses them, and why."""
+    """M23/FE23/FE25: every candidate feature: whether the behavioural model uses it and why, and its range over the matrix."""
     m, feats = FE.feature_matrix(transactions(spark, sf))
     used = FE.behavioural(feats)
-    rows = [(f, f in used, "behavioural/contextual" if f in used else "removed mechanical balance/amount signal") for f in feats]
-    return spark.createDataFrame(rows, "feature string, used_for_training boolean, reason string")
+    row = m.agg(*[F.struct(F.min(F.col(f).cast("double")).alias("low"), F.max(F.col(f).cast("double")).alias("high"), F.count(f).alias("n")).alias(f) for f in feats])
+    of = lambda f: F.struct(
+        F.lit(f).alias("feature"), F.lit(f in used).alias("used_for_training"),
+        F.lit("behavioural/contextual" if f in used else "removed mechanical balance/amount signal").alias("reason"), F.col(f).alias("s"))
+    return row.select(F.explode(F.array(*[of(f) for f in feats])).alias("x")).select("x.feature", "x.used_for_training", "x.reason", "x.s.low", "x.s.high", "x.s.n")
 
 
 def _saved_parts(spark, sf):

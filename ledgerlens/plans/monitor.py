@@ -306,3 +306,32 @@ SELECT window_start_step, window_end_step, n_transactions, n_fraud, n_flagged, r
 def event_rolling(spark, sf):
     """MN2 + MN5: rolling metrics over the labelled events of the log (logged decisions as predictions)."""
     return round_doubles(MN.rolling_metrics(event_features(spark, sf)))
+
+
+# ---- the deployed model in monitoring (MN1, MN2) -----------------------------------
+
+@query("monitoring_model")
+def monitoring_model(spark, sf):
+    """MN1/T7/M5: features rebuilt over the whole history, scaled and scored by the saved model, flagged at its policy threshold."""
+    from ..operators import score as SC
+    from .ml import _saved_parts
+
+    model, stats, policy = _saved_parts(spark, sf)
+    feats = FE.build_features(transactions(spark, sf))
+    x = SC.model_probability(feats, model, stats, "prediction_proba")
+    return x.select("txn_id", F.col("step_raw").alias("step"), F.col("isFraud").alias("target"), "prediction_proba",
+                    (F.col("prediction_proba") >= F.lit(float(policy["threshold"]))).cast("int").alias("prediction"), "amount_raw")
+
+
+@query("event_scored")
+def event_scored(spark, sf):
+    """MN2/M5: log events rebuilt into features; those without a logged probability (one in four) are scored by the saved model."""
+    from ..operators import score as SC
+    from .ml import _saved_parts
+
+    model, stats, policy = _saved_parts(spark, sf)
+    ev = event_features(spark, sf)
+    lost = F.pmod(F.xxhash64("transaction_id"), F.lit(4)) == 0
+    ev = ev.withColumn("was_logged", ~lost).withColumn("prediction_proba", F.when(~lost, F.col("prediction_proba")))
+    out = SC.fill_scores(ev, model, stats, float(policy["threshold"]))
+    return out.select("transaction_id", "prediction_proba", "prediction", "target", "was_logged")

@@ -98,6 +98,54 @@ def outcome_kpis(spark, sf):
     return SC.outcome_kpis(s.drop("isFraud"), labels)
 
 
+# stand-in decision log over the queue: a decision soon after scoring (none for some cases), a revision of some,
+# and for some a decision from before the case was scored, which counts for nothing
+_CASES = """,
+votes AS (
+  SELECT txn_id, step + 1 + txn_id % 3 AS decided_at, CASE WHEN txn_id % 4 = 0 THEN 'legit' ELSE 'fraud' END AS analyst_decision FROM sc WHERE txn_id % 9 <> 0
+  UNION ALL SELECT txn_id, step + 10, CASE WHEN txn_id % 4 = 0 THEN 'fraud' ELSE 'legit' END FROM sc WHERE txn_id % 5 = 0 AND txn_id % 9 <> 0
+  UNION ALL SELECT txn_id, step - 2, 'legit' FROM sc WHERE txn_id % 6 = 0),
+cases AS (
+  SELECT sc.txn_id, sc.isFraud, sc.amount, v.decided_at, v.analyst_decision
+  FROM sc LEFT JOIN (SELECT v.txn_id, max(v.decided_at) AS decided_at, arg_max(v.analyst_decision, v.decided_at) AS analyst_decision
+                     FROM votes v JOIN sc USING (txn_id) WHERE v.decided_at >= sc.step GROUP BY v.txn_id) v USING (txn_id)
+  WHERE sc.decision IN ('REVIEW', 'BLOCK'))"""
+
+
+def _decision_log(spark, sf):
+    t = transactions(spark, sf).select("txn_id", "step")
+    late, odd = F.col("txn_id") % 5 == 0, F.col("txn_id") % 4 == 0
+    vote = lambda at, legit: (at.alias("decided_at"), F.when(legit, "legit").otherwise("fraud").alias("analyst_decision"))
+    worked = t.where("txn_id % 9 <> 0")
+    first = worked.select("txn_id", *vote(F.col("step") + 1 + F.col("txn_id") % 3, odd))
+    second = worked.where(late).select("txn_id", *vote(F.col("step") + 10, ~odd))
+    early = t.where("txn_id % 6 = 0").select("txn_id", *vote(F.col("step") - 2, F.lit(True)))
+    return first.unionByName(second).unionByName(early)
+
+
+@query("resolved_cases", txn_sql("SELECT txn_id, isFraud, amount, decided_at, analyst_decision FROM cases", ctes=SCORED_CTE + _CASES))
+def resolved_cases(spark, sf):
+    """Every queued case with the analyst decision that stands (latest wins; null: pending)."""
+    s, _ = scored(spark, sf)
+    return SC.resolve_cases(s, _decision_log(spark, sf)).select("txn_id", "isFraud", "amount", "decided_at", "analyst_decision")
+
+
+@query("case_outcomes", txn_sql("""
+SELECT count(analyst_decision) AS resolved, count(*) - count(analyst_decision) AS pending,
+       CAST(count(*) FILTER (analyst_decision = 'fraud' AND isFraud = 1) AS BIGINT) AS caught_count,
+       round(coalesce(sum(amount) FILTER (analyst_decision = 'fraud' AND isFraud = 1), 0.0), 6) AS caught_value,
+       CAST(count(*) FILTER (analyst_decision = 'legit' AND isFraud = 1) AS BIGINT) AS released_in_error,
+       round(coalesce(sum(amount) FILTER (analyst_decision = 'legit' AND isFraud = 1), 0.0), 6) AS released_value,
+       CAST(count(*) FILTER (analyst_decision = 'fraud' AND isFraud = 0) AS BIGINT) AS wrong_blocks,
+       round(coalesce(CAST(count(*) FILTER (analyst_decision IS NOT NULL AND isFraud = 1) AS DOUBLE) / nullif(count(analyst_decision), 0), 0.0), 6) AS queue_precision,
+       round(coalesce(CAST(count(*) FILTER ((analyst_decision = 'fraud') = (isFraud = 1)) AS DOUBLE) / nullif(count(analyst_decision), 0), 0.0), 6) AS correct_share
+FROM cases""", ctes=SCORED_CTE + _CASES))
+def case_outcomes(spark, sf):
+    """KPIs of resolved cases: caught, released in error, good orders blocked, queue precision."""
+    s, _ = scored(spark, sf)
+    return SC.case_kpis(SC.resolve_cases(s, _decision_log(spark, sf)))
+
+
 @query("contract_split", txn_sql("""
 SELECT 'valid' AS status, count(*) AS n FROM transactions
 WHERE type IN ('TRANSFER','CASH_OUT','PAYMENT','DEBIT','CASH_IN') AND amount > 0 AND account_age_days BETWEEN 0 AND 3650
