@@ -25,7 +25,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import slices, stored
 
 # Labelled documents used for training, in expectation.
 SAMPLE_ROWS = 24_000
@@ -128,7 +128,7 @@ def features(text: str | None, lexicon: tuple[frozenset[str], ...]) -> list[floa
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         seen = {0: Counter(), 1: Counter()}
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             seen[int(toxic)].update(tokens_of(words_of(text or "")[0]))
@@ -155,7 +155,7 @@ def with_features(rows: DataFrame, lexicon: frozenset[str], keep: str) -> DataFr
     parts = split_lexicon(lexicon)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             x = np.array([features(t.as_py(), parts) for t in b.column(1)], dtype=float).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(x[:, i]) for i in range(len(FEATURES))]], names=[keep, *FEATURES])
 
