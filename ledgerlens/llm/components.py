@@ -15,6 +15,9 @@ def components(edges: DataFrame) -> DataFrame:
     label, so long chains shrink by powers of two. Every round is written to
     the shared folder; only the number of changes reaches the driver. A node
     with very many neighbours is pre-aggregated before each shuffle.
+
+    Edge cases: edges with a null end and loops are dropped, repeated edges
+    count once, and an empty table has no nodes.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct()
     both = stored(both, "cc-edges")

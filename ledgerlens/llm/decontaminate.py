@@ -238,7 +238,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of `docs` in which no test item is found; columns as they are."""
+    """The rows of `docs` in which no test item is found; columns as they are.
+
+    Edge cases: null and empty texts hold no item and stay; repeated rows go or
+    stay alike; null, empty and too short items are found nowhere; an empty table, of
+    documents or of items, leaves the documents as they are.
+    """
     at = docs.columns.index(text_col)
     for items in item_blocks(docs.select(F.col(text_col).cast("string")), benchmark):
 
