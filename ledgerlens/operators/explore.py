@@ -68,7 +68,7 @@ def universe_prevalence(df: DataFrame, universe: list[str] = S.FRAUD_TYPES) -> D
 def amount_describe_by_class(df: DataFrame) -> DataFrame:
     """A4: mean, p50, p90, p99, max of amount per class (exact quantiles)."""
     probs = [0.5, 0.9, 0.99]
-    q = ranks.exact_quantiles(df.select("isFraud", "amount"), ["isFraud"], "amount", probs)
+    q = ranks.exact_quantiles(df, ["isFraud"], ["amount"], probs)
     qw = q.groupBy("isFraud").pivot("p", probs).agg(F.first("value"))
     qw = qw.toDF("isFraud", "p50", "p90", "p99")
     basic = df.groupBy("isFraud").agg(F.avg("amount").alias("mean"), F.max("amount").alias("max"))
@@ -238,7 +238,7 @@ DESCRIBE_PROBS = [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999]
 
 def amount_percentiles(df: DataFrame, column: str = "amount", probs: list[float] = DESCRIBE_PROBS) -> DataFrame:
     """Describe with percentiles, long form (stat, value); std is sample std."""
-    q = ranks.exact_quantiles(df.select(column), [], column, probs).select(
+    q = ranks.exact_quantiles(df, [], [column], probs).select(
         F.format_string("p%s", F.round(F.col("p") * 1000).cast("int").cast("string")).alias("stat"), "value"
     )
     b = df.agg(

@@ -2,18 +2,19 @@
 
 Scalars that parameterise a later plan (a split cut, scaler statistics, a
 sample size) are computed by one bounded aggregate and passed as literals.
-Row selection "at random" is a repeatable hash order on the row id, ranked
-with the distributed position recipe so that no class (the majority class
-holds nearly all rows) is ever sorted in a single task.
+Row selection "at random" is a repeatable hash order on the row id: counts of
+hash ranges decide nearly all rows, so that no class (the majority class holds
+nearly all rows) is ever sorted.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -82,28 +83,58 @@ def hash_positions(df: DataFrame, seed: int, group_cols: list[str], id_col: str
     return ranks.row_positions(keyed, group_cols, "__h", id_col, out=out).drop("__h")
 
 
-def first_in_hash_order(df: DataFrame, n: int, n_rows: int, seed: int, id_col: str = "txn_id") -> DataFrame:
-    """The first `n` of `n_rows` rows in hash order: a cut on the hash first, a rank of the few rows below it.
+# the hash range is counted in 2 ** HASH_BITS equal buckets
+HASH_BITS = 12
 
-    The cut leaves a margin of ten standard deviations; should fewer rows than
-    `n` lie below it (ids that repeat), all rows are ranked.
+
+def first_by_hash(df: DataFrame, quota: Callable[[dict[tuple, int]], dict[tuple, int]], seed: int, group_cols: list[str] | None = None,
+                  id_col: str = "txn_id", out: str = "taken") -> DataFrame:
+    """Add `out`: whether the row is among the first rows of its group in hash order.
+
+    `quota` gets the size of each group and returns how many rows each gives
+    (none where it names no number). One job counts the rows of every hash
+    bucket, so the bucket in which a group's quota ends is known; rows in the
+    buckets before and after it are decided by their hash alone, and only the
+    rows of that bucket are ranked (ties by id). The groups are few (classes,
+    sides of a split): the counts are 4096 numbers for each.
     """
-    below = df
-    if n_rows > 0 and n + 10 * math.sqrt(n) + 100 < n_rows:
-        cut = int((n + 10 * math.sqrt(n) + 100) / n_rows * 2**60)
-        few = df.where(md5_order(seed, id_col) < cut)
-        if few.count() >= n:
-            below = few
-    return hash_positions(below, seed, [], id_col).where(F.col("pos") < n).drop("pos")
+    groups = group_cols or []
+    h = F.coalesce(md5_order(seed, id_col), F.lit(-1))  # rows without an id come first
+    bucket = F.shiftright(h, 60 - HASH_BITS)
+    sizes: dict[tuple, int] = {}
+    cells: dict[tuple, list[tuple[int, int]]] = {}
+    for *g, b, n in df.groupBy(*groups, bucket.alias("__b")).agg(F.count(F.lit(1)).alias("__n")).collect():
+        sizes[tuple(g)] = sizes.get(tuple(g), 0) + n
+        cells.setdefault(tuple(g), []).append((b, n))
+    sure, edge, left, most = F.lit(False), F.lit(False), F.lit(None).cast("long"), 0
+    for g, want in quota(sizes).items():
+        mine = F.lit(True)
+        for c, v in zip(groups, g):
+            mine = mine & F.col(c).eqNullSafe(F.lit(v))
+        for b, n in sorted(cells.get(g, [])):
+            if want < n:
+                sure = sure | (mine & (bucket < b))
+                if want > 0:
+                    edge, left, most = edge | (mine & (bucket == b)), F.when(mine, F.lit(want)).otherwise(left), max(most, n)
+                break
+            want -= n
+        else:
+            sure = sure | mine
+    if most == 0:
+        return df.withColumn(out, sure)
+    rows = df.where(edge).withColumn("__h", h)
+    if most <= ranks.rows_per_bucket_for(df):
+        ranked = rows.withColumn("__pos", F.row_number().over(Window.partitionBy(*groups).orderBy("__h", id_col)) - 1)
+    else:
+        ranked = ranks.row_positions(rows, groups, "__h", id_col, out="__pos")
+    return df.where(~edge).withColumn(out, sure).unionByName(ranked.withColumn(out, F.col("__pos") < left).drop("__h", "__pos"))
 
 
 def stratified_split(df: DataFrame, test_frac: float = 0.25, seed: int = 42, label: str = S.LABEL,
                      id_col: str = "txn_id") -> tuple[DataFrame, DataFrame]:
-    """Per class, the first round(test_frac * n_c) rows of a hash order go to test."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    p = hash_positions(df, seed, [label], id_col).join(F.broadcast(sizes), label)  # one row per class
-    is_test = F.col("pos") < F.round(F.col("__n") * F.lit(test_frac))
-    p = p.withColumn("__test", is_test).drop("pos", "__n")
+    """Per class, the first round(test_frac * n_c) rows of a hash order go to test; rows without a label to neither."""
+    p = first_by_hash(df.where(F.col(label).isNotNull()), lambda n: {g: math.floor(k * test_frac + 0.5) for g, k in n.items()},
+                      seed, [label], id_col, "__test")
     return p.where(~F.col("__test")).drop("__test"), p.where(F.col("__test")).drop("__test")
 
 
@@ -125,13 +156,14 @@ def inner_split(train: DataFrame, val_frac: float = 0.15, seed: int = 42, label:
 
 def stratified_cap(df: DataFrame, max_rows: int, seed: int = 42, label: str = S.LABEL, id_col: str = "txn_id") -> DataFrame:
     """T4: keep frac = max_rows / n of every class (round(frac * n_c) rows in hash order)."""
-    counts = class_counts(df, label)
-    share = max_rows / max(1, sum(counts.values())) if max_rows else 1.0
-    if share >= 1.0:
+    if not max_rows:
         return df
-    # how many rows each class keeps: one entry per class
-    quota = F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, math.floor(n * share + 0.5))])
-    return hash_positions(df, seed, [label], id_col).where(F.col("pos") < quota[F.col(label).cast("int")]).drop("pos")
+
+    def quota(n: dict[tuple, int]) -> dict[tuple, int]:
+        share = min(1.0, max_rows / max(1, sum(n.values())))
+        return {g: math.floor(k * share + 0.5) for g, k in n.items() if share == 1.0 or g != (None,)}
+
+    return first_by_hash(df, quota, seed, [label], id_col, "__kept").where("__kept").drop("__kept")
 
 
 def reference_current(df: DataFrame, max_step: int = S.REFERENCE_MAX_STEP, step_col: str = "step") -> tuple[DataFrame, DataFrame]:
@@ -144,16 +176,9 @@ def reference_current(df: DataFrame, max_step: int = S.REFERENCE_MAX_STEP, step_
     return ref, cur
 
 
-def _long(df: DataFrame, cols: list[str], id_col: str | None = None) -> DataFrame:
-    keep = [id_col] if id_col else []
-    return df.select(*keep, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols
-    ])).alias("s")).select(*keep, "s.feature", "s.value")
-
-
 def robust_stats(train: DataFrame, cols: list[str] = S.CONTINUOUS_FEATURES) -> DataFrame:
     """Median and IQR (25-75, linear interpolation) per column; IQR 0 -> scale 1."""
-    q = ranks.exact_quantiles(_long(train, cols), ["feature"], "value", [0.25, 0.5, 0.75])
+    q = ranks.exact_quantiles(train, [], cols, [0.25, 0.5, 0.75])
     w = q.groupBy("feature").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value")).toDF("feature", "q25", "q50", "q75")
     iqr = F.col("q75") - F.col("q25")
     return w.select("feature", F.col("q50").alias("center"), F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias("scale"))
@@ -179,8 +204,6 @@ def standard_stats(train: DataFrame, cols: list[str]) -> DataFrame:
 
 def class_weights(train: DataFrame, label: str = S.LABEL) -> DataFrame:
     """Balanced weights n / (2 * n_c), rounded to 4 places."""
-    from pyspark.sql import Window
-
     g = train.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
     # window over the per-class table (two rows)
     n = F.sum("n_c").over(Window.partitionBy())
@@ -197,12 +220,12 @@ def scale_pos_weight(train: DataFrame, label: str = S.LABEL) -> DataFrame:
 
 def undersample(df: DataFrame, ratio: float = 1.0, seed: int = 42, label: str = S.LABEL, id_col: str = "txn_id") -> DataFrame:
     """Keep every minority row and the first int(n_min / ratio) majority rows in hash order."""
-    counts = class_counts(df, label)
-    n_min = min(counts.get(0, 0), counts.get(1, 0))
-    minority = 1 if counts.get(1, 0) <= counts.get(0, 0) else 0
-    keep = int(n_min / ratio)
-    maj = df.where(F.col(label) != minority)
-    return df.where(F.col(label) == minority).unionByName(first_in_hash_order(maj, keep, max(counts.values(), default=0), seed, id_col))
+    def quota(n: dict[tuple, int]) -> dict[tuple, int]:
+        sizes = {c: n.get((c,), 0) for c in (0, 1)}
+        rare = 1 if sizes[1] <= sizes[0] else 0
+        return {(rare,): sizes[rare], (1 - rare,): int(sizes[rare] / ratio)}
+
+    return first_by_hash(df, quota, seed, [label], id_col, "__kept").where("__kept").drop("__kept")
 
 
 def variance_filter(train: DataFrame, cols: list[str], threshold: float = 1e-6) -> DataFrame:
@@ -248,7 +271,6 @@ def mutual_information(train: DataFrame, cols: list[str], bins: int = 10, label:
         raise ValueError("rank bins are deciles")
     b = pos.join(F.broadcast(n), "feature").withColumn("bin", decile_of_rank(F.col("pos"), F.col("__n")))
     cell = b.groupBy("feature", "bin", label).agg(F.count(F.lit(1)).alias("c"), F.first("__n").alias("n"))
-    from pyspark.sql import Window
     wb = Window.partitionBy("feature", "bin")
     wy = Window.partitionBy("feature", label)
     cell = cell.withColumns({"pb": F.sum("c").over(wb) / F.col("n"), "py": F.sum("c").over(wy) / F.col("n"), "pj": F.col("c") / F.col("n")})
@@ -258,14 +280,10 @@ def mutual_information(train: DataFrame, cols: list[str], bins: int = 10, label:
 def sample_rows(df: DataFrame, n: int, seed: int = 42, id_col: str = "txn_id", group_cols: list[str] | None = None) -> DataFrame:
     """S11/MN10: exactly min(n, rows) rows per group, repeatable (first n of a hash order).
 
-    A sampling operator: the row cap is the feature. Without groups only rows
-    below a hash cut are ranked; else positions come from the distributed rank,
-    so no task sorts a whole group.
+    A sampling operator: the row cap is the feature. The groups are few.
     """
-    if not group_cols:
-        return first_in_hash_order(df, n, df.count(), seed, id_col)
-    p = hash_positions(df, seed, group_cols or [], id_col)
-    return p.where(F.col("pos") < n).drop("pos")
+    kept = first_by_hash(df, lambda sizes: {g: n for g in sizes}, seed, group_cols, id_col, "__kept")
+    return kept.where("__kept").drop("__kept")
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:

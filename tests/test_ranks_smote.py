@@ -32,6 +32,49 @@ def test_exact_quantiles(spark, small_buckets):
     assert got == pytest.approx(list(np.quantile(x, probs)), abs=1e-9)
 
 
+@pytest.mark.parametrize("accuracy", [10_000, 20])
+def test_quantiles_of_many_columns_by_group(spark, small_buckets, monkeypatch, accuracy):
+    monkeypatch.setattr(ranks, "SKETCH_ACCURACY", accuracy)
+    rng = np.random.default_rng(1)
+    n = 3000
+    x = pd.DataFrame({"g": rng.integers(0, 2, n), "a": rng.normal(size=n), "b": np.where(rng.random(n) < 0.7, 0.0, rng.integers(0, 9, n)),
+                      "c": np.full(n, 4.0), "d": np.where(rng.random(n) < 0.3, np.nan, rng.exponential(size=n))})
+    rows = [(None if i % 97 == 0 else int(r.g), float(r.a), float(r.b), float(r.c), None if np.isnan(r.d) else float(r.d), None)
+            for i, r in enumerate(x.itertuples())]
+    df = spark.createDataFrame(rows, "g int, a double, b double, c double, d double, e double").repartition(7)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = ranks.quantile_values(df, list("abcde"), probs, ["g"])
+    x["g"] = [r[0] for r in rows]
+    exp = {((g,), c, p): np.quantile(part[c].dropna(), p)
+           for g, part in ((0, x[x.g == 0]), (1, x[x.g == 1]), (None, x[x.g.isna()])) for c in "abcd" for p in probs}
+    assert set(got) == set(exp)
+    assert all(got[k] == pytest.approx(exp[k], abs=1e-12) for k in exp)
+
+
+def test_quantiles_of_an_empty_table_and_of_nan(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "v double")
+    assert ranks.quantile_row(df, "v", [0.0, 0.5]) == [1.0, 3.0]
+    assert np.isnan(ranks.quantile_row(df, "v", [1.0])[0])
+    assert ranks.quantile_row(df.where("v < 0"), "v", [0.5]) == [None]
+    assert ranks.exact_quantiles(df.where("v < 0"), [], ["v"], [0.5]).count() == 0
+
+
+@pytest.mark.parametrize("bits", [12, 3])
+def test_first_rows_in_hash_order_equal_a_full_rank(spark, monkeypatch, bits):
+    from ledgerlens.operators import prep as P
+
+    monkeypatch.setattr(P, "HASH_BITS", bits)
+    rows = [(None if i % 41 == 0 else i // 2, [0, 0, 0, 1, None][i % 5]) for i in range(900)]  # ids repeat or miss
+    df = spark.createDataFrame(rows, "txn_id long, isFraud int").repartition(5)
+    want = {(0,): 200, (1,): 0, (None,): 10**6}
+    got = P.first_by_hash(df, lambda sizes: want, 7, ["isFraud"])
+    full = P.hash_positions(df, 7, ["isFraud"])
+    assert got.count() == 900
+    key = lambda d: sorted(map(repr, d.select("txn_id", "isFraud").collect()))
+    assert key(got.where("taken")) == key(full.where("isFraud is null or (isFraud = 0 and pos < 200)"))
+    assert P.first_by_hash(df.where("false"), lambda sizes: want, 7, ["isFraud"]).count() == 0
+
+
 def test_knn_is_exact(spark):
     rng = np.random.default_rng(5)
     X = rng.normal(size=(150, 4))

@@ -12,11 +12,15 @@ from oracle_compare import compare
 
 QUERIES = ["age_deciles", "amount_describe_by_class", "amount_percentiles", "review_budget", "dest_velocity",
            "dest_prior_amount", "average_precision", "roc_auc", "drift_ks", "robust_stats", "stratified_split",
-           "undersample", "decisions", "rolling_ap", "event_drift", "event_rolling"]
+           "undersample", "decisions", "rolling_ap", "event_drift", "event_rolling", "sample_rows", "dashboard_sample",
+           "stratified_cap", "amount_value_deciles"]
 
 
 @pytest.fixture
-def forced_scale_paths(spark):
+def forced_scale_paths(spark, monkeypatch):
+    from ledgerlens.operators import prep
+
+    monkeypatch.setattr(prep, "HASH_BITS", 2)
     spark.conf.set("spark.ledgerlens.ranks.rowsPerBucket", "23")
     spark.conf.set("spark.ledgerlens.velocity.hotKeyRows", "5")
     yield
