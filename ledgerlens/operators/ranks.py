@@ -22,6 +22,7 @@ is spread over many tasks instead of one.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -236,29 +237,31 @@ def quantile_values(df: DataFrame, cols: list[str], probs: list[float], group_co
     if not todo:
         return {}
 
-    def of_group(t: dict) -> Column:
-        cond = F.col(t["col"]).isNotNull()
+    def of_group(t: dict, cond: Column) -> Column:
         for g, v in zip(groups, t["group"]):
-            cond = cond & F.col(g).eqNullSafe(F.lit(v))
+            cond = F.col(g).eqNullSafe(F.lit(v)) & cond
         return cond
 
     def inside(t: dict) -> Column:
-        cond = of_group(t)
+        x, lo, hi = F.col(t["col"]), t["lo"], t["hi"]
+        if lo is not None and hi is not None:
+            return of_group(t, x.between(lo, hi))
+        return of_group(t, x >= lo if lo is not None else x <= hi if hi is not None else x.isNotNull())
+
+    ends = {}  # rows under the lower end, rows up to the upper end
+    for k, t in enumerate(todo):
         if t["lo"] is not None:
-            cond = cond & (F.col(t["col"]) >= F.lit(t["lo"]))
+            ends[f"a{k}"] = F.count_if(of_group(t, F.col(t["col"]) < t["lo"]))
         if t["hi"] is not None:
-            cond = cond & (F.col(t["col"]) <= F.lit(t["hi"]))
-        return cond
-
-    counts = num.agg(*[
-        F.struct((F.count_if(of_group(t) & (F.col(t["col"]) < F.lit(t["lo"]))) if t["lo"] is not None else F.lit(0)).alias("below"),
-                 F.count_if(inside(t)).alias("inside")).alias(f"__{k}") for k, t in enumerate(todo)]).first()
+            ends[f"b{k}"] = F.count_if(of_group(t, F.col(t["col"]) <= t["hi"]))
+    counts = num.agg(*[c.alias(name) for name, c in ends.items()]).first().asDict() if ends else {}
     found: dict[tuple, float] = {}
     wide = []
     for k, t in enumerate(todo):
         t["rank"] = math.floor((t["n"] - 1) * t["p"])
         t["next"] = min(t["rank"] + 1, t["n"] - 1)
-        t["below"], t["inside"] = counts[f"__{k}"]
+        t["below"] = counts.get(f"a{k}", 0)
+        t["inside"] = counts.get(f"b{k}", t["n"]) - t["below"]
         if not (t["below"] <= t["rank"] and t["next"] < t["below"] + t["inside"]):
             t.update(lo=None, hi=None, below=0, inside=t["n"])
         if t["lo"] is not None and t["lo"] == t["hi"]:
@@ -267,11 +270,9 @@ def quantile_values(df: DataFrame, cols: list[str], probs: list[float], group_co
             wide.append(t)
     if not wide:
         return found
-    any_inside = F.lit(False)
-    for t in wide:
-        any_inside = any_inside | inside(t)
-    entries = F.array(*[F.when(inside(t), F.struct(F.lit(k).alias("k"), F.col(t["col"]).alias("v"))) for k, t in enumerate(wide)])
-    values = (num.where(any_inside).select(F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e")).select("e.k", "e.v")
+    conds = [inside(t) for t in wide]
+    entries = F.array(*[F.when(c, F.struct(F.lit(k).alias("k"), F.col(t["col"]).alias("v"))) for k, (c, t) in enumerate(zip(conds, wide))])
+    values = (num.where(reduce(Column.__or__, conds)).select(F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e")).select("e.k", "e.v")
               .groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")))
     placed = cumulative(values, ["k"], ["v"], ["c"], prefix="before_", n_rows=sum(t["inside"] for t in wide))
 
