@@ -13,7 +13,8 @@
 
 Documents never move: both steps are one pass over the scan each, against a
 block of test items held by every task. Blocks have a bounded number of words;
-a larger benchmark takes more passes, not more memory.
+a larger benchmark takes more passes, not more memory. Alignments are filled row by
+row for many pairs at once, so a seed that very many items share costs table cells only.
 """
 
 from __future__ import annotations
@@ -37,6 +38,10 @@ MIN_MATCHES = 8
 PASSAGE_WORDS = 13
 # Words of test items that a pass holds at once.
 BLOCK_WORDS = 2_000_000
+# Cells of a row of alignment tables that are filled together, and (seed, item) pairs followed at a time.
+TABLE_CELLS = 200_000
+POSTINGS = 1_000_000
+ITEMS_AT_ONCE = 1000
 
 FOUND_SCHEMA = "doc_id long, item_id long, score double, at_word long"
 
@@ -61,6 +66,13 @@ class Items:
         self.place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
         order = np.argsort(flat, kind="stable")
         self.gram, self.item, self.place = flat[order], self.item[order], self.place[order]
+        self.size = np.array([len(w) for w in self.words], dtype=np.int64)
+        self._index()
+
+    def _index(self) -> None:
+        # number of the n-gram, and a key that rises with (n-gram, item)
+        self.rank = np.cumsum(np.diff(self.gram, prepend=self.gram[:1]) != 0)
+        self.key = self.rank * len(self.words) + self.item
 
     def keep_rare(self, counts: dict[int, int], share: float = SEED_SHARE) -> None:
         """Keep of every item the given share of its n-grams, the rarest first (ties with the last one stay), and the rarest of
@@ -73,49 +85,102 @@ class Items:
             rows = rows[np.lexsort((c[rows], self.place[rows] // self.n))]
             keep[rows[np.flatnonzero(np.diff(self.place[rows] // self.n, prepend=-1))]] = True
         self.gram, self.item, self.place = self.gram[keep], self.item[keep], self.place[keep]
+        self._index()
 
     def seeds(self) -> np.ndarray:
         return np.unique(self.gram)
 
 
-def align(item: np.ndarray, doc: np.ndarray) -> tuple[int, int, int]:
-    """Best Smith-Waterman score of two word sequences and the item and document words it ends at."""
-    row = np.zeros(len(doc) + 1, dtype=np.int64)
-    steps = GAP * np.arange(len(doc) + 1)
-    best, last, end = 0, 0, 0
-    for i, w in enumerate(item, 1):
-        new = np.zeros_like(row)
-        np.maximum(row[:-1] + np.where(doc == w, MATCH, MISS), row[1:] - GAP, out=new[1:])
-        # gaps within the row: the best start to the left less its distance
-        row = np.maximum(np.maximum.accumulate(np.maximum(new, 0) + steps) - steps, 0)
-        j = int(row.argmax())
-        if row[j] > best:
-            best, last, end = int(row[j]), i, j
-    return best, last, end
-
-
-def span(item: np.ndarray, doc: np.ndarray, score: int) -> tuple[int, int]:
-    """Words of the item and of the document that the alignment of that score spans which ends both."""
-    item, doc = item[::-1], doc[::-1]
-    steps = GAP * np.arange(len(doc) + 1)
-    row = -steps
-    for i, w in enumerate(item, 1):
-        new = np.empty_like(row)
-        new[0] = -GAP * i
-        np.maximum(row[:-1] + np.where(doc == w, MATCH, MISS), row[1:] - GAP, out=new[1:])
-        row = np.maximum.accumulate(new + steps) - steps
-        if row.max() >= score:
-            return i, int(row.argmax())
-    return len(item), len(doc)
-
-
-def longest_run(item: np.ndarray, doc: np.ndarray) -> int:
-    """Most words in a row that both hold."""
-    row, best = np.zeros(len(doc) + 1, dtype=np.int64), 0
-    for w in item:
-        row[1:] = np.where(doc == w, row[:-1] + 1, 0)
-        best = max(best, int(row.max()))
-    return best
+Pair = tuple[np.ndarray, np.ndarray]
+
+
+def _tables(pairs: list[Pair]) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Pairs of (item words, document words) in tables of bounded size, longest items first.
+
+    Yields the pairs' numbers, for each item place the words of the items that have it, the document
+    words in one row a pair, and the steps of a row. Document rows end in a word that no item holds.
+    """
+    order = sorted(range(len(pairs)), key=lambda k: (-len(pairs[k][0]), -len(pairs[k][1])))
+    pos = 0
+    while pos < len(order):
+        some, width = [], len(pairs[order[pos]][0])
+        while pos < len(order) and (not some or max(width, len(pairs[order[pos]][1])) * (len(some) + 1) <= TABLE_CELLS):
+            some.append(order[pos])
+            width = max(width, len(pairs[order[pos]][1]))
+            pos += 1
+        used = np.unique(np.concatenate([pairs[k][0] for k in some]))
+        fill = np.setdiff1d(np.arange(len(used) + 1, dtype=np.uint64), used)[0]
+        docs = np.full((len(some), width), fill, dtype=np.uint64)
+        for r, k in enumerate(some):
+            docs[r, : len(pairs[k][1])] = pairs[k][1]
+        sizes = np.array([len(pairs[k][0]) for k in some])
+        words = np.zeros((len(some), sizes[0]), dtype=np.uint64)
+        words[np.arange(sizes[0]) < sizes[:, None]] = np.concatenate([pairs[k][0] for k in some])
+        places = [words[: np.searchsorted(-sizes, -i), i] for i in range(sizes[0])]
+        yield np.array(some), places, docs, (GAP * np.arange(width + 1)).astype(np.int32)
+
+
+def _next_row(row: np.ndarray, words: np.ndarray, docs: np.ndarray, steps: np.ndarray, edge: int, floor: int | None) -> np.ndarray:
+    """The next row of the alignment tables: one more item word, in all of them at once."""
+    new = np.empty_like(row)
+    new[:, 0] = edge
+    np.maximum(row[:, :-1] + np.where(docs == words[:, None], np.int32(MATCH), np.int32(MISS)), row[:, 1:] - GAP, out=new[:, 1:])
+    if floor is not None:
+        np.maximum(new, floor, out=new)
+    # gaps within the row: the best start to the left less its distance
+    new += steps
+    return np.maximum.accumulate(new, axis=1) - steps
+
+
+def align(pairs: list[Pair]) -> list[tuple[int, int, int]]:
+    """Best Smith-Waterman score of every pair of word sequences and the item and document words it ends at."""
+    out: list[tuple[int, int, int]] = [(0, 0, 0)] * len(pairs)
+    for some, places, docs, steps in _tables(pairs):
+        row = np.zeros((len(some), len(steps)), dtype=np.int32)
+        got = np.zeros((len(some), 3), dtype=np.int64)
+        for i, words in enumerate(places, 1):
+            n = len(words)
+            row = _next_row(row[:n], words, docs[:n], steps, 0, 0)
+            j = row.argmax(axis=1)
+            value = row[np.arange(n), j]
+            more = np.flatnonzero(value > got[:n, 0])
+            got[more, 0], got[more, 1], got[more, 2] = value[more], i, j[more]
+        for k, g in zip(some.tolist(), got.tolist()):
+            out[k] = tuple(g)
+    return out
+
+
+def span(pairs: list[Pair], scores: list[int]) -> list[tuple[int, int]]:
+    """Words of the item and of the document that the alignment of the given score spans which ends both, for every pair."""
+    out = [(len(a), len(b)) for a, b in pairs]
+    for some, places, docs, steps in _tables([(a[::-1], b[::-1]) for a, b in pairs]):
+        row = np.tile(-steps, (len(some), 1))
+        want = np.array([scores[k] for k in some])
+        todo = np.ones(len(some), dtype=bool)
+        for i, words in enumerate(places, 1):
+            n = len(words)
+            row = _next_row(row[:n], words, docs[:n], steps, -GAP * i, None)
+            for r in np.flatnonzero(todo[:n] & (row.max(axis=1) >= want[:n])):
+                out[some[r]] = (i, int(row[r].argmax()))
+                todo[r] = False
+    return out
+
+
+def longest_run(pairs: list[Pair]) -> list[int]:
+    """Most words in a row that both sequences of a pair hold."""
+    out = [0] * len(pairs)
+    for some, places, docs, steps in _tables(pairs):
+        row = np.zeros((len(some), len(steps)), dtype=np.int32)
+        best = np.zeros(len(some), dtype=np.int64)
+        for words in places:
+            n = len(words)
+            run = np.zeros_like(row[:n])
+            run[:, 1:] = np.where(docs[:n] == words[:, None], row[:n, :-1] + 1, 0)
+            row = run
+            best[:n] = np.maximum(best[:n], row.max(axis=1))
+        for k, v in zip(some.tolist(), best.tolist()):
+            out[k] = v
+    return out
 
 
 def _apart(parts: list[tuple[int, int, int, int, int]]) -> int:
@@ -127,8 +192,77 @@ def _apart(parts: list[tuple[int, int, int, int, int]]) -> int:
     return sum(p[0] for p in taken)
 
 
+def _possible(items: Items, h: np.ndarray, first: np.ndarray, doc: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Which (document, item), in document and item order, share words enough to be found.
+
+    No alignment, and no sum of alignments that do not overlap in the item, scores
+    more than MATCH for each word of the item that the document holds anywhere.
+    """
+    new = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(item, prepend=-1) != 0))
+    ok = np.zeros(len(new), dtype=bool)
+    starts = np.flatnonzero(np.diff(doc[new], prepend=-1))
+    for a, b in zip(starts, np.append(starts[1:], len(new))):
+        d = doc[new[a]]
+        held = np.unique(h[first[d]: first[d + 1]])
+        for c in range(a, b, ITEMS_AT_ONCE):
+            some = item[new[c:min(b, c + ITEMS_AT_ONCE)]]
+            words = np.concatenate([items.words[t] for t in some])
+            shared = held[np.minimum(np.searchsorted(held, words), len(held) - 1)] == words
+            size = items.size[some]
+            best = MATCH * np.add.reduceat(shared.astype(np.int64), np.concatenate([[0], np.cumsum(size)[:-1]]))
+            ok[c:c + len(some)] = best >= np.minimum(MATCH * PASSAGE_WORDS, MIN_SHARE * MATCH * size)
+    return np.repeat(ok, np.diff(np.append(new, len(doc))))
+
+
+def _found(items: Items, h: np.ndarray, first: np.ndarray, at: np.ndarray, doc: np.ndarray, item: np.ndarray,
+           start: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
+    """(document, item, score, end word) of the items found in documents, from all seeds (place, document, item, item's start)."""
+    order = np.lexsort((start, item, doc))
+    at, doc, item, start = at[order], doc[order], item[order], start[order]
+    size = items.size[item]
+    # one window for each run of seeds of an item whose places agree within half its length
+    new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(start) > size[1:] // 2)])
+    cuts = np.flatnonzero(new)
+    ends = np.append(cuts[1:], len(at)) - 1
+    w0 = np.maximum(first[doc[cuts]], start[cuts] - size[cuts] // 2)
+    w1 = np.minimum(first[doc[cuts] + 1], start[ends] + size[cuts] + size[cuts] // 2)
+    keep = _possible(items, h, first, doc[cuts], item[cuts])
+    cuts, w0, w1 = cuts[keep], w0[keep], w1[keep]
+    aligned: dict[tuple[int, int], list[tuple[int, int, int, int, int]]] = {}
+    pairs = [(items.words[t], h[x:y]) for t, x, y in zip(item[cuts], w0, w1)]
+    for d, t, x, y, (score, last, end) in zip(doc[cuts].tolist(), item[cuts].tolist(), w0.tolist(), w1.tolist(), align(pairs)):
+        if score >= min(MATCH * int(items.size[t]), MATCH * MIN_MATCHES):
+            aligned.setdefault((d, t), []).append((score, last, x, y, x + end))
+    unsure = []
+    for (d, t), windows in aligned.items():
+        full = MATCH * int(items.size[t])
+        score, _, _, _, end = max(windows, key=lambda w: w[0])
+        if score >= MIN_SHARE * full:
+            yield d, t, score / full, int(end - first[d])
+        elif score >= MATCH * PASSAGE_WORDS or sum(w[0] for w in windows) >= MIN_SHARE * full:
+            unsure.append((d, t, score, end))
+    each = [(t, *w) for d, t, _, _ in unsure for w in aligned[d, t]]
+    spans = iter(span([(items.words[t][:last], h[x:stop]) for t, _, last, x, _, stop in each], [w[1] for w in each]))
+    runs = iter(longest_run([(items.words[t], h[x:y]) if score >= MATCH * PASSAGE_WORDS else (items.words[t][:0], h[:0])
+                             for t, score, _, x, y, _ in each]))
+    for d, t, score, end in unsure:
+        full = MATCH * int(items.size[t])
+        hit, parts = False, []
+        for value, last, _, _, stop in aligned[d, t]:
+            (n_item, n_doc), run = next(spans), next(runs)
+            parts.append((value, last - n_item, last, stop - n_doc, stop))
+            if value >= MATCH * PASSAGE_WORDS:
+                hit = hit or value >= MIN_SHARE * MATCH * max(n_item, n_doc) or run >= PASSAGE_WORDS
+        score = max(score, _apart(parts))
+        if hit or score >= MIN_SHARE * full:
+            yield d, t, score / full, int(end - first[d])
+
+
 def find(texts: pa.Array, items: Items) -> Iterator[tuple[int, int, float, int]]:
-    """(row, item, score, end word) of every item found in a text."""
+    """(row, item, score, end word) of every item found in a text.
+
+    Seeds that very many items share are followed for a range of items at a time, so memory does not grow with them.
+    """
     n = items.n
     for a, b, data, off in text_chunks(texts):
         h, first, _, _ = word_hashes(_PLAIN[data], off)
@@ -138,44 +272,22 @@ def find(texts: pa.Array, items: Items) -> Iterator[tuple[int, int, float, int]]
         doc = np.searchsorted(first, at, "right") - 1
         whole = at + n <= first[doc + 1]
         at, doc = at[whole], doc[whole]
-        k = (hi - lo)[at]
-        post = np.repeat(lo[at] - np.concatenate([[0], np.cumsum(k)[:-1]]), k) + np.arange(k.sum()) if len(at) else np.zeros(0, np.int64)
-        at, doc = np.repeat(at, k), np.repeat(doc, k)
-        item, start = items.item[post], at - items.place[post]
-        order = np.lexsort((start, item, doc))
-        at, doc, item, start = at[order], doc[order], item[order], start[order]
         if not len(at):
             continue
-        size = np.array([len(w) for w in items.words])[item]
-        # one window for each run of seeds of an item whose places agree within half its length
-        new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(start) > size[1:] // 2)])
-        cuts = np.flatnonzero(new)
-        aligned: dict[tuple[int, int], list[tuple[int, int, int, int, int]]] = {}
-        for i, j in zip(cuts, np.append(cuts[1:], len(at))):
-            d, t, m = int(doc[i]), int(item[i]), int(size[i])
-            w0, w1 = max(first[d], start[i] - m // 2), min(first[d + 1], start[j - 1] + m + m // 2)
-            score, last, end = align(items.words[t], h[w0:w1])
-            aligned.setdefault((d, t), []).append((score, last, int(w0), int(w1), int(w0) + end))
-        for (d, t), windows in aligned.items():
-            words = items.words[t]
-            full = MATCH * len(words)
-            least = min(full, MATCH * MIN_MATCHES)
-            windows = [w for w in windows if w[0] >= least]
-            if not windows:
+        lo, hi = lo[at], hi[at]
+        rounds = -(-int((hi - lo).sum()) // POSTINGS)
+        key = items.rank[lo] * len(items.words)
+        for r in range(rounds):
+            if rounds > 1:
+                ends = [key + len(items.words) * q // rounds for q in (r, r + 1)]
+                lo, hi = (np.searchsorted(items.key, e, "left") for e in ends)
+            k = hi - lo
+            if not k.any():
                 continue
-            score, _, _, _, end = max(windows, key=lambda w: w[0])
-            hit = score >= MIN_SHARE * full
-            if not hit and (score >= MATCH * PASSAGE_WORDS or sum(w[0] for w in windows) >= MIN_SHARE * full):
-                parts = []
-                for value, last, w0, w1, stop in windows:
-                    n_item, n_doc = span(words[:last], h[w0:stop], value)
-                    parts.append((value, last - n_item, last, stop - n_doc, stop))
-                    if value >= MATCH * PASSAGE_WORDS:
-                        hit = hit or value >= MIN_SHARE * MATCH * max(n_item, n_doc) or longest_run(words, h[w0:w1]) >= PASSAGE_WORDS
-                score = max(score, _apart(parts))
-                hit = hit or score >= MIN_SHARE * full
-            if hit:
-                yield a + d, t, score / full, int(end - first[d])
+            post = np.repeat(lo - np.concatenate([[0], np.cumsum(k)[:-1]]), k) + np.arange(k.sum())
+            where, of = np.repeat(at, k), np.repeat(doc, k)
+            for d, t, score, end in _found(items, h, first, where, of, items.item[post], where - items.place[post]):
+                yield a + d, t, score, end
 
 
 def _counts(seeds: np.ndarray, n: int):

@@ -4,6 +4,10 @@ import collections
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+import pytest
+
 from ledgerlens.llm.jaccard_join import jaccard_groups
 from ledgerlens.llm.line_rules import line_rules
 from ledgerlens.llm.toxicity import score_toxicity
@@ -108,3 +112,54 @@ def test_toxicity_orders_held_out_documents(spark):
     pos, neg = ([r["score"] for r in rows if r["toxic"] == k] for k in (1, 0))
     auc = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert auc > 0.75
+
+
+def _plain_alignment(a, b):
+    """Best score and end of a Smith-Waterman table filled cell by cell."""
+    t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    best = (0, 0, 0)
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            t[i][j] = max(0, t[i - 1][j - 1] + (2 if a[i - 1] == b[j - 1] else -1), t[i - 1][j] - 1, t[i][j - 1] - 1)
+            if t[i][j] > best[0]:
+                best = (t[i][j], i, j)
+    return best
+
+
+def _plain_run(a, b):
+    return max((k for i in range(len(a)) for j in range(len(b)) for k in range(1, min(len(a) - i, len(b) - j) + 1)
+                if list(a[i:i + k]) == list(b[j:j + k])), default=0)
+
+
+@pytest.mark.parametrize("cells", [30, 200_000])
+def test_tables_of_many_pairs_equal_plain_alignments(monkeypatch, cells):
+    from ledgerlens.llm import decontaminate as D
+
+    monkeypatch.setattr(D, "TABLE_CELLS", cells)
+    rng = np.random.default_rng(4)
+    pairs = [(rng.integers(0, 6, rng.integers(0, 14)).astype(np.uint64), rng.integers(0, 6, rng.integers(0, 20)).astype(np.uint64))
+             for _ in range(120)]
+    got = D.align(pairs)
+    assert got == [_plain_alignment(a, b) for a, b in pairs]
+    assert D.longest_run(pairs) == [_plain_run(a, b) for a, b in pairs]
+    ends = [(a[:i], b[:j]) for (a, b), (_, i, j) in zip(pairs, got)]
+    for (a, b), (score, _, _), (m, n) in zip(ends, got, D.span(ends, [g[0] for g in got])):
+        if score:
+            # the spanned words alone give the same score, and end to end
+            assert _plain_alignment(a[len(a) - m:], b[len(b) - n:]) == (score, m, n)
+
+
+def test_template_items_are_followed_in_ranges(monkeypatch):
+    from ledgerlens.llm import decontaminate as D
+
+    template = [f"t{i}" for i in range(12)]
+    own = lambda k, n: [f"own{k}x{i}" for i in range(n)]
+    # items 0 and up hold 28 words of their own (the template alone is no copy), items 1000 and up hold 8 (it is)
+    texts = [" ".join(template + own(k, 28)) for k in range(1000)] + [" ".join(template + own(k, 8)) for k in range(1000, 1200)]
+    doc = " ".join(w for j in range(50) for w in template + own(-1 - j, 14)) + " " + " ".join(own(7, 28))
+    items = D.Items(list(range(1200)), texts)
+    items.keep_rare({})
+    whole = sorted(D.find(pa.array([None, doc, ""], pa.string()), items))
+    assert [(d, t) for d, t, _, _ in whole] == [(1, 7)] + [(1, t) for t in range(1000, 1200)]
+    monkeypatch.setattr(D, "POSTINGS", 5_000)
+    assert sorted(D.find(pa.array([None, doc, ""], pa.string()), items)) == whole
