@@ -32,14 +32,26 @@ HOME_CUMULATIVE = [
 ]
 
 
-def _u(tag: str, key: Column) -> Column:
-    h = F.md5(F.concat(F.lit(tag + ":"), key.cast("string")))
+# draws keyed by the event id
+EVENT_DRAWS = ["fraud", "flag", "ob", "od", "ndst", "ipc", "ipf", "dist", "age1", "age2", "dev", "shp", "f1", "f2", "noise"]
+
+
+def _draw(tag: Column, key: Column) -> Column:
+    h = F.md5(F.concat(tag, F.lit(":"), key))
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def _u(tag: str, key: Column) -> Column:
+    return _draw(F.lit(tag), key.cast("string"))
+
+
 def transactions_from_events(events: DataFrame) -> DataFrame:
     """Map `events` rows to the 23-column enriched schema + txn_id + score."""
     e = F.col("event_id")
+    # all draws of a row in one array: written out one by one they make a generated method too long to be compiled
+    key = e.cast("string")
+    draws = F.transform(F.array(*[F.lit(tag) for tag in EVENT_DRAWS]), lambda tag: _draw(tag, key))
+    u = lambda tag: F.col("_u")[EVENT_DRAWS.index(tag)]
     type_col = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in TYPE_OF_EVENT.items()])
     df = events.select(
         e.alias("txn_id"),
@@ -49,39 +61,42 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit("C"), F.when((e % 500 == 0) & (e > 0), e - 1).otherwise(e).cast("string")).alias("nameOrig"),
         F.col("user_id"),
         e.alias("_e"),
+        draws.alias("_u"),
     )
     is_pay = F.col("type") == "PAYMENT"
     df = df.withColumn("nameDest", F.concat(F.when(is_pay, F.lit("M")).otherwise(F.lit("C")), F.col("user_id").cast("string")))
     df = df.withColumn(
         "isFraud",
-        (F.col("type").isin("TRANSFER", "CASH_OUT") & (_u("fraud", F.col("_e")) < 0.03)).cast("int"),
+        (F.col("type").isin("TRANSFER", "CASH_OUT") & (u("fraud") < 0.03)).cast("int"),
     )
     fraud = F.col("isFraud") == 1
-    df = df.withColumn("isFlaggedFraud", (fraud & (_u("flag", F.col("_e")) < 0.01)).cast("int"))
+    df = df.withColumn("isFlaggedFraud", (fraud & (u("flag") < 0.01)).cast("int"))
     df = df.withColumn(
         "oldbalanceOrg",
-        F.when(fraud, F.col("amount")).otherwise(F.col("amount") * F.floor(F.lit(8.0) * _u("ob", F.col("_e"))).cast("double")),
+        F.when(fraud, F.col("amount")).otherwise(F.col("amount") * F.floor(F.lit(8.0) * u("ob")).cast("double")),
     )
     df = df.withColumn("newbalanceOrig", F.greatest(F.col("oldbalanceOrg") - F.col("amount"), F.lit(0.0)))
     df = df.withColumn(
         "oldbalanceDest",
-        F.when(is_pay, F.lit(0.0)).otherwise(F.col("amount") * F.floor(F.lit(5.0) * _u("od", F.col("_e"))).cast("double")),
+        F.when(is_pay, F.lit(0.0)).otherwise(F.col("amount") * F.floor(F.lit(5.0) * u("od")).cast("double")),
     )
     df = df.withColumn(
         "newbalanceDest",
         F.when(is_pay, F.lit(0.0))
-        .when(_u("ndst", F.col("_e")) < 0.3, F.col("oldbalanceDest"))
+        .when(u("ndst") < 0.3, F.col("oldbalanceDest"))
         .otherwise(F.col("oldbalanceDest") + F.col("amount")),
     )
-    uh = _u("home", F.col("nameOrig"))
+    # a column of its own: the ten comparisons read it, they do not draw again
+    df = df.withColumn("_uh", _u("home", F.col("nameOrig")))
+    uh = F.col("_uh")
     home = F.coalesce(*[F.when(uh < w, F.lit(c)) for c, w in HOME_CUMULATIVE])
     df = df.withColumn("home_billing_country", home)
-    ipc = F.element_at(F.array(*[F.lit(c) for c, _ in HOME_CUMULATIVE]), (F.floor(F.lit(10.0) * _u("ipc", F.col("_e"))) + 1).cast("int"))
+    ipc = F.element_at(F.array(*[F.lit(c) for c, _ in HOME_CUMULATIVE]), (F.floor(F.lit(10.0) * u("ipc")) + 1).cast("int"))
     df = df.withColumn(
         "ip_country",
-        F.when(_u("ipf", F.col("_e")) < F.when(fraud, F.lit(0.6)).otherwise(F.lit(0.07)), ipc).otherwise(F.col("home_billing_country")),
+        F.when(u("ipf") < F.when(fraud, F.lit(0.6)).otherwise(F.lit(0.07)), ipc).otherwise(F.col("home_billing_country")),
     )
-    ud = _u("dist", F.col("_e"))
+    ud = u("dist")
     df = df.withColumn(
         "ip_billing_distance_km",
         F.when(F.col("ip_country") == F.col("home_billing_country"), F.floor(F.lit(2400.0) * ud) / F.lit(10.0))
@@ -89,17 +104,17 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     )
     df = df.withColumn(
         "account_age_days",
-        (F.lit(1) + F.floor(F.lit(1500.0) * _u("age1", F.col("_e")) * _u("age2", F.col("_e"))
+        (F.lit(1) + F.floor(F.lit(1500.0) * u("age1") * u("age2")
                             * F.when(fraud, F.lit(0.5)).otherwise(F.lit(1.0)))).cast("long"),
     )
-    df = df.withColumn("is_new_device", (_u("dev", F.col("_e")) < F.when(fraud, F.lit(0.7)).otherwise(F.lit(0.08))).cast("int"))
+    df = df.withColumn("is_new_device", (u("dev") < F.when(fraud, F.lit(0.7)).otherwise(F.lit(0.08))).cast("int"))
     df = df.withColumn(
         "shipping_billing_mismatch",
-        (_u("shp", F.col("_e")) < F.when(fraud, F.lit(0.55)).otherwise(F.lit(0.10))).cast("int"),
+        (u("shp") < F.when(fraud, F.lit(0.55)).otherwise(F.lit(0.10))).cast("int"),
     )
     df = df.withColumn(
         "failed_payment_attempts",
-        F.floor(_u("f1", F.col("_e")) * _u("f2", F.col("_e")) * F.when(fraud, F.lit(8.0)).otherwise(F.lit(2.0))).cast("long"),
+        F.floor(u("f1") * u("f2") * F.when(fraud, F.lit(8.0)).otherwise(F.lit(2.0))).cast("long"),
     )
     df = df.withColumn("home_device_id", F.concat(F.lit("dev_"), F.substring(F.md5(F.concat(F.lit("home:"), F.col("nameOrig"))), 1, 8)))
     df = df.withColumn(
@@ -118,7 +133,7 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     )
     df = df.withColumn(
         "score",
-        F.floor(F.lit(10000.0) * (F.lit(0.009) * pts.cast("double") + F.lit(0.1) * _u("noise", F.col("_e")))) / F.lit(10000.0),
+        F.floor(F.lit(10000.0) * (F.lit(0.009) * pts.cast("double") + F.lit(0.1) * u("noise"))) / F.lit(10000.0),
     )
     return df.select(
         "txn_id", "step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig", "nameDest",
@@ -129,6 +144,23 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+# Rows that one task maps. Events are stored small and take long: by bytes alone a task would get millions of rows.
+ROWS_PER_TASK = 200_000
+# Tables too small for as many tasks as there are cores are still dealt to them in parts of so many rows.
+MIN_ROWS_PER_TASK = 25_000
+
+
+def map_tasks(rows: int, cores: int) -> int:
+    """Tasks that map so many rows."""
+    return max(1, -(-rows // ROWS_PER_TASK), min(cores, -(-rows // MIN_ROWS_PER_TASK)))
+
+
+def spread(events: DataFrame) -> DataFrame:
+    """The same rows, dealt evenly to tasks by their number, whatever files and row groups they come from."""
+    tasks = map_tasks(events.count(), events.sparkSession.sparkContext.defaultParallelism)
+    return events.repartition(tasks) if tasks > 1 else events
+
+
 _MATERIALISED: dict[tuple[str, str], str] = {}
 
 
@@ -148,7 +180,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _MATERIALISED.get(key)
     if path is None:
         path = f"{checkpoint_dir(spark).rstrip('/')}/transactions-{uuid.uuid4().hex}"
-        transactions_from_events(read_table(spark, sf_dir, "events")).write.mode("overwrite").parquet(path)
+        transactions_from_events(spread(read_table(spark, sf_dir, "events"))).write.mode("overwrite").parquet(path)
         _MATERIALISED[key] = path
     return spark.read.parquet(path)
 

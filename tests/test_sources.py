@@ -69,3 +69,32 @@ def test_approximate_profile_close_to_exact(spark):
     approx = {r.column_name: r.n_unique for r in Q.column_profile(t, approx=True).collect()}
     for c, v in exact.items():
         assert abs(approx[c] - v) <= max(2, 0.1 * v), c
+
+
+def test_one_row_group_is_mapped_by_many_tasks(spark, tmp_path):
+    """Events in one row group are dealt to tasks by their number; the rows are those of the plain mapping."""
+    from ledgerlens.sources.fixture import MIN_ROWS_PER_TASK, ROWS_PER_TASK, map_tasks, transactions_from_events
+
+    n = 2 * MIN_ROWS_PER_TASK + 1000
+    ids = F.when(F.col("id") % 1000 == 7, F.lit(None)).when(F.col("id") % 50 == 3, 3).otherwise(F.col("id"))
+    events = spark.range(n).coalesce(1).select(
+        ids.cast("long").alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id % 700 as int))").alias("ts"),
+        (F.col("id") % 97).alias("user_id"), F.element_at(F.array(*map(F.lit, ("purchase", "click", "view"))), (F.col("id") % 3 + 1).cast("int")).alias("event_type"),
+        (F.col("id") % 1000 / 7).alias("value"), F.lit("{}").alias("props"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    t = transactions(spark, str(tmp_path))
+    tasks = map_tasks(n, spark.sparkContext.defaultParallelism)
+    assert tasks > 1 and len(t.inputFiles()) == tasks
+    plain = transactions_from_events(spark.read.parquet(str(tmp_path / "events.parquet")))
+    assert t.schema == plain.schema and t.exceptAll(plain).count() == 0 and plain.exceptAll(t).count() == 0
+    assert map_tasks(36_000_000, 12) * ROWS_PER_TASK >= 36_000_000 and map_tasks(10, 12) == 1
+
+
+def test_event_draws_are_the_documented_ones(spark):
+    """FIXTURES.md B1: the draw of a tag is the first 8 hex digits of md5(tag:id)."""
+    import hashlib
+
+    from ledgerlens.sources.fixture import EVENT_DRAWS, _u
+
+    row = spark.range(41, 42).select(*[_u(t, F.col("id")).alias(t) for t in EVENT_DRAWS]).first()
+    assert all(row[t] == int(hashlib.md5(f"{t}:41".encode()).hexdigest()[:8], 16) / 2**32 for t in EVENT_DRAWS)
