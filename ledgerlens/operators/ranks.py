@@ -192,7 +192,10 @@ def row_positions(
     _, id_bounds = count_and_bounds(base, "__idn", max(1, rows_per_bucket_for(base) // 4))
     base = with_bucket(base, "__idn", id_bounds, ib).drop("__idn")
     totals = {f"__s_{i}": c for i, c in enumerate(sums)}
-    cells = base.groupBy(*group_cols, sk, ib).agg(F.count(F.lit(1)).alias("__c"), *[F.sum(c).alias(s) for s, c in totals.items()])
+    # nearly every row of a column of numbers is a cell of its own: summed up before the shuffle, the cells of
+    # a whole input split would lie in one task's memory
+    rows = base.repartition(*group_cols, sk, ib) if id_bounds else base
+    cells = rows.groupBy(*group_cols, sk, ib).agg(F.count(F.lit(1)).alias("__c"), *[F.sum(c).alias(s) for s, c in totals.items()])
     cells = cumulative(cells, group_cols, [sk, ib], ["__c", *totals], prefix="__cum").drop("__c", *totals)
     w = Window.partitionBy(*group_cols, sk, ib).orderBy(id_col)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
