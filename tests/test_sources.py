@@ -98,3 +98,17 @@ def test_event_draws_are_the_documented_ones(spark):
 
     row = spark.range(41, 42).select(*[_u(t, F.col("id")).alias(t) for t in EVENT_DRAWS]).first()
     assert all(row[t] == int(hashlib.md5(f"{t}:41".encode()).hexdigest()[:8], 16) / 2**32 for t in EVENT_DRAWS)
+
+
+def test_draws_pass_through_whole_numbers(spark):
+    """A draw is a whole number before it is a double: no double is read from text; a null id has no draw."""
+    from ledgerlens.sources.fixture import _draw, _u
+
+    ids = spark.range(1000).select(F.when(F.col("id") > 0, F.col("id")).alias("id"))
+    got = ids.select("id", _u("fraud", F.col("id")).alias("u"))
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "as bigint) as double)" in plan
+    rows = got.collect()
+    assert [r["u"] for r in rows if r["id"] is None] == [None] and all(0 <= r["u"] < 1 for r in rows if r["id"])
+    old = F.conv(F.substring(F.md5(F.concat(F.lit("fraud"), F.lit(":"), F.col("id").cast("string"))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    assert ids.where(~_draw(F.lit("fraud"), F.col("id").cast("string")).eqNullSafe(old)).isEmpty()
