@@ -1,9 +1,11 @@
-"""Adaptive context-mixing range coder for token ids (operator 11): one block at a time, numpy only.
+"""Adaptive context-mixing coder for token ids (operator 11): one block at a time, numpy only.
 
 A block's ids are dealt to up to LANES lanes of neighbouring ids. All lanes
 advance in lockstep and share one model, so each step is a handful of numpy
-calls and the model learns from every lane; each lane has a range coder of its
-own. Nothing outlives a block: any block decodes alone.
+calls and the model learns from every lane; each lane has a coder state of its
+own (a range variant of asymmetric numeral systems). All lanes read one stream of
+32-bit words: at each step those whose state has run low take the next words in the order of the lanes.
+Nothing outlives a block: any block decodes alone.
 
 Three orders predict each id. Order 2 (a hashed table over the two ids before)
 and order 1 (over the id before) each name one id with a confidence; order 0 is
@@ -11,6 +13,9 @@ a distribution over the whole vocabulary. The orders are mixed by the
 frequencies with which, in each joint state of the confidences, order 2, order
 1 or neither was right so far in the block. All interval bounds are integers,
 so the decoder repeats them exactly.
+
+The states work backwards: the coder lets the model run over the block first, keeping
+the interval of every choice, and codes them from the last to the first.
 """
 
 from __future__ import annotations
@@ -23,11 +28,18 @@ MIN_LANE_IDS = 64
 MIX_BITS = 16
 ORDER0_BITS = 20
 _U = np.uint64
-_TOP, _WORD, _LOW32 = _U(48), _U(16), _U(2**32 - 1)
-_SMALL = _U(2**32)
-# Slots of the order-2 table (a power of two), the highest confidence, and the gain of an id seen.
-_SLOTS = 1 << 17
-_MOST = 7
+_WORD, _LOW32 = _U(32), _U(2**32 - 1)
+# A state is at least this between two choices; below it takes a word.
+_LOW_BITS = 24
+_LOW = _U(1 << _LOW_BITS)
+# Bits of a slot in the order-2 table, and the factors of its hash.
+_SLOT_BITS = 17
+_HASH1, _HASH2 = np.uint32(2654435761), np.uint32(2246822519)
+# The tables hold an id and its confidence (0 to _MOST) in one number; no id: -1 with confidence 0.
+_SURE_BITS = 3
+_MOST = (1 << _SURE_BITS) - 1
+_NOTHING = -1 << _SURE_BITS
+# The gain of an id seen.
 _GAIN = 48
 
 
@@ -43,13 +55,15 @@ class _Model:
 
     def __init__(self, vocabulary: int):
         self.size = vocabulary
-        self.named1, self.sure1 = np.zeros(vocabulary, np.int64), np.zeros(vocabulary, np.int64)
-        self.named2, self.sure2 = np.zeros(_SLOTS, np.int64), np.zeros(_SLOTS, np.int64)
+        self.table1 = np.full(vocabulary, _NOTHING, np.int32)
+        self.table2 = np.full(1 << _SLOT_BITS, _NOTHING, np.int32)
         states = 2 * (_MOST + 1) ** 2
         self.hits = np.ones((states, 3), np.int64)
         self.hits[:, 2] = 4
+        self.start, self.width = np.zeros((states, 3), np.int64), np.zeros((states, 3), np.int64)
         self.counts = np.ones(vocabulary, np.int64)
         self.waiting: list[np.ndarray] = []
+        self.choices: list[np.ndarray] = []
         self.step = 0
         self._bounds()
         self._shares()
@@ -60,112 +74,77 @@ class _Model:
         room = float((1 << ORDER0_BITS) - self.size) / float(total[-1])
         self.cum = (total * room).astype(np.int64) + np.arange(self.size + 1)
         self.cum[-1] = 1 << ORDER0_BITS
+        self.owner = None
+
+    def owners(self) -> np.ndarray:
+        """The id that each of the 2^ORDER0_BITS places of order 0 falls to (for the decoder)."""
+        if self.owner is None:
+            self.owner = np.repeat(np.arange(self.size, dtype=np.int32), np.diff(self.cum))
+        return self.owner
 
     def _shares(self) -> None:
-        """Cumulative shares of the outcomes (order 2, order 1, neither) in each state, of sum 2^MIX_BITS."""
+        """Where the shares of the outcomes (order 2, order 1, neither) begin in each state and how wide they are, of sum 2^MIX_BITS."""
         c = np.cumsum(self.hits, axis=1)
-        inner = c[:, :2] * ((1 << MIX_BITS) - 3) // c[:, 2:] + np.array([1, 2])
-        self.mix = np.zeros((len(c), 4), np.int64)
-        self.mix[:, 1:3], self.mix[:, 3] = inner, 1 << MIX_BITS
+        self.start[:, 1:] = c[:, :2] * ((1 << MIX_BITS) - 3) // c[:, 2:] + np.array([1, 2])
+        self.width[:, :2] = np.diff(self.start, axis=1)
+        self.width[:, 2] = (1 << MIX_BITS) - self.start[:, 2]
 
     def predict(self, p1: np.ndarray, p2: np.ndarray) -> None:
         self.p1 = p1
-        self.slot = ((p2 * 40503 + p1 * 2654435) ^ (p1 >> 3)) & (_SLOTS - 1)
-        self.a2, self.a1 = self.named2[self.slot], self.named1[p1]
-        self.s2, self.s1 = self.sure2[self.slot], self.sure1[p1]
-        self.state = (self.s2 * (_MOST + 1) + self.s1) * 2 + (self.a1 == self.a2)
-
-    def outcome(self, ids: np.ndarray) -> np.ndarray:
-        """0: order 2 named the id, 1: order 1 did, 2: neither."""
-        return np.where((ids == self.a2) & (self.s2 > 0), 0, np.where((ids == self.a1) & (self.s1 > 0), 1, 2))
-
-    def learn(self, ids: np.ndarray, outcome: np.ndarray) -> None:
-        seen = np.bincount(self.state * 3 + outcome, minlength=self.hits.size)
-        self.hits += 16 * seen.reshape(self.hits.shape)
-        self._shares()
-        for named, sure, at, name, s in (
-            (self.named2, self.sure2, self.slot, self.a2, self.s2), (self.named1, self.sure1, self.p1, self.a1, self.s1)):
-            right = ids == name
-            named[at] = np.where(right | (s > 1), name, ids)
-            sure[at] = np.where(right, np.minimum(s + 1, _MOST), np.where(s > 1, s >> 1, 1))
-        self.waiting.append(ids[outcome == 2])
+        self.slot = ((p1.astype(np.uint32) * _HASH1 + p2.astype(np.uint32) * _HASH2) >> np.uint32(32 - _SLOT_BITS)).astype(np.intp)
+        self.said2, self.said1 = self.table2.take(self.slot), self.table1.take(p1)
+        self.a2, self.a1 = self.said2 >> _SURE_BITS, self.said1 >> _SURE_BITS
+        self.s2, self.s1 = self.said2 & _MOST, self.said1 & _MOST
+        # three outcomes a state
+        self.base = (((self.s2 << _SURE_BITS) + self.s1) * 2 + (self.a1 == self.a2)) * 3
+
+    def learn(self, ids: np.ndarray, kind: np.ndarray, choice: np.ndarray, rest: np.ndarray) -> None:
+        """Take the ids of a step, their outcomes, and the places of those that no order named."""
         self.step += 1
-        # early steps matter most: the distribution is renewed at steps 1 to 8, then every eighth
-        if self.step <= 8 or self.step % 8 == 0:
-            new = np.concatenate(self.waiting)
+        self.choices.append(choice)
+        seen = ids.astype(np.int32)
+        fresh = (seen << _SURE_BITS) + 1
+        for table, at, said, name, sure in (
+            (self.table2, self.slot, self.said2, self.a2, self.s2), (self.table1, self.p1, self.said1, self.a1, self.s1)):
+            # a wrong id keeps its place with half the confidence if that was above 1
+            wrong = np.where(sure > 1, said - ((sure + 1) >> 1), fresh)
+            table[at] = np.where(seen == name, said + (sure < _MOST), wrong)
+        self.waiting.append(ids[rest])
+        # early steps matter most: the shares are renewed at steps 1 to 16, then every fourth,
+        if self.step <= 16 or self.step % 4 == 0:
+            self.hits += 16 * np.bincount(np.concatenate(self.choices), minlength=self.hits.size).reshape(self.hits.shape)
+            self.choices = []
+            self._shares()
+        # the distribution at steps 1 to 8, then every eighth, from 32 on every 32nd
+        if self.step <= 8 or self.step % (8 if self.step < 32 else 32) == 0:
+            self.counts += _GAIN * np.bincount(np.concatenate(self.waiting), minlength=self.size)
             self.waiting = []
-            self.counts += _GAIN * np.bincount(new, minlength=self.size)
             self._bounds()
 
 
-def _ready(low: np.ndarray, span: np.ndarray) -> np.ndarray:
-    """Places whose next 16 bits are settled, or whose range is so small that it is cut until they are."""
-    small = span < _SMALL
-    settled = ((low ^ (low + span)) >> _TOP) == 0
-    cut = np.flatnonzero(small & ~settled)
-    if len(cut):
-        span[cut] = (~low[cut] + _U(1)) & _LOW32
-    return np.flatnonzero(settled | small)
-
-
-class _Writer:
-    def __init__(self, lanes: int, each: int):
-        self.low, self.span = np.zeros(lanes, _U), np.full(lanes, 2**64 - 1, _U)
-        self.words = np.zeros((lanes, 3 * each + 8), np.uint16)
-        self.at = np.zeros(lanes, np.int64)
-
-    def put(self, lanes, start: np.ndarray, width: np.ndarray, bits: int) -> None:
-        part = self.span[lanes] >> _U(bits)
-        low, span = self.low[lanes] + part * start.view(_U), part * width.view(_U)
-        i = _ready(low, span)
-        while len(i):
-            k, top = lanes[i], low[i]
-            self.words[k, self.at[k]] = top >> _TOP
-            self.at[k] += 1
-            top, rest = top << _WORD, span[i] << _WORD
-            more = _ready(top, rest)
-            low[i], span[i], i = top, rest, i[more]
-        self.low[lanes], self.span[lanes] = low, span
-
-    def finish(self) -> tuple[np.ndarray, np.ndarray]:
-        """Words of each lane and their number: two more words settle a lane, as the range is 2^32 at least."""
-        last = (self.low + _LOW32) & ~_LOW32
-        for shift in (_TOP, _U(32)):
-            self.words[np.arange(len(last)), self.at] = ((last >> shift) & _U(0xFFFF)).astype(np.uint16)
-            self.at += 1
-        return self.words, self.at
+def _put(state: np.ndarray, start: np.ndarray, width: np.ndarray, bits: int, out: list[np.ndarray]) -> np.ndarray:
+    """The states after a choice was coded; words of states that would grow too large go out first."""
+    full = np.flatnonzero(state >= width << _U(_LOW_BITS + 32 - bits))
+    if len(full):
+        high = state[full]
+        out.append((high & _LOW32).astype(np.uint32)[::-1])
+        state[full] = high >> _WORD
+    turns = state // width
+    return (turns << _U(bits)) + (state - turns * width) + start
 
 
 class _Reader:
-    def __init__(self, words: np.ndarray, first: np.ndarray, lanes: int):
-        # words past a lane's end are read as they come: they lie below the bits that decide
-        self.words = np.concatenate([words.astype(_U), np.zeros(8, _U)])
-        self.at, self.stop = first[:-1].copy(), first[1:]
-        self.low, self.span, self.code = np.zeros(lanes, _U), np.full(lanes, 2**64 - 1, _U), np.zeros(lanes, _U)
-        for _ in range(4):
-            self.code = (self.code << _WORD) | self._next(np.arange(lanes))
-
-    def _next(self, i: np.ndarray) -> np.ndarray:
-        at = self.at[i]
-        word = np.where(at < self.stop[i], self.words[np.minimum(at, len(self.words) - 1)], _U(0))
-        self.at[i] += 1
-        return word
-
-    def point(self, lanes, bits: int) -> np.ndarray:
-        """The place in 0 .. 2^bits of each lane's code; `take` then takes the interval found for it."""
-        self.part = self.span[lanes] >> _U(bits)
-        return np.minimum((self.code[lanes] - self.low[lanes]) // self.part, _U((1 << bits) - 1)).view(np.int64)
-
-    def take(self, lanes, start: np.ndarray, width: np.ndarray) -> None:
-        low, span = self.low[lanes] + self.part * start.view(_U), self.part * width.view(_U)
-        i = _ready(low, span)
-        while len(i):
-            k = lanes[i]
-            self.code[k] = (self.code[k] << _WORD) | self._next(k)
-            top, rest = low[i] << _WORD, span[i] << _WORD
-            more = _ready(top, rest)
-            low[i], span[i], i = top, rest, i[more]
-        self.low[lanes], self.span[lanes] = low, span
+    def __init__(self, words: np.ndarray, state: np.ndarray):
+        self.words, self.at, self.state = words.astype(_U), 0, state.astype(_U)
+
+    def take(self, state: np.ndarray, place: np.ndarray, start: np.ndarray, width: np.ndarray, bits: int) -> np.ndarray:
+        """The states after a choice was read whose interval holds `place`."""
+        state = width.view(_U) * (state >> _U(bits)) + (place - start).view(_U)
+        low = np.flatnonzero(state < _LOW)
+        if len(low):
+            state[low] = (state[low] << _WORD) | self.words[self.at : self.at + len(low)]
+            self.at += len(low)
+        return state
 
 
 def _active(n: int, lanes: int, each: int, t: int) -> int:
@@ -174,58 +153,64 @@ def _active(n: int, lanes: int, each: int, t: int) -> int:
 
 
 def encode_ids(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
-    """(16-bit words of all lanes, number of words of each lane) of a block's ids, all below `vocabulary`."""
+    """(the stream of all lanes as 16-bit words, the state from which each lane is decoded) of a block's ids, all below `vocabulary`."""
     n = len(ids)
     lanes, each = lane_layout(n)
     if not n:
-        return np.zeros(0, np.uint16), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint16), np.zeros(0, _U)
     grid = np.zeros(lanes * each, np.int64)
     grid[:n] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, each).T)
-    model, out = _Model(vocabulary), _Writer(lanes, each)
+    model, chosen = _Model(vocabulary), []
     zero = np.zeros(lanes, np.int64)
     for t in range(each):
         m = _active(n, lanes, each, t)
         x = grid[t, :m]
         model.predict((grid[t - 1] if t else zero)[:m], (grid[t - 2] if t > 1 else zero)[:m])
-        kind = model.outcome(x)
-        shares = model.mix[model.state]
-        row = np.arange(m)
-        start = shares[row, kind]
-        out.put(row, start, shares[row, kind + 1] - start, MIX_BITS)
+        kind = np.where(x == model.a2, 0, 2 - (x == model.a1))
+        choice = model.base + kind
         rest = np.flatnonzero(kind == 2)
+        named = x[rest]
+        low = model.cum.take(named)
+        chosen.append((model.start.take(choice), model.width.take(choice), rest, low, model.cum.take(named + 1) - low))
+        model.learn(x, kind, choice, rest)
+    state, out = np.full(lanes, _LOW, _U), []
+    while chosen:
+        start, width, rest, low, room = chosen.pop()
+        m = len(start)
         if len(rest):
-            start = model.cum[x[rest]]
-            out.put(rest, start, model.cum[x[rest] + 1] - start, ORDER0_BITS)
-        model.learn(x, kind)
-    words, used = out.finish()
-    return words[np.arange(words.shape[1]) < used[:, None]], used
+            state[rest] = _put(state[rest], low.view(_U), room.view(_U), ORDER0_BITS, out)
+        state[:m] = _put(state[:m], start.view(_U), width.view(_U), MIX_BITS, out)
+    words = np.concatenate(out)[::-1] if out else np.zeros(0, np.uint32)
+    return words.astype("<u4").view("<u2"), state
 
 
-def decode_ids(words: np.ndarray, used: np.ndarray, n: int, vocabulary: int) -> np.ndarray:
-    """The n ids of a block, from `encode_ids`' words."""
+def decode_ids(words: np.ndarray, states: np.ndarray, n: int, vocabulary: int) -> np.ndarray:
+    """The n ids of a block, from `encode_ids`' words and states."""
     lanes, each = lane_layout(n)
     if not n:
         return np.zeros(0, np.int64)
     grid = np.zeros((each, lanes), np.int64)
     model = _Model(vocabulary)
-    src = _Reader(words, np.concatenate([[0], np.cumsum(used)]).astype(np.int64), lanes)
+    src = _Reader(np.ascontiguousarray(words, "<u2").view("<u4"), states)
     zero = np.zeros(lanes, np.int64)
+    mixed, all_places = _U((1 << MIX_BITS) - 1), _U((1 << ORDER0_BITS) - 1)
     for t in range(each):
         m = _active(n, lanes, each, t)
         model.predict((grid[t - 1] if t else zero)[:m], (grid[t - 2] if t > 1 else zero)[:m])
-        shares = model.mix[model.state]
-        row = np.arange(m)
-        at = src.point(row, MIX_BITS)
-        kind = (at >= shares[:, 1]).astype(np.int64) + (at >= shares[:, 2])
-        start = shares[row, kind]
-        src.take(row, start, shares[row, kind + 1] - start)
-        x = np.where(kind == 0, model.a2, model.a1)
+        state = src.state[:m]
+        at, base = (state & mixed).view(np.int64), model.base
+        kind = (at >= model.start.take(base + 1)).astype(np.int32) + (at >= model.start.take(base + 2))
+        choice = base + kind
+        state = src.take(state, at, model.start.take(choice), model.width.take(choice), MIX_BITS)
+        x = np.where(kind == 0, model.a2, model.a1).astype(np.int64)
         rest = np.flatnonzero(kind == 2)
         if len(rest):
-            x[rest] = np.searchsorted(model.cum, src.point(rest, ORDER0_BITS), side="right") - 1
-            start = model.cum[x[rest]]
-            src.take(rest, start, model.cum[x[rest] + 1] - start)
-        model.learn(x, kind)
+            at = (state[rest] & all_places).view(np.int64)
+            x[rest] = found = model.owners().take(at).astype(np.int64)
+            low = model.cum.take(found)
+            state[rest] = src.take(state[rest], at, low, model.cum.take(found + 1) - low, ORDER0_BITS)
+        src.state[:m] = state
+        model.learn(x, kind, choice, rest)
         grid[t, :m] = x
     return grid.T.reshape(-1)[:n]

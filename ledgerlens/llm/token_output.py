@@ -2,7 +2,7 @@
 
 1. `write_tokens` orders documents by id (range partitions, sorted inside),
    tokenises every whole text, appends the end id and writes blocks of the
-   range coder of `id_coder`; it returns the index of the files it wrote.
+   coder of `id_coder`; it returns the index of the files it wrote.
 2. `with_starts` numbers the ids of all files: a running sum over the tasks,
    the only figures (one a task) that the driver sees.
 3. `read_tokens` decodes the files and returns every document's place, length
@@ -14,7 +14,7 @@ of the lane table, CRC-32 of the six and of the body), document table, lane tabl
 words. All is little-endian; both tables are zlib streams. The document table
 names the documents whose ids the block holds, with the number of ids
 here and whether the document goes on in the next block, so a document of any length may span
-blocks. Every block decodes without the others.
+blocks. The lane table holds the state from which each lane is decoded. Every block decodes without the others.
 
 Files are written through pyarrow's file systems into the session's shared
 folder under names of their own for each attempt; the index, committed by
@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from .common import scratch_path, stored
 from .id_coder import ORDER0_BITS, decode_ids, encode_ids, lane_layout
 
-MAGIC = b"LLTOKID1"
+MAGIC = b"LLTOKID2"
 HEADER = struct.Struct("<7I")
 END_ID = 0
 BLOCK_IDS = 1 << 20
@@ -99,14 +99,17 @@ class PieceEncoder:
 
     def _add(self, pieces: list[str]) -> None:
         """Encode new pieces: those that begin with white space and end without it as one text, the others each alone."""
-        joined = [p for p in pieces if p[:1].isspace() and not p[-1:].isspace() and not _ODD_SPACE.search(p)]
+        # one look at all of them: control characters are rare
+        odd = _ODD_SPACE.search("".join(pieces)) is not None
+        joined, alone = [], []
+        for p in pieces:
+            fits = p[:1].isspace() and not p[-1:].isspace() and not (odd and _ODD_SPACE.search(p))
+            (joined if fits else alone).append(p)
         if joined:
             ids = np.array(self.library.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, np.int32)
-            ends = np.cumsum([len(p.encode("utf-8")) for p in joined])
+            ends = np.cumsum(pc.binary_length(pa.array(joined, pa.large_string())).to_numpy())
             cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
             self._keep(joined, ids, np.diff(cuts, prepend=0))
-        alone = set(joined)
-        alone = [p for p in pieces if p not in alone]
         if alone:
             got = [e.ids for e in self.library.encode_batch_fast(alone, add_special_tokens=False)]
             self._keep(alone, np.array([i for g in got for i in g], np.int32), np.array([len(g) for g in got], np.int64))
@@ -121,13 +124,13 @@ class PieceEncoder:
         self.size[k : k + n] = sizes
         self.pool[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
-        self.chars += sum(map(len, pieces))
+        self.chars += len("".join(pieces))
         self.places.update(zip(pieces, range(k, k + n)))
 
     def _at(self, pieces: list[str]) -> np.ndarray:
         at = list(map(self.places.get, pieces))
         if None in at:
-            self._add(list(dict.fromkeys(p for p, k in zip(pieces, at) if k is None)))
+            self._add(list(dict.fromkeys([p for p, k in zip(pieces, at) if k is None])))
             at = list(map(self.places.get, pieces))
         return np.array(at, np.int64)
 
@@ -141,7 +144,9 @@ class PieceEncoder:
         counts = cut.value_lengths().to_numpy()
         starts = np.cumsum(counts) - counts
         coded = cut.flatten().dictionary_encode()
-        at = self._at([" " + w for w in coded.dictionary.to_pylist()])[coded.indices.to_numpy()]
+        # through numpy: Arrow makes a scalar of each string of a list
+        words = pc.binary_join_element_wise("", coded.dictionary, " ").to_numpy(zero_copy_only=False).tolist()
+        at = self._at(words)[coded.indices.to_numpy()]
         # a text's first piece has no space before it
         at[starts] = self._at([t.partition(" ")[0] for t in strings])
         if wide:
@@ -179,14 +184,14 @@ def encoder(path: str) -> PieceEncoder:
 
 def block_bytes(ids: np.ndarray, docs: list[tuple[int | None, int, bool]], vocabulary: int) -> bytes:
     """One block: its ids, and (doc_id, ids in this block, goes on) of each document in it."""
-    words, used = encode_ids(ids, vocabulary)
+    words, states = encode_ids(ids, vocabulary)
     table = np.zeros(len(docs), np.dtype([("id", "<i8"), ("n", "<u4"), ("null", "u1"), ("on", "u1")]))
     for k, (doc_id, n, on) in enumerate(docs):
         table[k] = (doc_id or 0, n, doc_id is None, on)
     docs_z = zlib.compress(b"".join(table[c].tobytes() for c in table.dtype.names), 1)
-    lanes_z = zlib.compress(used.astype("<u2").tobytes(), 1)
+    lanes_z = zlib.compress(states.astype("<u8").tobytes(), 1)
     body = docs_z + lanes_z + words.astype("<u2").tobytes()
-    head = (len(ids), len(used), len(words), len(docs), len(docs_z), len(lanes_z))
+    head = (len(ids), len(states), len(words), len(docs), len(docs_z), len(lanes_z))
     return HEADER.pack(*head, zlib.crc32(body, zlib.crc32(struct.pack("<6I", *head)))) + body
 
 
@@ -204,8 +209,8 @@ def read_block(handle, vocabulary: int) -> tuple[np.ndarray, list[tuple[int | No
         raise ValueError("token block does not match its checksum")
     docs_raw = zlib.decompress(body[:docs_len])
     cols = [np.frombuffer(docs_raw, t, n_docs, at * n_docs) for t, at in (("<i8", 0), ("<u4", 8), ("u1", 12), ("u1", 13))]
-    used = np.frombuffer(zlib.decompress(body[docs_len : docs_len + lanes_len]), "<u2").astype(np.int64)
-    ids = decode_ids(np.frombuffer(body, "<u2", n_words, docs_len + lanes_len), used, n, vocabulary)
+    states = np.frombuffer(zlib.decompress(body[docs_len : docs_len + lanes_len]), "<u8")
+    ids = decode_ids(np.frombuffer(body, "<u2", n_words, docs_len + lanes_len), states, n, vocabulary)
     docs = [(None if null else i, k, bool(on)) for i, k, null, on in zip(*(c.tolist() for c in cols))]
     return ids, docs
 

@@ -48,6 +48,14 @@ def test_coder_learns_the_order_of_ids():
     assert 16 * len(words) < 4 * len(ids)
 
 
+def test_coder_keeps_one_stream_for_all_lanes():
+    """Lanes differ by one state each; words belong to no lane, so a block ends where its last word was read."""
+    ids = np.random.default_rng(4).zipf(1.2, 300_000) % 50257
+    words, states = encode_ids(ids, 50257)
+    assert states.dtype == np.uint64 and states.min() >= 1 << 24 and states.max() < 1 << 56
+    assert (decode_ids(np.concatenate([words, words]), states, len(ids), 50257) == ids).all()
+
+
 def test_pieces_equal_the_library_on_whole_texts(library):
     enc = PieceEncoder(BPE)
     parts = ["a", "b", " ", "  ", "\n", "\t", "'s", "'", "é", " ", "　", "\x1c", ".", "1", "23", "<|endoftext|>", "\x85", "​", "日本", "\r\n", "\x0b", "x" * 80, "🙂"]
