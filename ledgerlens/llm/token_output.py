@@ -54,7 +54,7 @@ BLOCK_IDS = 1 << 20
 FILE_IDS = 8 << 20
 # Texts are tokenised in runs of about this many characters.
 RUN_CHARS = 4 << 20
-# A worker keeps the ids of pieces of so many characters in all, then starts anew.
+# A worker keeps the ids of pieces of so many characters in all, then only those that several runs had.
 CACHE_CHARS = 8 << 20
 
 INDEX_SCHEMA = "part int, seq int, file string, n_docs long, n_ids long, n_blocks long, n_bytes long"
@@ -63,6 +63,9 @@ DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _PIECE = re.compile(r"\s*\S+|\s+")
 # A space beside other white space: such texts are not split at single spaces.
 _WIDE_SPACE = re.compile(r" (?:(?=\s)|(?<=\s ))")
+# For Arrow: a space beside any white space that Python knows. It only picks the texts that are looked at.
+_SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_MAYBE_WIDE = f" {_SPACES}|{_SPACES} "
 # White space for Python, but ordinary characters for the tokenizer's word pattern.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _LOADED: dict[str, "PieceEncoder"] = {}
@@ -95,7 +98,24 @@ class PieceEncoder:
     def _clear(self) -> None:
         self.places: dict[str, int] = {}
         self.first, self.size, self.pool, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(8192, np.int32), 0
-        self.chars = 0
+        self.uses, self.chars = np.zeros(1024, np.int32), 0
+
+    def _trim(self) -> None:
+        """Forget the pieces that one run alone has had since the last time; all, if the others take more than half the room."""
+        often = np.flatnonzero(self.uses[: len(self.places)] > 1)
+        names = list(self.places)
+        names, ids, sizes = [names[k] for k in often.tolist()], self._ids_at(often), self.size[often]
+        self._clear()
+        if sum(map(len, names)) <= CACHE_CHARS // 2:
+            self._keep(names, ids, sizes)
+
+    def _ids_at(self, at: np.ndarray) -> np.ndarray:
+        """The ids of pieces, one after another."""
+        size, first = self.size[at], self.first[at]
+        ends = np.cumsum(size)
+        places = np.repeat(first - (ends - size), size)
+        places += np.arange(len(places))
+        return self.pool.take(places)
 
     def _add(self, pieces: list[str]) -> None:
         """Encode new pieces: those that begin with white space and end without it as one text, the others each alone."""
@@ -117,11 +137,12 @@ class PieceEncoder:
     def _keep(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         k, n = len(self.places), len(pieces)
         if k + n > len(self.first):
-            self.first, self.size = np.resize(self.first, 2 * (k + n)), np.resize(self.size, 2 * (k + n))
+            self.first, self.size, self.uses = (np.resize(a, 2 * (k + n)) for a in (self.first, self.size, self.uses))
         if self.used + len(ids) > len(self.pool):
             self.pool = np.resize(self.pool, 2 * (self.used + len(ids)))
         self.first[k : k + n] = self.used + np.cumsum(sizes) - sizes
         self.size[k : k + n] = sizes
+        self.uses[k : k + n] = 0
         self.pool[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
         self.chars += len("".join(pieces))
@@ -129,24 +150,29 @@ class PieceEncoder:
 
     def _at(self, pieces: list[str]) -> np.ndarray:
         at = list(map(self.places.get, pieces))
-        if None in at:
-            self._add(list(dict.fromkeys([p for p, k in zip(pieces, at) if k is None])))
-            at = list(map(self.places.get, pieces))
+        missing = [k for k, place in enumerate(at) if place is None]
+        if missing:
+            self._add(list(dict.fromkeys([pieces[k] for k in missing])))
+            for k in missing:
+                at[k] = self.places[pieces[k]]
         return np.array(at, np.int64)
 
     def run(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, END_ID after each; number of ids of each text with its end id)."""
         if self.chars > CACHE_CHARS:
-            self._clear()
+            self._trim()
         strings = texts.to_pylist()
-        wide = [k for k, t in enumerate(strings) if _WIDE_SPACE.search(t)]
+        looked_at = np.flatnonzero(pc.match_substring_regex(texts, _MAYBE_WIDE).to_numpy(zero_copy_only=False))
+        wide = [k for k in looked_at.tolist() if _WIDE_SPACE.search(strings[k])]
         cut = pc.split_pattern(pc.if_else(pa.array(np.isin(np.arange(len(strings)), wide)), "", texts), " ")
         counts = cut.value_lengths().to_numpy()
         starts = np.cumsum(counts) - counts
         coded = cut.flatten().dictionary_encode()
         # through numpy: Arrow makes a scalar of each string of a list
         words = pc.binary_join_element_wise("", coded.dictionary, " ").to_numpy(zero_copy_only=False).tolist()
-        at = self._at(words)[coded.indices.to_numpy()]
+        distinct = self._at(words)
+        self.uses[distinct] += 1
+        at = distinct[coded.indices.to_numpy()]
         # a text's first piece has no space before it
         at[starts] = self._at([t.partition(" ")[0] for t in strings])
         if wide:
@@ -160,15 +186,14 @@ class PieceEncoder:
             at = np.insert(at, into, own)[np.insert(keep, into, True)]
             counts = counts.copy()
             counts[wide] = lengths
-        size, first = self.size[at], self.first[at]
-        total = np.concatenate([[0], np.cumsum(size)])
+        total = np.concatenate([[0], np.cumsum(self.size[at])])
         ends = total[np.cumsum(np.concatenate([[0], counts]))]
         # an end id after each text
         after = np.diff(ends) + 1
         ids = np.full(total[-1] + len(after), END_ID, np.int32)
         inside = np.ones(len(ids), bool)
         inside[np.cumsum(after) - 1] = False
-        ids[inside] = self.pool[np.arange(total[-1]) + np.repeat(first - total[:-1], size)]
+        ids[inside] = self._ids_at(at)
         return ids, after
 
 

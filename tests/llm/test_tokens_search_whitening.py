@@ -8,9 +8,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pytest
 from conftest import SF_SMALL
+from ledgerlens.llm import token_output
 from ledgerlens.llm.id_coder import decode_ids, encode_ids
 from ledgerlens.llm.lexical_search import search
 from ledgerlens.llm.queries import op11_token_ids, op13_whitened_embeddings
@@ -68,6 +70,31 @@ def test_pieces_equal_the_library_on_whole_texts(library):
         assert counts.tolist() == [len(w) for w in want]
 
 
+def test_full_cache_keeps_the_pieces_of_several_runs(library, monkeypatch):
+    monkeypatch.setattr(token_output, "CACHE_CHARS", 60)
+    enc = PieceEncoder(BPE)
+    often, texts = "x the same", ["x the same " + w * 9 for w in ("alpha", "beta", "gamma", "delta", "x\u3000 y", "omega")]
+    for t in texts + texts[::-1]:
+        ids, _ = enc.run(pa.array([t]))
+        assert ids.tolist() == library.encode(t, add_special_tokens=False).ids + [0]
+        held = len(enc.places)
+        assert list(enc.places.values()) == list(range(held)) and enc.chars == sum(map(len, enc.places))
+    monkeypatch.setattr(token_output, "CACHE_CHARS", 1000)
+    enc._clear()
+    for t in texts[:3]:
+        enc.run(pa.array([t]))
+    enc._trim()
+    assert sorted(enc.places) == [" same", " the", " x"] and enc.uses[:3].tolist() == [0, 0, 0]
+    assert enc.run(pa.array([often]))[0].tolist() == library.encode(often, add_special_tokens=False).ids + [0]
+
+
+def test_spaces_for_arrow_are_those_of_python():
+    pattern = re.compile(r"\s")
+    odd = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and pattern.match(chr(c))]
+    assert pc.match_substring_regex(pa.array([f"a {c}b" for c in odd] + [f"a{c} b" for c in odd]), token_output._MAYBE_WIDE).to_pylist() == [True] * 2 * len(odd)
+    assert pc.match_substring_regex(pa.array(["a b", "a\nb\u3000c", "", "\u200b \u200b"]), token_output._MAYBE_WIDE).to_pylist() == [False] * 4
+
+
 def _expected(rows, library):
     out, start = [], 0
     for doc_id, text in rows:
